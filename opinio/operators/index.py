@@ -57,28 +57,11 @@ def index_postings(rows: DataFrame, key: str) -> DataFrame:
 
 
 @dataclass(frozen=True)
-class TextIndex:
-    spark: SparkSession
-    path: str
-    key: str = "id"
-    text: str = "review_text"
-    embed: Embed = hashed_vector
+class Snapshot:
+    """The index as of one commit; everything read from it is consistent."""
 
-    # -- reading ---------------------------------------------------------------
-
-    def totals(self) -> Totals | None:
-        """Sums over the commit records; None before the first commit."""
-        commits = self._stored("commits")
-        if commits is None:
-            return None
-        found = commits.agg(
-            F.max("version").alias("version"),
-            F.sum("n_docs").alias("n_docs"),
-            F.sum("n_terms").alias("n_terms"),
-            F.max("dimension").alias("dimension"),
-            F.max("synced_at").alias("synced_at"),
-        ).first()
-        return None if found["version"] is None else Totals(**found.asDict())
+    index: TextIndex
+    totals: Totals
 
     def rows(self) -> DataFrame:
         """Live rows with their terms and vectors."""
@@ -89,11 +72,11 @@ class TextIndex:
 
     def term_stats(self) -> DataFrame:
         """``(term, df)`` rows that add up to the document count of each term."""
-        return self._upto("terms", self._version()).select("term", "df")
+        return self._committed("terms").select("term", "df")
 
     def describe(self) -> DataFrame:
-        """One row about the index as of its last commit."""
-        totals = self.totals()
+        """One row about the index."""
+        totals = self.totals
         live_terms = self.term_stats().groupBy("term").agg(F.sum("df").alias("df")).where("df > 0")
         return live_terms.agg(F.count(F.lit(1)).alias("n_distinct_terms")).select(
             F.lit(totals.n_docs).cast("bigint").alias("n_docs"),
@@ -104,24 +87,84 @@ class TextIndex:
             F.lit(totals.synced_at).alias("synced_at"),
         )
 
+    def _committed(self, table: str) -> DataFrame:
+        return self.index.stored(table).where(F.col("version") <= self.totals.version)
+
+    def _live(self, table: str) -> DataFrame:
+        """Rows of the newest committed version of their key.
+
+        The join partner holds only keys that changed after the build.
+        """
+        stored, key = self._committed(table), self.index.key
+        if self.totals.version == 0:
+            return stored
+        newest = (
+            self._committed("rows")
+            .where(F.col("version") > 0)
+            .groupBy(key)
+            .agg(F.max("version").alias("_newest"))
+        )
+        current = F.coalesce("_newest", F.lit(0)) == F.col("version")
+        return stored.join(newest, key, "left").where(current).drop("_newest")
+
+
+@dataclass(frozen=True)
+class TextIndex:
+    spark: SparkSession
+    path: str
+    key: str = "id"
+    text: str = "review_text"
+    embed: Embed = hashed_vector
+
+    # -- reading ---------------------------------------------------------------
+
+    def snapshot(self) -> Snapshot | None:
+        """The last commit; None before the first one."""
+        commits = self.stored("commits")
+        if commits is None:
+            return None
+        found = commits.agg(
+            F.max("version").alias("version"),
+            F.sum("n_docs").alias("n_docs"),
+            F.sum("n_terms").alias("n_terms"),
+            F.max("dimension").alias("dimension"),
+            F.max("synced_at").alias("synced_at"),
+        ).first()
+        return None if found["version"] is None else Snapshot(self, Totals(**found.asDict()))
+
+    def current(self) -> Snapshot:
+        found = self.snapshot()
+        if found is None:
+            raise ValueError(f"no index at {self.path}")
+        return found
+
+    def stored(self, table: str) -> DataFrame | None:
+        """All versions of a table, committed or not; None if nothing was written."""
+        try:
+            return self.spark.read.parquet(f"{self.path}/{table}")
+        except AnalysisException as problem:
+            if problem.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
     # -- writing ---------------------------------------------------------------
 
     def build(self, source: DataFrame) -> TextIndex:
-        if self.totals() is not None:
+        if self.snapshot() is not None:
             raise ValueError(f"{self.path} holds an index; sync it or choose a new path")
         self.apply(source)
         return self
 
     def sync(self, source: DataFrame) -> int:
         """Bring the index to ``source``; returns the number of the live version."""
-        totals = self.totals()
-        if totals is None:
+        before = self.snapshot()
+        if before is None:
             return self.apply(source)
-        known = self.rows().select(self.key, HASH)
+        known = before.rows().select(self.key, HASH)
         found = change_set(known, with_row_hash(source), self.key)
-        changes = self._write(found, "changes", totals.version + 1)
+        changes = self._write(found, "changes", before.totals.version + 1)
         if changes.isEmpty():
-            return totals.version
+            return before.totals.version
         gone = F.col("change") == "delete"
         fresh = source.join(changes.where(~gone).select(self.key), self.key, "left_semi")
         return self.apply(fresh, changes.where(gone).select(self.key))
@@ -130,10 +173,10 @@ class TextIndex:
         self, upserts: DataFrame, deletes: DataFrame | None = None, tag: str | None = None
     ) -> int:
         """Append one version. A ``tag`` that is already committed is not applied again."""
-        totals = self.totals()
-        if totals is not None and tag is not None and self._tagged(tag):
-            return totals.version
-        version = 0 if totals is None else totals.version + 1
+        before = self.snapshot()
+        if before is not None and tag is not None and self._tagged(tag):
+            return before.totals.version
+        version = 0 if before is None else before.totals.version + 1
 
         fresh = index_rows(upserts, self.text, self.embed).withColumn("deleted", F.lit(False))
         if deletes is not None:
@@ -150,8 +193,8 @@ class TextIndex:
         )
         gained = postings.select("term", F.lit(1).alias("df"))
         counts = present.select(F.lit(1).alias("sign"), "n_terms")
-        if version:
-            replaced = self.rows().join(written.select(self.key), self.key, "left_semi")
+        if before is not None:
+            replaced = before.rows().join(written.select(self.key), self.key, "left_semi")
             lost = index_postings(replaced, self.key).select("term", F.lit(-1).alias("df"))
             gained = gained.unionByName(lost)
             counts = counts.unionByName(replaced.select(F.lit(-1).alias("sign"), "n_terms"))
@@ -170,45 +213,10 @@ class TextIndex:
 
     # -- storage ---------------------------------------------------------------
 
+    def _tagged(self, tag: str) -> bool:
+        return not self.stored("commits").where(F.col("tag") == tag).isEmpty()
+
     def _write(self, rows: DataFrame, table: str, version: int) -> DataFrame:
         folder = f"{self.path}/{table}/version={version}"
         rows.write.mode("overwrite").parquet(folder)
         return self.spark.read.schema(rows.schema).parquet(folder)
-
-    def _stored(self, table: str) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(f"{self.path}/{table}")
-        except AnalysisException as problem:
-            if problem.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-
-    def _version(self) -> int:
-        totals = self.totals()
-        if totals is None:
-            raise ValueError(f"no index at {self.path}")
-        return totals.version
-
-    def _tagged(self, tag: str) -> bool:
-        return not self._stored("commits").where(F.col("tag") == tag).isEmpty()
-
-    def _upto(self, table: str, version: int) -> DataFrame:
-        return self._stored(table).where(F.col("version") <= version)
-
-    def _live(self, table: str) -> DataFrame:
-        """Rows of the newest committed version of their key.
-
-        The join partner holds only keys that ever changed after the build.
-        """
-        version = self._version()
-        stored = self._upto(table, version)
-        if version == 0:
-            return stored
-        newest = (
-            self._upto("rows", version)
-            .where(F.col("version") > 0)
-            .groupBy(self.key)
-            .agg(F.max("version").alias("_newest"))
-        )
-        current = F.coalesce("_newest", F.lit(0)) == F.col("version")
-        return stored.join(newest, self.key, "left").where(current).drop("_newest")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinio.functions.text import distinct_terms
-from opinio.operators.index import TextIndex
+from opinio.operators.index import Snapshot, TextIndex
 from opinio.operators.topk import (
     RESIDENT_QUERIES,
     cosine_scorer,
@@ -102,26 +102,27 @@ def semantic_topk_approx(
     return semantic_topk(candidates, queries, k)
 
 
-def search_semantic(index: TextIndex, queries: DataFrame, k: int = DEFAULT_RESULTS) -> DataFrame:
+def search_semantic(found: Snapshot, queries: DataFrame, k: int = DEFAULT_RESULTS) -> DataFrame:
     """Cosine over the index vectors; a text without a common bucket is no hit."""
-    asked = queries.select("query_id", index.embed(F.col("query_text")).alias("embedding"))
-    items = index.rows().select(F.col(index.key).alias("id"), "embedding")
-    totals = index.totals()
+    embed = found.index.embed
+    asked = queries.select("query_id", embed(F.col("query_text")).alias("embedding"))
+    items = found.rows().select(F.col(found.index.key).alias("id"), "embedding")
     return semantic_topk(
-        items, asked, k, positive_only=True, dimension=totals.dimension or None
+        items, asked, k, positive_only=True, dimension=found.totals.dimension or None
     )
 
 
-def search_fulltext(index: TextIndex, queries: DataFrame, k: int = DEFAULT_RESULTS) -> DataFrame:
+def search_fulltext(found: Snapshot, queries: DataFrame, k: int = DEFAULT_RESULTS) -> DataFrame:
     """BM25 over the postings of the asked terms.
 
     Postings are sorted by term, so a short list of terms is pushed to the scan
     and skips the other row groups. The matches of one text are gathered once and
     scored for all queries together, instead of once per query.
     """
-    totals = index.totals()
+    totals = found.totals
     asked = queries.select("query_id", distinct_terms(F.col("query_text")).alias("terms"))
-    vocabulary = asked.select(F.explode("terms").alias("term")).distinct()
+    vocabulary = asked.select(F.explode_outer("terms").alias("term")).distinct()
+    vocabulary = vocabulary.where(F.col("term").isNotNull())
     few = [row[0] for row in vocabulary.limit(PUSHED_TERMS + 1).collect()]
 
     def matching(rows: DataFrame) -> DataFrame:
@@ -131,15 +132,15 @@ def search_fulltext(index: TextIndex, queries: DataFrame, k: int = DEFAULT_RESUL
 
     df = F.sum("df")
     rarity = F.log(1 + (totals.n_docs - df + 0.5) / (df + 0.5))
-    rarities = matching(index.term_stats()).groupBy("term").agg(rarity.alias("idf"))
+    rarities = matching(found.term_stats()).groupBy("term").agg(rarity.alias("idf"))
 
     tf = F.col("tf")
     norm = K1 * (1 - B + B * F.col("n_terms") / F.lit(totals.mean_terms or 1.0))
     weight = F.col("idf") * tf * (K1 + 1) / (tf + norm)
     items = (
-        matching(index.postings())
+        matching(found.postings())
         .join(rarities, "term")
-        .select(F.col(index.key).alias("id"), F.struct("term", weight.alias("weight")).alias("m"))
+        .select(F.col(found.index.key).alias("id"), F.struct("term", weight.alias("weight")).alias("m"))
         .groupBy("id")
         .agg(F.collect_list("m").alias("matches"))
     )
@@ -163,10 +164,10 @@ def fuse(rankings: list[DataFrame], k: int) -> DataFrame:
 
 
 def search_hybrid(
-    index: TextIndex, queries: DataFrame, k: int = DEFAULT_RESULTS, depth: int = FUSION_DEPTH
+    found: Snapshot, queries: DataFrame, k: int = DEFAULT_RESULTS, depth: int = FUSION_DEPTH
 ) -> DataFrame:
     return fuse(
-        [search_semantic(index, queries, depth), search_fulltext(index, queries, depth)], k
+        [search_semantic(found, queries, depth), search_fulltext(found, queries, depth)], k
     )
 
 
@@ -185,10 +186,11 @@ def search(
     columns: list[str] | None = None,
 ) -> DataFrame:
     """Hits of every query, with the wanted source columns of the found rows."""
-    hits = MODES[mode](index, queries, k)
+    found = index.current()
+    hits = MODES[mode](found, queries, k)
     if not columns:
         return hits
-    rows = index.rows().select(F.col(index.key).alias("id"), *columns)
+    rows = found.rows().select(F.col(index.key).alias("id"), *columns)
     if queries.count() * k <= BROADCAST_HITS:
         hits = F.broadcast(hits)
     return rows.join(hits, "id").select("query_id", "rank", "id", "score", *columns)

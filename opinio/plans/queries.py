@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from opinio.functions.text import hashed_sparse, hashed_vector
 from opinio.operators import ratings, reviews, search, silver
 from opinio.operators.changes import apply_changes, change_set, with_row_hash
-from opinio.operators.index import TextIndex
+from opinio.operators.index import Snapshot, TextIndex
 from opinio.plans import layered
 from opinio.session import new_path
 from opinio.sources import landing, standins, tables
@@ -147,7 +147,8 @@ def preview(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _exploded_vector(rows: DataFrame, key: str) -> DataFrame:
-    return rows.select(key, F.explode("_vector").alias("_e")).select(
+    entries = rows.select(key, F.explode_outer("_vector").alias("_e"))
+    return entries.where(F.col("_e").isNotNull()).select(
         key, "_e.bucket", "_e.n", F.round("_e.weight", 6).alias("weight")
     )
 
@@ -170,10 +171,11 @@ def query_embedding(spark: SparkSession, folder: str) -> DataFrame:
 
 def index_build(spark: SparkSession, folder: str) -> DataFrame:
     index = TextIndex(spark, new_path(spark, "index")).build(standins.corpus(spark, folder))
-    rows = index.rows().agg(
+    built = index.current()
+    rows = built.rows().agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id").alias("n_keys")
     )
-    postings = index.postings().agg(
+    postings = built.postings().agg(
         F.count(F.lit(1)).alias("n_postings"), F.sum("tf").alias("n_tokens")
     )
     return rows.select(F.lit("rows").alias("what"), F.col("n_rows").alias("n"), "n_keys").unionByName(
@@ -185,12 +187,12 @@ def index_build(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def index_terms(spark: SparkSession, folder: str) -> DataFrame:
-    stats = corpus_index(spark, folder).term_stats()
+    stats = corpus_index(spark, folder).current().term_stats()
     return stats.groupBy("term").agg(F.sum("df").alias("df"))
 
 
 def index_stats(spark: SparkSession, folder: str) -> DataFrame:
-    return corpus_index(spark, folder).describe().select(
+    return corpus_index(spark, folder).current().describe().select(
         "n_docs", "n_distinct_terms", "dimension", F.round("mean_terms", 6).alias("mean_terms")
     )
 
@@ -206,26 +208,26 @@ def snapshot_after_changes(spark: SparkSession, folder: str) -> DataFrame:
     return apply_changes(before, after, changes, "id")
 
 
-def _summary(index: TextIndex) -> DataFrame:
+def _summary(found: Snapshot) -> DataFrame:
     """Live rows with what the index derived from them."""
-    matches = index.postings().groupBy("id").agg(
+    matches = found.postings().groupBy("id").agg(
         F.count(F.lit(1)).alias("n_postings"), F.sum("tf").alias("n_tokens")
     )
-    return index.rows().select("id", "review_text", "lang", "source").join(matches, "id")
+    return found.rows().select("id", "review_text", "lang", "source").join(matches, "id")
 
 
 def index_after_sync(spark: SparkSession, folder: str) -> DataFrame:
     before, after = standins.snapshots(spark, folder)
     index = TextIndex(spark, new_path(spark, "index")).build(before)
     index.sync(after)
-    return _summary(index)
+    return _summary(index.current())
 
 
 def index_terms_after_sync(spark: SparkSession, folder: str) -> DataFrame:
     before, after = standins.snapshots(spark, folder)
     index = TextIndex(spark, new_path(spark, "index")).build(before)
     index.sync(after)
-    return index.term_stats().groupBy("term").agg(F.sum("df").alias("df")).where("df > 0")
+    return index.current().term_stats().groupBy("term").agg(F.sum("df").alias("df")).where("df > 0")
 
 
 def stream_sync(spark: SparkSession, folder: str) -> DataFrame:
@@ -241,7 +243,7 @@ def stream_sync(spark: SparkSession, folder: str) -> DataFrame:
     for day in (first, second.withColumn("seq", F.lit(1))):
         day.write.mode("append").parquet(feed)
         sync_available(index, feed, first.schema, checkpoint)
-    return _summary(index)
+    return _summary(index.current())
 
 
 # -- search --------------------------------------------------------------------

@@ -33,9 +33,19 @@ def reviews(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan with fewer splits than cores, dealt out before per-row text work.
+
+    Only for plain scans. A table of many row groups already has the splits and is
+    left alone; one unsplittable file would keep all the work on one core.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def corpus(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as an indexable review table."""
-    return table(spark, folder, "documents").select(
+    return spread(table(spark, folder, "documents")).select(
         F.col("doc_id").alias("id"),
         F.col("text").alias("review_text"),
         "lang",
