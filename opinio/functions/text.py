@@ -78,9 +78,17 @@ def bucket_of(term: Column, dimensions: int = DIMENSIONS) -> Column:
     return F.conv(prefix, 16, 10).cast("bigint") % dimensions
 
 
-def hashed_sparse(text: Column, dimensions: int = DIMENSIONS) -> Column:
+def _hashes(counted: Column, dimensions: int) -> Column:
+    """The bucket of every token, hashing each distinct term once."""
+    return F.flatten(
+        F.transform(
+            counted, lambda x: F.array_repeat(bucket_of(x["term"], dimensions), x["tf"])
+        )
+    )
+
+
+def hashed_sparse(counted: Column, dimensions: int = DIMENSIONS) -> Column:
     """Hashed bag of words: ``array<struct<bucket, n, weight>>``, weights of unit length."""
-    counts = value_counts(F.transform(tokens(text), lambda t: bucket_of(t, dimensions)))
 
     def weighted(runs: Column) -> Column:
         square = F.aggregate(
@@ -98,19 +106,19 @@ def hashed_sparse(text: Column, dimensions: int = DIMENSIONS) -> Column:
             ),
         )
 
-    return bind(counts, weighted)
+    return bind(value_counts(_hashes(counted, dimensions)), weighted)
 
 
-def hashed_vector(text: Column, dimensions: int = DIMENSIONS) -> Column:
+def hashed_vector(counted: Column, dimensions: int = DIMENSIONS) -> Column:
     """Dense unit vector of the hashed bag of words, zero for an empty text.
 
     Every bucket is added once before counting and taken off afterwards, so the
     run lengths come out as the full vector in bucket order.
     """
     every = F.sequence(F.lit(0).cast("bigint"), F.lit(dimensions - 1).cast("bigint"))
-    hashed = F.transform(tokens(text), lambda t: bucket_of(t, dimensions))
     counts = F.transform(
-        value_counts(F.concat(hashed, every)), lambda run: (run["n"] - 1).cast("double")
+        value_counts(F.concat(_hashes(counted, dimensions), every)),
+        lambda run: (run["n"] - 1).cast("double"),
     )
 
     def unit(vector: Column) -> Column:

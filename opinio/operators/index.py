@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from opinio.functions.text import hashed_vector, term_counts
 from opinio.operators.changes import HASH, change_set, check_key, with_row_hash
 
+# text column -> array<float> column, such as a pandas UDF around a model
 Embed = Callable[[Column], Column]
 
 
@@ -43,11 +44,17 @@ class Totals:
         return self.n_terms / self.n_docs if self.n_docs else 0.0
 
 
-def index_rows(source: DataFrame, text: str, embed: Embed = hashed_vector) -> DataFrame:
+def with_vector(counted: DataFrame, text: str, embed: Embed | None) -> DataFrame:
+    """Append ``embedding``: the caller's model on the text, or the hashed ``terms``."""
+    vector = embed(F.col(text)) if embed else hashed_vector(F.col("terms"))
+    return counted.withColumn("embedding", vector)
+
+
+def index_rows(source: DataFrame, text: str, embed: Embed | None = None) -> DataFrame:
     """Source rows with everything the index derives from a text; no shuffle."""
     counted = with_row_hash(source).withColumn("terms", term_counts(F.col(text)))
     length = F.aggregate("terms", F.lit(0), lambda total, x: total + x["tf"])
-    return counted.withColumn("n_terms", length).withColumn("embedding", embed(F.col(text)))
+    return with_vector(counted.withColumn("n_terms", length), text, embed)
 
 
 def index_postings(rows: DataFrame, key: str) -> DataFrame:
@@ -114,7 +121,7 @@ class TextIndex:
     path: str
     key: str = "id"
     text: str = "review_text"
-    embed: Embed = hashed_vector
+    embed: Embed | None = None
 
     # -- reading ---------------------------------------------------------------
 

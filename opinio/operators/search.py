@@ -7,8 +7,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opinio.functions.text import distinct_terms
-from opinio.operators.index import Snapshot, TextIndex
+from opinio.functions.text import distinct_terms, term_counts
+from opinio.operators.index import Snapshot, TextIndex, with_vector
 from opinio.operators.topk import (
     RESIDENT_QUERIES,
     cosine_scorer,
@@ -104,8 +104,11 @@ def semantic_topk_approx(
 
 def search_semantic(found: Snapshot, queries: DataFrame, k: int = DEFAULT_RESULTS) -> DataFrame:
     """Cosine over the index vectors; a text without a common bucket is no hit."""
-    embed = found.index.embed
-    asked = queries.select("query_id", embed(F.col("query_text")).alias("embedding"))
+    asked = with_vector(
+        queries.select("query_id", "query_text", term_counts(F.col("query_text")).alias("terms")),
+        "query_text",
+        found.index.embed,
+    ).select("query_id", "embedding")
     items = found.rows().select(F.col(found.index.key).alias("id"), "embedding")
     return semantic_topk(
         items, asked, k, positive_only=True, dimension=found.totals.dimension or None

@@ -17,7 +17,8 @@ PRODUCT_COLUMNS = [
     "highlights",
 ]
 REVIEW_COLUMNS = ["product_id", "rating", "is_recommended", "review_text", "price_usd"]
-COPIES_PER_TASK_ROW = 1_000_000
+COPIES_AT_ONCE = 1_000
+RANGES_PER_ROW = 100_000
 
 
 def join_reviews(products: DataFrame, reviews: DataFrame) -> DataFrame:
@@ -37,38 +38,40 @@ def with_surrogate_id(rows: DataFrame, name: str = "id") -> DataFrame:
 
 
 def with_stable_id(
-    rows: DataFrame, name: str = "id", copies_per_task_row: int = COPIES_PER_TASK_ROW
+    rows: DataFrame,
+    name: str = "id",
+    copies_at_once: int = COPIES_AT_ONCE,
+    ranges_per_row: int = RANGES_PER_ROW,
 ) -> DataFrame:
     """Fingerprint of the row plus its number among equal rows.
 
     Equal rows are interchangeable, so they are counted (map-side first) and
     written out again with numbers 1..n instead of being ranked in one window
-    group. A count above ``copies_per_task_row`` is first cut into ranges, and
-    the ranges are shuffled apart, so a row repeated in a third of the input is
-    numbered by many tasks.
+    group. A count above ``copies_at_once`` is first cut into ranges, and the
+    ranges are shuffled apart, so a row repeated in a third of the input is
+    numbered by many tasks. The partition count of that shuffle is fixed: adaptive
+    execution would merge the few bytes the ranges take before they unfold.
     """
     columns = rows.columns
     counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    step = F.lit(copies_per_task_row).cast("bigint")
+    one = F.lit(1).cast("bigint")
 
-    few = counted.where(F.col("_copies") <= step).select(
-        *columns, F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")).alias("_number")
+    few = counted.where(F.col("_copies") <= copies_at_once).select(
+        *columns, F.explode(F.sequence(one, "_copies")).alias("_number")
     )
-    last_range = F.floor((F.col("_copies") - 1) / step).cast("bigint")
+    share = F.ceil(F.col("_copies") / ranges_per_row).cast("bigint")
     ranges = (
-        counted.where(F.col("_copies") > step)
-        .withColumn("_range", F.explode(F.sequence(F.lit(0).cast("bigint"), last_range)))
-        .repartition(shuffle_partitions(rows.sparkSession), *columns, "_range")
+        counted.where(F.col("_copies") > copies_at_once)
+        .withColumn("_step", F.greatest(F.lit(copies_at_once).cast("bigint"), share))
+        .withColumn("_first", F.explode(F.sequence(one, F.col("_copies"), F.col("_step"))))
+        .repartition(shuffle_partitions(rows.sparkSession), *columns, "_first")
     )
-    first = F.col("_range") * step + 1
-    many = ranges.select(
-        *columns,
-        F.explode(F.sequence(first, F.least(first + step - 1, F.col("_copies")))).alias("_number"),
-    )
-    numbered = few.unionByName(many)
-    mark = fingerprint(rows, columns)
-    return numbered.select(
-        *columns, F.concat(mark, F.lit("-"), F.col("_number").cast("string")).alias(name)
+    last = F.least(F.col("_first") + F.col("_step") - 1, F.col("_copies"))
+    many = ranges.select(*columns, F.explode(F.sequence("_first", last)).alias("_number"))
+
+    number = F.col("_number").cast("string")
+    return few.unionByName(many).select(
+        *columns, F.concat(fingerprint(rows, columns), F.lit("-"), number).alias(name)
     )
 
 

@@ -8,10 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinio.functions.text import hashed_sparse, hashed_vector
+from opinio.functions.text import hashed_sparse, term_counts
 from opinio.operators import ratings, reviews, search, silver
 from opinio.operators.changes import apply_changes, change_set, with_row_hash
-from opinio.operators.index import Snapshot, TextIndex
+from opinio.operators.index import Snapshot, TextIndex, with_vector
 from opinio.plans import layered
 from opinio.session import new_path
 from opinio.sources import landing, standins, tables
@@ -155,13 +155,15 @@ def _exploded_vector(rows: DataFrame, key: str) -> DataFrame:
 
 def hashed_embedding(spark: SparkSession, folder: str) -> DataFrame:
     documents = standins.corpus(spark, folder)
-    vectors = documents.select("id", hashed_sparse(F.col("review_text")).alias("_vector"))
+    counted = documents.select("id", term_counts(F.col("review_text")).alias("terms"))
+    vectors = counted.select("id", hashed_sparse(F.col("terms")).alias("_vector"))
     return _exploded_vector(vectors, "id")
 
 
 def query_embedding(spark: SparkSession, folder: str) -> DataFrame:
     asked = standins.questions(spark, folder)
-    dense = asked.select("query_id", hashed_vector(F.col("query_text")).alias("embedding"))
+    counted = asked.select("query_id", term_counts(F.col("query_text")).alias("terms"))
+    dense = with_vector(counted, "query_text", None)
     return (
         dense.select("query_id", F.posexplode("embedding").alias("bucket", "weight"))
         .where(F.col("weight") != 0)
