@@ -51,24 +51,32 @@ def semantic_topk(
 
 
 def semantic_topk_approx(
+    vectors: DataFrame, queries: DataFrame, k: int = DEFAULT_RESULTS, **hashing: float
+) -> DataFrame:
+    """Cosine top-k among the vectors that share a hash band with any query.
+
+    The survivors are ranked exactly, so a crowded bucket costs scoring time but
+    writes no pairs. A query set too large to travel with the tasks asks for nearly
+    every bucket: pruning is pointless there and the exact search answers.
+    """
+    if queries.count() > RESIDENT_QUERIES:
+        return semantic_topk(vectors, queries, k)
+    return semantic_topk(near_vectors(vectors, queries, **hashing), queries, k)
+
+
+def near_vectors(
     vectors: DataFrame,
     queries: DataFrame,
-    k: int = DEFAULT_RESULTS,
     bands: int = 12,
     hashes_per_band: int = 3,
     bucket_length: float = 0.25,
     seed: int = 7,
 ) -> DataFrame:
-    """Cosine top-k among the vectors that share a hash band with any query.
+    """The vectors that agree with a query in all hashes of at least one band.
 
     Random-projection buckets of unit vectors are combined into bands; a vector
-    that agrees with no query in any band is dropped where it is read. The rest is
-    ranked exactly, so a crowded bucket costs scoring time but writes no pairs.
-    A query set too large to travel with the tasks asks for nearly every bucket:
-    pruning is pointless there and the exact search answers.
+    without a common band is dropped where it is read. For a bounded query set.
     """
-    if queries.count() > RESIDENT_QUERIES:
-        return semantic_topk(vectors, queries, k)
 
     def unit(rows: DataFrame) -> DataFrame:
         norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x))
@@ -98,11 +106,13 @@ def semantic_topk_approx(
     signature = F.array(*[band(number) for number in range(bands)]).alias("_bands")
     wanted = model.transform(asked).select(F.explode(signature)).distinct().collect()
     near = F.arrays_overlap("_bands", F.lit([row[0] for row in wanted]))
-    candidates = model.transform(unit(vectors)).select("id", "embedding", signature).where(near)
-    return semantic_topk(candidates, queries, k)
+    hashed = model.transform(unit(vectors)).select("id", "embedding", signature)
+    return hashed.where(near).select("id", "embedding")
 
 
-def search_semantic(found: Snapshot, queries: DataFrame, k: int = DEFAULT_RESULTS) -> DataFrame:
+def search_semantic(
+    found: Snapshot, queries: DataFrame, k: int = DEFAULT_RESULTS, **bounds: int
+) -> DataFrame:
     """Cosine over the index vectors; a text without a common bucket is no hit."""
     asked = with_vector(
         queries.select("query_id", "query_text", term_counts(F.col("query_text")).alias("terms")),
@@ -111,11 +121,13 @@ def search_semantic(found: Snapshot, queries: DataFrame, k: int = DEFAULT_RESULT
     ).select("query_id", "embedding")
     items = found.rows().select(F.col(found.index.key).alias("id"), "embedding")
     return semantic_topk(
-        items, asked, k, positive_only=True, dimension=found.totals.dimension or None
+        items, asked, k, True, found.totals.dimension or None, **bounds
     )
 
 
-def search_fulltext(found: Snapshot, queries: DataFrame, k: int = DEFAULT_RESULTS) -> DataFrame:
+def search_fulltext(
+    found: Snapshot, queries: DataFrame, k: int = DEFAULT_RESULTS, **bounds: int
+) -> DataFrame:
     """BM25 over the postings of the asked terms.
 
     Postings are sorted by term, so a short list of terms is pushed to the scan
@@ -148,7 +160,9 @@ def search_fulltext(found: Snapshot, queries: DataFrame, k: int = DEFAULT_RESULT
         .agg(F.collect_list("m").alias("matches"))
     )
     size = F.octet_length(F.concat_ws("", "terms")) + 8 * F.size("terms")
-    return exact_topk(items, asked, weighted_terms_scorer, k, BM25_DIGITS, query_bytes=size)
+    return exact_topk(
+        items, asked, weighted_terms_scorer, k, BM25_DIGITS, query_bytes=size, **bounds
+    )
 
 
 def fuse(rankings: list[DataFrame], k: int) -> DataFrame:

@@ -1,0 +1,120 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from opinio.operators import search
+from opinio.sources import standins
+
+VECTORS = "id {}, embedding array<float>"
+
+
+def brute(items, queries, k, positive_only=False):
+    out = {}
+    for qid, q in queries:
+        scored = []
+        for i, v in items:
+            a, b = np.asarray(q, float), np.asarray(v, float)
+            if not a.any() or not b.any():
+                continue
+            score = float(a @ b / (np.linalg.norm(a) * np.linalg.norm(b)))
+            score = float(np.copysign(np.floor(abs(score) * 1e6 + 0.5) / 1e6, score))
+            if score > 0 or not positive_only:
+                scored.append((-score, i))
+        out[qid] = [(i, -s) for s, i in sorted(scored)[:k]]
+    return out
+
+
+def result(hits):
+    out = {}
+    for r in hits.orderBy("query_id", "rank").collect():
+        out.setdefault(r.query_id, []).append((r.id, r.score))
+        assert r["rank"] == len(out[r.query_id])
+    return out
+
+
+@pytest.fixture(scope="module")
+def crowd():
+    """A third of the vectors are the same one."""
+    rng = np.random.default_rng(3)
+    same = rng.normal(size=8).astype(np.float32)
+    items = []
+    for i in range(900):
+        vector = same if i % 3 == 0 else rng.normal(size=8).astype(np.float32)
+        items.append((i, vector.tolist()))
+    items.append((900, [0.0] * 8))
+    queries = [(100 + j, rng.normal(size=8).astype(np.float32).tolist()) for j in range(40)]
+    queries += [(1, same.tolist()), (2, [0.0] * 8)]
+    return items, queries
+
+
+@pytest.mark.parametrize(
+    "bounds",
+    [{}, {"resident_queries": 7, "items_per_block": 50}, {"resident_bytes": 100}],
+    ids=["resident", "blocked", "one query per block"],
+)
+@pytest.mark.parametrize("positive_only", [False, True])
+def test_exact_topk_equals_brute_force(spark, crowd, bounds, positive_only):
+    items, queries = crowd
+    frame = spark.createDataFrame(items, VECTORS.format("long")).repartition(6)
+    asked = spark.createDataFrame(queries, "query_id long, embedding array<float>")
+    hits = search.semantic_topk(frame, asked, 5, positive_only=positive_only, **bounds)
+    expected = {q: found for q, found in brute(items, queries, 5, positive_only).items() if found}
+    got = result(hits)
+    assert got == expected
+    assert [i for i, _ in got[1]] == [0, 3, 6, 9, 12]
+    assert 2 not in got
+
+
+def test_text_ids_order_like_spark(spark):
+    ids = ["b", "é", "a", "Z", "z"]
+    frame = spark.createDataFrame([(i, [1.0, 0.0]) for i in ids], VECTORS.format("string"))
+    asked = spark.createDataFrame([("q", [2.0, 0.0])], "query_id string, embedding array<float>")
+    want = [r.id for r in frame.orderBy("id").limit(3).collect()]
+    for bounds in ({}, {"resident_bytes": 1}):
+        got = result(search.semantic_topk(frame, asked, 3, **bounds))
+        assert [i for i, _ in got["q"]] == want
+
+
+def test_no_queries_and_no_items(spark):
+    frame = spark.createDataFrame([(1, [1.0])], VECTORS.format("long"))
+    asked = frame.withColumnRenamed("id", "query_id")
+    assert search.semantic_topk(frame, asked.limit(0), 3).count() == 0
+    assert search.semantic_topk(frame.limit(0), asked, 3).count() == 0
+    nothing = frame.withColumn("embedding", F.lit(None).cast("array<float>"))
+    assert search.semantic_topk(nothing, asked, 3).count() == 0
+
+
+def test_mixed_dimensions_are_refused(spark):
+    frame = spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0])], VECTORS.format("long"))
+    asked = frame.withColumnRenamed("id", "query_id")
+    with pytest.raises(Exception, match="different lengths"):
+        search.semantic_topk(frame, asked, 3).collect()
+
+
+def test_approximate_search_recalls_most_of_the_exact_hits(spark, data):
+    vectors = standins.table(spark, data, "embeddings").select(
+        F.col("vec_id").alias("id"), "embedding"
+    )
+    asked = vectors.withColumnRenamed("id", "query_id").where("query_id < 25")
+    exact = search.semantic_topk(vectors, asked, 3)
+    near = search.semantic_topk_approx(vectors, asked, 3)
+    common = exact.join(near, ["query_id", "id"]).count()
+    assert common >= 0.8 * exact.count()
+    # every query finds itself
+    assert near.where("query_id = id and rank = 1").count() == asked.count()
+
+
+def test_approximate_search_prunes_where_it_reads(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(20, 32))
+    items = [
+        (i, (centres[i % 20] + 0.05 * rng.normal(size=32)).astype(np.float32).tolist())
+        for i in range(2000)
+    ]
+    vectors = spark.createDataFrame(items, VECTORS.format("long"))
+    asked = vectors.withColumnRenamed("id", "query_id").where("query_id in (3, 7)")
+    kept = search.near_vectors(vectors, asked)
+    assert 200 <= kept.count() < 0.7 * vectors.count()
+    assert result(search.semantic_topk(kept, asked, 10)) == result(
+        search.semantic_topk(vectors, asked, 10)
+    )
