@@ -15,8 +15,8 @@ class InvalidKey(ValueError):
 
 
 def with_row_hash(rows: DataFrame) -> DataFrame:
-    """Fingerprint of all columns, independent of their order."""
-    return rows.withColumn(HASH, fingerprint(rows, sorted(rows.columns)))
+    """Fingerprint of all columns in 16 bytes, independent of their order."""
+    return rows.withColumn(HASH, F.unhex(fingerprint(rows, sorted(rows.columns))))
 
 
 def change_set(old: DataFrame, new: DataFrame, key: str) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
@@ -9,12 +12,7 @@ from pyspark.sql import functions as F
 
 from opinio.functions.text import distinct_terms, term_counts
 from opinio.operators.index import Snapshot, TextIndex, with_vector
-from opinio.operators.topk import (
-    RESIDENT_QUERIES,
-    cosine_scorer,
-    exact_topk,
-    weighted_terms_scorer,
-)
+from opinio.operators.topk import cosine_scorer, exact_topk, weighted_terms_scorer
 
 # BM25 and reciprocal rank fusion constants, digits ranked on.
 K1 = 1.2
@@ -27,6 +25,7 @@ DEFAULT_RESULTS = 5
 
 PUSHED_TERMS = 1000
 BROADCAST_HITS = 100_000
+BAND_VALUES = 50_000
 
 
 def semantic_topk(
@@ -56,11 +55,8 @@ def semantic_topk_approx(
     """Cosine top-k among the vectors that share a hash band with any query.
 
     The survivors are ranked exactly, so a crowded bucket costs scoring time but
-    writes no pairs. A query set too large to travel with the tasks asks for nearly
-    every bucket: pruning is pointless there and the exact search answers.
+    writes no pairs.
     """
-    if queries.count() > RESIDENT_QUERIES:
-        return semantic_topk(vectors, queries, k)
     return semantic_topk(near_vectors(vectors, queries, **hashing), queries, k)
 
 
@@ -75,8 +71,13 @@ def near_vectors(
     """The vectors that agree with a query in all hashes of at least one band.
 
     Random-projection buckets of unit vectors are combined into bands; a vector
-    without a common band is dropped where it is read. For a bounded query set.
+    without a common band is dropped where it is read. A projection of a unit
+    vector lies in [-1, 1], so a band has at most (2 / length + 2) ** hashes values
+    however many queries ask. Where even that is too much to carry in the plan,
+    nothing is dropped.
     """
+    if bands * (2 / bucket_length + 2) ** hashes_per_band > BAND_VALUES:
+        return vectors.select("id", "embedding")
 
     def unit(rows: DataFrame) -> DataFrame:
         norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x))
@@ -88,6 +89,8 @@ def near_vectors(
         )
 
     asked = unit(queries)
+    if asked.isEmpty():
+        return vectors.select("id", "embedding").limit(0)
     model = BucketedRandomProjectionLSH(
         inputCol="_unit",
         outputCol="_hashes",
@@ -97,16 +100,20 @@ def near_vectors(
     ).fit(asked)
 
     def band(number: int) -> Column:
+        first = number * hashes_per_band
         parts = [
-            vector_to_array(F.col("_hashes")[number * hashes_per_band + j])[0].cast("int")
-            for j in range(hashes_per_band)
+            vector_to_array(F.col("_hashes")[table])[0].cast("int")
+            for table in range(first, first + hashes_per_band)
         ]
-        return F.concat_ws(":", F.lit(number), *parts)
-
-    signature = F.array(*[band(number) for number in range(bands)]).alias("_bands")
-    wanted = model.transform(asked).select(F.explode(signature)).distinct().collect()
-    near = F.arrays_overlap("_bands", F.lit([row[0] for row in wanted]))
-    hashed = model.transform(unit(vectors)).select("id", "embedding", signature)
+        return F.concat_ws(":", *parts)
+
+    names = [f"_band{number}" for number in range(bands)]
+    columns = [band(number).alias(name) for number, name in enumerate(names)]
+    wanted = model.transform(asked).select(*columns).agg(
+        *[F.collect_set(name).alias(name) for name in names]
+    ).first()
+    near = reduce(or_, [F.col(name).isin(wanted[name]) for name in names])
+    hashed = model.transform(unit(vectors)).select("id", "embedding", *columns)
     return hashed.where(near).select("id", "embedding")
 
 

@@ -15,18 +15,21 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 # Bounds of a query set that may travel with the tasks.
-RESIDENT_QUERIES = 512
-RESIDENT_BYTES = 16 << 20
+RESIDENT_QUERIES = 10_000
+RESIDENT_BYTES = 32 << 20
 ITEMS_PER_BLOCK = 20_000
 QUERIES_AT_ONCE = 64
 
-Scorer = Callable[[pa.Table], np.ndarray]
-MakeScorer = Callable[[pa.Table], Scorer]
+# queries -> items -> (first, last query) -> scores, items x queries, -inf is no hit
+Score = Callable[[int, int], np.ndarray]
+Prepare = Callable[[pa.Table], Score]
+MakeScorer = Callable[[pa.Table], Prepare]
 
 
 def round_half_up(values: np.ndarray, digits: int) -> np.ndarray:
@@ -42,22 +45,22 @@ def keep_best(hits: pa.Table, k: int) -> pa.Table:
     return hits.filter(pa.array(place < k))
 
 
-def block_hits(items: pa.Table, scores: np.ndarray, k: int) -> pa.Table:
-    """The best k items per query; ``scores`` is items x queries, -inf is no hit."""
+def block_hits(items: pa.Table, n_queries: int, score: Score, k: int, digits: int) -> pa.Table:
+    """The best k of a block of items per query, a few queries at a time."""
     ids = items["id"].combine_chunks()
     found = []
-    for start in range(0, scores.shape[1], QUERIES_AT_ONCE):
-        part = scores[:, start : start + QUERIES_AT_ONCE]
-        wanted = part > -np.inf
-        if len(part) > k:
+    for start in range(0, n_queries, QUERIES_AT_ONCE):
+        scores = round_half_up(score(start, min(start + QUERIES_AT_ONCE, n_queries)), digits)
+        wanted = scores > -np.inf
+        if len(scores) > k:
             # everything at or above the k-th score: keeps all ties for the id order
-            wanted &= part >= np.partition(part, len(part) - k, axis=0)[len(part) - k]
+            wanted &= scores >= np.partition(scores, len(scores) - k, axis=0)[len(scores) - k]
         row, query = np.nonzero(wanted)
         hits = pa.table(
             {
                 "query": pa.array((query + start).astype(np.int32)),
                 "id": ids.take(pa.array(row)),
-                "score": pa.array(part[row, query], pa.float64()),
+                "score": pa.array(scores[row, query], pa.float64()),
             }
         )
         found.append(keep_best(hits, k))
@@ -92,19 +95,19 @@ def exact_topk(
         F.count(F.lit(1)), F.coalesce(F.sum(query_bytes), F.lit(0))
     ).first()
 
-    def scored(block: pa.Table, score: Scorer) -> pa.Table:
-        return block_hits(block, round_half_up(score(block), digits), k)
+    def scored(block: pa.Table, n_asked: int, prepare: Prepare) -> pa.Table:
+        return block_hits(block, n_asked, prepare(block), k, digits)
 
     if n_queries <= resident_queries and n_bytes <= resident_bytes:
         resident = queries.toArrow()
 
         def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            score = make_scorer(resident)
+            prepare = make_scorer(resident)
             best = None
             for batch in batches:
                 if batch.num_rows == 0 or resident.num_rows == 0:
                     continue
-                hits = scored(pa.Table.from_batches([batch]), score)
+                hits = scored(pa.Table.from_batches([batch]), resident.num_rows, prepare)
                 best = hits if best is None else keep_best(pa.concat_tables([best, hits]), k)
             if best is not None:
                 yield from _named(best, resident).to_batches()
@@ -125,7 +128,7 @@ def _blocked(
     items: DataFrame,
     queries: DataFrame,
     make_scorer: MakeScorer,
-    scored: Callable[[pa.Table, Scorer], pa.Table],
+    scored: Callable[[pa.Table, int, Prepare], pa.Table],
     schema: StructType,
     n_query_blocks: int,
     items_per_block: int,
@@ -156,7 +159,8 @@ def _blocked(
             names = schema.fieldNames()
             kinds = [block_queries["query_id"].type, block_items["id"].type, pa.float64()]
             return pa.table({n: pa.array([], t) for n, t in zip(names, kinds)})
-        return _named(scored(block_items, make_scorer(block_queries)), block_queries)
+        hits = scored(block_items, block_queries.num_rows, make_scorer(block_queries))
+        return _named(hits, block_queries)
 
     return (
         left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(per_pair, schema)
@@ -185,51 +189,56 @@ def cosine_scorer(positive_only: bool) -> MakeScorer:
         matrix[usable] /= norms[usable, None]
         return matrix, usable
 
-    def make(queries: pa.Table) -> Scorer:
+    def make(queries: pa.Table) -> Prepare:
         wanted, wanted_ok = unit_rows(queries)
 
-        def score(items: pa.Table) -> np.ndarray:
+        def prepare(items: pa.Table) -> Score:
             rows, rows_ok = unit_rows(items)
-            if not rows.shape[1] or not wanted.shape[1]:
-                return np.full((len(rows), len(wanted)), -np.inf)
-            scores = rows @ wanted.T
-            scores[~rows_ok, :] = -np.inf
-            scores[:, ~wanted_ok] = -np.inf
-            if positive_only:
-                scores[scores <= 0] = -np.inf
-            return scores
 
-        return score
+            def score(first: int, last: int) -> np.ndarray:
+                if not rows.shape[1] or not wanted.shape[1]:
+                    return np.full((len(rows), last - first), -np.inf)
+                scores = rows @ wanted[first:last].T
+                scores[~rows_ok, :] = -np.inf
+                scores[:, ~wanted_ok[first:last]] = -np.inf
+                if positive_only:
+                    scores[scores <= 0] = -np.inf
+                return scores
+
+            return score
+
+        return prepare
 
     return make
 
 
-def weighted_terms_scorer(queries: pa.Table) -> Scorer:
+def weighted_terms_scorer(queries: pa.Table) -> Prepare:
     """Sum of ``matches.weight`` over the terms an item shares with the query."""
-    import pyarrow.compute as pc
-
     asked, asked_n = _flat(queries["terms"])
     vocabulary = pc.unique(asked)
     wanted = pc.index_in(asked, vocabulary).to_numpy(zero_copy_only=False)
     terms_of = np.split(wanted, np.cumsum(asked_n)[:-1])
 
-    def score(items: pa.Table) -> np.ndarray:
+    def prepare(items: pa.Table) -> Score:
         matches, counts = _flat(items["matches"])
         item = np.repeat(np.arange(len(counts)), counts)
         term = pc.index_in(matches.field("term"), vocabulary).fill_null(-1)
         term = term.to_numpy(zero_copy_only=False)
         weight = matches.field("weight").to_numpy(zero_copy_only=False)
         by_term = np.argsort(term, kind="stable")
-        item, term, weight = item[by_term], term[by_term], weight[by_term]
-        first = np.searchsorted(term, np.arange(len(vocabulary)), side="left")
-        last = np.searchsorted(term, np.arange(len(vocabulary)), side="right")
-        scores = np.full((len(counts), len(terms_of)), -np.inf)
-        for number, terms in enumerate(terms_of):
-            spans = [np.arange(first[t], last[t]) for t in terms]
-            span = np.concatenate(spans) if spans else np.empty(0, int)
-            if len(span):
-                total = np.bincount(item[span], weight[span], minlength=len(counts))
-                scores[:, number] = np.where(total > 0, total, -np.inf)
-        return scores
-
-    return score
+        item, weight = item[by_term], weight[by_term]
+        edges = np.searchsorted(term[by_term], np.arange(len(vocabulary) + 1))
+
+        def score(first: int, last: int) -> np.ndarray:
+            scores = np.full((len(counts), last - first), -np.inf)
+            for number, terms in enumerate(terms_of[first:last]):
+                spans = [np.arange(edges[t], edges[t + 1]) for t in terms]
+                span = np.concatenate(spans) if spans else np.empty(0, int)
+                if len(span):
+                    total = np.bincount(item[span], weight[span], minlength=len(counts))
+                    scores[:, number] = np.where(total > 0, total, -np.inf)
+            return scores
+
+        return score
+
+    return prepare

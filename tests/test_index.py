@@ -69,13 +69,13 @@ def test_an_index_is_not_built_twice(spark):
 
 def test_sync_equals_a_fresh_build(spark):
     index = fresh(spark)
-    days = [DAY1, DAY2, DAY1, [], DAY2]
+    days = [DAY1, DAY2, [], DAY1]
     for version, day in enumerate(days):
         assert index.sync(frame(spark, day)) == version
         rows, postings, df, totals = state(index)
         other = fresh(spark).build(frame(spark, day))
         assert (rows, postings, df, totals) == state(other)
-    assert index.sync(frame(spark, DAY2)) == len(days) - 1
+    assert index.sync(frame(spark, DAY1)) == len(days) - 1
 
 
 def test_only_changed_rows_are_written(spark):
