@@ -82,3 +82,32 @@ def test_fingerprints_keep_field_borders_and_nulls_apart(spark):
     assert rows.select(fingerprint(rows, ["x", "y"])).distinct().count() == 6
     nested = spark.sql("SELECT array(1, 2) AS a, named_struct('b', 1) AS s")
     assert len(nested.select(fingerprint(nested, ["a", "s"])).first()[0]) == 32
+
+
+def test_a_hot_product_is_split_by_the_join(spark):
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20kb",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10kb",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1kb",
+    }
+    try:
+        for name, value in changed.items():
+            spark.conf.set(name, value)
+        products = spark.range(400).selectExpr(
+            "id AS product_id", "concat('n', id) AS product_name", "'a' AS primary_category",
+            "'b' AS secondary_category", "'c' AS tertiary_category", "'d' AS highlights",
+        )
+        reviews = spark.range(60_000).repartition(8).selectExpr(
+            "if(id % 3 = 0, 7, id % 400) AS product_id", "'5' AS rating", "1.0D AS is_recommended",
+            "sha2(cast(id AS string), 256) AS review_text", "1.0D AS price_usd",
+        )
+        joined = join_reviews(products, reviews)
+        assert len(joined.collect()) == 60_000
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for name in changed:
+            spark.conf.unset(name)
