@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from opinio.functions.text import hashed_vector, term_counts
 from opinio.operators.changes import HASH, change_set, check_key, with_row_hash
+from opinio.session import checked_broadcast
 
 # text column -> array<float> column, such as a pandas UDF around a model
 Embed = Callable[[Column], Column]
@@ -36,6 +37,7 @@ class Totals:
     version: int
     n_docs: int
     n_terms: int
+    n_changed: int
     dimension: int
     synced_at: datetime
 
@@ -100,7 +102,8 @@ class Snapshot:
     def _live(self, table: str) -> DataFrame:
         """Rows of the newest committed version of their key.
 
-        The join partner holds only keys that changed after the build.
+        The join partner holds only keys that changed after the build; their number
+        is on record and decides whether they are broadcast.
         """
         stored, key = self._committed(table), self.index.key
         if self.totals.version == 0:
@@ -112,6 +115,7 @@ class Snapshot:
             .agg(F.max("version").alias("_newest"))
         )
         current = F.coalesce("_newest", F.lit(0)) == F.col("version")
+        newest = checked_broadcast(newest, self.totals.n_changed)
         return stored.join(newest, key, "left").where(current).drop("_newest")
 
 
@@ -134,6 +138,7 @@ class TextIndex:
             F.max("version").alias("version"),
             F.sum("n_docs").alias("n_docs"),
             F.sum("n_terms").alias("n_terms"),
+            F.sum(F.when(F.col("version") > 0, F.col("n_written")).otherwise(0)).alias("n_changed"),
             F.max("dimension").alias("dimension"),
             F.max("synced_at").alias("synced_at"),
         ).first()
@@ -170,10 +175,12 @@ class TextIndex:
         known = before.rows().select(self.key, HASH)
         found = change_set(known, with_row_hash(source), self.key)
         changes = self._write(found, "changes", before.totals.version + 1)
-        if changes.isEmpty():
+        n_changes = changes.count()
+        if not n_changes:
             return before.totals.version
         gone = F.col("change") == "delete"
-        fresh = source.join(changes.where(~gone).select(self.key), self.key, "left_semi")
+        wanted = checked_broadcast(changes.where(~gone).select(self.key), n_changes)
+        fresh = source.join(wanted, self.key, "left_semi")
         return self.apply(fresh, changes.where(gone).select(self.key))
 
     def apply(
@@ -191,6 +198,7 @@ class TextIndex:
             fresh = fresh.unionByName(gone, allowMissingColumns=True)
         written = self._write(fresh, "rows", version)
         check_key(written, self.key)
+        n_written = written.count()
         present = written.where(~F.col("deleted"))
 
         ordered = index_postings(present, self.key)
@@ -201,7 +209,8 @@ class TextIndex:
         gained = postings.select("term", F.lit(1).alias("df"))
         counts = present.select(F.lit(1).alias("sign"), "n_terms")
         if before is not None:
-            replaced = before.rows().join(written.select(self.key), self.key, "left_semi")
+            keys = checked_broadcast(written.select(self.key), n_written)
+            replaced = before.rows().join(keys, self.key, "left_semi")
             lost = index_postings(replaced, self.key).select("term", F.lit(-1).alias("df"))
             gained = gained.unionByName(lost)
             counts = counts.unionByName(replaced.select(F.lit(-1).alias("sign"), "n_terms"))
@@ -212,6 +221,7 @@ class TextIndex:
         commit = counts.agg(
             F.coalesce(F.sum("sign"), F.lit(0)).alias("n_docs"),
             F.coalesce(F.sum(F.col("sign") * F.col("n_terms")), F.lit(0)).alias("n_terms"),
+            F.lit(n_written).cast("bigint").alias("n_written"),
             F.lit(width[0][0] if width else 0).alias("dimension"),
             F.lit(tag).cast("string").alias("tag"),
         ).withColumn("synced_at", F.current_timestamp())

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from opinio.functions.text import distinct_terms, term_counts
 from opinio.operators.index import Snapshot, TextIndex, with_vector
 from opinio.operators.topk import cosine_scorer, exact_topk, weighted_terms_scorer
+from opinio.session import checked_broadcast
 
 # BM25 and reciprocal rank fusion constants, digits ranked on.
 K1 = 1.2
@@ -24,7 +25,6 @@ BM25_DIGITS = 4
 DEFAULT_RESULTS = 5
 
 PUSHED_TERMS = 1000
-BROADCAST_HITS = 100_000
 BAND_VALUES = 50_000
 
 
@@ -147,10 +147,13 @@ def search_fulltext(
     vocabulary = vocabulary.where(F.col("term").isNotNull())
     few = [row[0] for row in vocabulary.limit(PUSHED_TERMS + 1).collect()]
 
+    pushed = len(few) <= PUSHED_TERMS
+    n_asked = len(few) if pushed else vocabulary.count()
+
     def matching(rows: DataFrame) -> DataFrame:
-        if len(few) <= PUSHED_TERMS:
+        if pushed:
             return rows.where(F.col("term").isin(few))
-        return rows.join(vocabulary, "term", "left_semi")
+        return rows.join(checked_broadcast(vocabulary, n_asked), "term", "left_semi")
 
     df = F.sum("df")
     rarity = F.log(1 + (totals.n_docs - df + 0.5) / (df + 0.5))
@@ -161,7 +164,7 @@ def search_fulltext(
     weight = F.col("idf") * tf * (K1 + 1) / (tf + norm)
     items = (
         matching(found.postings())
-        .join(rarities, "term")
+        .join(checked_broadcast(rarities, n_asked), "term")
         .select(F.col(found.index.key).alias("id"), F.struct("term", weight.alias("weight")).alias("m"))
         .groupBy("id")
         .agg(F.collect_list("m").alias("matches"))
@@ -215,8 +218,7 @@ def search(
     if not columns:
         return hits
     rows = found.rows().select(F.col(index.key).alias("id"), *columns)
-    if queries.count() * k <= BROADCAST_HITS:
-        hits = F.broadcast(hits)
+    hits = checked_broadcast(hits, queries.count() * k)
     return rows.join(hits, "id").select("query_id", "rank", "id", "score", *columns)
 
 

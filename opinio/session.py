@@ -5,7 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Rows of keys (a key and at most one number) that may be broadcast.
+BROADCAST_KEYS = 2_000_000
 
 _LOCAL_BASE: dict[str, str] = {}
 
@@ -56,3 +60,12 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def checked_broadcast(keys: DataFrame, n_rows: int, most: int = BROADCAST_KEYS) -> DataFrame:
+    """Broadcast a table of keys whose counted size allows it.
+
+    The optimizer guesses the size of such a side from the files behind it and
+    would often shuffle the large partner; beyond the bound the choice is its own.
+    """
+    return F.broadcast(keys) if n_rows <= most else keys
