@@ -29,18 +29,17 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
 def tokens(text: Column) -> Column:
     """Lower-cased runs of letters and digits, in text order."""
     parts = F.split(F.lower(F.coalesce(text, F.lit(""))), TOKEN_BREAK)
-    return F.filter(parts, lambda t: t != "")
+    return F.array_remove(parts, "")
 
 
 def value_counts(values: Column) -> Column:
-    """``array<struct<value, n>>``: distinct values of an array, ascending."""
+    """``array<struct<value, n>>``: distinct non-NULL values of an array, ascending."""
 
     def count_sorted(items: Column) -> Column:
-        size = F.size(items)
-        # index of the last element of each run of equal values
+        # index of the last element of each run; past the end is NULL, no value is
         run_ends = F.filter(
-            F.sequence(F.lit(0), size - 1, F.lit(1)),
-            lambda i: (i == size - 1) | (F.get(items, i) != F.get(items, i + 1)),
+            F.sequence(F.lit(0), F.size(items) - 1, F.lit(1)),
+            lambda i: ~F.get(items, i).eqNullSafe(F.get(items, i + 1)),
         )
         return bind(
             run_ends,
@@ -122,12 +121,11 @@ def hashed_vector(counted: Column, dimensions: int = DIMENSIONS) -> Column:
     )
 
     def unit(vector: Column) -> Column:
-        square = F.aggregate(vector, F.lit(0.0), lambda total, x: total + x * x)
+        norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda total, x: total + x * x))
+        # counts are whole: the norm of any text with tokens is at least 1
         return bind(
-            F.sqrt(square),
-            lambda norm: F.transform(
-                vector, lambda x: F.when(norm > 0, x / norm).otherwise(0.0).cast("float")
-            ),
+            F.greatest(norm, F.lit(1.0)),
+            lambda divisor: F.transform(vector, lambda x: (x / divisor).cast("float")),
         )
 
     return bind(counts, unit)

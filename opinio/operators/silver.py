@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from opinio.functions.rows import fingerprint
 from opinio.session import shuffle_partitions
 
+# The input columns that reach the silver table, in its order.
 PRODUCT_COLUMNS = [
     "product_id",
     "product_name",
@@ -17,6 +18,7 @@ PRODUCT_COLUMNS = [
     "highlights",
 ]
 REVIEW_COLUMNS = ["product_id", "rating", "is_recommended", "review_text", "price_usd"]
+
 COPIES_AT_ONCE = 1_000
 RANGES_PER_ROW = 100_000
 

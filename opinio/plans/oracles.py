@@ -169,6 +169,8 @@ SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS
        o_orderstatus, o_totalprice, o_orderpriority
 FROM orders""",
     "csv_multiline_scan": "SELECT doc_id, text, lang, source, n_chars FROM documents",
+    "loaded_files": """
+SELECT l_returnflag AS flag, count(*) AS n_rows FROM lineitem GROUP BY l_returnflag""",
     "table_overwrite": _with(PRODUCTS) + "SELECT * FROM products",
     "layered_gold": _with(GOLD)
     + """

@@ -73,6 +73,18 @@ def file_lineage(spark: SparkSession, folder: str) -> DataFrame:
     return landing.with_lineage(standins.table(spark, folder, "part"))
 
 
+def loaded_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items landed as one folder per return flag, counted by where they came from."""
+    path = new_path(spark, "items")
+    items = standins.table(spark, folder, "lineitem").select(
+        F.col("l_returnflag").alias("flag"), "l_orderkey", "l_quantity"
+    )
+    items.write.partitionBy("flag").csv(path, header=True)
+    bronze = landing.with_lineage(landing.scan_csv(spark, f"{path}/flag=*"))
+    origin = F.regexp_extract("file_path", "flag=([^/]+)/", 1)
+    return bronze.groupBy(origin.alias("flag")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def table_overwrite(spark: SparkSession, folder: str) -> DataFrame:
     name = f"opinio_{uuid.uuid4().hex}"
     path = new_path(spark, name)
@@ -317,6 +329,7 @@ QUERIES: dict[str, Query] = {
         csv_glob_scan,
         csv_multiline_scan,
         file_lineage,
+        loaded_files,
         table_overwrite,
         layered_gold,
         silver_join,

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from opinio.functions.rows import fingerprint
 from opinio.operators.silver import id_check, join_reviews, with_stable_id, with_surrogate_id
+from opinio.session import checked_broadcast
 
 PRODUCTS = (
     "product_id string, product_name string, primary_category string, secondary_category string,"
@@ -84,6 +85,13 @@ def test_fingerprints_keep_field_borders_and_nulls_apart(spark):
     assert len(nested.select(fingerprint(nested, ["a", "s"])).first()[0]) == 32
 
 
+def test_keys_are_broadcast_up_to_the_bound(spark):
+    big, keys = spark.range(100), spark.range(5)
+    for most, hinted in ((5, True), (4, False)):
+        plan = big.join(checked_broadcast(keys, 5, most), "id")._jdf.queryExecution().toString()
+        assert ("strategy=broadcast" in plan) is hinted
+
+
 def test_a_hot_product_is_split_by_the_join(spark):
     changed = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
