@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +10,6 @@ from pyspark.sql import functions as F
 # Rows of keys (a key and at most one number) that may be broadcast.
 BROADCAST_KEYS = 2_000_000
 
-_LOCAL_BASE: dict[str, str] = {}
-
 
 def build_session(app: str = "opinio", master: str | None = None, **conf: str) -> SparkSession:
     """A session with UTC timestamps, ANSI casts and adaptive execution.
@@ -39,18 +36,10 @@ def build_session(app: str = "opinio", master: str | None = None, **conf: str) -
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder; on a cluster such a
-    folder would exist on one machine and die with it.
+    Where that is unset, a folder in the warehouse, which a cluster shares as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_BASE:
-        _LOCAL_BASE[app] = tempfile.mkdtemp(prefix="opinio-")
-    return _LOCAL_BASE[app]
+    return (base or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch").rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
