@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinio.llm import chat, pii, urls
+from opinio.llm import chat, packing, pii, token_files, urls
 from opinio.llm.common import table
 
+VOCABULARY = "word_bpe_49k.json"
+
 # Fixed rules of op4.
 RULES = (
     urls.Rule("net", "/", "block"),
@@ -100,6 +103,34 @@ FROM ruled
 """
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 4096 ids, one row per piece."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    packed = packing.pack(docs, public_tokenizers.path(VOCABULARY))
+    return packed.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' ids written as token files and read back: place and checksum of each."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    read = token_files.token_file_round_trip(docs, public_tokenizers.path(VOCABULARY))
+    digests = read.select(
+        "doc_id",
+        "place",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+    return token_files.with_starts(digests).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: counts, a digest of the base spans, and all spans."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -120,6 +151,8 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_chat_format": op3_chat_format,
     "op4_url_filter": op4_url_filter,
+    "op5_packing": op5_packing,
+    "op7_token_files": op7_token_files,
     "op8_pii": op8_pii,
 }
 
