@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinio.llm import chat, packing, pii, token_files, urls
-from opinio.llm.common import table
+from opinio.llm import chat, language, packing, pii, quality, simhash, token_files, urls
+from opinio.llm.common import fold, table
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -22,6 +22,29 @@ RULES = (
 LISTED_LABEL = "spam-farm"
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from three of four folds of the ids."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(fold("doc_id", 4) == 2, F.lit(False))
+    languages = language.fit(docs.where(~held_out & F.col("doc_id").isNotNull()))
+    return language.predict(docs, languages).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "lang_rejected"
+    )
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, learned from four of five folds of the labelled ids."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0)
+    net = quality.fit(docs, labels)
+    return quality.scores(docs, net).select(
+        "doc_id",
+        F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -7, formatted, then read back from the output."""
     said = r"\### Assistant: </turn> ok"
@@ -118,6 +141,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints over 3-word shingles; components of those within 2 bits."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs, words=3, radius=2)
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' ids written as token files and read back: place and checksum of each."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -149,9 +178,12 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op2_quality": op2_quality,
     "op3_chat_format": op3_chat_format,
     "op4_url_filter": op4_url_filter,
     "op5_packing": op5_packing,
+    "op6_simhash": op6_simhash,
     "op7_token_files": op7_token_files,
     "op8_pii": op8_pii,
 }

@@ -1,0 +1,106 @@
+from __future__ import annotations
+
+import re
+
+import numpy as np
+import xxhash
+from pyspark.sql import functions as F
+
+from opinio.llm import simhash
+from opinio.llm.queries import op6_simhash
+
+
+def brute_print(text, words=3):
+    found = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not found:
+        return 0
+    runs = [" ".join(found[i : i + words]) for i in range(max(1, len(found) - words + 1))]
+    hashes = [xxhash.xxh64_intdigest(r.encode(), 42) for r in runs]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(ids, prints, radius):
+    parent = list(range(len(ids)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(ids)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= radius:
+                parent[root(i)] = root(j)
+    low = {}
+    for i, doc in enumerate(ids):
+        if doc is not None:
+            low[root(i)] = min(doc, low.get(root(i), doc))
+    return [low.get(root(i)) for i in range(len(ids))]
+
+
+def test_majority_equals_counting_bits():
+    rng = np.random.default_rng(1)
+    for n in (1, 2, 255, 256, 600):
+        hashes = rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2)
+        want = sum(1 << b for b in range(64) if 2 * sum(int(h) >> b & 1 for h in hashes) > n)
+        assert simhash.majority(hashes) == want
+
+
+def test_query_equals_brute_force(spark, data, documents):
+    docs = {r.doc_id: r.text for r in documents.collect()}
+    prints = {i: brute_print(t) for i, t in docs.items()}
+    ids = sorted(docs)
+    want = dict(zip(ids, brute_components(ids, [prints[i] for i in ids], 2)))
+    rows = op6_simhash(spark, data).collect()
+    assert {r.doc_id: r.component_id for r in rows} == want and len(rows) == len(ids)
+    assert all(r.fingerprint == f"{prints[r.doc_id]:016x}" for r in rows)
+
+
+def test_odd_rows(spark):
+    rows = [
+        (3, None, "x"), (1, "", None), (2, " \t\n", "x"), (None, "one two", "x"),
+        (7, "ONE  two", "x"), (7, "one\ttwo", None), (9, "É é É", None), (10, "long text " * 40_000, "x"),
+        (None, "alone here", None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, fingerprint string")
+    got = sorted(map(str, ((r.doc_id, r.fingerprint, r.component_id) for r in simhash.near_duplicates(docs).collect())))
+    prints = [brute_print(t) for _, t, _ in rows]
+    comps = brute_components([r[0] for r in rows], prints, 2)
+    assert got == sorted(map(str, ((r[0], f"{p:016x}", c) for r, p, c in zip(rows, prints, comps))))
+    assert simhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+def clustered(n_groups, size, seed=0):
+    rng = np.random.default_rng(seed)
+    prints = []
+    for _ in range(n_groups):
+        f = int(rng.integers(0, 2**63))
+        for _ in range(size):
+            f ^= 1 << int(rng.integers(0, 63))  # a chain of one-bit steps
+            prints.append(f)
+    return prints
+
+
+def test_links_connect_what_all_pairs_connect(spark, monkeypatch):
+    # tiny tiles and blocks: every path of the tiling is taken
+    monkeypatch.setattr(simhash, "PER_BLOCK", 16)
+    prints = sorted(set(clustered(12, 25)))
+    items = spark.createDataFrame([(p,) for p in prints], "f0 bigint").select(
+        F.explode(simhash.blocks_of(F.col("f0"), 2, len(prints))).alias("key"),
+        F.col("f0").alias("id"),
+        F.bit_count("f0").alias("rank"),
+        "f0",
+    )
+    links = simhash.near_links(items, 2, gap=2, tile=7)
+    roots = {r.id: r.root for r in simhash.components(links).collect()}
+    want = brute_components(prints, prints, 2)
+    got = [roots.get(p, p) for p in prints]
+    assert got == want
+
+
+def test_components_of_a_path_and_a_star(spark):
+    edges = [(i, i + 1) for i in range(200)] + [(1000, i) for i in range(1001, 1400)] + [(5000, 5000)]
+    links = spark.createDataFrame(edges, "a bigint, b bigint")
+    roots = {r.id: r.root for r in simhash.components(links).collect()}
+    assert {roots[i] for i in range(201)} == {0} and {roots[i] for i in range(1000, 1400)} == {1000}
+    assert 5000 not in roots and simhash.components(links.limit(0)).count() == 0
