@@ -8,20 +8,20 @@ a text costs one lookup per word, and the tokenizer sees each new word once.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 END_ID = 2
-# Words and pieces kept by a worker, about 100 MB; beyond, it begins anew. Results do not
-# depend on it.
-WORDS_KEPT = 400_000
+# Words kept by a worker, about 200 MB; beyond, it begins anew. Results do not depend on it.
+WORDS_KEPT = 1_000_000
 # Bytes of text whose ids are made at once.
-BYTES_AT_ONCE = 2 << 20
+BYTES_AT_ONCE = 4 << 20
 PIECES_A_LINE = 200
 
 # Fixed pattern: how the tokenizer cuts a lower-case word. It is used on words of printable
@@ -31,6 +31,40 @@ PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z{LATIN}]+|[0-9]|[^\sa-z0-9{LA
 PLAIN = re.compile(rf"[\x21-\x7e{LATIN}]+")
 
 
+# A-Z in lower case, ASCII white space as blanks.
+FOLD = np.arange(256, dtype=np.uint8)
+FOLD[65:91] += 32
+FOLD[9:14] = 32
+
+
+def unfoldable(text: bytes) -> bool:
+    """True if lower case could change ids: a combining mark may join a letter, or the text
+    may name a special token."""
+    return b"\xcc" in text or b"\xcd" in text or b"<|" in text
+
+
+def codes_of(texts: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts together, and where each begins and the last ends."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset :][: len(texts) + 1]
+    codes = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    return codes, offsets - offsets[0]
+
+
+def folded(texts: pa.BinaryArray) -> pa.BinaryArray:
+    """Texts in lower case, with stops and commas that end a word set apart, which changes no id."""
+    codes, offsets = codes_of(texts)
+    codes = FOLD[codes]
+    stops = np.flatnonzero((codes == 46) | (codes == 44))
+    stops = stops[(stops > 0) & (stops < len(codes) - 1)]
+    before, after = codes[stops - 1], codes[stops + 1]
+    stops = stops[(before >= 97) & (before <= 122) & (after == 32)]
+    apart = np.insert(codes, stops, 32)
+    offsets = (offsets + np.searchsorted(stops, offsets)).astype(np.int32)
+    return pa.Array.from_buffers(
+        pa.binary(), len(texts), [None, pa.py_buffer(offsets), pa.py_buffer(apart)]
+    )
+
+
 class WordIds:
     """Ids of words as little-endian unsigned 32-bit bytes."""
 
@@ -51,54 +85,91 @@ class WordIds:
         for token, number in vocabulary.items():
             self.closes[number] = token.endswith("</w>")
         self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
 
-    def texts(self, texts: list[bytes]) -> list[bytes]:
-        split = [text.split() for text in texts]
+    def texts(self, texts: pa.BinaryArray) -> list[bytes]:
+        """Ids of each text, none of which is NULL."""
         if len(self.words) > WORDS_KEPT:
             self.words.clear()
-        if len(self.pieces) > WORDS_KEPT:
-            self.pieces.clear()
-        self._learn(set().union(*split) - self.words.keys())
-        known = self.words.__getitem__
-        return [b"".join(map(known, words)) for words in split]
+        odd = []
+        if unfoldable(codes_of(texts)[0].tobytes()):
+            odd = [i for i, text in enumerate(texts) if unfoldable(text.as_py())]
+        if not odd:
+            return self._split(pc.split_pattern(folded(texts), b" "))
+        found: list[bytes] = [b""] * len(texts)
+        plain = sorted(set(range(len(texts))) - set(odd))
+        lists = [
+            (odd, pa.array([texts[i].as_py().split() for i in odd], pa.list_(pa.binary()))),
+            (plain, pc.split_pattern(folded(texts.take(pa.array(plain, pa.int64()))), b" ")),
+        ]
+        for rows, words in lists:
+            for i, ids in zip(rows, self._split(words)):
+                found[i] = ids
+        return found
+
+    def _split(self, words: pa.ListArray) -> list[bytes]:
+        """Ids of texts given as lists of words: looked up once for each distinct word."""
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        self._learn(set(distinct) - self.words.keys())
+        known = [self.words[word] for word in distinct]
+        flat = np.frombuffer(b"".join(known), "<u4")
+        lengths = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        starts = np.cumsum(lengths) - lengths
+        at = coded.indices.to_numpy()
+        each = lengths[at]
+        ends = np.cumsum(each)
+        shift = np.repeat(starts[at] - (ends - each), each)
+        ids = memoryview(flat[shift + np.arange(len(shift))].tobytes())
+        stops = np.concatenate([[0], ends])[words.offsets.to_numpy() - words.offsets[0].as_py()] * 4
+        return [bytes(ids[a:b]) for a, b in zip(stops.tolist(), stops[1:].tolist())]
 
     def _learn(self, words: set[bytes]) -> None:
-        plain, other = [], []
+        single, mixed, other = [], [], []
         for word in words:
+            if word.isalpha():
+                single.append(word)
+                continue
             spelled = word.decode()
             # the names of special tokens hold "<|" and are left to the whole tokenizer
             if PLAIN.fullmatch(spelled) and "<|" not in spelled:
-                plain.append((word, PIECES.findall(spelled.lower())))
+                pieces = [piece.encode() for piece in PIECES.findall(spelled.lower())]
+                if pieces == [word]:
+                    single.append(word)
+                else:
+                    mixed.append((word, pieces))
             else:
-                other.append((word, spelled))
-        self._learn_pieces(list({p for _, pieces in plain for p in pieces} - self.pieces.keys()))
-        known = self.pieces.__getitem__
-        for word, pieces in plain:
+                other.append(word)
+        # a word in capitals is known by its pieces, which are in lower case
+        mixed += [(word, [word.lower()]) for word in single if word != word.lower()]
+        todo = {word for word in single if word == word.lower()}
+        todo |= {piece for _, pieces in mixed for piece in pieces} - self.words.keys()
+        self._learn_pieces(list(todo))
+        known = self.words.__getitem__
+        for word, pieces in mixed:
             self.words[word] = b"".join(map(known, pieces))
         for start in range(0, len(other), 1000):
             some = other[start : start + 1000]
             encoded = self.whole.encode_batch_fast(
-                [spelled for _, spelled in some], add_special_tokens=False
+                [word.decode() for word in some], add_special_tokens=False
             )
-            for (word, _), found in zip(some, encoded):
+            for word, found in zip(some, encoded):
                 self.words[word] = np.array(found.ids, "<u4").tobytes()
 
-    def _learn_pieces(self, todo: list[str]) -> None:
+    def _learn_pieces(self, todo: list[bytes]) -> None:
         lines = [todo[i : i + PIECES_A_LINE] for i in range(0, len(todo), PIECES_A_LINE)]
-        for start in range(0, len(lines), 50):
-            some = lines[start : start + 50]
+        for start in range(0, len(lines), 20):
+            some = lines[start : start + 20]
             encoded = self.by_line.encode_batch_fast(
-                [" ".join(line) for line in some], add_special_tokens=False
+                [b" ".join(line).decode() for line in some], add_special_tokens=False
             )
             for line, found in zip(some, encoded):
                 ids = np.array(found.ids, "<u4")
-                ends = np.flatnonzero(self.closes[ids]) + 1
+                ends = (np.flatnonzero(self.closes[ids]) + 1) * 4
                 if len(ends) != len(line):
                     raise ValueError("the vocabulary does not close every word with </w>")
-                begin = 0
+                raw, begin = ids.tobytes(), 0
                 for piece, end in zip(line, ends.tolist()):
-                    self.pieces[piece] = ids[begin:end].tobytes()
+                    self.words[piece] = raw[begin:end]
                     begin = end
 
 
@@ -108,17 +179,15 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-def in_pieces(texts: Iterable[bytes], most: int = BYTES_AT_ONCE) -> Iterator[list[bytes]]:
-    """Runs of texts of about ``most`` bytes together; a longer text is a run of its own."""
-    run, size = [], 0
-    for text in texts:
-        if run and size + len(text) > most:
-            yield run
-            run, size = [], 0
-        run.append(text)
-        size += len(text)
-    if run:
-        yield run
+def runs(texts: pa.BinaryArray, most: int = BYTES_AT_ONCE) -> Iterator[pa.BinaryArray]:
+    """Slices of about ``most`` bytes; a longer text is a slice of its own."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        base = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, base + most, side="right")))
+        yield texts.slice(start, stop - start)
+        start = stop
 
 
 def token_ids(
@@ -137,8 +206,7 @@ def token_ids(
         words = word_ids(vocabulary)
         for batch in batches:
             at = 0
-            texts = (t.as_buffer().to_pybytes() if t.is_valid else b"" for t in batch.column(1))
-            for run in in_pieces(texts):
+            for run in runs(batch.column(1).cast(pa.binary()).fill_null(b"")):
                 ids = [found + end for found in words.texts(run)]
                 yield pa.record_batch(
                     [batch.column(0).slice(at, len(run)), pa.array(ids, pa.binary())],

@@ -3,6 +3,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -40,9 +41,9 @@ def test_words_give_the_ids_of_the_whole_text(whole, documents, monkeypatch):
     monkeypatch.setattr(tk, "WORDS_KEPT", 500)
     texts = ODD + [r.text for r in documents.collect()]
     words = tk.WordIds(PATH)
-    for run in tk.in_pieces([t.encode() for t in texts], 20_000):
+    for run in tk.runs(pa.array([t.encode() for t in texts], pa.binary()), 20_000):
         for text, ids in zip(run, words.texts(run)):
-            assert np.frombuffer(ids, "<u4").tolist() == expected(whole, text.decode())[:-1]
+            assert np.frombuffer(ids, "<u4").tolist() == expected(whole, text.as_py().decode())[:-1]
 
 
 def best_total(counts, max_bits):
