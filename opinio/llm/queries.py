@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinio.llm import chat, language, packing, pii, quality, simhash, token_files, urls
+from opinio.llm import (
+    chat,
+    decontaminate,
+    language,
+    packing,
+    pii,
+    quality,
+    simhash,
+    threshold,
+    token_files,
+    urls,
+)
 from opinio.llm.common import fold, table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -177,6 +188,33 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with a benchmark passage, the item, and where in the text it stands."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.find_passages(docs, table(spark, sf_dir, "benchmark"))
+
+
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best other vectors of every vector whose id is divisible by 100."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return threshold.top_k(vectors, F.col("vec_id") % 100 == 0, k=10)
+
+
+OP10_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM scored
+)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM ranked WHERE n <= 10
+"""
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_quality": op2_quality,
@@ -186,9 +224,12 @@ QUERIES = {
     "op6_simhash": op6_simhash,
     "op7_token_files": op7_token_files,
     "op8_pii": op8_pii,
+    "op9_decontaminate": op9_decontaminate,
+    "op10_top_k": op10_top_k,
 }
 
 ORACLES = {
     "op3_chat_format": OP3_SQL,
     "op4_url_filter": OP4_SQL,
+    "op10_top_k": OP10_SQL,
 }
