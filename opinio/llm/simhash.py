@@ -118,16 +118,17 @@ class Forest:
         return i != j
 
 
-# rows of the group, first and second row of a close pair -> linked
-Verify = Callable[[pa.Table, int, int], bool]
+# rows of a tile pair -> a test of two of its rows by number
+Verify = Callable[[pa.Table], Callable[[int, int], bool]]
 
 
-def forest_of(group: pa.Table, radius: int, lanes: int, verify: Verify | None) -> list[tuple[int, int]]:
+def forest_of(group: pa.Table, radius: int, gap: int, lanes: int, verify: Verify | None) -> list[tuple[int, int]]:
     """Links (of row numbers) that connect all rows of a tile pair whose pairs are linked.
 
     A pair is compared if its sides are 0 and 1, or if both are 0 in a tile by itself.
     """
     words = [group[f"f{i}"].to_numpy().view(np.uint64) for i in range(lanes)]
+    rank = group["rank"].to_numpy()
     side = group["side"].to_numpy()
     left = np.flatnonzero(side == 0)
     right = np.flatnonzero(side == 1)
@@ -135,16 +136,18 @@ def forest_of(group: pa.Table, radius: int, lanes: int, verify: Verify | None) -
     if alone:
         right = left
     forest, links = Forest(len(side)), []
+    test = verify(group) if verify else None
     for start in range(0, len(left), ROWS_AT_ONCE):
         rows = left[start : start + ROWS_AT_ONCE]
         others = right[start:] if alone else right
         far = sum(
             np.bitwise_count(w[rows][:, None] ^ w[others][None, :]).astype(np.uint16) for w in words
         )
-        near_row, near_other = np.nonzero(far <= radius)
+        near = (far <= radius) & (np.abs(rank[rows][:, None] - rank[others][None, :]) <= gap)
+        near_row, near_other = np.nonzero(near)
         for i, j in zip(rows[near_row].tolist(), others[near_other].tolist()):
             if (not alone or i < j) and forest.root(i) != forest.root(j):
-                if verify is None or verify(group, i, j):
+                if test is None or test(i, j):
                     forest.join(i, j)
                     links.append((i, j))
     return links
@@ -235,18 +238,11 @@ def near_links(
     def links_of(rows: pa.Table, starts: list[int]) -> pa.RecordBatch:
         rows = rows.combine_chunks()
         ids = rows["id"].to_numpy()
-        ranks = rows["rank"].to_numpy()
         first, second = [], []
         for start, stop in zip(starts, starts[1:]):
             if stop - start > 1:
                 group = rows.slice(start, stop - start)
-
-                def linked(table: pa.Table, i: int, j: int, at: int = start) -> bool:
-                    if abs(int(ranks[at + i]) - int(ranks[at + j])) > gap:
-                        return False
-                    return verify is None or verify(table, i, j)
-
-                for i, j in forest_of(group, radius, lanes, linked):
+                for i, j in forest_of(group, radius, gap, lanes, verify):
                     first.append(ids[start + i])
                     second.append(ids[start + j])
         return pa.record_batch(
