@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from opinio.llm.common import stored
 from opinio.llm.huffman import BLOCK, STRIDE, Decoder, Encoder, code_lengths
@@ -24,6 +25,10 @@ from opinio.session import new_path, shuffle_partitions
 IDS_AT_ONCE = 1 << 20
 
 
+# Ids between tokenizer and encoder; a vocabulary beyond it is refused.
+NARROW, MOST_IDS = "<u2", 1 << 16
+
+
 def id_counts(tokens: DataFrame) -> DataFrame:
     """``(id, n)`` over all rows of ``ids``; one row per id and task is shuffled."""
 
@@ -31,7 +36,7 @@ def id_counts(tokens: DataFrame) -> DataFrame:
         total = np.zeros(0, np.int64)
         for batch in batches:
             for value in batch.column("ids"):
-                found = np.bincount(np.frombuffer(value.as_buffer(), "<u4"))
+                found = np.bincount(np.frombuffer(value.as_buffer(), NARROW))
                 if len(found) > len(total):
                     total, found = found.astype(np.int64), total
                 total[: len(found)] += found
@@ -62,7 +67,7 @@ def _encoder(lengths: bytes) -> Encoder:
 
 def _encoded(tokens: DataFrame, doc: str, lengths: bytes) -> DataFrame:
     schema = (
-        f"`{doc}` {tokens.schema[doc].dataType.simpleString()}, row bigint, n_tokens bigint, "
+        f"`{doc}` {tokens.schema[doc].dataType.simpleString()}, n_tokens bigint, "
         "blocks array<int>, checkpoints binary, payload binary"
     )
 
@@ -71,7 +76,7 @@ def _encoded(tokens: DataFrame, doc: str, lengths: bytes) -> DataFrame:
         for batch in batches:
             sizes, blocks, checkpoints, payloads = [], [], [], []
             for value in batch.column("ids"):
-                ids = np.frombuffer(value.as_buffer(), "<u4")
+                ids = np.frombuffer(value.as_buffer(), NARROW)
                 parts = [encoder.block(ids[i : i + BLOCK]) for i in range(0, len(ids), BLOCK)]
                 sizes.append(len(ids))
                 blocks.append([len(payload) for payload, _ in parts])
@@ -80,13 +85,12 @@ def _encoded(tokens: DataFrame, doc: str, lengths: bytes) -> DataFrame:
             yield pa.record_batch(
                 [
                     batch.column(doc),
-                    batch.column("row"),
                     pa.array(sizes, pa.int64()),
                     pa.array(blocks, pa.list_(pa.int32())),
                     pa.array(checkpoints, pa.binary()),
                     pa.array(payloads, pa.binary()),
                 ],
-                names=[doc, "row", "n_tokens", "blocks", "checkpoints", "payload"],
+                names=[doc, "n_tokens", "blocks", "checkpoints", "payload"],
             )
 
     return tokens.mapInArrow(encode, schema)
@@ -101,18 +105,22 @@ def write_token_files(
     other. Columns other than the two are not written.
     """
     spark = docs.sparkSession
-    tokens = stored(token_ids(docs, vocabulary, doc, text), "tokens")
+    if Tokenizer.from_file(vocabulary).get_vocab_size() > MOST_IDS:
+        raise ValueError(f"more than {MOST_IDS} ids")
+    tokens = stored(token_ids(docs, vocabulary, doc, text, NARROW), "tokens")
     lengths = _lengths(id_counts(tokens)).tobytes()
     spark.createDataFrame([(bytearray(lengths),)], "lengths binary").coalesce(1).write.parquet(
         f"{path}/codes"
     )
     # the row number tells equal ids apart, so that many tasks may share them
-    numbered = tokens.withColumn("row", F.monotonically_increasing_id())
-    (
-        _encoded(numbered, doc, lengths)
+    ordered = (
+        tokens.withColumn("row", F.monotonically_increasing_id())
         .repartitionByRange(shuffle_partitions(spark), doc, "row")
         .sortWithinPartitions(doc, "row")
         .drop("row")
+    )
+    (
+        _encoded(ordered, doc, lengths)
         .withColumn("place", F.monotonically_increasing_id())
         .write.option("compression", "uncompressed")
         .parquet(f"{path}/documents")

@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 END_ID = 2
-# Words kept by a worker, about 200 MB; beyond, it begins anew. Results do not depend on it.
-WORDS_KEPT = 1_000_000
+# Words kept by a worker, about 120 MB; beyond, it begins anew. Results do not depend on it.
+WORDS_KEPT = 600_000
 # Bytes of text whose ids are made at once.
 BYTES_AT_ONCE = 4 << 20
 PIECES_A_LINE = 200
@@ -50,16 +50,33 @@ def codes_of(texts: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
     return codes, offsets - offsets[0]
 
 
+# ASCII signs other than the apostrophe, which may begin a contraction.
+SIGN = np.zeros(256, bool)
+SIGN[[c for c in range(33, 127) if not chr(c).isalnum() and c != 39]] = True
+SMALL = np.zeros(256, bool)
+SMALL[97:123] = True
+# Two-byte letters: U+00C0 to U+017F but for the signs U+00D7 and U+00F7.
+LEAD = np.zeros(256, bool)
+LEAD[[0xC3, 0xC4, 0xC5]] = True
+
+
 def folded(texts: pa.BinaryArray) -> pa.BinaryArray:
-    """Texts in lower case, with stops and commas that end a word set apart, which changes no id."""
+    """Texts in lower case, with signs that follow a letter set apart, which changes no id.
+
+    A sign after a letter begins a piece in any case; set apart, the word before is met
+    again wherever it stands.
+    """
     codes, offsets = codes_of(texts)
     codes = FOLD[codes]
-    stops = np.flatnonzero((codes == 46) | (codes == 44))
-    stops = stops[(stops > 0) & (stops < len(codes) - 1)]
-    before, after = codes[stops - 1], codes[stops + 1]
-    stops = stops[(before >= 97) & (before <= 122) & (after == 32)]
-    apart = np.insert(codes, stops, 32)
-    offsets = (offsets + np.searchsorted(stops, offsets)).astype(np.int32)
+    signs = np.flatnonzero(SIGN[codes])
+    signs = signs[signs > 1]
+    last, before = codes[signs - 1], codes[signs - 2]
+    letter = SMALL[last] | (
+        LEAD[before] & (last >= 128) & ~((before == 0xC3) & ((last == 0x97) | (last == 0xB7)))
+    )
+    signs = signs[letter]
+    apart = np.insert(codes, signs, 32)
+    offsets = (offsets + np.searchsorted(signs, offsets)).astype(np.int32)
     return pa.Array.from_buffers(
         pa.binary(), len(texts), [None, pa.py_buffer(offsets), pa.py_buffer(apart)]
     )
@@ -86,15 +103,15 @@ class WordIds:
             self.closes[number] = token.endswith("</w>")
         self.words: dict[bytes, bytes] = {}
 
-    def texts(self, texts: pa.BinaryArray) -> list[bytes]:
-        """Ids of each text, none of which is NULL."""
+    def texts(self, texts: pa.BinaryArray, kind: str = "<u4") -> list[bytes]:
+        """Ids of each text, none of which is NULL, and the end id."""
         if len(self.words) > WORDS_KEPT:
             self.words.clear()
         odd = []
         if unfoldable(codes_of(texts)[0].tobytes()):
             odd = [i for i, text in enumerate(texts) if unfoldable(text.as_py())]
         if not odd:
-            return self._split(pc.split_pattern(folded(texts), b" "))
+            return self._split(pc.split_pattern(folded(texts), b" "), kind)
         found: list[bytes] = [b""] * len(texts)
         plain = sorted(set(range(len(texts))) - set(odd))
         lists = [
@@ -102,26 +119,30 @@ class WordIds:
             (plain, pc.split_pattern(folded(texts.take(pa.array(plain, pa.int64()))), b" ")),
         ]
         for rows, words in lists:
-            for i, ids in zip(rows, self._split(words)):
+            for i, ids in zip(rows, self._split(words, kind)):
                 found[i] = ids
         return found
 
-    def _split(self, words: pa.ListArray) -> list[bytes]:
+    def _split(self, words: pa.ListArray, kind: str) -> list[bytes]:
         """Ids of texts given as lists of words: looked up once for each distinct word."""
         coded = words.flatten().dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         self._learn(set(distinct) - self.words.keys())
         known = [self.words[word] for word in distinct]
-        flat = np.frombuffer(b"".join(known), "<u4")
-        lengths = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        flat = np.frombuffer(b"".join(known), "<u4").astype(kind)
+        lengths = np.fromiter(map(len, known), np.int32, len(known)) // 4
         starts = np.cumsum(lengths) - lengths
         at = coded.indices.to_numpy()
         each = lengths[at]
         ends = np.cumsum(each)
-        shift = np.repeat(starts[at] - (ends - each), each)
-        ids = memoryview(flat[shift + np.arange(len(shift))].tobytes())
-        stops = np.concatenate([[0], ends])[words.offsets.to_numpy() - words.offsets[0].as_py()] * 4
-        return [bytes(ids[a:b]) for a, b in zip(stops.tolist(), stops[1:].tolist())]
+        shift = np.repeat((starts[at] - (ends - each)).astype(np.int32), each)
+        shift += np.arange(len(shift), dtype=np.int32)
+        width = flat.dtype.itemsize
+        ids = memoryview(flat[shift].tobytes())
+        stops = np.concatenate([[0], ends])[words.offsets.to_numpy() - words.offsets[0].as_py()]
+        stops = (stops * width).tolist()
+        end = np.array([END_ID], kind).tobytes()
+        return [b"".join((ids[a:b], end)) for a, b in zip(stops, stops[1:])]
 
     def _learn(self, words: set[bytes]) -> None:
         single, mixed, other = [], [], []
@@ -191,14 +212,14 @@ def runs(texts: pa.BinaryArray, most: int = BYTES_AT_ONCE) -> Iterator[pa.Binary
 
 
 def token_ids(
-    docs: DataFrame, vocabulary: str, doc: str = "doc_id", text: str = "text"
+    docs: DataFrame, vocabulary: str, doc: str = "doc_id", text: str = "text", kind: str = "<u4"
 ) -> DataFrame:
-    """``(doc, ids)``: the ids of each whole text and the end id, as unsigned 32-bit bytes.
+    """``(doc, ids)``: the ids of each whole text and the end id, as little-endian bytes.
 
-    A NULL text counts as empty and has the end id alone; repeated rows stay.
-    ``vocabulary`` is the tokenizer's file on each machine.
+    ``kind`` is the unsigned type of an id, wide enough for the vocabulary. A NULL text
+    counts as empty and has the end id alone; repeated rows stay. ``vocabulary`` is the
+    tokenizer's file on each machine.
     """
-    end = np.array([END_ID], "<u4").tobytes()
     source = docs.select(doc, text)
     schema = f"`{doc}` {source.schema[doc].dataType.simpleString()}, ids binary"
 
@@ -207,11 +228,12 @@ def token_ids(
         for batch in batches:
             at = 0
             for run in runs(batch.column(1).cast(pa.binary()).fill_null(b"")):
-                ids = [found + end for found in words.texts(run)]
+                ids = words.texts(run, kind)
                 yield pa.record_batch(
                     [batch.column(0).slice(at, len(run)), pa.array(ids, pa.binary())],
                     names=[doc, "ids"],
                 )
                 at += len(run)
+            pa.system_memory_pool().release_unused()  # back to the machine, for the other workers
 
     return source.mapInArrow(encode, schema)
