@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
+from pyspark.sql.types import ArrayType, MapType, StructType, TimestampType
 
 
 def _printable(rows: DataFrame, name: str) -> Column:
@@ -12,6 +12,8 @@ def _printable(rows: DataFrame, name: str) -> Column:
     column = F.col(f"`{name}`")
     if isinstance(kind, (ArrayType, MapType, StructType)):
         return F.to_json(column)
+    if isinstance(kind, TimestampType):  # the same in every session time zone
+        return F.unix_micros(column).cast("string")
     return column.cast("string")
 
 

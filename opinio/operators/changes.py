@@ -14,9 +14,10 @@ class InvalidKey(ValueError):
     """A table that must have a unique, non-NULL key does not."""
 
 
-def with_row_hash(rows: DataFrame) -> DataFrame:
-    """Fingerprint of all columns in 16 bytes, independent of their order."""
-    return rows.withColumn(HASH, F.unhex(fingerprint(rows, sorted(rows.columns))))
+def with_row_hash(rows: DataFrame, but: str | None = None) -> DataFrame:
+    """Fingerprint of all columns (``but`` one) in 16 bytes, independent of their order."""
+    columns = sorted(c for c in rows.columns if c != but)
+    return rows.withColumn(HASH, F.unhex(fingerprint(rows, columns)))
 
 
 def change_set(old: DataFrame, new: DataFrame, key: str) -> DataFrame:

@@ -2,20 +2,25 @@
 
 Layout under one path, each table partitioned by ``version``:
 
-``rows``      source columns, row_hash, terms, n_terms, embedding, deleted
+``rows``      source columns, row_hash, terms, n_terms, embedding, deleted, change_seq
 ``postings``  term, id, tf, n_terms, sorted by (term, id)
 ``terms``     term, df: number of texts gained or lost with the term
 ``changes``   id, change: what a snapshot sync found
-``commits``   one row per finished version: totals gained or lost, tag, time
+``commits``   one row per finished version: totals gained or lost, tag, time, the
+              attempt that wrote it and the schema of the rows so far
 
 A sync appends a version holding only what changed, and a reader takes the newest
-version of each key up to the last commit. Nothing that can be read is ever
-overwritten: a version that failed half way has no commit, is not read, and is
-written again by the next attempt.
+version of each key up to the last commit. Nothing is ever overwritten: an attempt
+writes below a name of its own, and becomes readable with the commit that names it. A
+commit that exists is refused, so of two writers of one version the second fails;
+have one writer at a time. Source columns may be added; one that changes its type is
+refused.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
@@ -23,11 +28,15 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from opinio.functions.text import hashed_vector, term_counts
 from opinio.operators.changes import HASH, change_set, check_key, with_row_hash
 from opinio.session import checked_broadcast
 
+# The number of a change, kept with rows and deletions that came with one.
+SEQUENCE = "change_seq"
+
 # text column -> array<float> column, such as a pandas UDF around a model
 Embed = Callable[[Column], Column]
 
@@ -40,6 +49,8 @@ class Totals:
     n_changed: int
     dimension: int
     synced_at: datetime
+    attempts: tuple[str, ...] = ()
+    schema: str = ""
 
     @property
     def mean_terms(self) -> float:
@@ -54,7 +65,7 @@ def with_vector(counted: DataFrame, text: str, embed: Embed | None) -> DataFrame
 
 def index_rows(source: DataFrame, text: str, embed: Embed | None = None) -> DataFrame:
     """Source rows with everything the index derives from a text; no shuffle."""
-    counted = with_row_hash(source).withColumn("terms", term_counts(F.col(text)))
+    counted = with_row_hash(source, but=SEQUENCE).withColumn("terms", term_counts(F.col(text)))
     length = F.aggregate("terms", F.lit(0), lambda total, x: total + x["tf"])
     return with_vector(counted.withColumn("n_terms", length), text, embed)
 
@@ -74,10 +85,11 @@ class Snapshot:
 
     def rows(self) -> DataFrame:
         """Live rows with their terms and vectors."""
-        return self._live("rows").where(~F.col("deleted")).drop("deleted", "version")
+        live = self._live("rows").where(~F.col("deleted"))
+        return live.drop("deleted", "version", "attempt", SEQUENCE)
 
     def postings(self) -> DataFrame:
-        return self._live("postings").drop("version")
+        return self._live("postings").drop("version", "attempt")
 
     def term_stats(self) -> DataFrame:
         """``(term, df)`` rows that add up to the document count of each term."""
@@ -97,7 +109,17 @@ class Snapshot:
         )
 
     def _committed(self, table: str) -> DataFrame:
-        return self.index.stored(table).where(F.col("version") <= self.totals.version)
+        """What the commits up to this one name; other attempts are pruned as folders."""
+        schema = StructType.fromJson(json.loads(self.totals.schema)) if table == "rows" else None
+        return self.index.stored(table, schema).where(
+            (F.col("version") <= self.totals.version)
+            & F.col("attempt").isin(list(self.totals.attempts))
+        )
+
+    def newest_sequence(self) -> DataFrame:
+        """``(key, newest)``: the highest change number ever applied to a key, deleted or not."""
+        numbered = self._committed("rows").where(F.col(SEQUENCE).isNotNull())
+        return numbered.groupBy(self.index.key).agg(F.max(SEQUENCE).alias("newest"))
 
     def _live(self, table: str) -> DataFrame:
         """Rows of the newest committed version of their key.
@@ -141,8 +163,13 @@ class TextIndex:
             F.sum(F.when(F.col("version") > 0, F.col("n_written")).otherwise(0)).alias("n_changed"),
             F.max("dimension").alias("dimension"),
             F.max("synced_at").alias("synced_at"),
+            F.collect_list("attempt").alias("attempts"),
+            F.max_by("schema", "version").alias("schema"),
         ).first()
-        return None if found["version"] is None else Snapshot(self, Totals(**found.asDict()))
+        if found["version"] is None:
+            return None
+        totals = found.asDict() | {"attempts": tuple(found["attempts"])}
+        return Snapshot(self, Totals(**totals))
 
     def current(self) -> Snapshot:
         found = self.snapshot()
@@ -150,10 +177,14 @@ class TextIndex:
             raise ValueError(f"no index at {self.path}")
         return found
 
-    def stored(self, table: str) -> DataFrame | None:
+    def stored(self, table: str, schema: StructType | None = None) -> DataFrame | None:
         """All versions of a table, committed or not; None if nothing was written."""
         try:
-            return self.spark.read.parquet(f"{self.path}/{table}")
+            reader = self.spark.read
+            if schema is not None:
+                folders = [StructField("version", IntegerType()), StructField("attempt", StringType())]
+                reader = reader.schema(StructType([*schema.fields, *folders]))
+            return reader.parquet(f"{self.path}/{table}")
         except AnalysisException as problem:
             if problem.getCondition() == "PATH_NOT_FOUND":
                 return None
@@ -173,8 +204,11 @@ class TextIndex:
         if before is None:
             return self.apply(source)
         known = before.rows().select(self.key, HASH)
-        found = change_set(known, with_row_hash(source), self.key)
-        changes = self._write(found, "changes", before.totals.version + 1)
+        hashed = with_row_hash(source)
+        # before anything is written: a NULL key would pass the diff and never be stored
+        check_key(hashed, self.key)
+        found = change_set(known, hashed, self.key)
+        changes = self._write(found, "changes", before.totals.version + 1, uuid.uuid4().hex)
         n_changes = changes.count()
         if not n_changes:
             return before.totals.version
@@ -186,17 +220,25 @@ class TextIndex:
     def apply(
         self, upserts: DataFrame, deletes: DataFrame | None = None, tag: str | None = None
     ) -> int:
-        """Append one version. A ``tag`` that is already committed is not applied again."""
+        """Append one version. A ``tag`` that is already committed is not applied again.
+
+        Rows and deletions may carry ``change_seq``; it is kept with them.
+        """
         before = self.snapshot()
         if before is not None and tag is not None and self._tagged(tag):
             return before.totals.version
         version = 0 if before is None else before.totals.version + 1
+        attempt = uuid.uuid4().hex
 
         fresh = index_rows(upserts, self.text, self.embed).withColumn("deleted", F.lit(False))
         if deletes is not None:
-            gone = deletes.select(self.key).withColumn("deleted", F.lit(True))
+            named = [c for c in (self.key, SEQUENCE) if c in deletes.columns]
+            gone = deletes.select(*named).withColumn("deleted", F.lit(True))
             fresh = fresh.unionByName(gone, allowMissingColumns=True)
-        written = self._write(fresh, "rows", version)
+        if SEQUENCE not in fresh.columns:
+            fresh = fresh.withColumn(SEQUENCE, F.lit(None).cast("bigint"))
+        schema = _grown(before.totals.schema if before else "", fresh.schema)
+        written = self._write(fresh, "rows", version, attempt)
         check_key(written, self.key)
         n_written = written.count()
         present = written.where(~F.col("deleted"))
@@ -204,7 +246,7 @@ class TextIndex:
         ordered = index_postings(present, self.key)
         ordered = ordered.repartitionByRange("term", self.key)
         postings = self._write(
-            ordered.sortWithinPartitions("term", self.key), "postings", version
+            ordered.sortWithinPartitions("term", self.key), "postings", version, attempt
         )
         gained = postings.select("term", F.lit(1).alias("df"))
         counts = present.select(F.lit(1).alias("sign"), "n_terms")
@@ -215,7 +257,7 @@ class TextIndex:
             gained = gained.unionByName(lost)
             counts = counts.unionByName(replaced.select(F.lit(-1).alias("sign"), "n_terms"))
         terms = gained.groupBy("term").agg(F.sum("df").alias("df")).where("df != 0")
-        self._write(terms.orderBy("term"), "terms", version)
+        self._write(terms.orderBy("term"), "terms", version, attempt)
 
         width = present.select(F.size("embedding")).limit(1).collect()
         commit = counts.agg(
@@ -224,8 +266,12 @@ class TextIndex:
             F.lit(n_written).cast("bigint").alias("n_written"),
             F.lit(width[0][0] if width else 0).alias("dimension"),
             F.lit(tag).cast("string").alias("tag"),
+            F.lit(attempt).alias("attempt"),
+            F.lit(schema).alias("schema"),
         ).withColumn("synced_at", F.current_timestamp())
-        self._write(commit.coalesce(1), "commits", version)
+        commit.coalesce(1).write.mode("errorifexists").parquet(
+            f"{self.path}/commits/version={version}"
+        )
         return version
 
     # -- storage ---------------------------------------------------------------
@@ -233,7 +279,20 @@ class TextIndex:
     def _tagged(self, tag: str) -> bool:
         return not self.stored("commits").where(F.col("tag") == tag).isEmpty()
 
-    def _write(self, rows: DataFrame, table: str, version: int) -> DataFrame:
-        folder = f"{self.path}/{table}/version={version}"
-        rows.write.mode("overwrite").parquet(folder)
+    def _write(self, rows: DataFrame, table: str, version: int, attempt: str) -> DataFrame:
+        folder = f"{self.path}/{table}/version={version}/attempt={attempt}"
+        rows.write.parquet(folder)
         return self.spark.read.schema(rows.schema).parquet(folder)
+
+
+def _grown(known: str, new: StructType) -> str:
+    """The schema of all rows so far with the columns that are new."""
+    fields = {f.name: f for f in StructType.fromJson(json.loads(known)).fields} if known else {}
+    for field in new.fields:
+        old = fields.get(field.name)
+        if old is not None and old.dataType != field.dataType:
+            raise ValueError(
+                f"{field.name} was {old.dataType.simpleString()}, is {field.dataType.simpleString()}"
+            )
+        fields.setdefault(field.name, StructField(field.name, field.dataType))
+    return json.dumps(StructType(list(fields.values())).jsonValue())

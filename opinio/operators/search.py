@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
+from collections.abc import Iterator
 
-from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from opinio.functions.text import distinct_terms, term_counts
 from opinio.operators.index import Snapshot, TextIndex, with_vector
-from opinio.operators.topk import cosine_scorer, exact_topk, weighted_terms_scorer
+from opinio.operators.topk import (
+    banded_cosine_scorer,
+    cosine_scorer,
+    exact_topk,
+    sign_bands,
+    unit_rows,
+    weighted_terms_scorer,
+)
 from opinio.session import checked_broadcast
 
 # BM25 and reciprocal rank fusion constants, digits ranked on.
@@ -25,7 +31,9 @@ BM25_DIGITS = 4
 DEFAULT_RESULTS = 5
 
 PUSHED_TERMS = 1000
-BAND_VALUES = 50_000
+
+# Approximate search: bands, sign bits of each, seed of the directions.
+BANDS, BAND_BITS, BAND_SEED = 32, 6, 7
 
 
 def semantic_topk(
@@ -49,78 +57,59 @@ def semantic_topk(
     )
 
 
-def semantic_topk_approx(
-    vectors: DataFrame, queries: DataFrame, k: int = DEFAULT_RESULTS, **hashing: float
+def with_bands(
+    vectors: DataFrame, bands: int = BANDS, bits: int = BAND_BITS, seed: int = BAND_SEED
 ) -> DataFrame:
-    """Cosine top-k among the vectors that share a hash band with any query.
+    """Appends ``bands``, to be stored with the vectors and used by every later search."""
+    schema = StructType([*vectors.schema.fields, StructField("bands", ArrayType(LongType()))])
 
-    The survivors are ranked exactly, so a crowded bucket costs scoring time but
-    writes no pairs.
-    """
-    return semantic_topk(near_vectors(vectors, queries, **hashing), queries, k)
+    def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            unit, _ = unit_rows(pa.Table.from_batches([batch]))
+            values = sign_bands(unit, bands, bits, seed).tolist()
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(values, pa.list_(pa.int64()))],
+                names=[*batch.schema.names, "bands"],
+            )
+
+    return vectors.mapInArrow(per_batch, schema)
 
 
-def near_vectors(
+def semantic_topk_approx(
     vectors: DataFrame,
     queries: DataFrame,
-    bands: int = 12,
-    hashes_per_band: int = 3,
-    bucket_length: float = 0.25,
-    seed: int = 7,
+    k: int = DEFAULT_RESULTS,
+    bands: int = BANDS,
+    bits: int = BAND_BITS,
+    seed: int = BAND_SEED,
+    **bounds: int,
 ) -> DataFrame:
-    """The vectors that agree with a query in all hashes of at least one band.
+    """Cosine top-k of each query among the vectors that share a band with that query.
 
-    Random-projection buckets of unit vectors are combined into bands; a vector
-    without a common band is dropped where it is read. A projection of a unit
-    vector lies in [-1, 1], so a band has at most (2 / length + 2) ** hashes values
-    however many queries ask. Where even that is too much to carry in the plan,
-    nothing is dropped.
+    Two vectors at an angle of t agree in a band with probability (1 - t / pi) ** bits.
+    A query scores its own candidates only; items do not move and no pairs are written.
+    Vectors that carry ``bands`` (of the same numbers and seed) save hashing them again.
     """
-    if bands * (2 / bucket_length + 2) ** hashes_per_band > BAND_VALUES:
-        return vectors.select("id", "embedding")
-
-    def unit(rows: DataFrame) -> DataFrame:
-        norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x))
-        scaled = F.transform("embedding", lambda x: x / F.col("_norm"))
-        return (
-            rows.withColumn("_norm", norm)
-            .where(F.col("_norm") > 0)
-            .withColumn("_unit", array_to_vector(scaled))
-        )
-
-    asked = unit(queries)
-    if asked.isEmpty():
-        return vectors.select("id", "embedding").limit(0)
-    model = BucketedRandomProjectionLSH(
-        inputCol="_unit",
-        outputCol="_hashes",
-        numHashTables=bands * hashes_per_band,
-        bucketLength=bucket_length,
-        seed=seed,
-    ).fit(asked)
-
-    def band(number: int) -> Column:
-        first = number * hashes_per_band
-        parts = [
-            vector_to_array(F.col("_hashes")[table])[0].cast("int")
-            for table in range(first, first + hashes_per_band)
-        ]
-        return F.concat_ws(":", *parts)
-
-    names = [f"_band{number}" for number in range(bands)]
-    columns = [band(number).alias(name) for number, name in enumerate(names)]
-    wanted = model.transform(asked).select(*columns).agg(
-        *[F.collect_set(name).alias(name) for name in names]
-    ).first()
-    near = reduce(or_, [F.col(name).isin(wanted[name]) for name in names])
-    hashed = model.transform(unit(vectors)).select("id", "embedding", *columns)
-    return hashed.where(near).select("id", "embedding")
+    carried = ["bands"] if "bands" in vectors.columns else []
+    return exact_topk(
+        vectors.where(F.col("embedding").isNotNull()).select("id", "embedding", *carried),
+        queries.where(F.col("embedding").isNotNull()).select("query_id", "embedding"),
+        banded_cosine_scorer(bands, bits, seed),
+        k,
+        COSINE_DIGITS,
+        query_bytes=F.size("embedding") * 8,
+        **bounds,
+    )
 
 
 def search_semantic(
     found: Snapshot, queries: DataFrame, k: int = DEFAULT_RESULTS, **bounds: int
 ) -> DataFrame:
-    """Cosine over the index vectors; a text without a common bucket is no hit."""
+    """Cosine over the index vectors.
+
+    With the hashed vectors a text without a common bucket is no hit; a caller's model
+    ranks every text, also at negative cosines.
+    """
     asked = with_vector(
         queries.select("query_id", "query_text", term_counts(F.col("query_text")).alias("terms")),
         "query_text",
@@ -128,10 +117,23 @@ def search_semantic(
     ).select("query_id", "embedding")
     items = found.rows().select(F.col(found.index.key).alias("id"), "embedding")
     return semantic_topk(
-        items, asked, k, True, found.totals.dimension or None, **bounds
+        items, asked, k, found.index.embed is None, found.totals.dimension or None, **bounds
     )
 
 
+def search_approximate(
+    found: Snapshot, queries: DataFrame, k: int = DEFAULT_RESULTS, **hashing: int
+) -> DataFrame:
+    """Cosine over the index vectors that share a band with the question."""
+    asked = with_vector(
+        queries.select("query_id", "query_text", term_counts(F.col("query_text")).alias("terms")),
+        "query_text",
+        found.index.embed,
+    ).select("query_id", "embedding")
+    items = found.rows().select(F.col(found.index.key).alias("id"), "embedding")
+    return semantic_topk_approx(items, asked, k, **hashing)
+
+
 def search_fulltext(
     found: Snapshot, queries: DataFrame, k: int = DEFAULT_RESULTS, **bounds: int
 ) -> DataFrame:
@@ -193,6 +195,8 @@ def fuse(rankings: list[DataFrame], k: int) -> DataFrame:
 def search_hybrid(
     found: Snapshot, queries: DataFrame, k: int = DEFAULT_RESULTS, depth: int = FUSION_DEPTH
 ) -> DataFrame:
+    """Both rankings fused, each at least ``k`` deep."""
+    depth = max(depth, k)
     return fuse(
         [search_semantic(found, queries, depth), search_fulltext(found, queries, depth)], k
     )
@@ -200,6 +204,7 @@ def search_hybrid(
 
 MODES = {
     "semantic": search_semantic,
+    "approximate": search_approximate,
     "fulltext": search_fulltext,
     "hybrid": search_hybrid,
 }
@@ -211,10 +216,14 @@ def search(
     k: int = DEFAULT_RESULTS,
     mode: str = "semantic",
     columns: list[str] | None = None,
+    **options: int,
 ) -> DataFrame:
-    """Hits of every query, with the wanted source columns of the found rows."""
+    """Hits of every query, with the wanted source columns of the found rows.
+
+    ``options`` go to the mode, such as ``depth`` to ``hybrid``.
+    """
     found = index.current()
-    hits = MODES[mode](found, queries, k)
+    hits = MODES[mode](found, queries, k, **options)
     if not columns:
         return hits
     rows = found.rows().select(F.col(index.key).alias("id"), *columns)
@@ -223,10 +232,14 @@ def search(
 
 
 def question_context(
-    index: TextIndex, queries: DataFrame, k: int = DEFAULT_RESULTS, mode: str = "hybrid"
+    index: TextIndex,
+    queries: DataFrame,
+    k: int = DEFAULT_RESULTS,
+    mode: str = "hybrid",
+    **options: int,
 ) -> DataFrame:
     """One row per question: the ordered context rows, with the ids to cite."""
-    hits = search(index, queries, k, mode, [index.text])
+    hits = search(index, queries, k, mode, [index.text], **options)
     entry = F.struct("rank", "id", F.col(index.text).alias("text"), "score")
     found = hits.groupBy("query_id").agg(F.sort_array(F.collect_list(entry)).alias("_found"))
     context = F.transform(

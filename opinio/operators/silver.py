@@ -28,10 +28,15 @@ def join_reviews(products: DataFrame, reviews: DataFrame) -> DataFrame:
 
     No hint: a small catalogue is broadcast by its measured size, a large one is
     sort-merge joined and adaptive execution splits a product that owns a large
-    share of the reviews.
+    share of the reviews. Where the two key types differ, a review's key is read as the
+    catalogue's type; one that cannot be drops out, like any other without a partner.
     """
     catalogue = products.select(*PRODUCT_COLUMNS)
-    return catalogue.join(reviews.select(*REVIEW_COLUMNS), "product_id")
+    rated = reviews.select(*REVIEW_COLUMNS)
+    kind = catalogue.schema["product_id"].dataType
+    if rated.schema["product_id"].dataType != kind:
+        rated = rated.withColumn("product_id", F.col("product_id").try_cast(kind))
+    return catalogue.join(rated, "product_id")
 
 
 def with_surrogate_id(rows: DataFrame, name: str = "id") -> DataFrame:

@@ -26,8 +26,12 @@ RESIDENT_BYTES = 32 << 20
 ITEMS_PER_BLOCK = 20_000
 QUERIES_AT_ONCE = 64
 
-# queries -> items -> (first, last query) -> scores, items x queries, -inf is no hit
-Score = Callable[[int, int], np.ndarray]
+# Parts of the tasks that are ranked apart before the last ranking.
+RANKING_PARTS = 64
+
+# queries -> items -> one (query, items or None for all, scores) after the other
+Hits = Iterator[tuple[int, np.ndarray | None, np.ndarray]]
+Score = Callable[[], Hits]
 Prepare = Callable[[pa.Table], Score]
 MakeScorer = Callable[[pa.Table], Prepare]
 
@@ -45,26 +49,29 @@ def keep_best(hits: pa.Table, k: int) -> pa.Table:
     return hits.filter(pa.array(place < k))
 
 
-def block_hits(items: pa.Table, n_queries: int, score: Score, k: int, digits: int) -> pa.Table:
-    """The best k of a block of items per query, a few queries at a time."""
+def block_hits(items: pa.Table, score: Score, k: int, digits: int) -> pa.Table:
+    """The best k of a block of items per query, chosen among the items a query touches."""
     ids = items["id"].combine_chunks()
     found = []
-    for start in range(0, n_queries, QUERIES_AT_ONCE):
-        scores = round_half_up(score(start, min(start + QUERIES_AT_ONCE, n_queries)), digits)
+    for query, rows, scores in score():
+        scores = round_half_up(scores, digits)
         wanted = scores > -np.inf
         if len(scores) > k:
             # everything at or above the k-th score: keeps all ties for the id order
-            wanted &= scores >= np.partition(scores, len(scores) - k, axis=0)[len(scores) - k]
-        row, query = np.nonzero(wanted)
+            wanted &= scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+        at = np.flatnonzero(wanted)
         hits = pa.table(
             {
-                "query": pa.array((query + start).astype(np.int32)),
-                "id": ids.take(pa.array(row)),
-                "score": pa.array(scores[row, query], pa.float64()),
+                "query": pa.array(np.full(len(at), query, np.int32)),
+                "id": ids.take(pa.array(at if rows is None else rows[at])),
+                "score": pa.array(scores[at], pa.float64()),
             }
         )
-        found.append(keep_best(hits, k))
-    return pa.concat_tables(found)
+        found.append(keep_best(hits, k) if len(at) > k else hits)
+    empty = pa.table(
+        {"query": pa.array([], pa.int32()), "id": ids.slice(0, 0), "score": pa.array([], pa.float64())}
+    )
+    return pa.concat_tables(found) if found else empty
 
 
 def _named(hits: pa.Table, queries: pa.Table) -> pa.Table:
@@ -95,8 +102,8 @@ def exact_topk(
         F.count(F.lit(1)), F.coalesce(F.sum(query_bytes), F.lit(0))
     ).first()
 
-    def scored(block: pa.Table, n_asked: int, prepare: Prepare) -> pa.Table:
-        return block_hits(block, n_asked, prepare(block), k, digits)
+    def scored(block: pa.Table, prepare: Prepare) -> pa.Table:
+        return block_hits(block, prepare(block), k, digits)
 
     if n_queries <= resident_queries and n_bytes <= resident_bytes:
         resident = queries.toArrow()
@@ -107,10 +114,10 @@ def exact_topk(
             for batch in batches:
                 if batch.num_rows == 0 or resident.num_rows == 0:
                     continue
-                hits = scored(pa.Table.from_batches([batch]), resident.num_rows, prepare)
+                hits = scored(pa.Table.from_batches([batch]), prepare)
                 best = hits if best is None else keep_best(pa.concat_tables([best, hits]), k)
             if best is not None:
-                yield from _named(best, resident).to_batches()
+                yield from _named(keep_best(best, k), resident).to_batches()
 
         candidates = items.mapInArrow(per_task, schema)
     else:
@@ -120,15 +127,29 @@ def exact_topk(
             items_per_block,
         )
 
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
-    return candidates.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return best_of_each(candidates, k)
+
+
+def best_of_each(candidates: DataFrame, k: int) -> DataFrame:
+    """The best k of each query; k rows from each of very many tasks do not meet in one."""
+    order = [F.desc("score"), F.asc("id")]
+    part = Window.partitionBy("query_id", "_part").orderBy(*order)
+    whole = Window.partitionBy("query_id").orderBy(*order)
+    return (
+        candidates.withColumn("_part", F.spark_partition_id() % RANKING_PARTS)
+        .withColumn("rank", F.row_number().over(part))
+        .where(F.col("rank") <= k)
+        .drop("_part")
+        .withColumn("rank", F.row_number().over(whole))
+        .where(F.col("rank") <= k)
+    )
 
 
 def _blocked(
     items: DataFrame,
     queries: DataFrame,
     make_scorer: MakeScorer,
-    scored: Callable[[pa.Table, int, Prepare], pa.Table],
+    scored: Callable[[pa.Table, Prepare], pa.Table],
     schema: StructType,
     n_query_blocks: int,
     items_per_block: int,
@@ -149,7 +170,9 @@ def _blocked(
     left = items.withColumn("_item_block", block("id", n_item_blocks)).withColumn(
         "_query_block", every(n_query_blocks)
     )
-    right = queries.withColumn("_query_block", block("query_id", n_query_blocks)).withColumn(
+    # fresh columns, so that queries taken from the items' own table stay a side of their own
+    asked = queries.select(*(F.col(name).alias(name) for name in queries.columns))
+    right = asked.withColumn("_query_block", block("query_id", n_query_blocks)).withColumn(
         "_item_block", every(n_item_blocks)
     )
     keys = ["_query_block", "_item_block"]
@@ -159,7 +182,7 @@ def _blocked(
             names = schema.fieldNames()
             kinds = [block_queries["query_id"].type, block_items["id"].type, pa.float64()]
             return pa.table({n: pa.array([], t) for n, t in zip(names, kinds)})
-        hits = scored(block_items, block_queries.num_rows, make_scorer(block_queries))
+        hits = scored(block_items, make_scorer(block_queries))
         return _named(hits, block_queries)
 
     return (
@@ -177,33 +200,92 @@ def _flat(column: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
 def cosine_scorer(positive_only: bool) -> MakeScorer:
     """Cosine of ``embedding`` columns; a zero vector hits nothing."""
 
-    def unit_rows(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        values, lengths = _flat(table["embedding"])
-        width = int(lengths.max(initial=0))
-        if not np.all((lengths == width) | (lengths == 0)):
-            raise ValueError("embeddings of different lengths")
-        matrix = np.zeros((len(lengths), width))
-        matrix[lengths > 0] = values.to_numpy(zero_copy_only=False).reshape(-1, width) if width else 0
-        norms = np.linalg.norm(matrix, axis=1)
-        usable = norms > 0
-        matrix[usable] /= norms[usable, None]
-        return matrix, usable
+    def make(queries: pa.Table) -> Prepare:
+        wanted, wanted_ok = unit_rows(queries)
+
+        def prepare(items: pa.Table) -> Score:
+            rows, rows_ok = unit_rows(items)
+
+            def score() -> Hits:
+                if not rows.shape[1] or not wanted.shape[1]:
+                    return
+                usable = np.flatnonzero(rows_ok)
+                for start in range(0, len(wanted), QUERIES_AT_ONCE):
+                    scores = rows @ wanted[start : start + QUERIES_AT_ONCE].T
+                    for number in range(scores.shape[1]):
+                        if wanted_ok[start + number]:
+                            one = scores[usable, number]
+                            if positive_only:
+                                one = np.where(one > 0, one, -np.inf)
+                            yield start + number, usable, one
+
+            return score
+
+        return prepare
+
+    return make
+
+
+def unit_rows(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors of ``embedding``, and which rows are not zero."""
+    values, lengths = _flat(table["embedding"])
+    width = int(lengths.max(initial=0))
+    if not np.all((lengths == width) | (lengths == 0)):
+        raise ValueError("embeddings of different lengths")
+    matrix = np.zeros((len(lengths), width))
+    matrix[lengths > 0] = values.to_numpy(zero_copy_only=False).reshape(-1, width) if width else 0
+    norms = np.linalg.norm(matrix, axis=1)
+    usable = norms > 0
+    matrix[usable] /= norms[usable, None]
+    return matrix, usable
+
+
+def sign_bands(unit: np.ndarray, bands: int, bits: int, seed: int) -> np.ndarray:
+    """For each vector and band the signs of its projections on ``bits`` random directions."""
+    if not unit.shape[1]:
+        return np.zeros((len(unit), bands), np.int64)
+    directions = np.random.default_rng(seed).normal(size=(unit.shape[1], bands * bits))
+    signs = (unit @ directions > 0).reshape(len(unit), bands, bits)
+    return signs @ (1 << np.arange(bits, dtype=np.int64))
+
+
+def banded_cosine_scorer(bands: int, bits: int, seed: int) -> MakeScorer:
+    """Cosine of the pairs that agree in a band; a query scores its own candidates only.
+
+    ``bands`` values stored with the items are used, else they are made here.
+    """
+
+    def of(table: pa.Table, unit: np.ndarray) -> np.ndarray:
+        if "bands" in table.column_names:
+            values, lengths = _flat(table["bands"])
+            return values.to_numpy(zero_copy_only=False).reshape(len(lengths), bands)
+        return sign_bands(unit, bands, bits, seed)
 
     def make(queries: pa.Table) -> Prepare:
         wanted, wanted_ok = unit_rows(queries)
+        asked = sign_bands(wanted, bands, bits, seed)
 
         def prepare(items: pa.Table) -> Score:
             rows, rows_ok = unit_rows(items)
 
-            def score(first: int, last: int) -> np.ndarray:
+            def score() -> Hits:
                 if not rows.shape[1] or not wanted.shape[1]:
-                    return np.full((len(rows), last - first), -np.inf)
-                scores = rows @ wanted[first:last].T
-                scores[~rows_ok, :] = -np.inf
-                scores[:, ~wanted_ok[first:last]] = -np.inf
-                if positive_only:
-                    scores[scores <= 0] = -np.inf
-                return scores
+                    return
+                values = of(items, rows)
+                order = np.argsort(values, axis=0, kind="stable")
+                ranked = np.take_along_axis(values, order, 0)
+                spans = [
+                    (np.searchsorted(ranked[:, b], asked[:, b], "left"),
+                     np.searchsorted(ranked[:, b], asked[:, b], "right"))
+                    for b in range(bands)
+                ]
+                for query in np.flatnonzero(wanted_ok).tolist():
+                    near = np.concatenate(
+                        [order[low[query] : high[query], b] for b, (low, high) in enumerate(spans)]
+                    )
+                    near = np.unique(near)
+                    near = near[rows_ok[near]]
+                    yield query, near, rows[near] @ wanted[query]
 
             return score
 
@@ -229,15 +311,14 @@ def weighted_terms_scorer(queries: pa.Table) -> Prepare:
         item, weight = item[by_term], weight[by_term]
         edges = np.searchsorted(term[by_term], np.arange(len(vocabulary) + 1))
 
-        def score(first: int, last: int) -> np.ndarray:
-            scores = np.full((len(counts), last - first), -np.inf)
-            for number, terms in enumerate(terms_of[first:last]):
+        def score() -> Hits:
+            for number, terms in enumerate(terms_of):
                 spans = [np.arange(edges[t], edges[t + 1]) for t in terms]
                 span = np.concatenate(spans) if spans else np.empty(0, int)
                 if len(span):
-                    total = np.bincount(item[span], weight[span], minlength=len(counts))
-                    scores[:, number] = np.where(total > 0, total, -np.inf)
-            return scores
+                    touched, place = np.unique(item[span], return_inverse=True)
+                    total = np.bincount(place, weight[span])
+                    yield number, touched, np.where(total > 0, total, -np.inf)
 
         return score
 

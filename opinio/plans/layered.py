@@ -65,11 +65,17 @@ def bronze_reviews(spark: SparkSession, landing: str, **options) -> DataFrame:
 
 
 def run_bronze(
-    spark: SparkSession, landing: str, layers: Layers, fmt: str | None = None, **options
+    spark: SparkSession,
+    landing: str,
+    layers: Layers,
+    fmt: str | None = None,
+    product_options: dict | None = None,
+    review_options: dict | None = None,
 ) -> None:
+    """Each landing file with options of its own (see ``scan_csv``), such as its schema."""
     for rows, name in (
-        (bronze_products(spark, landing, **options), layers.bronze_products),
-        (bronze_reviews(spark, landing, **options), layers.bronze_reviews),
+        (bronze_products(spark, landing, **(product_options or {})), layers.bronze_products),
+        (bronze_reviews(spark, landing, **(review_options or {})), layers.bronze_reviews),
     ):
         overwrite_table(rows, name, fmt, layers.path(name))
 
@@ -115,8 +121,10 @@ def run_all(
     add_id: AddId = with_surrogate_id,
     rule: Selection = Selection(),
     properties: dict[str, str] | None = None,
+    product_options: dict | None = None,
+    review_options: dict | None = None,
 ) -> None:
-    run_bronze(spark, landing, layers, fmt)
+    run_bronze(spark, landing, layers, fmt, product_options, review_options)
     run_silver(spark, layers, fmt, add_id)
     run_gold(spark, layers, fmt, rule, properties)
     if index is not None:

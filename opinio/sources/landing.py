@@ -21,8 +21,13 @@ def scan_csv(
     schema: StructType | str | None = None,
     multi_line: bool = False,
     sampling_ratio: float | None = None,
+    check_header: bool | None = None,
 ) -> DataFrame:
-    """Read one file, a folder or a glob of CSV files with a header line."""
+    """Read one file, a folder or a glob of CSV files with a header line.
+
+    ``check_header`` refuses a file whose header does not name the columns in their
+    order, instead of mislabelling them; by default where a schema is given.
+    """
     reader = spark.read.option("header", True)
     if multi_line:
         reader = reader.option("multiLine", True).option("escape", '"')
@@ -32,6 +37,8 @@ def scan_csv(
         reader = reader.option("inferSchema", True)
         if sampling_ratio is not None:
             reader = reader.option("samplingRatio", sampling_ratio)
+    if check_header or (check_header is None and schema is not None):
+        reader = reader.option("enforceSchema", False)
     return reader.csv(path)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from opinio.operators.changes import latest_per_key
+from opinio.operators.index import SEQUENCE as CHANGE
 from opinio.operators.index import TextIndex
 
 OP = "op"
@@ -23,20 +24,30 @@ def sync_available(
     """Apply all unread change files to the index; returns the number of batches.
 
     A change row holds the source columns, ``op`` (upsert or delete) and ``seq``;
-    the highest ``seq`` of a key wins. Each batch becomes one index version tagged
-    with the checkpoint and the batch number: a batch that is replayed after a
-    crash finds its tag and changes nothing.
+    the highest ``seq`` of a key wins, in whatever batch it arrives: the index keeps it
+    with the row or the deletion, and a change that comes late is dropped. Each batch
+    becomes one index version tagged with the checkpoint and the batch number: a batch
+    that is replayed after a crash finds its tag and changes nothing.
     """
+    n_batches = 0
     reader = index.spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
     def apply(batch: DataFrame, number: int) -> None:
-        last = latest_per_key(batch, index.key, SEQUENCE)
+        nonlocal n_batches
+        n_batches += not batch.isEmpty()
+        last = latest_per_key(batch, index.key, SEQUENCE).withColumnRenamed(SEQUENCE, CHANGE)
+        last = last.withColumn(CHANGE, F.col(CHANGE).cast("bigint"))
+        before = index.snapshot()
+        if before is not None:
+            known = before.newest_sequence()
+            late = F.col(CHANGE) <= F.coalesce("newest", F.col(CHANGE) - 1)
+            last = last.join(known, index.key, "left").where(~late).drop("newest")
         gone = F.col(OP) == "delete"
         index.apply(
-            last.where(~gone).drop(OP, SEQUENCE),
-            last.where(gone).select(index.key),
+            last.where(~gone).drop(OP),
+            last.where(gone).select(index.key, CHANGE),
             tag=f"{checkpoint}#{number}",
         )
 
@@ -48,4 +59,4 @@ def sync_available(
         .start()
     )
     query.awaitTermination()
-    return sum(1 for progress in query.recentProgress if progress.numInputRows > 0)
+    return n_batches

@@ -100,9 +100,11 @@ def test_readers_do_not_see_a_half_written_version(spark):
     index = fresh(spark).build(frame(spark, DAY1))
     before = state(index)
     # a sync that died after writing its rows and postings
-    extra = index.stored("rows").where("version = 0").drop("version")
-    extra.withColumn("id", F.col("id") + 10).write.parquet(f"{index.path}/rows/version=1")
-    index.stored("postings").drop("version").write.parquet(f"{index.path}/postings/version=1")
+    dead = "version=1/attempt=dead"
+    extra = index.stored("rows").where("version = 0").drop("version", "attempt")
+    extra.withColumn("id", F.col("id") + 10).write.parquet(f"{index.path}/rows/{dead}")
+    lost = index.stored("postings").drop("version", "attempt")
+    lost.write.parquet(f"{index.path}/postings/{dead}")
     assert state(index) == before
     assert index.sync(frame(spark, DAY2)) == 1
     assert state(index) == state(fresh(spark).build(frame(spark, DAY2)))
@@ -150,3 +152,34 @@ def test_other_key_and_text_columns(spark):
     index.sync(spark.createDataFrame([("a", "one two"), ("b", "two")], "sku string, body string"))
     index.sync(spark.createDataFrame([("b", "two three")], "sku string, body string"))
     assert set(state(index)[1]) == {("two", "b"), ("three", "b")}
+
+
+@pytest.mark.parametrize("extra", [(1, "good cream", "A"), (None, "no key", "A")])
+def test_sync_refuses_bad_keys_before_it_writes(spark, extra):
+    index = fresh(spark).build(frame(spark, DAY1))
+    with pytest.raises(InvalidKey):
+        index.sync(frame(spark, [*DAY1, extra]))
+    assert index.current().totals.version == 0 and index.stored("changes") is None
+
+
+def test_a_new_source_column_is_kept_and_a_new_type_refused(spark):
+    index = fresh(spark).build(frame(spark, DAY1))
+    more = frame(spark, DAY2).withColumn("extra", F.col("id") * 2)
+    assert index.sync(more) == 1
+    assert {r.id: r.extra for r in index.current().rows().collect()} == {1: 2, 2: 4, 4: 8, 5: 10}
+    index.sync(frame(spark, DAY1))
+    assert {r.extra for r in index.current().rows().collect()} == {None}
+    with pytest.raises(ValueError, match="extra was bigint, is string"):
+        index.sync(more.withColumn("extra", F.col("extra").cast("string")))
+
+
+def test_of_two_writers_the_second_fails_and_nothing_is_lost(spark, monkeypatch):
+    index = fresh(spark).build(frame(spark, DAY1))
+    stale = index.snapshot()
+    index.sync(frame(spark, DAY2))
+    after = state(index)
+    monkeypatch.setattr(TextIndex, "snapshot", lambda self: stale)
+    with pytest.raises(Exception, match="already exists|ALREADY_EXISTS"):
+        index.apply(frame(spark, [(7, "other", "X")]))
+    monkeypatch.undo()
+    assert state(index) == after

@@ -1,3 +1,5 @@
+import pytest
+
 from opinio.sources.landing import join_path, scan_csv, source_files, with_lineage
 from opinio.session import new_path
 
@@ -47,3 +49,14 @@ def test_glob_reads_all_files_with_their_lineage(spark, tmp_path):
 def test_shared_folder_comes_from_the_session(spark):
     assert new_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert new_path(spark, "x") != new_path(spark, "x")
+
+
+def test_a_schema_does_not_mislabel_columns(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("product_id,rating\nP1,5\n")
+    (tmp_path / "b.csv").write_text("rating,product_id\n4,P2\n")
+    schema = "product_id string, rating int"
+    assert scan_csv(spark, str(tmp_path / "a.csv"), schema=schema).first().rating == 5
+    with pytest.raises(Exception, match="header"):
+        scan_csv(spark, str(tmp_path / "b.csv"), schema=schema).collect()
+    # by position, if asked for
+    assert scan_csv(spark, str(tmp_path / "b.csv"), schema=schema, check_header=False).count() == 1

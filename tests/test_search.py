@@ -167,3 +167,29 @@ def test_search_follows_a_sync(spark):
     index.sync(spark.createDataFrame([(1, "lovely brush"), (3, "awkward")], rows))
     for mode in ("fulltext", "semantic"):
         assert [r.id for r in search.search(index, asked, 1, mode).collect()] == [3]
+
+
+def test_hybrid_is_at_least_as_deep_as_asked(spark):
+    rows = [(i, f"cream number{i}") for i in range(120)]
+    index = TextIndex(spark, new_path(spark, "index")).build(
+        spark.createDataFrame(rows, "id long, review_text string")
+    )
+    asked = spark.createDataFrame([(1, "cream")], "query_id int, query_text string")
+    assert search.search(index, asked, 100, "hybrid").count() == 100
+    assert search.search(index, asked, 3, "hybrid", depth=5).count() == 3
+
+
+def test_a_callers_model_ranks_negative_cosines(spark):
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    @F.pandas_udf("array<float>")
+    def sides(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: [1.0, 0.1] if "up" in t else [-1.0, 0.1])
+
+    rows = [(1, "up one"), (2, "down two"), (3, "down three")]
+    index = TextIndex(spark, new_path(spark, "index"), embed=sides).build(
+        spark.createDataFrame(rows, "id long, review_text string")
+    )
+    asked = spark.createDataFrame([(1, "up")], "query_id int, query_text string")
+    assert [r.id for r in search.search(index, asked, 3).orderBy("rank").collect()] == [1, 2, 3]

@@ -47,3 +47,16 @@ def test_a_replayed_batch_changes_nothing(spark):
     index.apply(spark.createDataFrame([(2, "two")], "id long, review_text string"), tag=tagged)
     sync_available(index, folder, FEED, checkpoint)
     assert index.current().totals.version == 1
+
+
+def test_a_late_change_does_not_undo_a_newer_one(spark):
+    folder, checkpoint = new_path(spark, "feed"), new_path(spark, "stream")
+    index = TextIndex(spark, new_path(spark, "index"))
+    days = [
+        [(1, "new text", "upsert", 5), (2, None, "delete", 6), (3, "three", "upsert", 1)],
+        [(1, "old text", "upsert", 3), (2, "risen", "upsert", 4), (3, "drei", "upsert", 2)],
+    ]
+    for day in days:
+        deliver(spark, folder, day)
+        assert sync_available(index, folder, FEED, checkpoint) == 1
+    assert {i: r[0] for i, r in state(index)[0].items()} == {1: "new text", 3: "drei"}

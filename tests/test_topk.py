@@ -104,7 +104,7 @@ def test_approximate_search_recalls_most_of_the_exact_hits(spark, data):
     assert near.where("query_id = id and rank = 1").count() == asked.count()
 
 
-def test_approximate_search_prunes_where_it_reads(spark):
+def test_a_query_scores_its_own_candidates_only(spark):
     rng = np.random.default_rng(5)
     centres = rng.normal(size=(20, 32))
     items = [
@@ -112,9 +112,35 @@ def test_approximate_search_prunes_where_it_reads(spark):
         for i in range(2000)
     ]
     vectors = spark.createDataFrame(items, VECTORS.format("long"))
-    asked = vectors.withColumnRenamed("id", "query_id").where("query_id in (3, 7)")
-    kept = search.near_vectors(vectors, asked)
-    assert 200 <= kept.count() < 0.7 * vectors.count()
-    assert result(search.semantic_topk(kept, asked, 10)) == result(
-        search.semantic_topk(vectors, asked, 10)
+    asked = vectors.withColumnRenamed("id", "query_id").where("query_id < 40")
+    narrow = {"bands": 16, "bits": 12}
+    stored = search.with_bands(vectors, **narrow)
+    every = search.semantic_topk_approx(stored, asked, 2000, **narrow)
+    # all vectors of the query's own cluster, and less than half of all for any query
+    per_query = {r.query_id: r["count"] for r in every.groupBy("query_id").count().collect()}
+    assert min(per_query.values()) >= 95 and max(per_query.values()) < 1000
+    exact = result(search.semantic_topk(vectors, asked, 10))
+    assert result(search.semantic_topk_approx(stored, asked, 10, **narrow)) == exact
+    small = {"items_per_block": 300, "resident_queries": 7}
+    assert result(search.semantic_topk_approx(vectors, asked, 10, **narrow, **small)) == exact
+
+
+def test_full_text_work_follows_the_postings():
+    import pyarrow as pa
+
+    from opinio.operators.topk import weighted_terms_scorer
+
+    match = pa.struct([("term", pa.string()), ("weight", pa.float64())])
+    items = pa.table(
+        {
+            "id": pa.array(range(1000)),
+            "matches": pa.array(
+                [[("common", 1.0)] + ([("rare", 2.0)] if i == 7 else []) for i in range(1000)],
+                pa.list_(match),
+            ),
+        }
     )
+    queries = pa.table({"query_id": [1, 2], "terms": [["rare", "unknown"], ["common", "rare"]]})
+    found = {q: (rows, scores) for q, rows, scores in weighted_terms_scorer(queries)(items)()}
+    assert found[0][0].tolist() == [7] and found[0][1].tolist() == [2.0]
+    assert len(found[1][0]) == 1000 and found[1][1].max() == 3.0
