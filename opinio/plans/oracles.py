@@ -146,6 +146,27 @@ def _with(*parts: str) -> str:
     return "WITH " + ",".join(parts) + "\n"
 
 
+def _hybrid(depth: int, k: int) -> str:
+    """Both rankings ``depth`` deep, fused: the first ``k`` of each query as ``best``."""
+    return _with(
+        DOCUMENT_POSTINGS,
+        QUESTION_POSTINGS,
+        _vectors("postings", "vectors"),
+        _vectors("asked", "questions"),
+        _cosine("vectors", "questions", "near", depth),
+        _bm25("asked", "worded", depth),
+        f"""
+fused AS (
+  SELECT query_id, id, sum(1.0::DOUBLE / (60 + rank)) AS score FROM (
+    SELECT query_id, id, rank FROM near UNION ALL SELECT query_id, id, rank FROM worded)
+  GROUP BY query_id, id),
+best AS (
+  SELECT query_id, id, score, CAST(rank AS INTEGER) AS rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM fused)
+  WHERE rank <= {k})""",
+    )
+
+
 LAST_TEXT = """
 last_text AS (
   SELECT conv_id, CASE WHEN count(*) FILTER (WHERE role = 'user') > 0
@@ -156,7 +177,9 @@ last_text AS (
 SYNCED = f"""{SNAPSHOTS},{_postings("after", "id", "review_text", "postings")}
 """
 _SUMMARY = """
-SELECT a.id, review_text, lang, source, n_postings, n_tokens FROM after a JOIN (
+SELECT a.id, review_text, lang, source, coalesce(n_postings, 0) AS n_postings,
+       coalesce(n_tokens, 0) AS n_tokens
+FROM after a LEFT JOIN (
   SELECT id, count(*) AS n_postings, CAST(sum(tf) AS BIGINT) AS n_tokens
   FROM postings GROUP BY id) USING (id)"""
 
@@ -166,18 +189,22 @@ SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_brand, p_type, p_size,
 FROM part""",
     "csv_glob_scan": """
 SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey,
-       o_orderstatus, o_totalprice, o_orderpriority
+       o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate,
+       o_orderpriority
 FROM orders""",
+    "file_lineage": "SELECT *, 'part' AS file_name, true AS has_time FROM part",
+    "preview": _with(SILVER)
+    + "SELECT least(count(*), 10) AS n_rows, least(count(*), 10) AS n_silver FROM silver",
+    "semantic_topk_approx": """
+SELECT CAST(sum(least(3, n)) AS BIGINT) AS n_exact, true AS recall_holds FROM (
+  SELECT vec_id, (SELECT count(*) FROM embeddings WHERE vec_id % 10 <> 0) AS n
+  FROM embeddings WHERE vec_id % 10 = 0)""",
     "csv_multiline_scan": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "loaded_files": """
 SELECT l_returnflag AS flag, count(*) AS n_rows FROM lineitem GROUP BY l_returnflag""",
     "table_overwrite": _with(PRODUCTS) + "SELECT * FROM products",
-    "layered_gold": _with(GOLD)
-    + """
-SELECT CAST(product_id AS INTEGER) AS product_id, product_name, primary_category,
-       secondary_category, CAST(tertiary_category AS INTEGER) AS tertiary_category, highlights,
-       CAST(rating AS INTEGER) AS rating, is_recommended, review_text, price_usd
-FROM gold""",
+    "layered_gold": _with(GOLD, IDENTIFIED.removeprefix(SILVER).removeprefix(",\n"))
+    + "SELECT identified.* FROM identified JOIN chosen USING (product_id)",
     "silver_join": _with(SILVER) + "SELECT * FROM silver",
     "product_rating_stats": _with(STATS) + "SELECT * FROM stats",
     "polarised_products": _with(STATS)
@@ -251,25 +278,11 @@ SELECT query_id, rank, id, score, lang, source, text AS review_text
 FROM hits JOIN documents ON doc_id = id""",
     "fulltext_topk": _with(DOCUMENT_POSTINGS, QUESTION_POSTINGS, _bm25("asked", "hits", 3))
     + "SELECT query_id, id, score, rank FROM hits",
-    "hybrid_topk": _with(
-        DOCUMENT_POSTINGS,
-        QUESTION_POSTINGS,
-        _vectors("postings", "vectors"),
-        _vectors("asked", "questions"),
-        _cosine("vectors", "questions", "near", 50),
-        _bm25("asked", "worded", 50),
-    )
-    + """,
-fused AS (
-  SELECT query_id, id, sum(1.0::DOUBLE / (60 + rank)) AS score FROM (
-    SELECT query_id, id, rank FROM near UNION ALL SELECT query_id, id, rank FROM worded)
-  GROUP BY query_id, id)
-SELECT query_id, id, score, CAST(rank AS INTEGER) AS rank FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM fused)
-WHERE rank <= 3""",
-    "question_context": _with(DOCUMENT_POSTINGS, QUESTION_POSTINGS, _bm25("asked", "hits", 3))
+    "hybrid_topk": _hybrid(50, 3) + "SELECT query_id, id, score, rank FROM best",
+    "hybrid_topk_deep": _hybrid(60, 60) + "SELECT query_id, id, score, rank FROM best",
+    "question_context": _hybrid(50, 3)
     + """
-SELECT query_id, rank - 1 AS position, id, text, score FROM hits JOIN documents ON doc_id = id""",
+SELECT query_id, rank - 1 AS position, id, text, score FROM best JOIN documents ON doc_id = id""",
     "last_user_text": _with(LAST_TEXT) + "SELECT * FROM last_text",
     "conversation_context": _with(
         LAST_TEXT,

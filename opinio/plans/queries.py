@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from opinio.functions.rows import fingerprint
 from opinio.functions.text import hashed_sparse, term_counts
 from opinio.operators import ratings, reviews, search, silver
 from opinio.operators.changes import apply_changes, change_set, with_row_hash
@@ -19,12 +20,18 @@ from opinio.streaming.sync import sync_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_INDEXES: dict[tuple[str, str], TextIndex] = {}
+_INDEXES: dict[tuple, TextIndex] = {}
 
 
 def corpus_index(spark: SparkSession, folder: str) -> TextIndex:
-    """The index over all documents, built once per application and folder."""
-    known = (spark.sparkContext.applicationId, folder)
+    """The index over all documents, built once per application and state of the files."""
+    files = standins.table(spark, folder, "documents").select(
+        "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time"
+    )
+    state = files.distinct().agg(
+        F.count(F.lit(1)), F.bit_xor(F.xxhash64(*files.columns))
+    )
+    known = (spark.sparkContext.applicationId, folder, *state.first())
     if known not in _INDEXES:
         index = TextIndex(spark, new_path(spark, "index"))
         _INDEXES[known] = index.build(standins.corpus(spark, folder))
@@ -57,9 +64,10 @@ def csv_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 def csv_glob_scan(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "orders")
-    orders = standins.table(spark, folder, "orders").drop("o_orderdate")
+    orders = standins.table(spark, folder, "orders")
     _write_csv(orders.repartition("o_orderpriority"), path)
-    return landing.scan_csv(spark, f"{path}/part-*.csv")
+    found = landing.scan_csv(spark, f"{path}/part-*.csv")
+    return found.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
 
 
 def csv_multiline_scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -70,15 +78,19 @@ def csv_multiline_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def file_lineage(spark: SparkSession, folder: str) -> DataFrame:
-    return landing.with_lineage(standins.table(spark, folder, "part"))
+    """The rows with the name of their file, and whether its time is known."""
+    rows = landing.with_lineage(standins.table(spark, folder, "part"))
+    return rows.select(
+        *(c for c in rows.columns if c not in landing.LINEAGE),
+        F.regexp_extract("file_path", "(part)[.]parquet", 1).alias("file_name"),
+        F.col("file_modification_time").isNotNull().alias("has_time"),
+    )
 
 
 def loaded_files(spark: SparkSession, folder: str) -> DataFrame:
     """Line items landed as one folder per return flag, counted by where they came from."""
     path = new_path(spark, "items")
-    items = standins.table(spark, folder, "lineitem").select(
-        F.col("l_returnflag").alias("flag"), "l_orderkey", "l_quantity"
-    )
+    items = standins.table(spark, folder, "lineitem").withColumn("flag", F.col("l_returnflag"))
     items.write.partitionBy("flag").csv(path, header=True)
     bronze = landing.with_lineage(landing.scan_csv(spark, f"{path}/flag=*"))
     origin = F.regexp_extract("file_path", "flag=([^/]+)/", 1)
@@ -101,8 +113,15 @@ def layered_gold(spark: SparkSession, folder: str) -> DataFrame:
     layers = layered.Layers(
         prefix=f"opinio_{uuid.uuid4().hex}", location=new_path(spark, "layers")
     )
-    layered.run_all(spark, files, layers, add_id=silver.with_stable_id)
-    return tables.read_table(spark, layers.gold).drop("id")
+    layered.run_all(
+        spark,
+        files,
+        layers,
+        add_id=silver.with_stable_id,
+        product_options={"schema": standins.products(spark, folder).schema},
+        review_options={"schema": standins.reviews(spark, folder).schema},
+    )
+    return tables.read_table(spark, layers.gold)
 
 
 # -- relational operators ------------------------------------------------------
@@ -152,7 +171,14 @@ def distinct_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def preview(spark: SparkSession, folder: str) -> DataFrame:
-    return tables.preview(silver_rows(spark, folder))
+    """How many rows a preview has, and how many of them are silver rows."""
+    silver_marks = silver_rows(spark, folder)
+    mark = fingerprint(silver_marks, silver_marks.columns).alias("mark")
+    known = silver_marks.select(mark).distinct().withColumn("known", F.lit(1))
+    shown = tables.preview(silver_rows(spark, folder)).select(mark)
+    return shown.join(known, "mark", "left").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("known").alias("n_silver")
+    )
 
 
 # -- text index ----------------------------------------------------------------
@@ -227,7 +253,8 @@ def _summary(found: Snapshot) -> DataFrame:
     matches = found.postings().groupBy("id").agg(
         F.count(F.lit(1)).alias("n_postings"), F.sum("tf").alias("n_tokens")
     )
-    return found.rows().select("id", "review_text", "lang", "source").join(matches, "id")
+    rows = found.rows().select("id", "review_text", "lang", "source")
+    return rows.join(matches, "id", "left").fillna(0, ["n_postings", "n_tokens"])
 
 
 def index_after_sync(spark: SparkSession, folder: str) -> DataFrame:
@@ -245,16 +272,18 @@ def index_terms_after_sync(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_sync(spark: SparkSession, folder: str) -> DataFrame:
-    """The same two snapshots, arriving as change files read by a stream."""
+    """The same two snapshots as change files read by a stream, then the first changes again, late."""
     before, after = standins.snapshots(spark, folder)
     changes = change_set(with_row_hash(before), with_row_hash(after), "id")
     first = before.withColumns({"op": F.lit("upsert"), "seq": F.lit(0)})
     fresh = after.join(changes.where("change != 'delete'").select("id"), "id", "left_semi")
     gone = changes.where("change = 'delete'").select("id", F.lit("delete").alias("op"))
     second = fresh.withColumn("op", F.lit("upsert")).unionByName(gone, allowMissingColumns=True)
+    touched = second.select("id")
+    late = first.join(touched, "id", "left_semi").select(*first.columns)
     feed, checkpoint = new_path(spark, "feed"), new_path(spark, "stream")
     index = TextIndex(spark, new_path(spark, "index"))
-    for day in (first, second.withColumn("seq", F.lit(1))):
+    for day in (first, second.withColumn("seq", F.lit(1)), late):
         day.write.mode("append").parquet(feed)
         sync_available(index, feed, first.schema, checkpoint)
     return _summary(index.current())
@@ -272,10 +301,21 @@ def semantic_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def semantic_topk_approx(spark: SparkSession, folder: str) -> DataFrame:
+    """One in ten vectors asks the others: share of the exact hits found, as booleans."""
     vectors = standins.table(spark, folder, "embeddings").select(
         F.col("vec_id").alias("id"), "embedding"
     )
-    return search.semantic_topk_approx(vectors, vectors.withColumnRenamed("id", "query_id"), 3)
+    asked = vectors.where(F.col("id") % 10 == 0).withColumnRenamed("id", "query_id")
+    items = search.with_bands(vectors.where(F.col("id") % 10 != 0))
+    exact = search.semantic_topk(items, asked, 3).select("query_id", "id", F.lit(1).alias("exact"))
+    near = search.semantic_topk_approx(items, asked, 3).select(
+        "query_id", "id", F.lit(1).alias("near")
+    )
+    found = exact.join(near, ["query_id", "id"], "left").agg(
+        F.count("exact").alias("n_exact"),
+        (F.count("near") >= 0.7 * F.count("exact")).alias("recall_holds"),
+    )
+    return found
 
 
 def semantic_text_topk(spark: SparkSession, folder: str) -> DataFrame:
@@ -297,9 +337,16 @@ def hybrid_topk(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def hybrid_topk_deep(spark: SparkSession, folder: str) -> DataFrame:
+    """More results than the usual depth of the two rankings."""
+    return search.search(
+        corpus_index(spark, folder), standins.questions(spark, folder), 60, "hybrid"
+    )
+
+
 def question_context(spark: SparkSession, folder: str) -> DataFrame:
     contexts = search.question_context(
-        corpus_index(spark, folder), standins.questions(spark, folder), 3, "fulltext"
+        corpus_index(spark, folder), standins.questions(spark, folder), 3
     )
     return contexts.select(
         "query_id", F.posexplode("context").alias("position", "_hit")
@@ -358,6 +405,7 @@ QUERIES: dict[str, Query] = {
         semantic_text_topk,
         fulltext_topk,
         hybrid_topk,
+        hybrid_topk_deep,
         question_context,
         last_user_text,
         conversation_context,

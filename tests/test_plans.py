@@ -107,3 +107,24 @@ def test_the_declarative_form_gives_the_same_tables(spark, landing):
     for name in ("bronze_products", "bronze_reviews", "silver", "gold"):
         mine, theirs = (spark.read.table(getattr(x, name)) for x in (layers, job))
         assert plain(mine) == plain(theirs)
+
+
+def test_each_landing_file_has_options_of_its_own(spark, landing):
+    layers = Layers(prefix="own", location=new_path(spark, "layers"))
+    names = "product_name primary_category secondary_category tertiary_category highlights x"
+    layered.run_bronze(
+        spark,
+        str(landing),
+        layers,
+        product_options={"schema": "product_id string, " + ", ".join(f"{n} string" for n in names.split())},
+        review_options={
+            "schema": "author string, product_id string, rating string, is_recommended int,"
+            " review_text string, price_usd double"
+        },
+    )
+    assert dict(spark.read.table(layers.bronze_products).dtypes)["x"] == "string"
+    assert dict(spark.read.table(layers.bronze_reviews).dtypes)["price_usd"] == "double"
+    with pytest.raises(Exception, match="header|HEADER"):
+        layered.run_bronze(
+            spark, str(landing), layers, product_options={"schema": "rating int, product_id string"}
+        )

@@ -119,3 +119,35 @@ def test_a_hot_product_is_split_by_the_join(spark):
     finally:
         for name in changed:
             spark.conf.unset(name)
+
+
+def test_a_stray_text_key_drops_out(spark):
+    products = spark.createDataFrame(
+        [(1, "Mask", "a", "b", "c", "d")],
+        "product_id int, product_name string, primary_category string, secondary_category string,"
+        " tertiary_category string, highlights string",
+    )
+    reviews = spark.createDataFrame(
+        [("1", "5", 1.0, "fine", 2.0), ('tail of a broken line"', "4", 1.0, "x", 2.0)],
+        "product_id string, rating string, is_recommended double, review_text string,"
+        " price_usd double",
+    )
+    joined = join_reviews(products, reviews)
+    assert joined.schema["product_id"].dataType.simpleString() == "int"
+    assert [(r.product_id, r.review_text) for r in joined.collect()] == [(1, "fine")]
+    assert join_reviews(reviews_as_products(products), reviews).count() == 1
+
+
+def reviews_as_products(products):
+    return products.withColumn("product_id", F.col("product_id").cast("string"))
+
+
+def test_row_marks_do_not_depend_on_the_time_zone(spark):
+    rows = spark.sql("SELECT timestamp'2024-03-01 12:00:00 UTC' AS at, 1 AS x")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    first = rows.select(fingerprint(rows, rows.columns)).first()[0]
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        assert rows.select(fingerprint(rows, rows.columns)).first()[0] == first
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
