@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from opinio.llm.common import stored
 from opinio.llm.simhash import components, majority, near_links, shingle_hashes
+from opinio.llm.urls import blocks_for, bloom_filter, maybe_listed
 
 WORDS, SIMILARITY = 5, 0.8
 LANES, RADIUS = 2, 40
@@ -162,20 +163,20 @@ def one_of_each(
         keyed.join(close.withColumnRenamed("id", "uid"), "uid").select("uid", "root", "rank", *words_of),
         "members",
     )
-    texts = rows.join(members.select("uid"), "uid", "left_semi").select(
-        "uid", F.col(f"c{docs.columns.index(text)}").alias("text")
-    )
-    to_verify = members.join(shingle_sets(texts, words), "uid").select(
-        F.col("root").alias("key"), F.col("uid").alias("id"), "rank", *words_of, "set"
+    texts = rows.select("uid", F.col(f"c{docs.columns.index(text)}").alias("text"))
+    asked, _ = split_by_list(texts, members.select("uid"))
+    sets = shingle_sets(asked.join(members.select("uid"), "uid", "left_semi"), words)
+    to_verify = members.select(
+        F.col("root").alias("key"), F.col("uid").alias("id"), "rank", *words_of
     )
     links = near_links(
-        stored(to_verify, "sets"),
+        to_verify,
         RADIUS,
         gap=1,
         lanes=LANES,
         tile=TILE,
         verify=jaccard_test(similarity),
-        payload=("set",),
+        payload=sets.withColumnRenamed("uid", "id"),
     )
     groups = components(links).withColumnRenamed("id", "uid")
     kept = (
@@ -185,6 +186,22 @@ def one_of_each(
         .agg(F.min("first").alias("first"))
         .select(F.col("first.uid").alias("uid"))
     )
-    return rows.join(kept, "uid", "left_semi").select(
+    dropped = stored(rows.select("uid").join(kept, "uid", "left_anti"), "dropped")
+    whole = rows.select("uid", *(f"c{i}" for i in range(len(docs.columns))))
+    maybe, staying = split_by_list(whole, dropped)
+    return staying.unionByName(maybe.join(dropped, "uid", "left_anti")).select(
         *(F.col(f"c{i}").alias(name) for i, name in enumerate(docs.columns))
     )
+
+
+def split_by_list(rows: DataFrame, listed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose ``uid`` may be in a list, and rows whose ``uid`` is not.
+
+    The list travels as a blocked Bloom filter of at most 4 MiB, so that wide rows which are
+    not listed need not move. A list too long for it only lets more rows through.
+    """
+    keys = listed.select(F.col("uid").alias("key"))
+    n_blocks = blocks_for(keys.count())
+    bits = bloom_filter(keys, n_blocks).scalar()
+    maybe = maybe_listed(F.col("uid"), bits, n_blocks)
+    return rows.where(maybe), rows.where(~maybe)

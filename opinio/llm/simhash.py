@@ -160,12 +160,12 @@ def near_links(
     lanes: int = 1,
     tile: int = TILE,
     verify: Verify | None = None,
-    payload: tuple[str, ...] = (),
+    payload: DataFrame | None = None,
 ) -> DataFrame:
     """``(a, b)``: links between items of one block, enough to connect what is linked.
 
-    ``items`` has ``key`` (a block), ``id``, ``rank``, ``f0``... and the ``payload`` columns.
-    Two items are linked if they share a block, their ranks differ by ``gap`` at most, their
+    ``items`` has ``key`` (a block), ``id``, ``rank`` and ``f0``...; ``payload``, if given, has
+    ``id`` and what ``verify`` needs, and joins them once they have been dealt out. Two items are linked if they share a block, their ranks differ by ``gap`` at most, their
     fingerprints by ``radius`` bits at most, and ``verify`` agrees. A block of any
     size is cut into tiles in the order of rank; each pair of tiles within the gap is a
     task's unit of work, so no block has to fit anywhere.
@@ -208,12 +208,12 @@ def near_links(
         "tile",
         F.col("first") + F.pmod(F.xxhash64("id"), F.col("last") - F.col("first") + 1),
     )
-    placed = (
-        dealt.join(roles, ["key", "tile"])
-        .select("key", "ta", "tb", "side", "rank", "id", *words, *payload)
-        .repartition("key", "ta", "tb")
-        .sortWithinPartitions("key", "ta", "tb")
+    placed = dealt.join(roles, ["key", "tile"]).select(
+        "key", "ta", "tb", "side", "rank", "id", *words
     )
+    if payload is not None:
+        placed = placed.join(payload, "id")
+    placed = placed.repartition("key", "ta", "tb").sortWithinPartitions("key", "ta", "tb")
     kind = items.schema["id"].dataType.simpleString()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
