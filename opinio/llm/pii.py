@@ -179,7 +179,6 @@ def find_spans(docs: DataFrame, text: str = "text", out: str = "pii") -> DataFra
     replaced. Base kinds are kept whatever their score; other kinds from
     ``KEEP_FROM`` on.
     """
-    # the one pass over all kinds is cut off from later uses, which would repeat it
     whole = F.coalesce(F.col(text), F.lit(""))
     return docs.withColumn(
         out,
