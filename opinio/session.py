@@ -39,7 +39,7 @@ def shared_dir(spark: SparkSession) -> str:
     Where that is unset, a folder in the warehouse, which a cluster shares as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    return (base or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch").rstrip("/")
+    return (base or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch").rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
