@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinio.llm.differencing import windows
-from opinio.llm.tokens import token_ids
+from opinio.llm.tokens import runs, word_ids
 
 CAPACITY = 4096
 # Longest piece of what a document leaves beyond whole windows.
@@ -34,36 +34,47 @@ def cuts(n: int, capacity: int = CAPACITY, piece: int = PIECE) -> list[tuple[int
     return found + [(start, min(piece, n - start)) for start in range(whole, n, piece)]
 
 
-def pieces(tokens: DataFrame, doc: str, capacity: int, piece: int) -> DataFrame:
-    """``(doc, row, start, length, doc_tokens, ids)`` from ``(doc, row, ids)``."""
-    kind = tokens.schema[doc].dataType.simpleString()
+def pieces(
+    docs: DataFrame, vocabulary: str, doc: str, text: str, capacity: int, piece: int
+) -> DataFrame:
+    """``(doc, row, start, length, doc_tokens, ids)`` of every document row.
+
+    Texts become ids and pieces in one pass, so a task needs one Python worker.
+    """
+    source = docs.select(doc, text, F.monotonically_increasing_id().alias("row"))
+    kind = source.schema[doc].dataType.simpleString()
     schema = f"`{doc}` {kind}, row bigint, start bigint, length bigint, doc_tokens bigint, ids binary"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = word_ids(vocabulary)
         for batch in batches:
-            source, starts, lengths, ids = [], [], [], []
-            for i, value in enumerate(batch.column("ids")):
-                whole = memoryview(value.as_buffer())
-                for start, length in cuts(len(whole) // 4, capacity, piece):
-                    source.append(i)
-                    starts.append(start)
-                    lengths.append(length)
-                    ids.append(whole[4 * start : 4 * (start + length)])
-            sizes = np.array([len(v.as_buffer()) // 4 for v in batch.column("ids")], np.int64)
-            at = pa.array(source, pa.int64())
-            yield pa.record_batch(
-                [
-                    batch.column(doc).take(at),
-                    batch.column("row").take(at),
-                    pa.array(starts, pa.int64()),
-                    pa.array(lengths, pa.int64()),
-                    pa.array(sizes[np.array(source, np.int64)], pa.int64()),
-                    pa.array(ids, pa.binary()),
-                ],
-                names=[doc, "row", "start", "length", "doc_tokens", "ids"],
-            )
-
-    return tokens.mapInArrow(cut, schema)
+            first = 0
+            for run in runs(batch.column(1).cast(pa.binary()).fill_null(b"")):
+                found = words.texts(run)
+                sizes = np.array([len(ids) // 4 for ids in found], np.int64)
+                source, starts, lengths, ids = [], [], [], []
+                for i, whole in enumerate(found):
+                    for start, length in cuts(len(whole) // 4, capacity, piece):
+                        source.append(i)
+                        starts.append(start)
+                        lengths.append(length)
+                        ids.append(whole[4 * start : 4 * (start + length)])
+                at = np.array(source, np.int64)
+                yield pa.record_batch(
+                    [
+                        batch.column(0).take(pa.array(at + first)),
+                        batch.column(2).take(pa.array(at + first)),
+                        pa.array(starts, pa.int64()),
+                        pa.array(lengths, pa.int64()),
+                        pa.array(sizes[at]),
+                        pa.array(ids, pa.binary()),
+                    ],
+                    names=[doc, "row", "start", "length", "doc_tokens", "ids"],
+                )
+                first += len(run)
+            pa.system_memory_pool().release_unused()  # back to the machine, for the other workers
+
+    return source.mapInArrow(cut, schema)
 
 
 def pack(
@@ -84,11 +95,8 @@ def pack(
     """
     size = docs.agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)) + 1)).first()[0] or 0
     n_groups = max(1, -(-size // group_bytes))
-    numbered = token_ids(docs, vocabulary, doc, text).withColumn(
-        "row", F.monotonically_increasing_id()
-    )
     group = F.pmod(F.xxhash64("row", "start"), F.lit(n_groups))
-    cut = pieces(numbered, doc, capacity, piece).withColumn("group", group)
+    cut = pieces(docs, vocabulary, doc, text, capacity, piece).withColumn("group", group)
     kind = cut.schema[doc].dataType.simpleString()
     schema = (
         f"`{doc}` {kind}, start bigint, length bigint, ids binary, doc_tokens bigint, "

@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 END_ID = 2
-# Words kept by a worker, about 80 MB; beyond, it begins anew. Results do not depend on it.
-WORDS_KEPT = 400_000
+# Words kept by a worker, about 60 MB; beyond, it begins anew. Results do not depend on it.
+WORDS_KEPT = 300_000
 # Bytes of text whose ids are made at once.
 BYTES_AT_ONCE = 4 << 20
 PIECES_A_LINE = 200
