@@ -18,7 +18,7 @@ from opinio.llm import (
     token_files,
     urls,
 )
-from opinio.llm.common import fold, table
+from opinio.llm.common import fold, stored, table
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -168,6 +168,8 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.crc32("ids").alias("ids_crc32"),
     )
+    # a few numbers per document, needed twice: the files are decoded once
+    digests = stored(digests, "digests")
     return token_files.with_starts(digests).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 

@@ -184,7 +184,8 @@ def read_token_files(spark: SparkSession, path: str, doc: str = "doc_id") -> Dat
 def with_starts(rows: DataFrame) -> DataFrame:
     """Adds ``start``, the ids of all documents before a row's ``place``.
 
-    Sums run within a file; the files' totals, one row each, are summed first.
+    Sums run within a file; the files' totals, one row each, are summed first. ``rows`` are
+    read twice, so they should be stored or cheap.
     """
     filed = rows.withColumn("_file", F.shiftright("place", 33))
     totals = filed.groupBy("_file").agg(F.sum("n_tokens").alias("_n"))
