@@ -114,3 +114,30 @@ def test_query_equals_a_plain_search(spark, data, documents):
     for d, i in got - whole:  # the rest holds a window of the item within its budget
         windows = D.cut_windows([(i, bench[i])])
         assert any(distance(w, docs[d]) <= b for w, b in zip(windows.texts, windows.budgets))
+
+
+def test_excerpts_are_found_wherever_they_begin():
+    item = D.fold(ITEM.encode())
+    windows = D.cut_windows([(1, item)])
+    for n in (72, 90, 100):
+        for start in range(len(item) - n + 1):
+            text = b"zz qq " + item[start : start + n] + b" qq zz"
+            assert 1 in D.regions(windows, text), (n, start)
+
+
+def test_replaced_words_within_a_tenth_of_a_short_item_are_found():
+    words = D.fold(ITEM.encode()).split()
+    for first in range(len(words) - 16):
+        item = b" ".join(words[first : first + 16])
+        windows = D.cut_windows([(1, item)])
+        for i in range(16):
+            part = words[first : first + 16]
+            part[i] = b"x" * len(part[i])
+            text = b"zz qq " + b" ".join(part) + b" qq zz"
+            if distance(item, text) <= len(item) // 10:
+                assert 1 in D.regions(windows, text), (item, i)
+
+
+def test_an_item_as_short_as_a_q_gram_is_found():
+    windows = D.cut_windows([(1, D.fold(b"Blue Jay"))])
+    assert D.regions(windows, D.fold(b"Look, a blue jay!"))[1][2] == 0
