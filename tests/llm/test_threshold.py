@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from opinio.llm import threshold
@@ -64,3 +65,35 @@ def test_odd_rows_and_many_blocks(spark):
         got = threshold.top_k(frame, F.col("vec_id") % 10 == 0, 5, shard=shard, queries=queries)
         assert sorted(tuple(r) for r in got.collect()) == want
     assert threshold.top_k(frame.limit(0), F.col("vec_id") % 10 == 0).count() == 0
+
+
+def test_large_components_take_part(spark):
+    rng = np.random.default_rng(6)
+    for kind, size in (("float", 5_000.0), ("float", 3e5), ("double", 3e5)):
+        rows = [(i, (size * rng.normal(size=4)).astype(np.float32).tolist()) for i in range(700)]
+        # sums with these need more than 64 bits, or more than doubles hold
+        rows += [(701, [-1e20, 0.0, 0.0, 0.0]), (702, [0.0, 0.0, 0.0, 0.0])] if size > 5_000 else []
+        rows += [(703, [-1e308, 0.0, 0.0, 0.0])] if kind == "double" else []
+        rows = [(v, [abs(e[0]), *e[1:]] if v < 700 else e) for v, e in rows]
+        frame = spark.createDataFrame(rows, f"vec_id bigint, embedding array<{kind}>")
+        if kind == "float":
+            rows = [(r.vec_id, list(r.embedding)) for r in frame.collect()]
+        asks = lambda v: v % 100 == 0
+        got = threshold.top_k(frame, F.col("vec_id") % 100 == 0, 5, shard=500)
+        exact = [(v, [x if abs(x) < 1e300 else int(x) for x in e]) for v, e in rows]
+        want = []
+        for q, a in exact:
+            if asks(q):
+                scores = sorted(
+                    (-sum(math.floor(1024 * x) * math.floor(1024 * y) for x, y in zip(a, b)), v)
+                    for v, b in exact
+                    if v != q
+                )
+                want += [(q, n + 1, v, -s) for n, (s, v) in enumerate(scores[:5])]
+        assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+
+
+def test_a_score_beyond_a_bigint_is_an_error_and_not_a_wrong_number(spark):
+    frame = spark.createDataFrame([(0, [1e20]), (1, [1e20])], "vec_id bigint, embedding array<float>")
+    with pytest.raises(Exception, match="too large for a bigint"):
+        threshold.top_k(frame, F.col("vec_id") == 0, 1).collect()
