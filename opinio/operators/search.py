@@ -33,7 +33,7 @@ DEFAULT_RESULTS = 5
 PUSHED_TERMS = 1000
 
 # Approximate search: bands, sign bits of each, seed of the directions.
-BANDS, BAND_BITS, BAND_SEED = 32, 6, 7
+BANDS, BAND_BITS, BAND_SEED = 64, 6, 7
 
 
 def semantic_topk(

@@ -144,3 +144,15 @@ def test_full_text_work_follows_the_postings():
     found = {q: (rows, scores) for q, rows, scores in weighted_terms_scorer(queries)(items)()}
     assert found[0][0].tolist() == [7] and found[0][1].tolist() == [2.0]
     assert len(found[1][0]) == 1000 and found[1][1].max() == 3.0
+
+
+def test_approximate_search_finds_nine_in_ten_without_the_own_row(spark, data):
+    vectors = standins.table(spark, data, "embeddings").select(
+        F.col("vec_id").alias("id"), "embedding"
+    )
+    asked = vectors.withColumnRenamed("id", "query_id").where("query_id % 10 = 0")
+    exact, near = (
+        f(vectors, asked, 4).where("query_id <> id and rank <= 4").select("query_id", "id")
+        for f in (search.semantic_topk, search.semantic_topk_approx)
+    )
+    assert exact.join(near, ["query_id", "id"]).count() >= 0.9 * exact.count()
