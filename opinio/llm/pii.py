@@ -29,7 +29,7 @@ IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 SECRET = (
     r"(?i)(?<![a-z0-9])(?:token|password|passwd|secret|api[_-]?key)\x20{0,3}[=:]\x20{0,3}"
-    r"""["']?[A-Za-z0-9_/+-]{8,256}["']?"""
+    r"""["']?[A-Za-z0-9_/+-]{8,}+["']?"""
 )
 
 # Code points on each side of a span that are searched for context words.

@@ -101,3 +101,13 @@ def test_masking_keeps_rows_columns_and_the_rest_of_the_text(spark):
     assert rows[0] == rows[1] == (1, "to [EMAIL], [PHONE]!", "en", 20, "a")
     assert rows[2] == (2, None, None, None, None) and rows[3] == (None, "clean", "en", 7, "b")
     assert pii.mask_documents(docs.limit(0)).count() == 0
+
+
+def test_a_long_secret_is_masked_to_its_end(spark):
+    text = "api_key=" + "aB3" * 333 + "x and more"
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    (row,) = pii.find_spans(docs, out="pii").collect()
+    (secret,) = [s for s in row.pii if s.kind == "secret"]
+    assert text[secret.start : secret.end] == text.removesuffix(" and more")
+    (masked,) = pii.mask_documents(docs, length=None).collect()
+    assert "aB3" not in masked.text and masked.text.endswith(" and more")
