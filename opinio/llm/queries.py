@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from opinio.llm import (
     chat,
     decontaminate,
+    importance,
     language,
     packing,
     pii,
@@ -17,6 +18,8 @@ from opinio.llm import (
     threshold,
     token_files,
     urls,
+    vector_codes,
+    warc,
 )
 from opinio.llm.common import fold, stored, table
 
@@ -217,6 +220,137 @@ WITH v AS (
 SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM ranked WHERE n <= 10
 """
 
+
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records and read back: digest, type and what a revisit refers to."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc.archive_round_trip(pages).select(
+        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+# base32: every five hex digits of the SHA-1 are four letters
+OP11_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages
+), placed AS (
+  SELECT page_id, strlen(body) AS payload_bytes, sha1(body) AS h,
+    row_number() OVER (PARTITION BY body ORDER BY page_id NULLS LAST) AS n,
+    first_value(page_id) OVER (PARTITION BY body ORDER BY page_id NULLS LAST) AS response
+  FROM p
+)
+SELECT page_id, payload_bytes,
+  list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((CAST('0x' || substr(h, CAST(1 + 5 * (i // 4) AS INTEGER), 5) AS INTEGER)
+      >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31), 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN n = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN n > 1 THEN response END AS refers_to
+FROM placed
+"""
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's weight towards the benchmark, its score, and the tenth that is drawn."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return importance.resample(docs, table(spark, sf_dir, "benchmark"))
+
+
+# crc32 of each distinct word byte by byte, eight bits a byte
+OP12_SQL = r"""
+WITH doc_words AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+), target_words AS (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark
+), found AS (SELECT r, unnest(words) AS word FROM doc_words
+), wanted AS (SELECT unnest(words) AS word FROM target_words
+), bytes AS (
+  SELECT word, hex(word) AS h FROM (SELECT word FROM found UNION SELECT word FROM wanted)
+), coded AS (
+  SELECT word, xor(list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(CAST(length(h) / 2 AS BIGINT)),
+      lambda i: CAST(CAST('0x' || substr(h, CAST(2 * i + 1 AS INTEGER), 2) AS INTEGER) AS BIGINT))),
+    lambda acc, b: list_reduce(
+      list_prepend(xor(acc, b), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+      lambda c, zero: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)),
+    CAST(4294967295 AS BIGINT)) % 10000 AS bucket
+  FROM bytes
+), s AS (SELECT bucket, count(*) AS s FROM found JOIN coded USING (word) GROUP BY bucket
+), t AS (SELECT bucket, count(*) AS t FROM wanted JOIN coded USING (word) GROUP BY bucket
+), totals AS (
+  SELECT (SELECT count(*) FROM found) AS s_all, (SELECT count(*) FROM wanted) AS t_all
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(
+    (CAST(coalesce(t, 0) AS DOUBLE) + 1) * (s_all + 10000)
+      / ((CAST(s AS DOUBLE) + 1) * (t_all + 10000)))) AS BIGINT) AS gain
+  FROM s LEFT JOIN t USING (bucket) CROSS JOIN totals
+), weights AS (
+  SELECT r, count(*) AS n_features, CAST(floor(sum(gain)::DOUBLE / count(*)) AS BIGINT) AS weight
+  FROM found JOIN coded USING (word) JOIN gains USING (bucket) GROUP BY r
+), scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:'
+      || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+      / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM doc_words LEFT JOIN weights USING (r)
+), drawn AS (
+  SELECT *, n_features >= 20 AS able,
+    row_number() OVER (PARTITION BY n_features >= 20
+      ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS place,
+    count(*) OVER (PARTITION BY n_features >= 20) AS n
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN able AND place <= 10 * n // 100 THEN place END AS rank FROM drawn
+"""
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector as eight entry numbers, with its error, its label's error and the codebooks' digest."""
+    return vector_codes.encode(table(spark, sf_dir, "embeddings"))
+
+
+def op13_sql(rounds: int = 6) -> str:
+    """The rounds one after the other: nearest entries, then floored means."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""code{i} AS (
+  SELECT r, part, entry, distance FROM (
+    SELECT p.r, p.part, b.entry, d.distance,
+      row_number() OVER (PARTITION BY p.r, p.part ORDER BY d.distance, b.entry) AS n
+    FROM parts p JOIN book{i} b ON b.part = p.part, LATERAL (SELECT list_sum(list_transform(range(1, len(p.x) + 1),
+      lambda k: (p.x[k] - b.x[k]) * (p.x[k] - b.x[k])))::BIGINT AS distance) d
+  ) WHERE n = 1)""")
+        if i < rounds:
+            steps.append(f"""mean{i} AS (
+  SELECT part, entry, list(m ORDER BY k) AS x FROM (
+    SELECT c.part, c.entry, k, CAST(floor(sum(p.x[k])::DOUBLE / count(*)) AS BIGINT) AS m
+    FROM code{i} c JOIN parts p USING (r, part), range(1, 9) t(k) WHERE k <= len(p.x)
+    GROUP BY c.part, c.entry, k) GROUP BY part, entry
+), book{i + 1} AS (
+  SELECT part, entry, coalesce(m.x, b.x) AS x FROM book{i} b LEFT JOIN mean{i} m USING (part, entry))""")
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST) AS r, vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS (
+  SELECT r, part, v[1 + part * (len(v) // 8):(part + 1) * (len(v) // 8)] AS x FROM kept, range(8) t(part)
+), book0 AS (SELECT part, r - 1 AS entry, x FROM parts WHERE r <= 16
+), {", ".join(steps)}, coded AS (
+  SELECT r, string_agg(printf('%02x', entry), '' ORDER BY part) AS code,
+    CAST(sum(distance) AS BIGINT) AS error FROM code{rounds} GROUP BY r
+), digest AS (
+  SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY part, entry, k)) AS codebooks_sha256
+  FROM (SELECT part, entry, unnest(x) AS c, generate_subscripts(x, 1) AS k FROM book{rounds})
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  codebooks_sha256 FROM kept JOIN coded USING (r), digest
+"""
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_quality": op2_quality,
@@ -228,10 +362,16 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_decontaminate": op9_decontaminate,
     "op10_top_k": op10_top_k,
+    "op11_warc": op11_warc,
+    "op12_importance": op12_importance,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 ORACLES = {
     "op3_chat_format": OP3_SQL,
     "op4_url_filter": OP4_SQL,
     "op10_top_k": OP10_SQL,
+    "op11_warc": OP11_SQL,
+    "op12_importance": OP12_SQL,
+    "op13_vector_codes": op13_sql(),
 }
