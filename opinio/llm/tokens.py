@@ -55,7 +55,8 @@ SIGN = np.zeros(256, bool)
 SIGN[[c for c in range(33, 127) if not chr(c).isalnum() and c != 39]] = True
 SMALL = np.zeros(256, bool)
 SMALL[97:123] = True
-# Two-byte letters: U+00C0 to U+017F but for the signs U+00D7 and U+00F7.
+# Two-byte letters: U+00C0 to U+017F but for the signs U+00D7 and U+00F7, and U+0130, whose
+# lower case ends in a combining dot that the tokenizer joins to a sign.
 LEAD = np.zeros(256, bool)
 LEAD[[0xC3, 0xC4, 0xC5]] = True
 
@@ -72,7 +73,10 @@ def folded(texts: pa.BinaryArray) -> pa.BinaryArray:
     signs = signs[signs > 1]
     last, before = codes[signs - 1], codes[signs - 2]
     letter = SMALL[last] | (
-        LEAD[before] & (last >= 128) & ~((before == 0xC3) & ((last == 0x97) | (last == 0xB7)))
+        LEAD[before]
+        & (last >= 128)
+        & ~((before == 0xC3) & ((last == 0x97) | (last == 0xB7)))
+        & ~((before == 0xC4) & (last == 0xB0))
     )
     signs = signs[letter]
     apart = np.insert(codes, signs, 32)

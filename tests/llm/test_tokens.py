@@ -47,6 +47,18 @@ def test_words_give_the_ids_of_the_whole_text(whole, documents, monkeypatch):
             assert np.frombuffer(ids, "<u4").tolist() == expected(whole, text.as_py().decode())
 
 
+def test_random_texts_give_the_ids_of_the_whole_text(whole):
+    rng = np.random.default_rng(11)
+    signs = [*"aZe \t\n!'.,-(09<|>", "\u0130", "\u0131", "\u0307", "\u00e9", "\u00c9", "\u00d7", "\u0133", "ff", "\u017f", "\u00df", "\u0149", "'s", "'LL", "\u6c34"]
+    texts = ["".join(rng.choice(signs, rng.integers(0, 30))) for _ in range(20_000)]
+    texts += ["MEMLEKET\u0130!", "\u0130.\u0130", "i\u0130-a\u0130's"]
+    words = tk.WordIds(PATH)
+    found = words.texts(pa.array([t.encode() for t in texts], pa.binary()), "<u2")
+    wanted = whole.encode_batch(texts, add_special_tokens=False)
+    for text, ids, want in zip(texts, found, wanted):
+        assert np.frombuffer(ids, "<u2").tolist() == [*want.ids, tk.END_ID], text
+
+
 def best_total(counts, max_bits):
     """Cost of the best limited code, from the plain definition of package-merge."""
     n = len(counts)
