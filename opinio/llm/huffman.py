@@ -61,14 +61,16 @@ class Encoder:
         self.lengths = lengths.astype(np.int64)
         self.codes = codes(lengths).astype(np.uint64)
 
-    def block(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
-        """The bytes of at most BLOCK ids, and the bit offset of every STRIDE-th."""
+    def blocks(self, ids: np.ndarray, counts: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The bytes of several blocks of ids, each on a byte border, and where each begins."""
         sizes = self.lengths[ids]
         ends = np.cumsum(sizes)
-        starts = ends - sizes
-        n_bits = int(ends[-1]) if len(ends) else 0
-        words = np.zeros(n_bits // 64 + 2, np.uint64)
-        if n_bits:
+        edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        begins = np.concatenate([[0], np.cumsum((np.diff(edges) + 7) // 8)])
+        total = int(begins[-1])
+        words = np.zeros(total // 8 + 2, np.uint64)
+        if len(ids):
+            starts = ends - sizes + np.repeat(8 * begins[:-1] - edges[:-1], counts)
             word = starts >> 6
             shift = 64 - (starts & 63) - sizes
             code = self.codes[ids]
@@ -82,8 +84,13 @@ class Encoder:
             # at most one code crosses into each next word
             over = np.flatnonzero(shift < 0)
             words[word[over] + 1] |= code[over] << (64 + shift[over]).astype(np.uint64)
-        payload = words.astype(">u8").tobytes()[: -(-n_bits // 8)]
-        return payload, starts[::STRIDE].astype("<u4")
+        return words.astype(">u8").tobytes()[:total], begins
+
+    def block(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The bytes of at most BLOCK ids, and the bit offset of every STRIDE-th."""
+        payload, _ = self.blocks(ids, np.array([len(ids)]))
+        sizes = self.lengths[ids]
+        return payload, (np.cumsum(sizes) - sizes)[::STRIDE].astype("<u4")
 
 
 class Decoder:

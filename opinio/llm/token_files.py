@@ -12,13 +12,14 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from opinio.llm.common import stored
 from opinio.llm.huffman import BLOCK, STRIDE, Decoder, Encoder, code_lengths
-from opinio.llm.tokens import token_ids
+from opinio.llm.tokens import runs, word_ids
 from opinio.session import new_path, shuffle_partitions
 
 # Ids decoded together by a task.
@@ -29,21 +30,60 @@ IDS_AT_ONCE = 1 << 20
 NARROW, MOST_IDS = "<u2", 1 << 16
 
 
+TOTALS = "_totals"
+
+
+def counted_ids(docs: DataFrame, vocabulary: str, doc: str, text: str, n_ids: int) -> DataFrame:
+    """``(doc, ids, _totals)``: ids of each text, and one row per task with the counts of its ids.
+
+    That row has no ids; in the others ``_totals`` is NULL.
+    """
+    source = docs.select(doc, text)
+    schema = f"`{doc}` {source.schema[doc].dataType.simpleString()}, ids binary, `{TOTALS}` binary"
+    names = [doc, "ids", TOTALS]
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, total, kind = word_ids(vocabulary), np.zeros(n_ids, np.int64), None
+        for batch in batches:
+            at, kind = 0, batch.column(0).type
+            for run in runs(batch.column(1).cast(pa.binary()).fill_null(b"")):
+                ids, edges = words.encoded(run, NARROW)
+                total += np.bincount(ids, minlength=n_ids)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, len(run)), binaries(ids, edges), pa.nulls(len(run), pa.binary())],
+                    names=names,
+                )
+                at += len(run)
+            pa.system_memory_pool().release_unused()  # back to the machine, for the other workers
+        if kind is not None:
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(1, kind), pa.nulls(1, pa.binary()), pa.array([total.tobytes()], pa.binary())],
+                names=names,
+            )
+
+    return source.mapInArrow(encode, schema)
+
+
+def binaries(values: np.ndarray, edges: np.ndarray) -> pa.BinaryArray:
+    """Slices of an array as binary values."""
+    offsets = (edges * values.dtype.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+
 def id_counts(tokens: DataFrame) -> DataFrame:
-    """``(id, n)`` over all rows of ``ids``; one row per id and task is shuffled."""
+    """``(id, n)`` from the tasks' totals; one row per id and task is shuffled."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for value in batch.column("ids"):
-                found = np.bincount(np.frombuffer(value.as_buffer(), NARROW))
-                if len(found) > len(total):
-                    total, found = found.astype(np.int64), total
-                total[: len(found)] += found
+            for value in batch.column(0):
+                found = np.frombuffer(value.as_buffer(), np.int64)
+                total = found + total if len(total) else found
         ids = np.flatnonzero(total)
         yield pa.record_batch([pa.array(ids), pa.array(total[ids])], names=["id", "n"])
 
-    partial = tokens.select("ids").mapInArrow(count, "id bigint, n bigint")
+    totals = tokens.where(F.col(TOTALS).isNotNull()).select(TOTALS)
+    partial = totals.mapInArrow(count, "id bigint, n bigint")
     return partial.groupBy("id").agg(F.sum("n").alias("n"))
 
 
@@ -73,27 +113,53 @@ def _encoded(tokens: DataFrame, doc: str, lengths: bytes) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(lengths)
-        for batch in batches:
-            sizes, blocks, checkpoints, payloads = [], [], [], []
-            for value in batch.column("ids"):
-                ids = np.frombuffer(value.as_buffer(), NARROW)
-                parts = [encoder.block(ids[i : i + BLOCK]) for i in range(0, len(ids), BLOCK)]
-                sizes.append(len(ids))
-                blocks.append([len(payload) for payload, _ in parts])
-                checkpoints.append(b"".join(marks.tobytes() for _, marks in parts))
-                payloads.append(b"".join(payload for payload, _ in parts))
-            yield pa.record_batch(
-                [
-                    batch.column(doc),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(blocks, pa.list_(pa.int32())),
-                    pa.array(checkpoints, pa.binary()),
-                    pa.array(payloads, pa.binary()),
-                ],
-                names=[doc, "n_tokens", "blocks", "checkpoints", "payload"],
-            )
+        for whole in batches:
+            for batch in bounded(whole, pc.binary_length(whole.column("ids")).to_numpy() // 2):
+                values = batch.column("ids")
+                sizes = pc.binary_length(values).to_numpy().astype(np.int64) // 2
+                ids = np.frombuffer(values.buffers()[2] or b"", NARROW)
+                first = np.frombuffer(values.buffers()[1], np.int32)[values.offset] // 2
+                ids = ids[first : first + sizes.sum()]
+                of, counts = divided(sizes, BLOCK)
+                payload, begins = encoder.blocks(ids, counts)
+                # bit offsets of every STRIDE-th id, from the begin of its block
+                bits = np.concatenate([[0], np.cumsum(encoder.lengths[ids])])
+                block, runs_of = divided(counts, STRIDE)
+                each = np.cumsum(runs_of) - runs_of
+                blocks_at = np.cumsum(counts) - counts
+                marks = (bits[each] - bits[blocks_at[block]]).astype("<u4")
+                in_doc = np.searchsorted(of, np.arange(len(sizes) + 1))
+                marks_in_doc = np.searchsorted(of[block], np.arange(len(sizes) + 1))
+                yield pa.record_batch(
+                    [
+                        batch.column(doc),
+                        pa.array(sizes, pa.int64()),
+                        pa.ListArray.from_arrays(pa.array(in_doc, pa.int32()), pa.array(np.diff(begins), pa.int32())),
+                        binaries(marks, marks_in_doc),
+                        binaries(np.frombuffer(payload, np.uint8), begins[in_doc]),
+                    ],
+                    names=[doc, "n_tokens", "blocks", "checkpoints", "payload"],
+                )
+
+    return tokens.select(doc, "ids").mapInArrow(encode, schema)
+
+
+def divided(sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ``sizes`` things cut into parts of at most ``most``: each part's run, and its size."""
+    n = -(-sizes // most)
+    of = np.repeat(np.arange(len(sizes)), n)
+    number = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+    return of, np.minimum(most, sizes[of] - number * most)
+
 
-    return tokens.mapInArrow(encode, schema)
+def bounded(batch: pa.RecordBatch, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of at most IDS_AT_ONCE ids; a longer document is a slice of its own."""
+    within, start = np.cumsum(sizes), 0
+    while start < batch.num_rows:
+        base = within[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(within, base + IDS_AT_ONCE, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
 
 
 def write_token_files(
@@ -105,16 +171,19 @@ def write_token_files(
     other. Columns other than the two are not written.
     """
     spark = docs.sparkSession
-    if Tokenizer.from_file(vocabulary).get_vocab_size() > MOST_IDS:
+    n_ids = 1 + max(Tokenizer.from_file(vocabulary).get_vocab().values())
+    if n_ids > MOST_IDS:
         raise ValueError(f"more than {MOST_IDS} ids")
-    tokens = stored(token_ids(docs, vocabulary, doc, text, NARROW), "tokens")
+    tokens = stored(counted_ids(docs, vocabulary, doc, text, n_ids), "tokens")
     lengths = _lengths(id_counts(tokens)).tobytes()
     spark.createDataFrame([(bytearray(lengths),)], "lengths binary").coalesce(1).write.parquet(
         f"{path}/codes"
     )
     # the row number tells equal ids apart, so that many tasks may share them
     ordered = (
-        tokens.withColumn("row", F.monotonically_increasing_id())
+        tokens.where(F.col("ids").isNotNull())
+        .select(doc, "ids")
+        .withColumn("row", F.monotonically_increasing_id())
         .repartitionByRange(shuffle_partitions(spark), doc, "row")
         .sortWithinPartitions(doc, "row")
         .drop("row")
@@ -137,46 +206,26 @@ def read_token_files(spark: SparkSession, path: str, doc: str = "doc_id") -> Dat
         "ids binary"
     )
 
-    def some(decoder: Decoder, rows: list[tuple]) -> list[memoryview]:
-        """The ids of some rows of (n_tokens, blocks, checkpoints, payload)."""
-        starts, counts, base = [], [], 0
-        for n, blocks, checkpoints, payload in rows:
-            if not n:
-                continue
-            marks = np.frombuffer(checkpoints, "<u4").astype(np.int64)
-            of = np.arange(len(marks)) // (BLOCK // STRIDE)
-            begins = np.concatenate([[0], np.cumsum(blocks)[:-1]]) + base
-            starts.append(marks + 8 * begins[of])
-            each = np.full(len(marks), STRIDE)
-            each[-1] = n - STRIDE * (len(marks) - 1)
-            counts.append(each)
-            base += len(payload)
-        payload = b"".join(row[3] for row in rows)
-        ids = (
-            decoder.lanes(payload, np.concatenate(starts), np.concatenate(counts))
-            if starts
-            else np.empty(0, np.uint32)
-        )
-        flat = memoryview(ids.astype("<u4").tobytes())
-        ends = np.cumsum([0, *(4 * row[0] for row in rows)]).tolist()
-        return [flat[a:b] for a, b in zip(ends, ends[1:])]
+    def some(decoder: Decoder, part: pa.RecordBatch) -> pa.BinaryArray:
+        """The ids of some documents, all their runs of ids decoded together."""
+        sizes = part.column("n_tokens").to_numpy().astype(np.int64)
+        payload = b"".join(part.column("payload").to_pylist())
+        marks = np.frombuffer(b"".join(part.column("checkpoints").to_pylist()), "<u4").astype(np.int64)
+        block_bytes = part.column("blocks").flatten().to_numpy().astype(np.int64)
+        _, counts = divided(sizes, BLOCK)
+        block, runs_of = divided(counts, STRIDE)
+        begins = np.cumsum(block_bytes) - block_bytes
+        ids = decoder.lanes(payload, marks + 8 * begins[block], runs_of)
+        return binaries(ids.astype("<u4"), np.concatenate([[0], np.cumsum(sizes)]))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = _decoder(lengths)
         for batch in batches:
-            sizes = batch.column("n_tokens").to_numpy()
-            start = 0
-            while start < batch.num_rows:
-                within = np.cumsum(sizes[start:])
-                stop = start + max(1, int(np.searchsorted(within, IDS_AT_ONCE, side="right")))
-                part = batch.slice(start, stop - start)
-                columns = [part.column(c).to_pylist() for c in part.schema.names[2:]]
-                ids = some(decoder, list(zip(*columns)))
+            for part in bounded(batch, batch.column("n_tokens").to_numpy()):
                 yield pa.record_batch(
-                    [*(part.column(c) for c in part.schema.names[:3]), pa.array(ids, pa.binary())],
+                    [*(part.column(c) for c in part.schema.names[:3]), some(decoder, part)],
                     names=[doc, "place", "n_tokens", "ids"],
                 )
-                start = stop
 
     return rows.mapInArrow(decode, schema)
 

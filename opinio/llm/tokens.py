@@ -7,6 +7,7 @@ a text costs one lookup per word, and the tokenizer sees each new word once.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
 from functools import cache
@@ -14,12 +15,12 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 END_ID = 2
-# Words kept by a worker, about 60 MB; beyond, it begins anew. Results do not depend on it.
-WORDS_KEPT = 300_000
+# Words kept by a worker, some 20 MB; beyond, the more frequent half stays. Results do not
+# depend on it.
+WORDS_KEPT = 400_000
 # Bytes of text whose ids are made at once.
 BYTES_AT_ONCE = 4 << 20
 PIECES_A_LINE = 200
@@ -29,6 +30,7 @@ PIECES_A_LINE = 200
 LATIN = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017e"
 PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z{LATIN}]+|[0-9]|[^\sa-z0-9{LATIN}]+")
 PLAIN = re.compile(rf"[\x21-\x7e{LATIN}]+")
+LETTERS = f"^[A-Za-z{LATIN}]+$"
 
 
 # A-Z in lower case, ASCII white space as blanks.
@@ -87,7 +89,10 @@ def folded(texts: pa.BinaryArray) -> pa.BinaryArray:
 
 
 class WordIds:
-    """Ids of words as little-endian unsigned 32-bit bytes."""
+    """Ids of words: a bounded table of the words met, looked up once for each distinct word.
+
+    Words, ids and their places are kept in arrays; a run's new words are learned together.
+    """
 
     def __init__(self, path: str):
         self.whole = Tokenizer.from_file(path)
@@ -105,102 +110,151 @@ class WordIds:
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, number in vocabulary.items():
             self.closes[number] = token.endswith("</w>")
-        self.words: dict[bytes, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = pa.array([], pa.binary())
+        self.ids = np.empty(0, np.uint32)
+        self.lengths = np.empty(0, np.int32)
+        self.met = np.empty(0, np.int32)  # runs in which a word was met
 
     def texts(self, texts: pa.BinaryArray, kind: str = "<u4") -> list[bytes]:
         """Ids of each text, none of which is NULL, and the end id."""
-        if len(self.words) > WORDS_KEPT:
-            self.words.clear()
-        odd = []
+        ids, edges = self.encoded(texts, kind)
+        raw = memoryview(ids.tobytes())
+        edges = (edges * ids.dtype.itemsize).tolist()
+        return [bytes(raw[a:b]) for a, b in zip(edges, edges[1:])]
+
+    def encoded(self, texts: pa.BinaryArray, kind: str = "<u4") -> tuple[np.ndarray, np.ndarray]:
+        """All ids, each text's with the end id, and where each text's begin and the last's end."""
+        odd = np.zeros(len(texts), bool)
         if unfoldable(codes_of(texts)[0].tobytes()):
-            odd = [i for i, text in enumerate(texts) if unfoldable(text.as_py())]
-        if not odd:
-            return self._split(pc.split_pattern(folded(texts), b" "), kind)
-        found: list[bytes] = [b""] * len(texts)
-        plain = sorted(set(range(len(texts))) - set(odd))
-        lists = [
-            (odd, pa.array([texts[i].as_py().split() for i in odd], pa.list_(pa.binary()))),
-            (plain, pc.split_pattern(folded(texts.take(pa.array(plain, pa.int64()))), b" ")),
-        ]
-        for rows, words in lists:
-            for i, ids in zip(rows, self._split(words, kind)):
-                found[i] = ids
-        return found
-
-    def _split(self, words: pa.ListArray, kind: str) -> list[bytes]:
-        """Ids of texts given as lists of words: looked up once for each distinct word."""
+            odd[:] = [unfoldable(text.as_py()) for text in texts]
+        parts, sizes = [np.empty(0, kind)], [np.zeros(1, np.int64)]
+        cuts = [0, *(np.flatnonzero(odd[1:] != odd[:-1]) + 1).tolist(), len(texts)]
+        for a, b in zip(cuts, cuts[1:]):
+            some = texts.slice(a, b - a)
+            if b > a and odd[a]:
+                words = pa.array([text.as_py().split() for text in some], pa.list_(pa.binary()))
+            else:
+                words = pc.split_pattern(folded(some), b" ")
+            ids, lengths = self._split(words, kind)
+            parts.append(ids)
+            sizes.append(lengths)
+        return np.concatenate(parts), np.cumsum(np.concatenate(sizes))
+
+    def _split(self, words: pa.ListArray, kind: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts given as lists of words, and how many each text has."""
         coded = words.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        self._learn(set(distinct) - self.words.keys())
-        known = [self.words[word] for word in distinct]
-        flat = np.frombuffer(b"".join(known), "<u4").astype(kind)
-        lengths = np.fromiter(map(len, known), np.int32, len(known)) // 4
-        starts = np.cumsum(lengths) - lengths
-        at = coded.indices.to_numpy()
+        places = self._places(coded.dictionary)
+        # a text's end is one more word, at the end of the table
+        starts = np.append(np.cumsum(self.lengths) - self.lengths, len(self.ids))
+        lengths = np.append(self.lengths, np.int32(1))
+        table = np.append(self.ids, np.uint32(END_ID)).astype(kind)
+        stops = words.offsets.to_numpy() - words.offsets[0].as_py()
+        at = np.insert(places[coded.indices.to_numpy()], stops[1:], len(self.lengths))
         each = lengths[at]
-        ends = np.cumsum(each)
+        ends = np.cumsum(each, dtype=np.int64)
         shift = np.repeat((starts[at] - (ends - each)).astype(np.int32), each)
         shift += np.arange(len(shift), dtype=np.int32)
-        width = flat.dtype.itemsize
-        ids = memoryview(flat[shift].tobytes())
-        stops = np.concatenate([[0], ends])[words.offsets.to_numpy() - words.offsets[0].as_py()]
-        stops = (stops * width).tolist()
-        end = np.array([END_ID], kind).tobytes()
-        return [b"".join((ids[a:b], end)) for a, b in zip(stops, stops[1:])]
-
-    def _learn(self, words: set[bytes]) -> None:
-        single, mixed, other = [], [], []
-        for word in words:
-            if word.isalpha():
-                single.append(word)
-                continue
-            spelled = word.decode()
+        edges = ends[stops[1:] + np.arange(len(words))]
+        return table[shift], np.diff(edges, prepend=0)
+
+    def _places(self, distinct: pa.BinaryArray) -> np.ndarray:
+        """Where each of some distinct words is in the table; new ones are learned."""
+        if len(self.known) > WORDS_KEPT:
+            self._keep_frequent()
+        found = pc.index_in(distinct, value_set=self.known)
+        places = found.fill_null(-1).to_numpy().copy()
+        new = np.flatnonzero(places < 0)
+        self.met[places[places >= 0]] += 1
+        if len(new):
+            words = distinct.take(pa.array(new))
+            ids, lengths = self._learned(words)
+            places[new] = len(self.lengths) + np.arange(len(new))
+            self.known = pa.concat_arrays([self.known, words])
+            self.ids = np.concatenate([self.ids, ids])
+            self.lengths = np.concatenate([self.lengths, lengths])
+            self.met = np.concatenate([self.met, np.ones(len(new), np.int32)])
+        return places
+
+    def _keep_frequent(self) -> None:
+        """Halves the table: the words met in most runs stay."""
+        stay = np.sort(np.argsort(-self.met, kind="stable")[: WORDS_KEPT // 2])
+        starts = np.cumsum(self.lengths) - self.lengths
+        self.ids, self.lengths = gathered(self.ids, starts[stay], self.lengths[stay]), self.lengths[stay]
+        self.known, self.met = self.known.take(pa.array(stay)), self.met[stay] // 2
+
+    def _learned(self, words: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, one after the other, and how many each has."""
+        spelled = words.cast(pa.string())
+        letters = pc.match_substring_regex(spelled, LETTERS).to_numpy(zero_copy_only=False)
+        single, others = np.flatnonzero(letters), np.flatnonzero(~letters)
+        lower = pc.utf8_lower(spelled.take(pa.array(single))).dictionary_encode()
+        pieces = lower.dictionary.to_pylist()
+        numbers = {}
+        cut, left = [], []  # other words by their pieces, and those for the whole tokenizer
+        for i, word in zip(others.tolist(), spelled.take(pa.array(others)).to_pylist()):
             # the names of special tokens hold "<|" and are left to the whole tokenizer
-            if PLAIN.fullmatch(spelled) and "<|" not in spelled:
-                pieces = [piece.encode() for piece in PIECES.findall(spelled.lower())]
-                if pieces == [word]:
-                    single.append(word)
-                else:
-                    mixed.append((word, pieces))
+            if PLAIN.fullmatch(word) and "<|" not in word:
+                found = PIECES.findall(word.lower())
+                for piece in found:
+                    if piece not in numbers:
+                        numbers[piece] = len(pieces)
+                        pieces.append(piece)
+                cut.append((i, [numbers[piece] for piece in found]))
             else:
-                other.append(word)
-        # a word in capitals is known by its pieces, which are in lower case
-        mixed += [(word, [word.lower()]) for word in single if word != word.lower()]
-        todo = {word for word in single if word == word.lower()}
-        todo |= {piece for _, pieces in mixed for piece in pieces} - self.words.keys()
-        self._learn_pieces(list(todo))
-        known = self.words.__getitem__
-        for word, pieces in mixed:
-            self.words[word] = b"".join(map(known, pieces))
-        for start in range(0, len(other), 1000):
-            some = other[start : start + 1000]
-            encoded = self.whole.encode_batch_fast(
-                [word.decode() for word in some], add_special_tokens=False
-            )
-            for word, found in zip(some, encoded):
-                self.words[word] = np.array(found.ids, "<u4").tobytes()
-
-    def _learn_pieces(self, todo: list[bytes]) -> None:
-        lines = [todo[i : i + PIECES_A_LINE] for i in range(0, len(todo), PIECES_A_LINE)]
+                left.append((i, word))
+        ids, sizes = self._of_pieces(pieces)
+        begins = np.cumsum(sizes) - sizes
+        # each word as some slices of a table of ids
+        tables, slices = [ids], [(single, begins[lower.indices.to_numpy()], sizes[lower.indices.to_numpy()])]
+        if cut:
+            of = np.repeat([i for i, _ in cut], [len(found) for _, found in cut])
+            number = np.array([n for _, found in cut for n in found])
+            slices.append((of, begins[number], sizes[number]))
+        at = len(ids)
+        for start in range(0, len(left), 1000):
+            some = left[start : start + 1000]
+            made = [
+                np.array(e.ids, np.uint32)
+                for e in self.whole.encode_batch_fast([w for _, w in some], add_special_tokens=False)
+            ]
+            counts = np.array([len(m) for m in made], np.int64)
+            slices.append((np.array([i for i, _ in some]), at + np.cumsum(counts) - counts, counts))
+            tables += made
+            at += int(counts.sum())
+        owner = np.concatenate([s[0] for s in slices]).astype(np.int64)
+        order = np.argsort(owner, kind="stable")
+        first = np.concatenate([s[1] for s in slices])[order]
+        counts = np.concatenate([s[2] for s in slices])[order]
+        lengths = np.bincount(owner[order], counts, minlength=len(words)).astype(np.int32)
+        return gathered(np.concatenate(tables), first, counts), lengths
+
+    def _of_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces, one after the other, and how many each has."""
+        lines = [" ".join(pieces[i : i + PIECES_A_LINE]) for i in range(0, len(pieces), PIECES_A_LINE)]
+        found = [np.empty(0, np.uint32)]
         for start in range(0, len(lines), 20):
-            some = lines[start : start + 20]
-            encoded = self.by_line.encode_batch_fast(
-                [b" ".join(line).decode() for line in some], add_special_tokens=False
-            )
-            for line, found in zip(some, encoded):
-                ids = np.array(found.ids, "<u4")
-                ends = (np.flatnonzero(self.closes[ids]) + 1) * 4
-                if len(ends) != len(line):
-                    raise ValueError("the vocabulary does not close every word with </w>")
-                raw, begin = ids.tobytes(), 0
-                for piece, end in zip(line, ends.tolist()):
-                    self.words[piece] = raw[begin:end]
-                    begin = end
+            encoded = self.by_line.encode_batch_fast(lines[start : start + 20], add_special_tokens=False)
+            found += [np.array(line.ids, np.uint32) for line in encoded]
+        ids = np.concatenate(found)
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) != len(pieces) or (len(ids) and ends[-1] != len(ids)):
+            raise ValueError("the vocabulary does not close every word with </w>")
+        return ids, np.diff(ends, prepend=0)
+
+
+def gathered(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The slices of ``values`` one after the other."""
+    ends = np.cumsum(lengths, dtype=np.int64)
+    return values[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 @cache
 def word_ids(path: str) -> WordIds:
-    """One encoder per worker process."""
+    """One encoder per worker process, in one thread: a task has one core."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return WordIds(path)
 
 
@@ -213,31 +267,3 @@ def runs(texts: pa.BinaryArray, most: int = BYTES_AT_ONCE) -> Iterator[pa.Binary
         stop = max(start + 1, int(np.searchsorted(ends, base + most, side="right")))
         yield texts.slice(start, stop - start)
         start = stop
-
-
-def token_ids(
-    docs: DataFrame, vocabulary: str, doc: str = "doc_id", text: str = "text", kind: str = "<u4"
-) -> DataFrame:
-    """``(doc, ids)``: the ids of each whole text and the end id, as little-endian bytes.
-
-    ``kind`` is the unsigned type of an id, wide enough for the vocabulary. A NULL text
-    counts as empty and has the end id alone; repeated rows stay. ``vocabulary`` is the
-    tokenizer's file on each machine.
-    """
-    source = docs.select(doc, text)
-    schema = f"`{doc}` {source.schema[doc].dataType.simpleString()}, ids binary"
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_ids(vocabulary)
-        for batch in batches:
-            at = 0
-            for run in runs(batch.column(1).cast(pa.binary()).fill_null(b"")):
-                ids = words.texts(run, kind)
-                yield pa.record_batch(
-                    [batch.column(0).slice(at, len(run)), pa.array(ids, pa.binary())],
-                    names=[doc, "ids"],
-                )
-                at += len(run)
-            pa.system_memory_pool().release_unused()  # back to the machine, for the other workers
-
-    return source.mapInArrow(encode, schema)
