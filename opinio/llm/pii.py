@@ -2,11 +2,13 @@
 
 Everything is a column expression. ``split`` and ``regexp_extract_all`` walk a
 text with the same matcher, so the lengths of the gaps and of the matches give
-the place of every match in code points.
+the place of every match in code points. All steps are linear in the text: sums run in blocks,
+context comes from the neighbouring gaps, and masks cut blocks of the text.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -17,12 +19,13 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 
 # Fixed patterns of the base kinds. A greedy loop that ends a pattern is written
 # possessively, which matches the same and does not recurse; a start inside a run
-# that has already failed is skipped, so a long run costs one walk.
+# that has already failed is skipped, so a long run costs one walk. A card's pattern is
+# met only by whole runs of 12 to 19 digits: other runs would be dropped for their length.
 EMAIL = (
     r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 )
 IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
-CARD = r"[0-9](?:[\x20-]?[0-9])++"
+CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){11,18}+(?![\x20-]?[0-9])"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])"
@@ -32,8 +35,11 @@ SECRET = (
     r"""["']?[A-Za-z0-9_/+-]{8,}+["']?"""
 )
 
-# Code points on each side of a span that are searched for context words.
-CONTEXT = 48
+# Code points on each side of a span that are searched for context words, at most so many
+# matches away.
+CONTEXT, NEIGHBOURS = 48, 4
+# Values summed, and code points of a text cut, as one block.
+BLOCK = 256
 KEEP_FROM = 0.5
 
 
@@ -115,59 +121,100 @@ def confirmed(kind: str, found: Column) -> Column:
     return F.lit(True)
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is named there."""
+    return F.transform(F.array(value), use)[0]
+
+
+def running(values: Column, zero: int, combine: Callable[[Column, Column], Column]) -> Column:
+    """What ``combine`` has made of all values up to each, itself included, from ``zero`` on.
+
+    A block's own results are gathered apart, so appending never copies more than a block
+    (or one value for each block).
+    """
+
+    def scan(block: Column, first: Column) -> Column:
+        start = F.struct(first.alias("at"), F.array().cast("array<int>").alias("all"))
+
+        def step(a: Column, x: Column) -> Column:
+            now = combine(a["at"], x)
+            return F.struct(now.alias("at"), F.array_append(a["all"], now).alias("all"))
+
+        return F.aggregate(block, start, step)["all"]
+
+    def in_blocks(v: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(v) - 1) / BLOCK).cast("int"))
+        return F.transform(numbers, lambda i: F.slice(v, i * BLOCK + 1, F.lit(BLOCK)))
+
+    def of_blocks(blocks: Column) -> Column:
+        zeros = F.lit(zero)
+        totals = F.transform(blocks, lambda b: F.aggregate(b, zeros, combine))
+        # a block begins with what all before it have made
+        firsts = F.slice(F.concat(F.array(zeros), scan(totals, zeros)), 1, F.size(blocks))
+        return F.flatten(F.zip_with(blocks, firsts, scan))
+
+    made = bound(values, lambda v: bound(in_blocks(v), of_blocks))
+    return F.when(F.size(values) > 0, made).otherwise(F.array().cast("array<int>"))
+
+
+SPANS = "array<struct<start:int,order:int,kind:string,end:int,score:double>>"
+
+
 def _spans(text: Column, order: int, kind: Kind) -> Column:
     """Confirmed spans of one kind: array of (start, order, kind, end, score)."""
-    empty = F.array().cast("array<struct<start:int,order:int,kind:string,end:int,score:double>>")
-    found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
-    gaps = F.split(text, kind.pattern, -1)
-    steps = F.zip_with(
-        F.transform(F.slice(gaps, 1, F.size(found)), F.length),
-        found,
-        lambda gap, match: F.struct(gap.alias("gap"), match.alias("match")),
+    cut = F.struct(
+        F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("found"),
+        F.split(text, kind.pattern, -1).alias("gaps"),
     )
-    start = F.struct(
-        F.lit(0).alias("at"),
-        F.array().cast("array<struct<start:int,end:int,match:string>>").alias("spans"),
-    )
-    placed = F.aggregate(
-        steps,
-        start,
-        lambda a, s: F.struct(
-            (a["at"] + s["gap"] + F.length(s["match"])).alias("at"),
-            F.concat(
-                a["spans"],
-                F.array(
-                    F.struct(
-                        (a["at"] + s["gap"]).alias("start"),
-                        (a["at"] + s["gap"] + F.length(s["match"])).alias("end"),
-                        s["match"].alias("match"),
-                    )
-                ),
-            ).alias("spans"),
-        ),
-    )["spans"]
-    good = F.filter(placed, lambda s: confirmed(kind.name, s["match"]))
-
-    def scored(s: Column) -> Column:
-        before = F.greatest(s["start"] - CONTEXT, F.lit(0))
-        near = F.concat_ws(
-            " ",
-            F.substring(text, before + 1, s["start"] - before),
-            F.substring(text, s["end"] + 1, F.lit(CONTEXT)),
+
+    def placed(c: Column) -> Column:
+        steps = F.zip_with(
+            F.slice(c["gaps"], 1, F.size(c["found"])),
+            c["found"],
+            lambda gap, match: F.length(gap) + F.length(match),
         )
-        lift = F.when(near.rlike(f"(?i)\\b(?:{kind.context})"), kind.lift).otherwise(0.0)
         return F.struct(
-            s["start"].alias("start"),
-            F.lit(order).alias("order"),
-            F.lit(kind.name).alias("kind"),
-            s["end"].alias("end"),
-            (F.lit(kind.score) + lift).alias("score"),
+            c["found"].alias("found"),
+            running(steps, 0, lambda a, x: a + x).alias("ends"),
+            F.transform(c["gaps"], lambda g: F.right(g, F.lit(CONTEXT))).alias("tails"),
+            F.transform(c["gaps"], lambda g: F.left(g, F.lit(CONTEXT))).alias("heads"),
+        )
+
+    def at(values: Column, i: Column) -> Column:
+        return F.coalesce(F.get(values, i), F.lit(""))
+
+    def near(c: Column, i: Column) -> Column:
+        before = [x for k in range(NEIGHBOURS, 0, -1) for x in (at(c["tails"], i - k), at(c["found"], i - k))]
+        after = [x for k in range(1, NEIGHBOURS + 1) for x in (at(c["found"], i + k), at(c["heads"], i + k + 1))]
+        return F.concat(
+            F.right(F.concat(*before, at(c["tails"], i)), F.lit(CONTEXT)),
+            F.lit(" "),
+            F.left(F.concat(at(c["heads"], i + 1), *after), F.lit(CONTEXT)),
         )
 
-    spans = F.transform(good, scored)
+    def scored(c: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.size(c["found"]) - 1)
+        good = F.filter(numbers, lambda i: confirmed(kind.name, c["found"][i]))
+
+        def span(i: Column) -> Column:
+            lift = F.when(near(c, i).rlike(f"(?i)\\b(?:{kind.context})"), kind.lift).otherwise(0.0)
+            return F.struct(
+                (c["ends"][i] - F.length(c["found"][i])).alias("start"),
+                F.lit(order).alias("order"),
+                F.lit(kind.name).alias("kind"),
+                c["ends"][i].alias("end"),
+                (F.lit(kind.score) + lift).alias("score"),
+            )
+
+        return F.transform(good, span)
+
+    none = F.array().cast(SPANS)
+    spans = bound(
+        cut, lambda c: F.when(F.size(c["found"]) > 0, bound(placed(c), scored)).otherwise(none)
+    )
     if kind.name not in BASE_KINDS:
         spans = F.filter(spans, lambda s: s["score"] >= KEEP_FROM)
-    return F.when(text.rlike(kind.guard), spans).otherwise(empty)
+    return F.when(text.rlike(kind.guard), spans).otherwise(none)
 
 
 def find_spans(docs: DataFrame, text: str = "text", out: str = "pii") -> DataFrame:
@@ -201,50 +248,61 @@ def spelled(spans: Column) -> Column:
 
 def masked(text: Column, spans: Column) -> Column:
     """The text with every span replaced by ``[KIND]``; spans that overlap become one."""
-    pos = F.lit(0)
-    state = F.struct(
-        pos.alias("at"), F.array().cast("array<string>").alias("parts")
-    )
-    done = F.aggregate(
-        spans,
-        state,
-        lambda a, s: F.struct(
-            F.greatest(a["at"], s["end"]).alias("at"),
-            F.when(
-                s["start"] >= a["at"],
-                F.concat(
-                    a["parts"],
-                    F.array(
-                        F.substring(text, a["at"] + 1, s["start"] - a["at"]),
-                        F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")),
-                    ),
-                ),
-            )
-            .otherwise(a["parts"])
-            .alias("parts"),
-        ),
-        lambda a: F.concat(
-            F.array_join(a["parts"], ""),
-            F.substring(text, a["at"] + 1, F.length(text)),
-        ),
+
+    def piece(blocks: Column, begin: Column, end: Column) -> Column:
+        """Code points ``begin`` to ``end`` from the blocks that hold them."""
+        first = F.floor(begin / BLOCK).cast("int")
+        n = F.floor((end - 1) / BLOCK).cast("int") - first + 1
+        held = F.array_join(F.slice(blocks, first + 1, n), "")
+        return F.when(
+            end > begin, F.substring(held, begin - first * BLOCK + 1, end - begin)
+        ).otherwise("")
+
+    def marked(c: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.size(c["spans"]) - 1)
+        # a span that begins before an earlier one has ended is part of that one
+        kept = F.filter(numbers, lambda i: c["spans"][i]["start"] >= c["ends"][i])
+        parts = F.transform(
+            kept,
+            lambda i: F.concat(
+                piece(c["blocks"], c["ends"][i], c["spans"][i]["start"]),
+                F.lit("["),
+                F.upper(c["spans"][i]["kind"]),
+                F.lit("]"),
+            ),
+        )
+        rest = piece(c["blocks"], F.element_at(c["ends"], -1), F.length(text))
+        return F.concat(F.array_join(parts, ""), rest)
+
+    ends = running(F.transform(spans, lambda s: s["end"]), 0, lambda a, x: F.greatest(a, x))
+    whole = F.struct(
+        spans.alias("spans"),
+        # before each span the last end of those before it, and the last end of all
+        F.concat(F.array(F.lit(0)), ends).alias("ends"),
+        F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)).alias("blocks"),
     )
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    return F.when(F.size(spans) > 0, bound(whole, marked)).otherwise(text)
 
 
 def mask_documents(docs: DataFrame, text: str = "text", length: str | None = "n_chars") -> DataFrame:
     """The same rows and columns with personal data masked in ``text``.
 
     ``length``, if it names a column, is brought up to date where the text has
-    changed. A NULL text stays NULL.
+    changed. A NULL text stays NULL. Columns may have any names.
     """
-    found = find_spans(docs, text, "_pii").withColumn("_masked", masked(F.col(text), F.col("_pii")))
+    # own names inside, so that no column is taken for one made here
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    body = f"c{docs.columns.index(text)}"
+    found = find_spans(plain, body, "spans").withColumn(
+        "masked", masked(F.col(body), F.col("spans"))
+    )
     columns = []
-    for name in docs.columns:
+    for i, name in enumerate(docs.columns):
+        kept = F.col(f"c{i}")
         if name == text:
-            columns.append(F.col("_masked").alias(name))
+            kept = F.col("masked")
         elif name == length:
-            new = F.length("_masked").cast(docs.schema[name].dataType)
-            columns.append(F.when(F.size("_pii") > 0, new).otherwise(F.col(name)).alias(name))
-        else:
-            columns.append(F.col(name))
+            new = F.length("masked").cast(docs.schema[name].dataType)
+            kept = F.when(F.size("spans") > 0, new).otherwise(kept)
+        columns.append(kept.alias(name))
     return found.select(*columns)

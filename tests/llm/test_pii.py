@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -90,16 +92,16 @@ def test_query_over_the_table(spark, data, documents):
 def test_masking_keeps_rows_columns_and_the_rest_of_the_text(spark):
     docs = spark.createDataFrame(
         [
-            (1, "to x@y.zz, +1 (017) 555-7713!", "en", 29, "a"),
-            (1, "to x@y.zz, +1 (017) 555-7713!", "en", 29, "a"),
-            (2, None, None, None, None),
-            (None, "clean", "en", 7, "b"),
+            (1, "to x@y.zz, +1 (017) 555-7713!", "en", 29, "a", 1, "m"),
+            (1, "to x@y.zz, +1 (017) 555-7713!", "en", 29, "a", 1, "m"),
+            (2, None, None, None, None, None, None),
+            (None, "clean", "en", 7, "b", 2, "n"),
         ],
-        "doc_id bigint, text string, lang string, n_chars bigint, pii string",
+        "doc_id bigint, text string, lang string, n_chars bigint, _pii string, spans int, _masked string",
     )
     rows = [tuple(r) for r in pii.mask_documents(docs).collect()]
-    assert rows[0] == rows[1] == (1, "to [EMAIL], [PHONE]!", "en", 20, "a")
-    assert rows[2] == (2, None, None, None, None) and rows[3] == (None, "clean", "en", 7, "b")
+    assert rows[0] == rows[1] == (1, "to [EMAIL], [PHONE]!", "en", 20, "a", 1, "m")
+    assert rows[2] == (2, *[None] * 6) and rows[3] == (None, "clean", "en", 7, "b", 2, "n")
     assert pii.mask_documents(docs.limit(0)).count() == 0
 
 
@@ -111,3 +113,45 @@ def test_a_long_secret_is_masked_to_its_end(spark):
     assert text[secret.start : secret.end] == text.removesuffix(" and more")
     (masked,) = pii.mask_documents(docs, length=None).collect()
     assert "aB3" not in masked.text and masked.text.endswith(" and more")
+
+
+def brute_mask(text, spans):
+    out, at = [], 0
+    for s in spans:
+        if s.start >= at:
+            out += [text[at : s.start], f"[{s.kind.upper()}]"]
+        at = max(at, s.end)
+    return "".join(out) + text[at:]
+
+
+def random_texts(n, seed):
+    rng = random.Random(seed)
+    parts = ["4111 1111 1111 1111", "1.2.3.4", "a@b.cd", "+49 30 1234567", "123-45-6789", "ssn ", "12 ", "1", "-", " ",
+             "x", "\U0001F600", "\n", "token=abcdefgh12", "DE89370400440532013000", ".", "@", "+1", "5500-0000-0000-0004"]
+    return ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 40))) for _ in range(n)]
+
+
+def test_random_texts_spans_and_masks(spark, monkeypatch):
+    monkeypatch.setattr(pii, "BLOCK", 5)
+    texts = random_texts(800, 6)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = pii.find_spans(docs).withColumn("m", pii.masked(F.col("text"), F.col("pii"))).collect()
+    for r in rows:
+        base = [f"{s.kind}:{s.start}:{s.end}" for s in r.pii if s.kind in PATTERNS]
+        assert base == [b[2] for b in brute(r.text)], r.text
+        assert r.m == brute_mask(r.text, r.pii), r.text
+
+
+def test_twice_the_text_takes_about_twice_the_time(spark):
+    def seconds(n, unit):
+        docs = spark.createDataFrame([(1, unit * n)], "doc_id bigint, text string")
+        begun = time.time()
+        (row,) = pii.mask_documents(docs, length=None).select(F.length("text").alias("n")).collect()
+        return time.time() - begun, row.n
+
+    for unit in ("x 12 ", "a@b.cd ", "4111 1111 1111 1111; "):
+        seconds(10, unit)
+        n = 1_000_000 // len(unit)
+        half, _ = seconds(n // 2, unit)
+        whole, _ = seconds(n, unit)
+        assert whole < 40 and whole < 3.2 * half + 2, unit
