@@ -23,10 +23,10 @@ DEPTH, WIDTH, STEP, FILTERS = 8, 8, 4, 32
 UNIT, UNITS = 32, 4
 # Bytes whose windows are held at once: a whole number of units.
 AT_ONCE = 256 * UNIT * STEP
-# Bounded training sample: labelled rows of each label, and bytes of each text from its start
-# (scores use whole texts).
-SAMPLE_ROWS = 1600
-SAMPLE_BYTES = 2048
+# Bounded training sample: labelled rows of each label. Their texts are used whole.
+SAMPLE_ROWS = 800
+# Chunks whose windows are held at once in training.
+CHUNKS_AT_ONCE = 1024
 EPOCHS, BATCH, RATE = 18, 32, 0.004
 THRESHOLD = 0.3
 
@@ -91,7 +91,7 @@ def train(texts: list[bytes], labels: list[int]) -> Network:
         share = np.clip((truth.sum() + 1) / (len(truth) + 2), 0.01, 0.99)
         none = np.zeros(FILTERS + 1, np.float32)
         return Network(p["vectors"], p["filters"], none[1:], none, float(np.log(share / (1 - share))))
-    rows = [windows(np.frombuffer(t[:SAMPLE_BYTES], np.uint8)) for t in texts]
+    rows = [windows(np.frombuffer(t, np.uint8)) for t in texts]
     spans = [chunk_spans(len(r)) for r in rows]
     weight = np.where(truth == 1, 0.5 / truth.mean(), 0.5 / (1 - truth.mean())).astype(np.float32)
     first = {k: np.zeros_like(v) for k, v in p.items()}
@@ -101,28 +101,37 @@ def train(texts: list[bytes], labels: list[int]) -> Network:
         order = rng.permutation(len(rows))
         for at in range(0, len(order), BATCH):
             batch = order[at : at + BATCH]
-            seen = np.concatenate([rows[i] for i in batch])
-            begins = np.cumsum([0, *(len(rows[i]) for i in batch)])
-            chunks = [(k, g + a, g + b) for k, (i, g) in enumerate(zip(batch, begins)) for a, b in spans[i]]
-            owner = np.array([k for k, _, _ in chunks])
+            chunks = [(k, i, a, b) for k, i in enumerate(batch) for a, b in spans[i]]
+            owner = np.array([k for k, *_ in chunks])
             share = 1 / np.bincount(owner)[owner]
-            made = p["vectors"][seen].reshape(len(seen), -1) @ p["filters"]
-            top = np.stack([a + made[a:b].argmax(axis=0) for _, a, b in chunks])
-            pooled = np.take_along_axis(made, top, 0) + p["bias"]
-            size = np.log2([[b - a] for _, a, b in chunks])
+            groups = [slice(g, g + CHUNKS_AT_ONCE) for g in range(0, len(chunks), CHUNKS_AT_ONCE)]
+            # forward, some chunks at a time: of each only the winning windows are kept
+            bytes_at = np.empty((len(chunks), FILTERS, WIDTH), np.uint8)
+            pooled = np.empty((len(chunks), FILTERS), np.float32)
+            for group in groups:
+                seen = np.concatenate([rows[i][a:b] for _, i, a, b in chunks[group]])
+                made = p["vectors"][seen].reshape(len(seen), -1) @ p["filters"]
+                ends = np.cumsum([b - a for _, _, a, b in chunks[group]])
+                edges = zip([0, *ends.tolist()], ends.tolist())
+                top = np.stack([a + made[a:b].argmax(axis=0) for a, b in edges])
+                pooled[group] = np.take_along_axis(made, top, 0) + p["bias"]
+                bytes_at[group] = seen[top]
+            size = np.log2([[b - a] for _, _, a, b in chunks])
             active = np.concatenate([np.maximum(pooled, 0), size], axis=1).astype(np.float32)
             value = np.bincount(owner, (active @ p["weights"]) * share) + p["offset"]
             error = (1 / (1 + np.exp(-value)) - truth[batch]) * weight[batch] / len(batch)
             to_chunk = (error[owner] * share).astype(np.float32)
             back = to_chunk[:, None] * p["weights"][:-1] * (pooled > 0)
-            bytes_at = seen[top]  # chunks x filters x WIDTH
-            inputs = p["vectors"][bytes_at].reshape(*top.shape, -1)
             to_vectors = np.zeros_like(p["vectors"])
-            spread = (back[:, :, None] * p["filters"].T[None]).reshape(-1, DEPTH)
-            np.add.at(to_vectors, bytes_at.reshape(-1), spread)
+            to_filters = np.zeros_like(p["filters"])
+            for group in groups:
+                inputs = p["vectors"][bytes_at[group]].reshape(-1, FILTERS, WIDTH * DEPTH)
+                to_filters += np.einsum("tf,tfi->if", back[group], inputs)
+                spread = (back[group][:, :, None] * p["filters"].T[None]).reshape(-1, DEPTH)
+                np.add.at(to_vectors, bytes_at[group].reshape(-1), spread)
             gradient = {
                 "vectors": to_vectors,
-                "filters": np.einsum("tf,tfi->if", back, inputs),
+                "filters": to_filters,
                 "bias": back.sum(axis=0),
                 "weights": active.T @ to_chunk,
                 "offset": error.sum(keepdims=True),
@@ -147,7 +156,7 @@ def fit(
     """A network from the texts of ``docs`` that ``labels`` marks 1 or 0.
 
     Of each label at most SAMPLE_ROWS ids are used, those with the lowest hashes; only their
-    texts are fetched, SAMPLE_BYTES of each. A NULL text counts as empty, NULL labels and
+    texts are fetched, whole. A NULL text counts as empty, NULL labels and
     ids are left out, and so are ids with labels that disagree.
     """
     known = (
@@ -166,9 +175,7 @@ def fit(
     texts = (
         docs.select(
             F.col(doc).alias("_doc"),
-            F.substring(F.encode(F.coalesce(F.col(text), F.lit("")), "utf-8"), 1, SAMPLE_BYTES).alias(
-                "_text"
-            ),
+            F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_text"),
         )
         .join(F.broadcast(chosen), "_doc")
         .groupBy("_doc", "_label")
@@ -206,7 +213,9 @@ def scores(docs: DataFrame, net: Network, text: str = "text", out: str = "score"
 def keep_good(
     docs: DataFrame, net: Network, text: str = "text", threshold: float = THRESHOLD
 ) -> DataFrame:
-    """The rows whose score reaches the threshold, with the columns of ``docs``."""
-    return scores(docs, net, text, "_quality").where(F.col("_quality") >= threshold).select(
-        *docs.columns
+    """The rows whose score reaches the threshold, with the columns of ``docs``, whatever their names."""
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    judged = scores(plain, net, f"c{docs.columns.index(text)}", "score")
+    return judged.where(F.col("score") >= threshold).select(
+        *(F.col(f"c{i}").alias(name) for i, name in enumerate(docs.columns))
     )

@@ -85,3 +85,36 @@ def test_query_on_held_out_rows(spark, data):
         assert r.predicted == int(r.score >= 0.3)
     held = [r for r in rows if r.held_out and r.doc_id in truth]
     assert sum(r.predicted == truth[r.doc_id] for r in held) / len(held) > 0.85
+
+
+def test_scores_equal_a_plain_convolution():
+    model, rng = net(), np.random.default_rng(5)
+    texts = [b"", b"a", clean(rng, 3).encode(), clean(rng, 400).encode(), junk(rng, 90).encode() + bytes(range(256))]
+    for text in texts:
+        codes = list(text) + [0] * quality.WIDTH
+        n = max(1, -(-len(text) // quality.STEP))
+        evidence = []
+        for a, b in quality.chunk_spans(n):
+            best = [-np.inf] * quality.FILTERS
+            for w in range(a, b):
+                seen = np.concatenate([model.vectors[c] for c in codes[w * quality.STEP :][: quality.WIDTH]])
+                best = np.maximum(best, [seen @ model.filters[:, f] for f in range(quality.FILTERS)])
+            active = np.maximum(best + model.bias, 0)
+            evidence.append(active @ model.weights[:-1] + np.log2(b - a) * model.weights[-1])
+        value = np.clip(np.mean(evidence) + model.offset, -30, 30)
+        assert abs(quality.score(model, text) - 1 / (1 + np.exp(-value))) < 1e-5
+
+
+def test_the_end_of_a_long_text_is_learned(monkeypatch):
+    rng = np.random.default_rng(8)
+    start = clean(rng, 600).encode()
+    texts = [(start + b" " + f(rng, 600).encode(), y) for _ in range(30) for f, y in ((clean, 1), (junk, 0))]
+    monkeypatch.setattr(quality, "CHUNKS_AT_ONCE", 7)  # parts of a batch change nothing that counts
+    model = quality.train(*map(list, zip(*texts)))
+    assert quality.score(model, texts[0][0]) > 0.7 and quality.score(model, texts[1][0]) < 0.3
+
+
+def test_columns_of_any_name_pass_through(spark):
+    rows = [(1, clean(np.random.default_rng(1), 40), "mine", 7)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _quality string, score int")
+    assert [tuple(r) for r in quality.keep_good(docs, net()).collect()] == rows
