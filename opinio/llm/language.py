@@ -12,14 +12,20 @@ from dataclasses import dataclass
 from functools import cache
 
 import pyarrow as pa
+import xxhash
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
-# Bounded sample of labelled rows: documents per language and bytes of each in a dictionary.
-SAMPLE_DOCS = 96
-SAMPLE_BYTES = 1024
+# Bounded sample: pieces of labelled texts in a language's dictionary, and bytes of a piece.
+# All pieces of whole texts compete for a place.
+SAMPLE_PIECES = 96
+PIECE = 1024
+# More labels than this are refused: each has a dictionary that travels with the tasks.
+MOST_LANGUAGES = 1000
+# Tasks' pieces are first ranked in so many shares of a language, so that no task gets them all.
+SHARES = 64
 # Bytes compressed at a time, the level of compression and its shortest match.
 BLOCK = 8192
 LEVEL = 5
@@ -41,39 +47,70 @@ class Languages:
     samples: tuple[bytes, ...]
 
 
+def lowest_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pieces of lowest hash that a task has met, by language, from (lang, text)."""
+    kept: dict[str, dict[int, bytes]] = {}
+    bounds: dict[str, int] = {}
+    for batch in batches:
+        for lang, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+            whole = letters(value.as_buffer().to_pybytes())
+            some = kept.setdefault(lang, {})
+            for at in range(0, len(whole), PIECE):
+                piece = whole[at : at + PIECE]
+                digest = xxhash.xxh64_intdigest(piece) - (1 << 63)
+                if digest <= bounds.get(lang, 1 << 63):
+                    some[digest] = piece
+            if len(some) > 4 * SAMPLE_PIECES:
+                kept[lang] = {h: some[h] for h in sorted(some)[:SAMPLE_PIECES]}
+                bounds[lang] = max(kept[lang])
+    for lang, some in kept.items():
+        hashes = sorted(some)[:SAMPLE_PIECES]
+        yield pa.record_batch(
+            [
+                pa.array([lang] * len(hashes), pa.string()),
+                pa.array(hashes, pa.int64()),
+                pa.array([some[h] for h in hashes], pa.binary()),
+            ],
+            names=["lang", "hash", "sample"],
+        )
+
+
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Languages:
     """Dictionaries from rows with a language and a text; the most frequent language first.
 
-    Of every language at most SAMPLE_DOCS documents are used, those whose content
-    hashes lowest, so repeated rows count once and no row order matters. Hashes alone
-    are shuffled; the chosen samples, at most 96 KiB a language, are fetched.
+    Texts are cut whole into pieces; of every language the SAMPLE_PIECES pieces are used
+    whose hashes are lowest, wherever they stand, so repeated rows count once and no row
+    order matters. A task keeps its lowest, so what is shuffled and fetched does not grow
+    with the texts. NULL and empty texts are left out.
     """
     pool = labelled.where(F.col(lang).isNotNull() & (F.col(lang) != UNKNOWN)).select(
-        F.col(lang).alias("lang"),
-        F.xxhash64(text).alias("hash"),
-        F.substring(F.encode(F.col(text), "utf-8"), 1, SAMPLE_BYTES).alias("sample"),
+        F.col(lang).alias("lang"), F.col(text).alias("text")
     )
-    pool = pool.where(F.octet_length("sample") > 0)
-    counts = {r["lang"]: r["count"] for r in pool.groupBy("lang").count().collect()}
-    order = Window.partitionBy("lang").orderBy("hash")
-    lowest = (
-        pool.groupBy("lang", "hash")
-        .agg(F.lit(1).alias("one"))
-        .withColumn("n", F.row_number().over(order))
-        .where(F.col("n") <= SAMPLE_DOCS)
-        .select("lang", "hash")
-    )
-    # at most SAMPLE_DOCS rows a language
+    pool = pool.where(F.octet_length("text") > 0)
+    found = pool.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
+    if len(found) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    counts = {r["lang"]: r["count"] for r in found}
+
+    def lowest(*by: str) -> Column:
+        return F.row_number().over(Window.partitionBy(*by).orderBy("hash"))
+
+    share = F.pmod(F.xxhash64("hash"), F.lit(SHARES))
     samples = (
-        pool.join(F.broadcast(lowest), ["lang", "hash"])
+        pool.mapInArrow(lowest_pieces, "lang string, hash bigint, sample binary")
         .groupBy("lang", "hash")
         .agg(F.min("sample").alias("sample"))
+        .withColumn("share", share)
+        .withColumn("n", lowest("lang", "share"))
+        .where(F.col("n") <= SAMPLE_PIECES)
+        .withColumn("n", lowest("lang"))
+        .where(F.col("n") <= SAMPLE_PIECES)
         .collect()
     )
     names = sorted(counts, key=lambda name: (-counts[name], name))
     parts = {name: [] for name in names}
     for row in sorted(samples, key=lambda r: (r.lang, r.hash)):
-        parts[row.lang].append(letters(bytes(row.sample)))
+        parts[row.lang].append(bytes(row.sample))
     return Languages(tuple(names), tuple(b" ".join(parts[name]) for name in names))
 
 

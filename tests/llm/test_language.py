@@ -34,13 +34,48 @@ def test_odd_rows_have_defined_results(spark):
 
 
 def test_repeats_do_not_fill_the_sample(spark, monkeypatch):
-    monkeypatch.setattr(language, "SAMPLE_DOCS", 3)
+    monkeypatch.setattr(language, "SAMPLE_PIECES", 3)
     rows = [(i, "again and again", "en", None, None) for i in range(50)] + ROWS
     sample = language.fit(frame(spark, rows))
     assert sample.samples[sample.names.index("en")].count(b"again and again") <= 1
     assert sample.samples[sample.names.index("en")].count(b"the cat") <= 1
 
 
+def test_all_of_a_text_can_be_learned(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_PIECES", 40)
+    rows = [(1, "".join(f"w{chr(97 + i // 26)}{chr(97 + i % 26)} " * 256 for i in range(20)), "en", None, None)]
+    rows += [(2 + i, f"word{chr(97 + i)} " * 300, "hot", None, None) for i in range(26)] * 40
+    learned = language.fit(frame(spark, rows).repartition(6))
+    english = learned.samples[learned.names.index("en")]
+    assert all(f"w{chr(97 + i // 26)}{chr(97 + i % 26)}".encode() in english for i in range(20))
+    one = language.fit(frame(spark, rows).coalesce(1))
+    assert learned == one  # whatever the tasks
+
+
+def test_sizes_equal_plain_compression(spark):
+    import zstandard
+
+    learned = language.fit(frame(spark))
+    for text in (r[1] for r in ROWS if r[1]):
+        want = []
+        for sample in learned.samples:
+            total, body = 0, b" " + language.letters(text.encode()) + b" "
+            for at in range(0, len(body), language.BLOCK):
+                settings = zstandard.ZstdCompressionParameters.from_level(
+                    language.LEVEL, min_match=language.SHORTEST_MATCH,
+                    write_content_size=False, write_checksum=False, write_dict_id=False,
+                )
+                kind = zstandard.DICT_TYPE_RAWCONTENT
+                packer = zstandard.ZstdCompressor(
+                    dict_data=zstandard.ZstdCompressionDict(sample, dict_type=kind), compression_params=settings
+                )
+                total += len(packer.compress(body[at : at + language.BLOCK]))
+            want.append(total)
+        got = language.sizes(learned, text.encode())
+        # a prepared dictionary may be searched a little differently
+        assert all(abs(a - b) <= 8 + b // 20 for a, b in zip(got, want)), (got, want)
+
+
 def test_nothing_learned_and_no_rows(spark):
     none = language.fit(frame(spark).limit(0))
     assert none == language.Languages((), ())
