@@ -6,19 +6,24 @@ overlapping windows, and a short one is also a window as a whole. A document reg
 shares at least ``m - q + 1 - k * q`` of its q-grams, on diagonals that differ by at most
 ``k``; bands of 2 (k + 1) diagonals, one beginning every k + 1, hold each such set whole.
 Bands with enough shared q-grams are aligned; nothing else can be within the budget.
+An item shorter than a q-gram is found where it stands as it is, between blanks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opinio.llm.common import stored
+from opinio.session import new_path
+
 Q = 8
 WINDOW, HOP = 64, 8
 # Items up to this many characters are one more window as a whole, with a budget to match.
@@ -81,9 +86,22 @@ def grams(text: bytes) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Windows:
-    """Some benchmark items, their windows and the index of their q-grams."""
+    """Some benchmark items, their windows and the index of their q-grams; and the short items."""
 
     sources: tuple[tuple[int, bytes], ...]
+    short: tuple[tuple[int, bytes], ...] = ()
+
+    @cached_property
+    def automaton(self) -> ahocorasick.Automaton:
+        """Of the short items between blanks, one sign a byte."""
+        made = ahocorasick.Automaton()
+        by_text: dict[bytes, list[int]] = {}
+        for item, text in self.short:
+            by_text.setdefault(text, []).append(item)
+        for text, items in by_text.items():
+            made.add_word(f" {text.decode('latin-1')} ", (len(text), tuple(items)))
+        made.make_automaton()
+        return made
 
     @cached_property
     def spans(self) -> np.ndarray:
@@ -155,8 +173,19 @@ class Windows:
 
 
 def cut_windows(items: list[tuple[int, bytes]]) -> Windows:
-    """Windows of folded items; an item shorter than a q-gram has none and matches nothing."""
-    return Windows(tuple((item, text) for item, text in items if len(text) >= Q))
+    """Windows of folded items; those shorter than a q-gram are kept apart, empty ones left out."""
+    return Windows(
+        tuple((item, text) for item, text in items if len(text) >= Q),
+        tuple((item, text) for item, text in items if 0 < len(text) < Q),
+    )
+
+
+def short_items(windows: Windows, text: bytes) -> Iterator[tuple[int, int, int]]:
+    """(item, start, end) of every short item that stands in a folded text."""
+    for last, (size, items) in windows.automaton.iter(f" {text.decode('latin-1')} "):
+        # one blank has been put before the text, and the match ends with one
+        for item in items:
+            yield item, last - 1 - size, last - 1
 
 
 def crowded(windows: Windows, source: np.ndarray, place: np.ndarray, diagonal: np.ndarray) -> np.ndarray:
@@ -294,6 +323,9 @@ def regions_of_all(
 
     for number, text in enumerate(texts):
         found.append({})
+        for item, start, end in short_items(windows, text) if windows.short else ():
+            a, b, fewest, n = found[number].get(item, (start, end, 0, 0))
+            found[number][item] = (min(a, start), max(b, end), 0, n + 1)
         for w, begin, end in candidates(windows, text):
             waiting.append((number, w, begin, text[begin:end]))
             if len(waiting) >= TOGETHER:
@@ -365,7 +397,7 @@ def blocks(
     for block in range(n):
         part = rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == block).collect()
         windows = cut_windows(sorted((r.item, fold(r.text.encode())) for r in part))
-        if windows.sources:
+        if windows.sources or windows.short:
             yield windows
 
 
@@ -380,7 +412,8 @@ def find_passages(
     """``(doc, item, start, end, edits, windows)``: one row per document row and item in it.
 
     ``start`` and ``end`` are code points of the text around all windows found, ``edits``
-    the fewest in one of them, ``windows`` how many were found. A NULL text counts as
+    the fewest in one of them, ``windows`` how many were found (of an item shorter than a
+    q-gram: its places). A NULL text counts as
     empty and has none; repeated rows are searched each on its own; clean documents have
     no row. Columns other than those named are ignored.
     """
@@ -390,8 +423,9 @@ def find_passages(
         f"`{item}` {benchmark.schema[item].dataType.simpleString()}, "
         "start bigint, end bigint, edits int, windows int"
     )
-    result = None
-    for windows in blocks(benchmark, item, item_text):
+    parts: DataFrame | None = None
+    path = new_path(docs.sparkSession, "passages")
+    for number, windows in enumerate(blocks(benchmark, item, item_text)):
 
         def search(
             batches: Iterator[pa.RecordBatch], windows: Windows = windows
@@ -420,9 +454,16 @@ def find_passages(
                         names=[doc, item, "start", "end", "edits", "windows"],
                     )
 
-        part = source.mapInArrow(search, schema)
-        result = part if result is None else result.unionByName(part)
-    return result if result is not None else docs.sparkSession.createDataFrame([], schema)
+        # one pass is left as it is; of several each is written before the next begins
+        if number:
+            parts.write.mode("append").parquet(path)
+        parts = source.mapInArrow(search, schema)
+    if parts is None:
+        return docs.sparkSession.createDataFrame([], schema)
+    if number:
+        parts.write.mode("append").parquet(path)
+        return docs.sparkSession.read.schema(parts.schema).parquet(path)
+    return parts
 
 
 def clean_documents(
@@ -434,7 +475,9 @@ def clean_documents(
 ) -> DataFrame:
     """The rows of ``docs`` in which no benchmark passage is found, with all their columns."""
     place = docs.columns.index(text)
-    for windows in blocks(benchmark, item, item_text):
+    for number, windows in enumerate(blocks(benchmark, item, item_text)):
+        if number:  # a plan holds one pass; what the last has kept is written
+            docs = stored(docs, "clean")
 
         def keep(
             batches: Iterator[pa.RecordBatch], windows: Windows = windows
