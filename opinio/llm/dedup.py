@@ -3,10 +3,10 @@
 Two documents are linked if the sets of their 5-word shingles have a Jaccard similarity of
 0.8 or more. Fingerprints of 128 bits find the candidates: documents that share one of
 eight smallest shingle hashes are compared in tiles (see ``simhash``); what is close there
-is verified on the shingle sets themselves, again in tiles. At a similarity of 0.8 two
-documents share none of eight smallest hashes with probability 0.2 ** 8, below 3 in a
-million, and differ in 19 bits on average with a deviation of 4, so RADIUS loses nothing
-that counts. No false link remains.
+is verified on the shingle sets themselves, again in tiles. What can be lost, exactly computed
+for a linked pair: none of eight smallest hashes is shared with probability 0.2 ** 8, below 3 in a
+million; more than RADIUS bits differ in at most 1.3 in ten million (the worst size of a set beyond
+FEW shingles), more than FEW_RADIUS bits in 3 in 10**11. No false link remains.
 """
 
 from __future__ import annotations
@@ -23,7 +23,9 @@ from opinio.llm.simhash import components, majority, near_links, shingle_hashes
 from opinio.llm.urls import blocks_for, bloom_filter, maybe_listed
 
 WORDS, SIMILARITY = 5, 0.8
-LANES, RADIUS = 2, 40
+LANES, RADIUS = 2, 44
+# Majorities of few shingles are coarse: sets of at most FEW are compared more widely.
+FEW, FEW_RADIUS = 8, 56
 KEYS = 8
 # Shingle sets compared in one tile, and shingles counted at once there.
 TILE, SLAB = 256, 8192
@@ -149,7 +151,9 @@ def one_of_each(
         "classes",
     ).withColumn("uid", F.col("first.uid"))
     # sizes of linked sets differ by a factor of 1 / similarity at most: one step of rank
-    rank = F.floor(F.log(F.col("n")) / F.lit(np.log(1.01 / similarity)))
+    step = np.log(1.01 / similarity)
+    rank = F.floor(F.log(F.col("n")) / F.lit(step))
+    wide = (int(np.log(FEW) / step), FEW_RADIUS)
     keyed = classes.where(F.col("n") > 0).withColumn("rank", rank)
     words_of = [f"f{i}" for i in range(LANES)]
     items = keyed.select(
@@ -158,7 +162,7 @@ def one_of_each(
         "rank",
         *words_of,
     )
-    close = components(near_links(items, RADIUS, gap=1, lanes=LANES))
+    close = components(near_links(items, RADIUS, gap=1, lanes=LANES, wide=wide))
     members = stored(
         keyed.join(close.withColumnRenamed("id", "uid"), "uid").select("uid", "root", "rank", *words_of),
         "members",
@@ -177,6 +181,7 @@ def one_of_each(
         tile=TILE,
         verify=jaccard_test(similarity),
         payload=sets.withColumnRenamed("uid", "id"),
+        wide=wide,
     )
     groups = components(links).withColumnRenamed("id", "uid")
     kept = (

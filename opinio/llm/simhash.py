@@ -122,10 +122,18 @@ class Forest:
 Verify = Callable[[pa.Table], Callable[[int, int], bool]]
 
 
-def forest_of(group: pa.Table, radius: int, gap: int, lanes: int, verify: Verify | None) -> list[tuple[int, int]]:
+def forest_of(
+    group: pa.Table,
+    radius: int,
+    gap: int,
+    lanes: int,
+    verify: Verify | None,
+    wide: tuple[int, int] | None = None,
+) -> list[tuple[int, int]]:
     """Links (of row numbers) that connect all rows of a tile pair whose pairs are linked.
 
-    A pair is compared if its sides are 0 and 1, or if both are 0 in a tile by itself.
+    A pair is compared if its sides are 0 and 1, or if both are 0 in a tile by itself. ``wide``
+    is (rank, radius): pairs with a row up to that rank have this radius.
     """
     words = [group[f"f{i}"].to_numpy().view(np.uint64) for i in range(lanes)]
     rank = group["rank"].to_numpy()
@@ -135,6 +143,9 @@ def forest_of(group: pa.Table, radius: int, gap: int, lanes: int, verify: Verify
     alone = not len(right)
     if alone:
         right = left
+    reach = np.full(len(side), radius)
+    if wide:
+        reach[rank <= wide[0]] = wide[1]
     forest, links = Forest(len(side)), []
     test = verify(group) if verify else None
     for start in range(0, len(left), ROWS_AT_ONCE):
@@ -143,7 +154,8 @@ def forest_of(group: pa.Table, radius: int, gap: int, lanes: int, verify: Verify
         far = sum(
             np.bitwise_count(w[rows][:, None] ^ w[others][None, :]).astype(np.uint16) for w in words
         )
-        near = (far <= radius) & (np.abs(rank[rows][:, None] - rank[others][None, :]) <= gap)
+        most = np.maximum(reach[rows][:, None], reach[others][None, :])
+        near = (far <= most) & (np.abs(rank[rows][:, None] - rank[others][None, :]) <= gap)
         near_row, near_other = np.nonzero(near)
         for i, j in zip(rows[near_row].tolist(), others[near_other].tolist()):
             if (not alone or i < j) and forest.root(i) != forest.root(j):
@@ -161,12 +173,13 @@ def near_links(
     tile: int = TILE,
     verify: Verify | None = None,
     payload: DataFrame | None = None,
+    wide: tuple[int, int] | None = None,
 ) -> DataFrame:
     """``(a, b)``: links between items of one block, enough to connect what is linked.
 
     ``items`` has ``key`` (a block), ``id``, ``rank`` and ``f0``...; ``payload``, if given, has
     ``id`` and what ``verify`` needs, and joins them once they have been dealt out. Two items are linked if they share a block, their ranks differ by ``gap`` at most, their
-    fingerprints by ``radius`` bits at most, and ``verify`` agrees. A block of any
+    fingerprints by ``radius`` bits at most (``wide``: see ``forest_of``), and ``verify`` agrees. A block of any
     size is cut into tiles in the order of rank; each pair of tiles within the gap is a
     task's unit of work, so no block has to fit anywhere.
     """
@@ -242,7 +255,7 @@ def near_links(
         for start, stop in zip(starts, starts[1:]):
             if stop - start > 1:
                 group = rows.slice(start, stop - start)
-                for i, j in forest_of(group, radius, gap, lanes, verify):
+                for i, j in forest_of(group, radius, gap, lanes, verify, wide):
                     first.append(ids[start + i])
                     second.append(ids[start + j])
         return pa.record_batch(

@@ -114,3 +114,16 @@ def test_decontamination_stage_drops_leaks(spark, data, documents):
     )
     kept = corpus_pipeline.decontamination(spark, extra, data)
     assert [r.doc_id for r in kept.collect()] == [-2]
+
+
+def test_short_texts_at_the_edge_of_the_similarity_are_linked(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(12)
+    rows = []
+    for i in range(3000):
+        words = [f"w{n}" for n in rng.integers(0, 1 << 40, 9)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:8]))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    kept = {r.doc_id for r in dedup.one_of_each(docs).collect()}
+    assert kept == {2 * i for i in range(3000)}
