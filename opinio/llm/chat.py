@@ -87,32 +87,37 @@ def format_conversations(
     conversation of its own. Other columns are ignored. A conversation becomes one
     string, so its length is what bounds a task, as in the result itself.
     """
-    body = F.array_join(F.transform(F.col(parts), visited), "")
     items = messages.select(
         F.col(conv).alias("_conv"),
         F.struct(
             F.col(turn).alias("turn"),
             F.coalesce(F.col(role), F.lit("")).alias("role"),
-            F.coalesce(body, F.lit("")).alias("body"),
-            F.coalesce(
-                F.transform(
-                    F.filter(
-                        F.col(parts), lambda p: F.coalesce(p["type"].isin(*EXPANSION), F.lit(False))
-                    ),
-                    lambda p: F.struct(
-                        p["type"].alias("type"),
-                        p["ref"].alias("ref"),
-                        expanded_tokens(p).alias("tokens"),
-                    ),
-                ),
-                F.array().cast("array<struct<type:string,ref:string,tokens:bigint>>"),
-            ).alias("attached"),
+            F.col(parts).alias("parts"),
         ).alias("_message"),
     )
-    head = lambda m: F.concat(F.lit("### "), escaped(m["role"]), F.lit(": "))
-    ordered = items.groupBy("_conv").agg(
-        F.array_sort(F.collect_list("_message")).alias("_turns")
+
+    def attached_to(m: Column) -> Column:
+        kept = F.filter(m["parts"], lambda p: F.coalesce(p["type"].isin(*EXPANSION), F.lit(False)))
+        made = F.transform(
+            kept,
+            lambda p: F.struct(
+                p["type"].alias("type"), p["ref"].alias("ref"), expanded_tokens(p).alias("tokens")
+            ),
+        )
+        none = F.array().cast("array<struct<type:string,ref:string,tokens:bigint>>")
+        return F.coalesce(made, none)
+
+    # sorted by what the parts say, then written down
+    written = F.transform(
+        F.array_sort(F.collect_list("_message")),
+        lambda m: F.struct(
+            m["role"].alias("role"),
+            F.coalesce(F.array_join(F.transform(m["parts"], visited), ""), F.lit("")).alias("body"),
+            attached_to(m).alias("attached"),
+        ),
     )
+    head = lambda m: F.concat(F.lit("### "), escaped(m["role"]), F.lit(": "))
+    ordered = items.groupBy("_conv").agg(written.alias("_turns"))
     attached = F.flatten(F.transform("_turns", lambda m: m["attached"]))
     return ordered.select(
         F.col("_conv").alias(conv),

@@ -88,3 +88,11 @@ def test_query_over_the_table(spark, data):
         assert r.n_turns == len(every) and r.loss_chars == len("".join(learned))
         assert r.turns_sha256 == hashlib.sha256("".join(every).encode()).hexdigest()
         assert r.loss_sha256 == hashlib.sha256("".join(learned).encode()).hexdigest()
+
+
+def test_equal_turns_are_ordered_by_their_text_not_by_its_escaped_form(spark):
+    rows = [(1, 0, "user", t) for t in ("Z", "<a", "", None, "#", "zz")]
+    frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    messages = frame.withColumn("parts", F.array(chat.text_part(F.col("text"))))
+    (row,) = chat.format_conversations(messages).select(chat.read_back().alias("r")).collect()
+    assert [t.text for t in row.r] == ["", "", "#", "<a", "Z", "zz"]
