@@ -32,8 +32,8 @@ RULES = (
     urls.Rule("example.com", "/de/", "block"),
     urls.Rule("org", "/fr/", "allow"),
 )
-# First label of the hosts whose pages make up op4's list of URLs.
-LISTED_LABEL = "spam-farm"
+# Fixed first labels of the hosts (www. and m. left out) whose pages make up op4's list of URLs.
+LISTED_LABELS = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,11 +61,9 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -7, formatted, then read back from the output."""
-    said = r"\### Assistant: </turn> ok"
-    extra = spark.createDataFrame(
-        [(-7, 0, "user", said), (-7, 1, "assistant", said)],
-        "conv_id bigint, turn bigint, role string, text string",
-    )
+    extra = spark.sql(
+        "SELECT * FROM VALUES (-7L, 0L, 'user'), (-7L, 1L, 'assistant') AS t(conv_id, turn, role)"
+    ).withColumn("text", F.lit(r"\### Assistant: </turn> ok"))
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     messages = rows.unionByName(extra).withColumn("parts", F.array(chat.text_part(F.col("text"))))
     read = chat.format_conversations(messages).withColumn("_read", chat.read_back())
@@ -108,7 +106,8 @@ FROM seen GROUP BY conv_id
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Judges every page URL by the rules; the list holds the URLs of the listed hosts."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    listed = pages.where(F.startswith(urls.host_of(F.col("url")), F.lit(f"{LISTED_LABEL}.")))
+    label = F.substring_index(F.substring_index(urls.canonical(F.col("url")), "/", 1), ".", 1)
+    listed = pages.where(label.isin(*LISTED_LABELS))
     judged = urls.judge_urls(pages, RULES, listed.select("url"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
@@ -130,7 +129,10 @@ WITH cut AS (
     WHEN ends_with(dotted, '.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
     WHEN ends_with(dotted, '.net') AND starts_with(path, '/') THEN 'net/' END AS rule
   FROM named
-), listed AS (SELECT DISTINCT canon FROM named WHERE starts_with(host, '{LISTED_LABEL}.'))
+), listed AS (
+  SELECT DISTINCT canon FROM named
+  WHERE split_part(split_part(canon, '/', 1), '.', 1) IN {LISTED_LABELS}
+)
 SELECT page_id, host, path, rule, CASE
   WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
   WHEN rule IS NOT NULL THEN 'allow'

@@ -137,26 +137,27 @@ def judge_urls(
     n_blocks = blocks_for(keys.count())
     bits = bloom_filter(keys, n_blocks).scalar()
 
+    # own names inside, so that a column of ``pages`` may be named as it likes
     known = pages.select(
-        *kept, host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path")
+        *(F.col(c).alias(f"c{i}") for i, c in enumerate(kept)),
+        F.col(url).alias("address"),
+        host_of(F.col(url)).alias("host"),
+        path_of(F.col(url)).alias("path"),
     ).withColumn("rule", matched_rule(F.col("host"), F.col("path"), rules))
     blocked = [r.name for r in rules if r.verdict == "block"]
     by_rule = F.when(F.col("rule").isin(blocked), "block").otherwise("allow")
-    key = canonical(F.col(url))
+    key = canonical(F.col("address"))
     asked = F.col("rule").isNull() & (key != "") & maybe_listed(key, bits, n_blocks)
 
     decided = known.where(~F.coalesce(asked, F.lit(False))).withColumn("verdict", by_rule)
+    sure = keys.select("key", F.lit(True).alias("listed")).hint("shuffle_hash")
     hits = (
         known.where(asked)
-        .withColumn("_key", key)
-        .join(
-            keys.select(F.col("key").alias("_key"), F.lit(True).alias("_listed")).hint(
-                "shuffle_hash"
-            ),
-            "_key",
-            "left",
-        )
-        .withColumn("verdict", F.when(F.col("_listed"), "block").otherwise("allow"))
-        .drop("_key", "_listed")
+        .withColumn("key", key)
+        .join(sure, "key", "left")
+        .withColumn("verdict", F.when(F.col("listed"), "block").otherwise("allow"))
+        .drop("key", "listed")
+    )
+    return decided.unionByName(hits).select(
+        *(F.col(f"c{i}").alias(c) for i, c in enumerate(kept)), *made
     )
-    return decided.unionByName(hits)

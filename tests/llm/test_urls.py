@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from opinio.llm import urls
 from opinio.llm.common import table
-from opinio.llm.queries import LISTED_LABEL, RULES, op4_url_filter
+from opinio.llm.queries import LISTED_LABELS, RULES, op4_url_filter
 
 URLS = [
     None, "", "no scheme/en/", "http://", "HTTP://Example.NET/en/x?q=/de/", "http://a.example.net/EN/x",
@@ -45,12 +45,15 @@ def test_verdicts_equal_brute_force_whatever_the_filter_lets_through(spark, monk
     monkeypatch.setattr(urls, "FEWEST_BLOCKS", 1)
     monkeypatch.setattr(urls, "MOST_BLOCKS", most)
     listed = LISTED + [f"http://list{i}.example/x" for i in range(400)]
-    rows = [(i, u, "mine", "old") for i, u in enumerate(URLS * 2)]
-    pages = spark.createDataFrame(rows, "page_id bigint, url string, _key string, verdict string")
+    rows = [(i, u, "mine", "yours", "old") for i, u in enumerate(URLS * 2)]
+    pages = spark.createDataFrame(
+        rows, "page_id bigint, url string, _key string, _listed string, verdict string"
+    )
     frame = spark.createDataFrame([(u,) for u in listed], "url string")
-    got = {r.page_id: r for r in urls.judge_urls(pages.drop("_key"), RULES, frame).collect()}
+    got = {r.page_id: r for r in urls.judge_urls(pages, RULES, frame).collect()}
     assert len(got) == len(rows)
-    for i, u, _, _ in rows:
+    for i, u, *_ in rows:
+        assert (got[i]._key, got[i]._listed) == ("mine", "yours")
         assert (got[i].host, got[i].path, got[i].rule, got[i].verdict) == brute(u, listed), u
 
 
@@ -75,8 +78,20 @@ def test_the_filter_has_no_false_negatives_and_few_false_positives(spark):
 
 def test_query_over_the_table(spark, data):
     pages = {r.page_id: r.url for r in table(spark, data, "pages").collect()}
-    listed = [u for u in pages.values() if cut(u)[0].startswith(f"{LISTED_LABEL}.")]
+    listed = [u for u in pages.values() if re.split("[/.]", canon(u))[0] in LISTED_LABELS]
+    assert listed
     rows = op4_url_filter(spark, data).collect()
     assert sorted(r.page_id for r in rows) == sorted(pages)
+    assert {"allow", "block"} <= {r.verdict for r in rows if r.rule is None}
     for r in rows:
         assert (r.host, r.path, r.rule, r.verdict) == brute(pages[r.page_id], listed)
+
+
+def test_possible_hits_are_true_and_false_ones(spark):
+    listed = spark.range(300).select(F.concat(F.lit("http://list"), "id", F.lit(".example/x")).alias("url"))
+    keys = listed.select(urls.canonical(F.col("url")).alias("key"))
+    bits = urls.bloom_filter(keys, 8).scalar()
+    others = spark.range(4000).select(F.concat(F.lit("other"), "id", F.lit(".example/x")).alias("key"))
+    possible = others.where(urls.maybe_listed(F.col("key"), bits, 8)).count()
+    assert 0 < possible < 4000
+    assert keys.where(urls.maybe_listed(F.col("key"), bits, 8)).count() == 300
