@@ -4,9 +4,8 @@ Scoring every item for every query is inherent in exact search; writing every
 (query, item) pair down is not. Items are scored a block at a time as matrix
 work and only the best k per query leave a task.
 
-A query set of checked size travels with the tasks and items stay where they
-are. A larger one is cut into blocks that meet the item blocks in a shuffle; the
-driver sees none of it.
+Queries travel with the tasks and items stay where they are. A query set beyond the
+checked size goes in blocks, one pass over the items for each; no item is shuffled or copied.
 """
 
 from __future__ import annotations
@@ -20,6 +19,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from opinio.session import new_path
+
 # Bounds of a query set that may travel with the tasks.
 RESIDENT_QUERIES = 10_000
 RESIDENT_BYTES = 32 << 20
@@ -89,11 +90,14 @@ def exact_topk(
     resident_queries: int = RESIDENT_QUERIES,
     resident_bytes: int = RESIDENT_BYTES,
     items_per_block: int = ITEMS_PER_BLOCK,
+    recomputed: bool = False,
 ) -> DataFrame:
     """``(query_id, id, score, rank)`` from ``items(id, ...)`` and ``queries(query_id, ...)``.
 
     ``query_id`` and ``id`` are unique. ``query_bytes`` is the size of one query
-    row, from which the size of the whole set is summed before it is fetched.
+    row, from which the size of the whole set is summed before any of it is fetched. Up to
+    ``items_per_block`` items are scored together. ``recomputed`` says that ``items`` are
+    more than a scan: for several query blocks they are written once.
     """
     schema = StructType(
         [queries.schema["query_id"], items.schema["id"], StructField("score", DoubleType())]
@@ -102,32 +106,37 @@ def exact_topk(
         F.count(F.lit(1)), F.coalesce(F.sum(query_bytes), F.lit(0))
     ).first()
 
-    def scored(block: pa.Table, prepare: Prepare) -> pa.Table:
-        return block_hits(block, prepare(block), k, digits)
-
-    if n_queries <= resident_queries and n_bytes <= resident_bytes:
-        resident = queries.toArrow()
-
+    def candidates(resident: pa.Table) -> DataFrame:
         def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             prepare = make_scorer(resident)
             best = None
             for batch in batches:
-                if batch.num_rows == 0 or resident.num_rows == 0:
-                    continue
-                hits = scored(pa.Table.from_batches([batch]), prepare)
-                best = hits if best is None else keep_best(pa.concat_tables([best, hits]), k)
+                for start in range(0, batch.num_rows if resident.num_rows else 0, items_per_block):
+                    block = pa.Table.from_batches([batch.slice(start, items_per_block)])
+                    hits = block_hits(block, prepare(block), k, digits)
+                    best = hits if best is None else keep_best(pa.concat_tables([best, hits]), k)
             if best is not None:
                 yield from _named(keep_best(best, k), resident).to_batches()
 
-        candidates = items.mapInArrow(per_task, schema)
-    else:
-        candidates = _blocked(
-            items, queries, make_scorer, scored, schema,
-            max(1, -(-n_queries // resident_queries), -(-n_bytes // resident_bytes)),
-            items_per_block,
-        )
+        return items.mapInArrow(per_task, schema)
 
-    return best_of_each(candidates, k)
+    if n_queries <= resident_queries and n_bytes <= resident_bytes:
+        return best_of_each(candidates(queries.toArrow()), k)
+
+    n_blocks = max(-(-n_queries // resident_queries), -(-n_bytes // resident_bytes))
+    spark = queries.sparkSession
+    asked, found = new_path(spark, "queries"), new_path(spark, "hits")
+    block = F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)).cast("int")
+    queries.withColumn("_block", block).write.partitionBy("_block").parquet(asked)
+    if recomputed:
+        kept = new_path(spark, "items")
+        items.write.parquet(kept)
+        items = spark.read.schema(items.schema).parquet(kept)
+    for number in range(n_blocks):
+        some = spark.read.parquet(asked).where(F.col("_block") == number)
+        resident = some.select(*queries.columns).toArrow()
+        best_of_each(candidates(resident), k).write.mode("append").parquet(found)
+    return spark.read.parquet(found)
 
 
 def best_of_each(candidates: DataFrame, k: int) -> DataFrame:
@@ -145,51 +154,6 @@ def best_of_each(candidates: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _blocked(
-    items: DataFrame,
-    queries: DataFrame,
-    make_scorer: MakeScorer,
-    scored: Callable[[pa.Table, Prepare], pa.Table],
-    schema: StructType,
-    n_query_blocks: int,
-    items_per_block: int,
-) -> DataFrame:
-    """Every query block meets every item block once, in a group of bounded size.
-
-    Blocks are cut by the hash of unique ids, so their sizes are even. Item rows
-    are copied once per query block and query rows once per item block.
-    """
-    n_item_blocks = max(1, -(-items.count() // items_per_block))
-
-    def block(key: str, n: int) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
-
-    def every(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    left = items.withColumn("_item_block", block("id", n_item_blocks)).withColumn(
-        "_query_block", every(n_query_blocks)
-    )
-    # fresh columns, so that queries taken from the items' own table stay a side of their own
-    asked = queries.select(*(F.col(name).alias(name) for name in queries.columns))
-    right = asked.withColumn("_query_block", block("query_id", n_query_blocks)).withColumn(
-        "_item_block", every(n_item_blocks)
-    )
-    keys = ["_query_block", "_item_block"]
-
-    def per_pair(block_items: pa.Table, block_queries: pa.Table) -> pa.Table:
-        if block_items.num_rows == 0 or block_queries.num_rows == 0:
-            names = schema.fieldNames()
-            kinds = [block_queries["query_id"].type, block_items["id"].type, pa.float64()]
-            return pa.table({n: pa.array([], t) for n, t in zip(names, kinds)})
-        hits = scored(block_items, make_scorer(block_queries))
-        return _named(hits, block_queries)
-
-    return (
-        left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(per_pair, schema)
-    )
-
-
 def _flat(column: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
     """Flattened list values and the number of values in each row."""
     lists = column.combine_chunks()
@@ -240,60 +204,6 @@ def unit_rows(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return matrix, usable
 
 
-def sign_bands(unit: np.ndarray, bands: int, bits: int, seed: int) -> np.ndarray:
-    """For each vector and band the signs of its projections on ``bits`` random directions."""
-    if not unit.shape[1]:
-        return np.zeros((len(unit), bands), np.int64)
-    directions = np.random.default_rng(seed).normal(size=(unit.shape[1], bands * bits))
-    signs = (unit @ directions > 0).reshape(len(unit), bands, bits)
-    return signs @ (1 << np.arange(bits, dtype=np.int64))
-
-
-def banded_cosine_scorer(bands: int, bits: int, seed: int) -> MakeScorer:
-    """Cosine of the pairs that agree in a band; a query scores its own candidates only.
-
-    ``bands`` values stored with the items are used, else they are made here.
-    """
-
-    def of(table: pa.Table, unit: np.ndarray) -> np.ndarray:
-        if "bands" in table.column_names:
-            values, lengths = _flat(table["bands"])
-            return values.to_numpy(zero_copy_only=False).reshape(len(lengths), bands)
-        return sign_bands(unit, bands, bits, seed)
-
-    def make(queries: pa.Table) -> Prepare:
-        wanted, wanted_ok = unit_rows(queries)
-        asked = sign_bands(wanted, bands, bits, seed)
-
-        def prepare(items: pa.Table) -> Score:
-            rows, rows_ok = unit_rows(items)
-
-            def score() -> Hits:
-                if not rows.shape[1] or not wanted.shape[1]:
-                    return
-                values = of(items, rows)
-                order = np.argsort(values, axis=0, kind="stable")
-                ranked = np.take_along_axis(values, order, 0)
-                spans = [
-                    (np.searchsorted(ranked[:, b], asked[:, b], "left"),
-                     np.searchsorted(ranked[:, b], asked[:, b], "right"))
-                    for b in range(bands)
-                ]
-                for query in np.flatnonzero(wanted_ok).tolist():
-                    near = np.concatenate(
-                        [order[low[query] : high[query], b] for b, (low, high) in enumerate(spans)]
-                    )
-                    near = np.unique(near)
-                    near = near[rows_ok[near]]
-                    yield query, near, rows[near] @ wanted[query]
-
-            return score
-
-        return prepare
-
-    return make
-
-
 def weighted_terms_scorer(queries: pa.Table) -> Prepare:
     """Sum of ``matches.weight`` over the terms an item shares with the query."""
     asked, asked_n = _flat(queries["terms"])

@@ -47,14 +47,23 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Deletes an intermediate table that ``new_path`` has named and nothing reads any more."""
-    if not path.startswith(f"{shared_dir(spark)}/"):
-        raise ValueError(f"not in the shared folder: {path}")
+def remove(spark: SparkSession, path: str, within: str | None = None) -> None:
+    """Deletes a table of this library that nothing reads any more.
+
+    It has to lie in the shared folder, where ``new_path`` has named it, or ``within``.
+    """
+    within = (within or shared_dir(spark)).rstrip("/")
+    if not path.startswith(f"{within}/") or path == f"{within}/":
+        raise ValueError(f"not in {within}: {path}")
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(folder)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -3,6 +3,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from opinio.operators import search
+from opinio.operators.cells import VectorCells, scored_share
+from opinio.session import new_path
 from opinio.sources import standins
 
 VECTORS = "id {}, embedding array<float>"
@@ -91,17 +93,8 @@ def test_mixed_dimensions_are_refused(spark):
         search.semantic_topk(frame, asked, 3).collect()
 
 
-def test_approximate_search_recalls_most_of_the_exact_hits(spark, data):
-    vectors = standins.table(spark, data, "embeddings").select(
-        F.col("vec_id").alias("id"), "embedding"
-    )
-    asked = vectors.withColumnRenamed("id", "query_id").where("query_id < 25")
-    exact = search.semantic_topk(vectors, asked, 3)
-    near = search.semantic_topk_approx(vectors, asked, 3)
-    common = exact.join(near, ["query_id", "id"]).count()
-    assert common >= 0.8 * exact.count()
-    # every query finds itself
-    assert near.where("query_id = id and rank = 1").count() == asked.count()
+def cells_of(spark, vectors, n_cells=None):
+    return VectorCells(spark, new_path(spark, "cells")).build(vectors, n_cells)
 
 
 def test_a_query_scores_its_own_candidates_only(spark):
@@ -113,16 +106,43 @@ def test_a_query_scores_its_own_candidates_only(spark):
     ]
     vectors = spark.createDataFrame(items, VECTORS.format("long"))
     asked = vectors.withColumnRenamed("id", "query_id").where("query_id < 40")
-    narrow = {"bands": 16, "bits": 12}
-    stored = search.with_bands(vectors, **narrow)
-    every = search.semantic_topk_approx(stored, asked, 2000, **narrow)
-    # all vectors of the query's own cluster, and less than half of all for any query
-    per_query = {r.query_id: r["count"] for r in every.groupBy("query_id").count().collect()}
-    assert min(per_query.values()) >= 95 and max(per_query.values()) < 1000
+    cells = cells_of(spark, vectors, 40)
     exact = result(search.semantic_topk(vectors, asked, 10))
-    assert result(search.semantic_topk_approx(stored, asked, 10, **narrow)) == exact
-    small = {"items_per_block": 300, "resident_queries": 7}
-    assert result(search.semantic_topk_approx(vectors, asked, 10, **narrow, **small)) == exact
+    few = {"reach": 0.05, "scored": 0.05}
+    per_query = {r.query_id: r.n for r in scored_share(cells, asked, **few).collect()}
+    assert max(per_query.values()) < 250
+    assert result(cells.search(asked, 10, **few)) == exact
+    assert result(cells.search(asked, 10, **few, resident_queries=7, items_per_block=300)) == exact
+    # one query reads the folders of its own cells only
+    one = cells.search(asked.where("query_id = 3"), 5, **few)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "cell" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_the_stored_split_does_not_matter(spark):
+    rng = np.random.default_rng(6)
+    vectors = spark.createDataFrame(
+        [(i, rng.normal(size=16).tolist()) for i in range(400)], VECTORS.format("long")
+    )
+    asked = vectors.withColumnRenamed("id", "query_id").where("query_id < 20")
+    one, other = (cells_of(spark, vectors.repartition(n)) for n in (1, 7))
+    assert result(one.search(asked, 5)) == result(other.search(asked, 5))
+
+
+def test_everything_is_found_where_everything_is_read(spark, crowd):
+    items, queries = crowd
+    frame = spark.createDataFrame(items, VECTORS.format("long")).repartition(6)
+    asked = spark.createDataFrame(queries, "query_id long, embedding array<float>")
+    got = result(cells_of(spark, frame).search(asked, 5, reach=1.0, scored=1.0))
+    assert got == result(search.semantic_topk(frame, asked, 5))
+
+
+def test_cells_of_nothing(spark):
+    none = spark.createDataFrame([], VECTORS.format("long"))
+    zero = spark.createDataFrame([(1, [0.0, 0.0]), (2, None)], VECTORS.format("long"))
+    asked = spark.createDataFrame([(1, [1.0, 0.0]), (2, None)], "query_id long, embedding array<float>")
+    for vectors in (none, zero):
+        assert cells_of(spark, vectors).search(asked, 3).count() == 0
 
 
 def test_full_text_work_follows_the_postings():
@@ -151,8 +171,11 @@ def test_approximate_search_finds_nine_in_ten_without_the_own_row(spark, data):
         F.col("vec_id").alias("id"), "embedding"
     )
     asked = vectors.withColumnRenamed("id", "query_id").where("query_id % 10 = 0")
+    cells = cells_of(spark, vectors)
     exact, near = (
-        f(vectors, asked, 4).where("query_id <> id and rank <= 4").select("query_id", "id")
-        for f in (search.semantic_topk, search.semantic_topk_approx)
+        hits.where("query_id <> id and rank <= 4").select("query_id", "id")
+        for hits in (search.semantic_topk(vectors, asked, 4), cells.search(asked, 4))
     )
     assert exact.join(near, ["query_id", "id"]).count() >= 0.9 * exact.count()
+    shares = scored_share(cells, asked).agg(F.avg("n")).first()[0] / vectors.count()
+    assert shares < 0.25
