@@ -2,24 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from opinio.functions.text import distinct_terms, term_counts
 from opinio.operators.index import Snapshot, TextIndex, with_vector
-from opinio.operators.topk import (
-    banded_cosine_scorer,
-    cosine_scorer,
-    exact_topk,
-    sign_bands,
-    unit_rows,
-    weighted_terms_scorer,
-)
-from opinio.session import checked_broadcast
+from opinio.operators.topk import cosine_scorer, exact_topk, weighted_terms_scorer
+from opinio.session import checked_broadcast, new_path
 
 # BM25 and reciprocal rank fusion constants, digits ranked on.
 K1 = 1.2
@@ -30,10 +21,9 @@ COSINE_DIGITS = 6
 BM25_DIGITS = 4
 DEFAULT_RESULTS = 5
 
+# Asked terms that are pushed to the scan, and terms up to which their blocks are as well.
 PUSHED_TERMS = 1000
-
-# Approximate search: bands, sign bits of each, seed of the directions.
-BANDS, BAND_BITS, BAND_SEED = 64, 6, 7
+TERMS_WITH_BLOCKS = 50
 
 
 def semantic_topk(
@@ -57,51 +47,6 @@ def semantic_topk(
     )
 
 
-def with_bands(
-    vectors: DataFrame, bands: int = BANDS, bits: int = BAND_BITS, seed: int = BAND_SEED
-) -> DataFrame:
-    """Appends ``bands``, to be stored with the vectors and used by every later search."""
-    schema = StructType([*vectors.schema.fields, StructField("bands", ArrayType(LongType()))])
-
-    def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            unit, _ = unit_rows(pa.Table.from_batches([batch]))
-            values = sign_bands(unit, bands, bits, seed).tolist()
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(values, pa.list_(pa.int64()))],
-                names=[*batch.schema.names, "bands"],
-            )
-
-    return vectors.mapInArrow(per_batch, schema)
-
-
-def semantic_topk_approx(
-    vectors: DataFrame,
-    queries: DataFrame,
-    k: int = DEFAULT_RESULTS,
-    bands: int = BANDS,
-    bits: int = BAND_BITS,
-    seed: int = BAND_SEED,
-    **bounds: int,
-) -> DataFrame:
-    """Cosine top-k of each query among the vectors that share a band with that query.
-
-    Two vectors at an angle of t agree in a band with probability (1 - t / pi) ** bits.
-    A query scores its own candidates only; items do not move and no pairs are written.
-    Vectors that carry ``bands`` (of the same numbers and seed) save hashing them again.
-    """
-    carried = ["bands"] if "bands" in vectors.columns else []
-    return exact_topk(
-        vectors.where(F.col("embedding").isNotNull()).select("id", "embedding", *carried),
-        queries.where(F.col("embedding").isNotNull()).select("query_id", "embedding"),
-        banded_cosine_scorer(bands, bits, seed),
-        k,
-        COSINE_DIGITS,
-        query_bytes=F.size("embedding") * 8,
-        **bounds,
-    )
-
-
 def search_semantic(
     found: Snapshot, queries: DataFrame, k: int = DEFAULT_RESULTS, **bounds: int
 ) -> DataFrame:
@@ -122,16 +67,19 @@ def search_semantic(
 
 
 def search_approximate(
-    found: Snapshot, queries: DataFrame, k: int = DEFAULT_RESULTS, **hashing: int
+    found: Snapshot, queries: DataFrame, k: int = DEFAULT_RESULTS, **options: float
 ) -> DataFrame:
-    """Cosine over the index vectors that share a band with the question."""
+    """Cosine over the vectors of the cells nearest to the question; see ``operators.cells``.
+
+    The index makes its cells at the first such search and keeps them from then on.
+    """
     asked = with_vector(
         queries.select("query_id", "query_text", term_counts(F.col("query_text")).alias("terms")),
         "query_text",
         found.index.embed,
     ).select("query_id", "embedding")
-    items = found.rows().select(F.col(found.index.key).alias("id"), "embedding")
-    return semantic_topk_approx(items, asked, k, **hashing)
+    hits = found.cells().search(asked, k, **options)
+    return hits if found.index.embed else hits.where(F.col("score") > 0)
 
 
 def search_fulltext(
@@ -140,15 +88,53 @@ def search_fulltext(
     """BM25 over the postings of the asked terms.
 
     Postings are sorted by term, so a short list of terms is pushed to the scan
-    and skips the other row groups. The matches of one text are gathered once and
-    scored for all queries together, instead of once per query.
+    and skips the other row groups. Blocks of a term's postings that cannot lift a text to
+    the k-th score of any question are left out (see ``needed_blocks``). The matches of one text
+    are gathered once and scored for all queries together, instead of once per query.
     """
-    totals = found.totals
     asked = queries.select("query_id", distinct_terms(F.col("query_text")).alias("terms"))
+    size = F.octet_length(F.concat_ws("", "terms")) + 8 * F.size("terms")
+
+    def ranked(blocks: DataFrame) -> DataFrame:
+        return exact_topk(
+            _matches(found, blocks), asked, weighted_terms_scorer, k, BM25_DIGITS,
+            query_bytes=size, recomputed=True, **bounds,
+        )
+
+    return ranked(needed_blocks(found, asked, k, ranked))
+
+
+def _norm(found: Snapshot, n_terms: Column) -> Column:
+    return K1 * (1 - B + B * n_terms / F.lit(found.totals.mean_terms or 1.0))
+
+
+def _matches(found: Snapshot, blocks: DataFrame) -> DataFrame:
+    """``(id, matches)``: the weighted terms of each text in some blocks with their ``idf``."""
+    entry = F.explode("entries").alias("_e")
+    tf = F.col("_e.tf")
+    weight = F.col("idf") * tf * (K1 + 1) / (tf + _norm(found, F.col("_e.n_terms")))
+    return (
+        blocks.select("term", "idf", entry)
+        .select(F.col("_e.id").alias("id"), F.struct("term", weight.alias("weight")).alias("m"))
+        .groupBy("id")
+        .agg(F.collect_list("m").alias("matches"))
+    )
+
+
+def needed_blocks(
+    found: Snapshot, asked: DataFrame, k: int, ranked: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Blocks of the asked terms, with ``idf``, that can hold a hit of some question.
+
+    A block's greatest weight follows from its greatest count and its shortest text. The
+    heaviest blocks alone, ranked, give each question a k-th score that its hits must reach.
+    A text of a block can reach it only if the block's greatest weight and the greatest
+    weights of the question's other terms together do: blocks for which that holds in no
+    question are left out. A hit is in none of them, so hits keep their whole score.
+    """
     vocabulary = asked.select(F.explode_outer("terms").alias("term")).distinct()
     vocabulary = vocabulary.where(F.col("term").isNotNull())
     few = [row[0] for row in vocabulary.limit(PUSHED_TERMS + 1).collect()]
-
     pushed = len(few) <= PUSHED_TERMS
     n_asked = len(few) if pushed else vocabulary.count()
 
@@ -157,24 +143,48 @@ def search_fulltext(
             return rows.where(F.col("term").isin(few))
         return rows.join(checked_broadcast(vocabulary, n_asked), "term", "left_semi")
 
-    df = F.sum("df")
+    df = F.sum("n")
+    totals = found.totals
     rarity = F.log(1 + (totals.n_docs - df + 0.5) / (df + 0.5))
-    rarities = matching(found.term_stats()).groupBy("term").agg(rarity.alias("idf"))
-
-    tf = F.col("tf")
-    norm = K1 * (1 - B + B * F.col("n_terms") / F.lit(totals.mean_terms or 1.0))
-    weight = F.col("idf") * tf * (K1 + 1) / (tf + norm)
-    items = (
-        matching(found.postings())
-        .join(checked_broadcast(rarities, n_asked), "term")
-        .select(F.col(found.index.key).alias("id"), F.struct("term", weight.alias("weight")).alias("m"))
-        .groupBy("id")
-        .agg(F.collect_list("m").alias("matches"))
+    most = F.col("most_tf") * (K1 + 1) / (F.col("most_tf") + _norm(found, F.col("least_terms")))
+    bounds = matching(found.blocks().select("term", "block", "n", "most_tf", "least_terms"))
+    path = new_path(found.index.spark, "terms")
+    bounds.groupBy("term").agg(
+        rarity.alias("idf"), F.max(most).alias("most"), F.max("block").alias("last")
+    ).write.parquet(path)
+    terms = found.index.spark.read.parquet(path)
+    known = checked_broadcast(terms.select("term", "idf"), n_asked)
+    blocks = matching(found.blocks()).join(known, "term")
+    if (terms.agg(F.max("last")).first()[0] or 0) == 0:
+        return blocks  # one block for each term and bucket: nothing to leave out
+
+    first = ranked(blocks.where(F.col("block") == 0))
+    reached = first.where(F.col("rank") == k).select("query_id", F.col("score").alias("reached"))
+    wanted = asked.select("query_id", F.explode("terms").alias("term")).join(terms, "term")
+    bound = F.col("idf") * F.col("most")
+    whole = wanted.groupBy("query_id").agg(F.sum(bound).alias("whole"))
+    # a block of the term is needed from this weight on; scores are ranked rounded
+    rest = F.coalesce("reached", F.lit(0.0)) - (F.col("whole") - bound) - 10.0**-BM25_DIGITS
+    needs = (
+        wanted.join(whole, "query_id").join(reached, "query_id", "left")
+        .groupBy("term").agg(F.min(rest).alias("needs"))
     )
-    size = F.octet_length(F.concat_ws("", "terms")) + 8 * F.size("terms")
-    return exact_topk(
-        items, asked, weighted_terms_scorer, k, BM25_DIGITS, query_bytes=size, **bounds
+    path = new_path(found.index.spark, "needs")
+    needs.write.parquet(path)
+    needs = found.index.spark.read.parquet(path)
+    enough = F.col("idf") * most >= F.col("needs")
+    needed = blocks.join(checked_broadcast(needs, n_asked), "term").where(enough)
+    if n_asked > TERMS_WITH_BLOCKS:
+        return needed
+    # the last block needed of each term goes to the scan as well
+    last = (
+        bounds.join(known, "term").join(needs, "term").where(enough)
+        .groupBy("term").agg(F.max("block").alias("last")).collect()
     )
+    scanned = F.lit(False)
+    for row in last:
+        scanned = scanned | ((F.col("term") == row["term"]) & (F.col("block") <= row["last"]))
+    return needed.where(scanned)
 
 
 def fuse(rankings: list[DataFrame], k: int) -> DataFrame:
@@ -226,9 +236,14 @@ def search(
     hits = MODES[mode](found, queries, k, **options)
     if not columns:
         return hits
-    rows = found.rows().select(F.col(index.key).alias("id"), *columns)
+    rows = found.rows().select("bucket", F.col(index.key).alias("id"), *columns)
+    # the hits are written: a table of keys, from whose buckets the scan of the rows is pruned at run time
+    path = new_path(index.spark, "hits")
+    hits.write.parquet(path)
+    hits = index.spark.read.parquet(path).where(F.col("rank") <= k)
+    hits = hits.withColumn("bucket", found.bucket_of(F.col("id")))
     hits = checked_broadcast(hits, queries.count() * k)
-    return rows.join(hits, "id").select("query_id", "rank", "id", "score", *columns)
+    return rows.join(hits, ["bucket", "id"]).select("query_id", "rank", "id", "score", *columns)
 
 
 def question_context(

@@ -196,9 +196,9 @@ FROM orders""",
     "preview": _with(SILVER)
     + "SELECT least(count(*), 10) AS n_rows, least(count(*), 10) AS n_silver FROM silver",
     "semantic_topk_approx": """
-SELECT CAST(sum(least(3, n)) AS BIGINT) AS n_exact, true AS recall_holds FROM (
-  SELECT vec_id, (SELECT count(*) FROM embeddings WHERE vec_id % 10 <> 0) AS n
-  FROM embeddings WHERE vec_id % 10 = 0)""",
+SELECT vec_id AS query_id, least(3, (SELECT count(*) - 1 FROM embeddings)) AS n_exact,
+       true AS recall_holds, true AS few_scored
+FROM embeddings WHERE vec_id % 50 = 0""",
     "csv_multiline_scan": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "loaded_files": """
 SELECT l_returnflag AS flag, count(*) AS n_rows FROM lineitem GROUP BY l_returnflag""",
@@ -241,7 +241,8 @@ SELECT 'postings' AS what, count(*) AS n, CAST(sum(tf) AS BIGINT) AS n_keys FROM
     + """
 SELECT (SELECT count(*) FROM documents) AS n_docs, count(DISTINCT term) AS n_distinct_terms,
        256 AS dimension,
-       round(CAST(sum(tf) AS DOUBLE) / (SELECT count(*) FROM documents), 6) AS mean_terms
+       round(CAST(sum(tf) AS DOUBLE) / (SELECT count(*) FROM documents), 6) AS mean_terms,
+       true AS estimate_holds
 FROM postings""",
     "index_change_set": _with(SNAPSHOTS)
     + """

@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from opinio.functions.rows import fingerprint
-from opinio.functions.text import hashed_sparse, term_counts
+from opinio.functions.counting import with_counts
+from opinio.functions.text import term_counts
 from opinio.operators import ratings, reviews, search, silver
+from opinio.operators.cells import VectorCells, scored_share
 from opinio.operators.changes import apply_changes, change_set, with_row_hash
 from opinio.operators.index import Snapshot, TextIndex, with_vector
 from opinio.plans import layered
@@ -192,10 +194,9 @@ def _exploded_vector(rows: DataFrame, key: str) -> DataFrame:
 
 
 def hashed_embedding(spark: SparkSession, folder: str) -> DataFrame:
-    documents = standins.corpus(spark, folder)
-    counted = documents.select("id", term_counts(F.col("review_text")).alias("terms"))
-    vectors = counted.select("id", hashed_sparse(F.col("terms")).alias("_vector"))
-    return _exploded_vector(vectors, "id")
+    documents = standins.corpus(spark, folder).select("id", "review_text")
+    vectors = with_counts(documents, "review_text", "sparse").select("id", "embedding")
+    return _exploded_vector(vectors.withColumnRenamed("embedding", "_vector"), "id")
 
 
 def query_embedding(spark: SparkSession, folder: str) -> DataFrame:
@@ -232,8 +233,13 @@ def index_terms(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def index_stats(spark: SparkSession, folder: str) -> DataFrame:
-    return corpus_index(spark, folder).current().describe().select(
-        "n_docs", "n_distinct_terms", "dimension", F.round("mean_terms", 6).alias("mean_terms")
+    """Description of the index, with the exact number of terms beside the merged sketches' estimate."""
+    found = corpus_index(spark, folder).current()
+    described = found.describe().withColumnRenamed("n_distinct_terms", "estimate")
+    exact = F.col("n_distinct_terms")
+    return described.crossJoin(found.n_distinct_terms()).select(
+        "n_docs", "n_distinct_terms", "dimension", F.round("mean_terms", 6).alias("mean_terms"),
+        (F.abs(F.col("estimate") - exact) <= 0.02 * exact).alias("estimate_holds"),
     )
 
 
@@ -300,33 +306,44 @@ def semantic_topk(spark: SparkSession, folder: str) -> DataFrame:
     return search.semantic_topk(vectors, vectors.withColumnRenamed("id", "query_id"), 3)
 
 
-def semantic_topk_approx(spark: SparkSession, folder: str) -> DataFrame:
-    """Share of the exact hits found, as booleans: one in ten vectors asks the others, and
-    one in fifty asks all, its own row not counted."""
+def _cells(spark: SparkSession, folder: str) -> tuple[VectorCells, DataFrame, DataFrame]:
+    """All vectors in trained cells, the vectors, and those whose id is divisible by 50 as queries."""
     vectors = standins.table(spark, folder, "embeddings").select(
         F.col("vec_id").alias("id"), "embedding"
     )
+    cells = VectorCells(spark, new_path(spark, "cells")).build(vectors)
+    return cells, vectors, vectors.where("id % 50 = 0").withColumnRenamed("id", "query_id")
 
-    def recall(asked: DataFrame, items: DataFrame) -> DataFrame:
-        items = search.with_bands(items)
-        queries = asked.withColumnRenamed("id", "query_id")
-        exact, near = (
-            # one more than three: its own row is left out
-            hits(items, queries, 4).where("query_id <> id").withColumn(
-                "place", F.row_number().over(Window.partitionBy("query_id").orderBy("rank"))
-            ).where("place <= 3").select("query_id", "id")
-            for hits in (search.semantic_topk, search.semantic_topk_approx)
-        )
-        found = exact.join(near.withColumn("near", F.lit(1)), ["query_id", "id"], "left")
-        return found.agg(
-            F.count(F.lit(1)).alias("n_exact"),
-            (F.count("near") >= 0.9 * F.count(F.lit(1))).alias("recall_holds"),
-        )
 
-    others = recall(vectors.where("id % 10 = 0"), vectors.where("id % 10 <> 0"))
-    every = recall(vectors.where("id % 50 = 0"), vectors)
-    return others.crossJoin(every.select(F.col("recall_holds").alias("every_holds"))).select(
-        "n_exact", (F.col("recall_holds") & F.col("every_holds")).alias("recall_holds")
+def semantic_cells_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """Approximate hits: one vector in fifty asks all for its four nearest, itself included."""
+    cells, _, queries = _cells(spark, folder)
+    return cells.search(queries, 4)
+
+
+def semantic_topk_approx(spark: SparkSession, folder: str) -> DataFrame:
+    """How the approximate hits of the same queries compare with the exact ones: by query the
+    exact hits asked for (its own row not counted), whether they are found in nine of ten cases
+    over all queries, and whether fewer than a quarter of all vectors are scored."""
+    cells, vectors, queries = _cells(spark, folder)
+    exact, near = (
+        # one more than three: its own row is left out
+        hits.where("query_id <> id").withColumn(
+            "place", F.row_number().over(Window.partitionBy("query_id").orderBy("rank"))
+        ).where("place <= 3").select("query_id", "id", "score")
+        for hits in (search.semantic_topk(vectors, queries, 4), cells.search(queries, 4))
+    )
+    # a found hit has the exact score: the same cosine of the same vectors
+    found = exact.join(near.withColumn("near", F.lit(1)), ["query_id", "id", "score"], "left")
+    per_query = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_exact"), F.count("near").alias("n_near"))
+    held = (F.sum("n_near") >= 0.9 * F.sum("n_exact")).alias("held")
+    n_vectors = vectors.agg(F.count(F.lit(1)).alias("n")).scalar()
+    n_scored = scored_share(cells, queries).agg(F.avg("n")).scalar()
+    return per_query.select(
+        "query_id",
+        "n_exact",
+        per_query.agg(held).scalar().alias("recall_holds"),
+        (n_scored < 0.25 * n_vectors).alias("few_scored"),
     )
 
 
@@ -414,6 +431,7 @@ QUERIES: dict[str, Query] = {
         stream_sync,
         semantic_topk,
         semantic_topk_approx,
+        semantic_cells_topk,
         semantic_text_topk,
         fulltext_topk,
         hybrid_topk,

@@ -25,9 +25,9 @@ def sync_available(
 
     A change row holds the source columns, ``op`` (upsert or delete) and ``seq``;
     the highest ``seq`` of a key wins, in whatever batch it arrives: the index keeps it
-    with the row or the deletion, and a change that comes late is dropped. Each batch
-    becomes one index version tagged with the checkpoint and the batch number: a batch
-    that is replayed after a crash finds its tag and changes nothing.
+    with the row or the deletion, and a change that comes late is dropped. So a batch that
+    is replayed after a crash changes nothing that it has already done. Of the index only
+    the buckets of the changed keys are read and written.
     """
     n_batches = 0
     reader = index.spark.readStream.schema(schema)
@@ -39,17 +39,8 @@ def sync_available(
         n_batches += not batch.isEmpty()
         last = latest_per_key(batch, index.key, SEQUENCE).withColumnRenamed(SEQUENCE, CHANGE)
         last = last.withColumn(CHANGE, F.col(CHANGE).cast("bigint"))
-        before = index.snapshot()
-        if before is not None:
-            known = before.newest_sequence()
-            late = F.col(CHANGE) <= F.coalesce("newest", F.col(CHANGE) - 1)
-            last = last.join(known, index.key, "left").where(~late).drop("newest")
         gone = F.col(OP) == "delete"
-        index.apply(
-            last.where(~gone).drop(OP),
-            last.where(gone).select(index.key, CHANGE),
-            tag=f"{checkpoint}#{number}",
-        )
+        index.apply(last.where(~gone).drop(OP), last.where(gone).select(index.key, CHANGE))
 
     query = (
         reader.parquet(folder)

@@ -78,15 +78,34 @@ def test_sync_equals_a_fresh_build(spark):
     assert index.sync(frame(spark, DAY1)) == len(days) - 1
 
 
-def test_only_changed_rows_are_written(spark):
+def files_of(index, table):
+    """Files of a table by bucket."""
+    found = {}
+    for name in index.spark.read.parquet(f"{index.path}/{table}").inputFiles():
+        found.setdefault(int(name.split("bucket=")[1].split("/")[0]), set()).add(name)
+    return found
+
+
+def test_only_touched_buckets_are_written(spark):
+    rows = [(i, f"text number{i}", "A") for i in range(200)]
+    index = fresh(spark, n_buckets=16).build(frame(spark, rows))
+    before = {t: files_of(index, t) for t in ("rows", "postings", "stats")}
+    changed = [*rows[1:7], (7, "another text", "A"), *rows[8:], (500, "new", "B")]
+    assert index.sync(frame(spark, changed)) == 1
+    keys = spark.createDataFrame([(0,), (7,), (500,)], "id long")
+    touched = {r[0] for r in keys.select(index.current().bucket_of(F.col("id"))).collect()}
+    for table, known in before.items():
+        now = files_of(index, table)
+        assert {b for b in now if now[b] != known.get(b)} == touched
+    assert state(index) == state(fresh(spark, n_buckets=3).build(frame(spark, changed)))
+
+
+def test_reads_take_the_tables_as_they_are(spark):
     index = fresh(spark).build(frame(spark, DAY1))
     index.sync(frame(spark, DAY2))
-    written = index.stored("rows").where("version = 1").collect()
-    assert {(r.id, r.deleted) for r in written} == {
-        (2, False), (3, True), (4, False), (5, False)
-    }
-    changes = {r.id: r.change for r in index.stored("changes").collect()}
-    assert changes == {2: "update", 3: "delete", 4: "update", 5: "insert"}
+    for rows in (index.current().rows(), index.current().postings()):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Aggregate" not in plan
 
 
 def test_documents_survive_a_day_of_changes(spark, data):
@@ -96,34 +115,71 @@ def test_documents_survive_a_day_of_changes(spark, data):
     assert state(index) == state(fresh(spark).build(after))
 
 
-def test_readers_do_not_see_a_half_written_version(spark):
+def test_a_sync_that_failed_half_way_is_mended_by_the_next(spark, monkeypatch):
     index = fresh(spark).build(frame(spark, DAY1))
-    before = state(index)
-    # a sync that died after writing its rows and postings
-    dead = "version=1/attempt=dead"
-    extra = index.stored("rows").where("version = 0").drop("version", "attempt")
-    extra.withColumn("id", F.col("id") + 10).write.parquet(f"{index.path}/rows/{dead}")
-    lost = index.stored("postings").drop("version", "attempt")
-    lost.write.parquet(f"{index.path}/postings/{dead}")
-    assert state(index) == before
-    assert index.sync(frame(spark, DAY2)) == 1
+    index.current().cells()
+
+    def dead(*_):
+        raise RuntimeError("lost driver")
+
+    monkeypatch.setattr(TextIndex, "_derive", dead)
+    with pytest.raises(RuntimeError):
+        index.sync(frame(spark, DAY2))
+    monkeypatch.undo()
+    index.sync(frame(spark, DAY2))
     assert state(index) == state(fresh(spark).build(frame(spark, DAY2)))
+    index.sync(frame(spark, DAY1))
+    assert state(index) == state(fresh(spark).build(frame(spark, DAY1)))
 
 
-def test_a_pinned_snapshot_keeps_its_version(spark):
+def test_a_numbered_change_is_applied_once(spark):
     index = fresh(spark).build(frame(spark, DAY1))
-    pinned = index.current()
+    more = spark.createDataFrame([(9, "more", "Z", 4), (1, "first", "A", 5)], ROW + ", change_seq long")
+    gone = spark.createDataFrame([(2, 6)], "id long, change_seq long")
+    assert index.apply(more, gone) == 1
+    after = state(index)
+    assert index.apply(more, gone) == 1 and state(index) == after
+    late = spark.createDataFrame([(2, "risen", "A", 3), (9, "late", "Z", 4)], ROW + ", change_seq long")
+    assert index.apply(late) == 1 and state(index) == after
+    # a change without a number is applied, and does not open the key to late ones
+    index.apply(frame(spark, [(9, "plain", "Z")]))
+    index.apply(late)
+    assert index.current().rows().where("id = 9").first().review_text == "plain"
+
+
+def test_a_bucket_can_be_emptied_and_filled_again(spark):
+    index = fresh(spark, n_buckets=4).build(frame(spark, DAY1))
+    index.sync(frame(spark, []))
+    assert state(index) == ({}, {}, {}, (0, 0))
     index.sync(frame(spark, DAY2))
-    assert {r.id for r in pinned.rows().collect()} == {1, 2, 3, 4}
-    assert {r.id for r in index.current().rows().collect()} == {1, 2, 4, 5}
+    assert state(index) == state(fresh(spark).build(frame(spark, DAY2)))
 
 
-def test_a_tag_is_applied_once(spark):
-    index = fresh(spark).build(frame(spark, DAY1))
-    assert index.apply(frame(spark, [(9, "more", "Z")]), tag="batch 0") == 1
-    assert index.apply(frame(spark, [(9, "other", "Z")]), tag="batch 0") == 1
-    assert index.apply(frame(spark, [(9, "other", "Z")]), tag="batch 1") == 2
-    assert index.current().rows().where("id = 9").first().review_text == "other"
+def test_cells_follow_a_sync(spark):
+    from opinio.operators.search import search
+
+    rows = [(i, f"word{i % 7} extra{i}", "A") for i in range(60)]
+    index = fresh(spark).build(frame(spark, rows))
+    asked = spark.createDataFrame([(1, "word3 extra999")], "query_id int, query_text string")
+    search(index, asked, 1, "approximate").collect()
+    index.sync(frame(spark, [*rows[:50], (999, "word3 extra999", "B"), (0, "other", "A")][1:]))
+    assert search(index, asked, 1, "approximate").first().id == 999
+    cells = {r.id for r in index.current().cells().rows().where("embedding is not null").collect()}
+    assert cells == {r.id for r in index.current().rows().collect()}
+
+
+def test_a_hot_term_spans_blocks(spark, monkeypatch):
+    rows = [(i, "hot " * (1 + i % 5) + f"rare{i}", "A") for i in range(900)]
+    index = fresh(spark, n_buckets=2).build(frame(spark, rows))
+    blocks = index.current().blocks().where("term = 'hot'").collect()
+    assert len(blocks) >= 8 and sum(b.n for b in blocks) == 900
+    for b in blocks:
+        assert b.n == len(b.entries) <= 128
+        assert b.most_tf == max(e.tf for e in b.entries)
+        assert b.least_terms == min(e.n_terms for e in b.entries)
+    for bucket in {b.bucket for b in blocks}:
+        mine = sorted((b for b in blocks if b.bucket == bucket), key=lambda b: b.block)
+        assert [b.block for b in mine] == list(range(len(mine)))
 
 
 def test_describe(spark):
@@ -132,6 +188,16 @@ def test_describe(spark):
     assert row.version == 0 and row.synced_at is not None
 
 
+def test_merged_sketches_estimate_the_terms(spark):
+    rows = [(i, " ".join(f"w{i * 20 + j}" for j in range(20)), "A") for i in range(1500)]
+    index = fresh(spark).build(frame(spark, rows))
+    index.sync(frame(spark, [*rows[100:], (5000, "w7 quite new", "B")]))
+    found = index.current()
+    exact = found.n_distinct_terms().first()[0]
+    assert exact == 1400 * 20 + 3
+    assert abs(found.describe().first().n_distinct_terms - exact) <= 0.02 * exact
+
+
 def test_a_callers_model_makes_the_vectors(spark):
     @F.pandas_udf("array<float>")
     def lengths(texts: pd.Series) -> pd.Series:
@@ -159,7 +225,8 @@ def test_sync_refuses_bad_keys_before_it_writes(spark, extra):
     index = fresh(spark).build(frame(spark, DAY1))
     with pytest.raises(InvalidKey):
         index.sync(frame(spark, [*DAY1, extra]))
-    assert index.current().totals.version == 0 and index.stored("changes") is None
+    assert index.current().totals.version == 0
+    assert state(index) == state(fresh(spark).build(frame(spark, DAY1)))
 
 
 def test_a_new_source_column_is_kept_and_a_new_type_refused(spark):
@@ -171,15 +238,3 @@ def test_a_new_source_column_is_kept_and_a_new_type_refused(spark):
     assert {r.extra for r in index.current().rows().collect()} == {None}
     with pytest.raises(ValueError, match="extra was bigint, is string"):
         index.sync(more.withColumn("extra", F.col("extra").cast("string")))
-
-
-def test_of_two_writers_the_second_fails_and_nothing_is_lost(spark, monkeypatch):
-    index = fresh(spark).build(frame(spark, DAY1))
-    stale = index.snapshot()
-    index.sync(frame(spark, DAY2))
-    after = state(index)
-    monkeypatch.setattr(TextIndex, "snapshot", lambda self: stale)
-    with pytest.raises(Exception, match="already exists|ALREADY_EXISTS"):
-        index.apply(frame(spark, [(7, "other", "X")]))
-    monkeypatch.undo()
-    assert state(index) == after

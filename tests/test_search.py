@@ -193,3 +193,42 @@ def test_a_callers_model_ranks_negative_cosines(spark):
     )
     asked = spark.createDataFrame([(1, "up")], "query_id int, query_text string")
     assert [r.id for r in search.search(index, asked, 3).orderBy("rank").collect()] == [1, 2, 3]
+
+
+def test_a_frequent_term_reads_under_half_its_postings(spark):
+    import random
+
+    rng = random.Random(2)
+    texts = {
+        i: " ".join(["cream"] * rng.choice([0, 0, 1, 1, 1, 1, 2, 6]) + [f"w{rng.randrange(300)}" for _ in range(rng.randrange(1, 30))])
+        for i in range(6000)
+    }
+    index = TextIndex(spark, new_path(spark, "index"), n_buckets=2).build(ask(spark, texts).toDF("id", "review_text"))
+    found = index.current()
+    for queries in ({1: "cream"}, {1: "cream", 2: "cream w7", 3: "w1 w2 w3 cream", 4: "none"}):
+        asked = ask(spark, queries)
+        got = hits(search.search_fulltext(found, asked, 5))
+        for number, query in queries.items():
+            scores = bm25(texts, query)
+            assert [i for i, _ in got.get(number, [])] == best(scores, 5)
+    terms = ask(spark, {1: "cream"}).select("query_id", F.array(F.lit("cream")).alias("terms"))
+
+    def ranked(blocks):
+        from opinio.operators.topk import exact_topk, weighted_terms_scorer
+
+        return exact_topk(search._matches(found, blocks), terms, weighted_terms_scorer, 5, 4, F.lit(8))
+
+    read = search.needed_blocks(found, terms, 5, ranked)
+    n_cream = sum("cream" in words(t) for t in texts.values())
+    assert 5 <= read.agg(F.sum("n")).first()[0] < n_cream / 2
+    assert "PushedFilters: [" in read._jdf.queryExecution().executedPlan().toString()
+    # the bound of the last block needed has reached the scan
+    assert "LessThanOrEqual(block" in read._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hits_prune_the_rows_partitions(spark, corpus):
+    index, _, queries = corpus
+    found = search.search(index, ask(spark, dict(list(queries.items())[:2])), 2, "fulltext", ["lang"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+    assert {r.lang for r in found.collect()} <= {"en", "de", "es", "fr", None, "und"}

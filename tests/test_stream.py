@@ -1,3 +1,4 @@
+import pytest
 from test_index import state
 
 from opinio.operators.index import TextIndex
@@ -37,16 +38,33 @@ def test_changes_are_applied_once_in_order(spark):
 def test_a_replayed_batch_changes_nothing(spark):
     folder = new_path(spark, "feed")
     index = TextIndex(spark, new_path(spark, "index"))
+    deliver(spark, folder, [(1, "one", "upsert", 1), (2, None, "delete", 2)])
+    # the batch has reached the index, the crash came before the stream noted it
+    sync_available(index, folder, FEED, new_path(spark, "stream"))
+    before = state(index)
+    assert sync_available(index, folder, FEED, new_path(spark, "stream")) == 1
+    assert index.current().totals.version == 0 and state(index) == before
+
+
+def test_a_batch_that_failed_half_way_is_finished_by_its_replay(spark, monkeypatch):
+    folder, checkpoint = new_path(spark, "feed"), new_path(spark, "stream")
+    index = TextIndex(spark, new_path(spark, "index"))
     deliver(spark, folder, [(1, "one", "upsert", 1)])
-    # the batch was committed to the index, the crash came before the stream noted it
-    index.apply(
-        spark.createDataFrame([(1, "one")], "id long, review_text string"), tag="CHECK#0"
-    )
-    checkpoint = new_path(spark, "stream")
-    tagged = f"{checkpoint}#0"
-    index.apply(spark.createDataFrame([(2, "two")], "id long, review_text string"), tag=tagged)
     sync_available(index, folder, FEED, checkpoint)
-    assert index.current().totals.version == 1
+    deliver(spark, folder, [(1, "uno", "upsert", 2), (2, "two", "upsert", 3)])
+
+    def dead(*_):
+        raise RuntimeError("lost driver")
+
+    monkeypatch.setattr(TextIndex, "_derive", dead)
+    with pytest.raises(Exception, match="lost driver"):
+        sync_available(index, folder, FEED, checkpoint)
+    monkeypatch.undo()
+    assert sync_available(index, folder, FEED, checkpoint) == 1
+    fresh = TextIndex(spark, new_path(spark, "index")).build(
+        spark.createDataFrame([(1, "uno"), (2, "two")], "id long, review_text string")
+    )
+    assert state(index) == state(fresh)
 
 
 def test_a_late_change_does_not_undo_a_newer_one(spark):
