@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinio.functions.rows import fingerprint
-from opinio.session import shuffle_partitions
+from opinio.session import checked_broadcast, new_path, shuffle_partitions
 
 # The input columns that reach the silver table, in its order.
 PRODUCT_COLUMNS = [
@@ -52,33 +52,49 @@ def with_stable_id(
 ) -> DataFrame:
     """Fingerprint of the row plus its number among equal rows.
 
-    Equal rows are interchangeable, so they are counted (map-side first) and
-    written out again with numbers 1..n instead of being ranked in one window
-    group. A count above ``copies_at_once`` is first cut into ranges, and the
-    ranges are shuffled apart, so a row repeated in a third of the input is
+    Fingerprints alone are shuffled and counted (map-side first). A row whose fingerprint is
+    not among the repeated ones, which are written and travel to the rows where their counted
+    size allows it, gets number 1 where it is. Only repeated rows move: equal rows are
+    interchangeable, so they are counted and written out again with numbers 1..n instead of
+    being ranked in one window group. A count above ``copies_at_once`` is first cut into
+    ranges, and the ranges are shuffled apart, so a row repeated in a third of the input is
     numbered by many tasks. The partition count of that shuffle is fixed: adaptive
     execution would merge the few bytes the ranges take before they unfold.
     """
-    columns = rows.columns
-    counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    spark, columns = rows.sparkSession, rows.columns
+    # own names inside, so that a column may be named as anything made here
+    plain = rows.toDF(*(f"c{i}" for i in range(len(columns))))
+    kept = plain.columns
+    marked = plain.withColumn("mark", fingerprint(rows, columns, kept))
+    path = new_path(spark, "repeated")
+    mark = F.unhex("mark").alias("mark")
+    marked.select(mark).groupBy("mark").agg(F.count(F.lit(1)).alias("n")).where(
+        F.col("n") > 1
+    ).write.parquet(path)
+    repeated = spark.read.parquet(path).select(F.lower(F.hex("mark")).alias("mark"))
+    known = checked_broadcast(repeated, repeated.count())
+    single = marked.join(known, "mark", "left_anti").withColumn("number", F.lit(1).cast("bigint"))
+
+    copies = marked.join(known, "mark", "left_semi")
+    counted = copies.groupBy("mark", *kept).agg(F.count(F.lit(1)).alias("copies"))
     one = F.lit(1).cast("bigint")
-
-    few = counted.where(F.col("_copies") <= copies_at_once).select(
-        *columns, F.explode(F.sequence(one, "_copies")).alias("_number")
+    few = counted.where(F.col("copies") <= copies_at_once).select(
+        "mark", *kept, F.explode(F.sequence(one, "copies")).alias("number")
     )
-    share = F.ceil(F.col("_copies") / ranges_per_row).cast("bigint")
+    share = F.ceil(F.col("copies") / ranges_per_row).cast("bigint")
     ranges = (
-        counted.where(F.col("_copies") > copies_at_once)
-        .withColumn("_step", F.greatest(F.lit(copies_at_once).cast("bigint"), share))
-        .withColumn("_first", F.explode(F.sequence(one, F.col("_copies"), F.col("_step"))))
-        .repartition(shuffle_partitions(rows.sparkSession), *columns, "_first")
+        counted.where(F.col("copies") > copies_at_once)
+        .withColumn("step", F.greatest(F.lit(copies_at_once).cast("bigint"), share))
+        .withColumn("first", F.explode(F.sequence(one, F.col("copies"), F.col("step"))))
+        .repartition(shuffle_partitions(spark), *kept, "first")
     )
-    last = F.least(F.col("_first") + F.col("_step") - 1, F.col("_copies"))
-    many = ranges.select(*columns, F.explode(F.sequence("_first", last)).alias("_number"))
+    last = F.least(F.col("first") + F.col("step") - 1, F.col("copies"))
+    many = ranges.select("mark", *kept, F.explode(F.sequence("first", last)).alias("number"))
 
-    number = F.col("_number").cast("string")
-    return few.unionByName(many).select(
-        *columns, F.concat(fingerprint(rows, columns), F.lit("-"), number).alias(name)
+    every = single.unionByName(few).unionByName(many)
+    return every.select(
+        *(F.col(c).alias(original) for c, original in zip(kept, columns)),
+        F.concat("mark", F.lit("-"), F.col("number").cast("string")).alias(name),
     )
 
 

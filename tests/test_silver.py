@@ -151,3 +151,16 @@ def test_row_marks_do_not_depend_on_the_time_zone(spark):
         assert rows.select(fingerprint(rows, rows.columns)).first()[0] == first
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_rows_without_a_copy_are_numbered_where_they_are(spark):
+    rows = spark.range(5000).selectExpr("concat('text ', id) AS text", "id % 7 AS copies", "'m' AS mark")
+    numbered = with_stable_id(rows)
+    found = numbered.collect()
+    assert len({r.id for r in found}) == 5000 and all(r.id.endswith("-1") for r in found)
+    # rows meet a broadcast list, and as run none has crossed an exchange: there are no copies
+    logical = numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftAnti" in logical and "rightHint=(strategy=broadcast)" in logical
+    plan = numbered._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Exchange hashpartitioning" not in plan
+    assert numbered.columns == ["text", "copies", "mark", "id"]
