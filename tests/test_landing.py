@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from opinio.sources.landing import join_path, scan_csv, source_files, with_lineage
 from opinio.session import new_path
@@ -60,3 +61,59 @@ def test_a_schema_does_not_mislabel_columns(spark, tmp_path):
         scan_csv(spark, str(tmp_path / "b.csv"), schema=schema).collect()
     # by position, if asked for
     assert scan_csv(spark, str(tmp_path / "b.csv"), schema=schema, check_header=False).count() == 1
+
+
+ODD_CSV = (
+    'id,name,text\n1,a,plain\n2,"b ""x""","two\nlines"\n3,,"a, ""quoted""\n\nbreak"\n\n'
+    '4,"id,name,text","id,name,text\n"\nid,name,text\n5,e,""\n6,\u00e9\u6c34,"' + "long\n" * 400 + '"\n7,g,end'
+)
+ODD_SCHEMA = "id int, name string, text string"
+
+
+@pytest.mark.parametrize("split", [7, 64, 700, 1 << 20])
+@pytest.mark.parametrize("ending", ["\n", "\r\n"])
+def test_one_file_is_read_by_many_tasks(spark, tmp_path, split, ending):
+    from opinio.sources.splittable import scan_csv_in_splits
+
+    schema = spark.createDataFrame([], ODD_SCHEMA).schema
+    path = tmp_path / "odd.csv"
+    path.write_bytes(ODD_CSV.replace("\n", ending).encode())
+    (tmp_path / "more.csv").write_text("id,name,text\n8,h,last\n")
+    want = scan_csv(spark, str(tmp_path), schema=schema, multi_line=True).collect()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+        got = scan_csv_in_splits(spark, str(tmp_path), schema, lineage=True)
+        rows = got.collect()
+        n_splits = spark.read.text(str(path)).select(F.spark_partition_id()).distinct().count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert split > 100 or n_splits > 5
+    assert sorted(str(tuple(r)[:3]) for r in rows) == sorted(str(tuple(r)) for r in want)
+    assert {r.file_path.rsplit("/", 1)[1] for r in rows} == {"odd.csv", "more.csv"}
+    assert all(r.file_modification_time is not None for r in rows)
+
+
+def test_a_split_read_refuses_other_headers(spark, tmp_path):
+    from opinio.sources.splittable import scan_csv_in_splits
+
+    (tmp_path / "a.csv").write_text("name,id,text\nx,1,y\n")
+    with pytest.raises(ValueError, match="a.csv: its header"):
+        scan_csv_in_splits(spark, str(tmp_path), spark.createDataFrame([], ODD_SCHEMA).schema)
+
+
+def test_headers_in_any_order_and_bad_records(spark, tmp_path):
+    from opinio.sources.headers import scan_csv_by_header
+
+    (tmp_path / "a.csv").write_text("product_id,rating,extra\nP1,5,x\nP2,bad,y\n")
+    (tmp_path / "b.csv").write_text("\ufeff Rating , product_id\n4,P3\n2,P4,too many\n")
+    (tmp_path / "c.csv").write_text("product_id\nP5\n")
+    (tmp_path / "empty.csv").write_text("")
+    schema = spark.createDataFrame([], "product_id string, rating int").schema
+    rows = scan_csv_by_header(spark, f"{tmp_path}/*.csv", schema).collect()
+    assert sorted((r.product_id, r.rating, r.bad_record) for r in rows if r.bad_record is None) == [
+        ("P1", 5, None), ("P3", 4, None), ("P5", None, None)
+    ]
+    assert sorted(r.bad_record for r in rows if r.bad_record) == ["2,P4,too many", "P2,bad,y"]
+    none = scan_csv_by_header(spark, f"{tmp_path}/empty.csv", schema)
+    assert none.columns == ["product_id", "rating", "bad_record"] and none.count() == 0

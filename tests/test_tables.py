@@ -1,3 +1,5 @@
+import pytest
+
 from opinio.sources.tables import overwrite_table, preview, read_table, set_properties
 
 
@@ -27,3 +29,24 @@ def test_clustered_tables_let_a_lookup_skip_row_groups(spark, tmp_path):
     plan = gold(read_table(spark, "clustered"))._jdf.queryExecution().executedPlan().toString()
     assert "product_id" in plan.split("DataFilters")[1] and "Subquery" in plan
     assert gold(read_table(spark, "clustered")).count() == 40
+
+
+def test_a_refresh_swaps_folders_and_a_failed_one_leaves_the_table(spark, tmp_path):
+    path = str(tmp_path / "swapped")
+    overwrite_table(spark.range(3), "swapped", "parquet", path)
+    reader = read_table(spark, "swapped")
+    overwrite_table(spark.range(5), "swapped", "parquet", path)
+    # a reader that began before the swap finishes on the old folder
+    assert reader.count() == 3 and read_table(spark, "swapped").count() == 5
+    broken = spark.range(9).selectExpr("id", "if(id = 8, raise_error('lost'), 1) AS x")
+    with pytest.raises(Exception, match="lost"):
+        overwrite_table(broken, "swapped", "parquet", path)
+    assert read_table(spark, "swapped").count() == 5
+    set_properties(spark, "swapped", {"kept": "yes"})
+    overwrite_table(spark.range(7), "swapped", "parquet", path)
+    stored = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES swapped").collect()}
+    assert stored["kept"] == "yes" and read_table(spark, "swapped").count() == 7
+    overwrite_table(spark.createDataFrame([("a",)], "name string"), "swapped", "parquet", path)
+    assert read_table(spark, "swapped").columns == ["name"]
+    # the one before is kept for its readers, and what a failed write has left is cleared in time
+    assert sum(f.name.startswith("v-") for f in (tmp_path / "swapped").iterdir()) == 2
