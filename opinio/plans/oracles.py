@@ -199,6 +199,12 @@ FROM orders""",
 SELECT vec_id AS query_id, least(3, (SELECT count(*) - 1 FROM embeddings)) AS n_exact,
        true AS recall_holds, true AS few_scored
 FROM embeddings WHERE vec_id % 50 = 0""",
+    "csv_split_scan": "SELECT doc_id, text, lang, source, n_chars FROM documents",
+    "csv_by_header": """
+SELECT p_partkey, p_name, p_brand, p_type, CASE WHEN p_partkey % 2 = 0 THEN p_size END AS p_size,
+       CASE WHEN p_partkey % 100 <> 7 THEN p_retailprice END AS p_retailprice,
+       p_partkey % 100 = 7 AS is_bad
+FROM part""",
     "csv_multiline_scan": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "loaded_files": """
 SELECT l_returnflag AS flag, count(*) AS n_rows FROM lineitem GROUP BY l_returnflag""",
@@ -301,5 +307,32 @@ sided AS (
            id) AS rank
   FROM identified CROSS JOIN (VALUES ('positive'), ('negative')) s(side))
 SELECT product_id, side, CAST(rank AS INTEGER) AS rank, id, rating, review_text
+FROM sided WHERE rank <= 3""",
+    "text_judged_reviews": _with(
+        DOCUMENT_POSTINGS,
+        """
+marked AS (
+  SELECT p.term, p.tf, l.quality FROM postings p JOIN labels l ON l.doc_id = p.id),
+sides AS (
+  SELECT term, coalesce(sum(tf) FILTER (quality = 1), 0) AS high,
+         coalesce(sum(tf) FILTER (quality = 0), 0) AS low
+  FROM (SELECT * FROM marked UNION ALL SELECT term, 0 AS tf, NULL AS quality FROM postings)
+  GROUP BY term),
+totals AS (SELECT sum(high) AS h, sum(low) AS l, count(*) AS v FROM sides),
+leanings AS (
+  SELECT term, ln((high + 1.0::DOUBLE) / (h + v)) - ln((low + 1.0::DOUBLE) / (l + v)) AS leaning
+  FROM sides CROSS JOIN totals),
+judged AS (
+  SELECT id, round(sum(tf * leaning), 6) AS leaning FROM postings JOIN leanings USING (term)
+  GROUP BY id),
+sided AS (
+  SELECT lang AS product_id, d.doc_id AS id, j.leaning, d.text AS review_text, side,
+         row_number() OVER (PARTITION BY lang, side ORDER BY
+           CASE side WHEN 'positive' THEN -j.leaning ELSE j.leaning END, d.doc_id) AS rank
+  FROM documents d JOIN judged j ON j.id = d.doc_id
+  CROSS JOIN (VALUES ('positive'), ('negative')) s(side))""",
+    )
+    + """
+SELECT product_id, side, CAST(rank AS INTEGER) AS rank, id, leaning, review_text
 FROM sided WHERE rank <= 3""",
 }

@@ -17,7 +17,7 @@ from opinio.operators.changes import apply_changes, change_set, with_row_hash
 from opinio.operators.index import Snapshot, TextIndex, with_vector
 from opinio.plans import layered
 from opinio.session import new_path
-from opinio.sources import landing, standins, tables
+from opinio.sources import headers, landing, splittable, standins, tables
 from opinio.streaming.sync import sync_available
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,30 @@ def csv_multiline_scan(spark: SparkSession, folder: str) -> DataFrame:
     return landing.scan_csv(spark, path, schema=documents.schema, multi_line=True)
 
 
+def csv_split_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The same files, each shared by the tasks of its blocks."""
+    path = new_path(spark, "documents")
+    documents = standins.table(spark, folder, "documents")
+    _write_csv(documents, path)
+    return splittable.scan_csv_in_splits(spark, path, documents.schema)
+
+
+def csv_by_header(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts in files of two column orders, one of them without the size, and one bad record each
+    (a part without a price); counted with what became of them."""
+    path = new_path(spark, "parts")
+    parts = standins.table(spark, folder, "part")
+    price = F.when(F.col("p_partkey") % 100 == 7, "n/a").otherwise(F.col("p_retailprice").cast("string"))
+    parts = parts.withColumn("p_retailprice", price)
+    first = F.col("p_partkey") % 2 == 0
+    order = ["p_retailprice", "p_brand", "p_name", "p_partkey", "p_type"]
+    _write_csv(parts.where(first), f"{path}/a")
+    _write_csv(parts.where(~first).select(*order), f"{path}/b")
+    schema = standins.table(spark, folder, "part").schema
+    found = headers.scan_csv_by_header(spark, f"{path}/*", schema)
+    return found.withColumn("is_bad", F.col("bad_record").isNotNull()).drop("bad_record")
+
+
 def file_lineage(spark: SparkSession, folder: str) -> DataFrame:
     """The rows with the name of their file, and whether its time is known."""
     rows = landing.with_lineage(standins.table(spark, folder, "part"))
@@ -398,12 +422,28 @@ def extreme_reviews(spark: SparkSession, folder: str) -> DataFrame:
     return reviews.extreme_reviews(silver.with_stable_id(silver_rows(spark, folder)))
 
 
+def text_judged_reviews(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as reviews of their source's language, rated by the editors' marks."""
+    documents = standins.table(spark, folder, "documents")
+    labels = standins.table(spark, folder, "labels")
+    rating = F.when(F.col("quality") == 1, "5").when(F.col("quality") == 0, "1")
+    rated = documents.join(labels, "doc_id", "left").select(
+        F.col("lang").alias("product_id"),
+        F.col("doc_id").alias("id"),
+        rating.alias("rating"),
+        F.col("text").alias("review_text"),
+    )
+    return reviews.text_judged_reviews(rated)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         csv_scan,
         csv_glob_scan,
         csv_multiline_scan,
+        csv_split_scan,
+        csv_by_header,
         file_lineage,
         loaded_files,
         table_overwrite,
@@ -440,5 +480,6 @@ QUERIES: dict[str, Query] = {
         last_user_text,
         conversation_context,
         extreme_reviews,
+        text_judged_reviews,
     )
 }

@@ -48,3 +48,40 @@ def test_a_product_without_usable_ratings_has_no_extremes(spark):
         "product_id string, id long, rating string, review_text string",
     )
     assert extreme_reviews(rows).count() == 0
+
+
+def test_reviews_judged_by_their_text(spark):
+    import math
+    from collections import Counter
+
+    from opinio.operators.reviews import text_judged_reviews
+
+    rows = [
+        ("P", 1, "5", "lovely soft cream"), ("P", 2, "5", "lovely"), ("P", 3, "1", "awful sticky cream"),
+        ("P", 4, "2", "awful awful"), ("P", 5, None, "lovely but sticky"), ("P", 6, "bad", "awful"),
+        ("P", 7, "3", "cream"), ("Q", 8, "4", "soft"), ("Q", 9, "1", None), (None, 10, "5", "soft soft"),
+    ]
+    frame = spark.createDataFrame(rows, "product_id string, id int, rating string, review_text string")
+    high, low = Counter(), Counter()
+    vocabulary = set()
+    for _, _, rating, text in rows:
+        words = (text or "").split()
+        vocabulary |= set(words)
+        if rating in ("4", "5"):
+            high.update(words)
+        if rating in ("1", "2"):
+            low.update(words)
+    leaning = {
+        w: math.log((high[w] + 1) / (high.total() + len(vocabulary)))
+        - math.log((low[w] + 1) / (low.total() + len(vocabulary)))
+        for w in vocabulary
+    }
+    want = {i: sum(leaning[w] for w in text.split()) for _, i, _, text in rows if text}
+    got = text_judged_reviews(frame, 2).collect()
+    assert all(abs(r.leaning - want[r.id]) < 2e-6 for r in got)
+    for product in ("P", "Q", None):
+        mine = sorted((i for p, i, _, t in rows if p == product and t), key=lambda i: (-round(want[i], 6), i))
+        up = [r.id for r in sorted(got, key=lambda r: r["rank"]) if r.product_id == product and r.side == "positive"]
+        assert up == mine[:2]
+    assert len(got) == 2 * (2 + 1 + 1)
+    assert text_judged_reviews(frame.limit(0)).count() == 0
