@@ -6,9 +6,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
-# Rows of keys (a key and at most one number) that may be broadcast.
-BROADCAST_KEYS = 2_000_000
+# Rows of keys (a key and at most one number) that may be broadcast, and bytes of their texts.
+BROADCAST_KEYS, BROADCAST_BYTES = 2_000_000, 64 << 20
 
 
 def build_session(app: str = "opinio", master: str | None = None, **conf: str) -> SparkSession:
@@ -36,10 +37,14 @@ def build_session(app: str = "opinio", master: str | None = None, **conf: str) -
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Where that is unset, a folder in the warehouse, which a cluster shares as well.
+    Only a session on one machine may leave it unset; it gets a folder in its warehouse.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    return (base or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch").rstrip("/")
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
+    return base.rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -72,6 +77,14 @@ def checked_broadcast(keys: DataFrame, n_rows: int, most: int = BROADCAST_KEYS)
     """Broadcast a table of keys whose counted size allows it.
 
     The optimizer guesses the size of such a side from the files behind it and
-    would often shuffle the large partner; beyond the bound the choice is its own.
+    would often shuffle the large partner; beyond the bounds the choice is its own.
+    Texts are measured as well, so ``keys`` should be stored or cheap.
     """
-    return F.broadcast(keys) if n_rows <= most else keys
+    if n_rows > most:
+        return keys
+    texts = [f.name for f in keys.schema.fields if isinstance(f.dataType, (StringType, BinaryType))]
+    if texts:
+        size = sum((F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c in texts), F.lit(0))
+        if (keys.agg(F.sum(size.cast("bigint"))).first()[0] or 0) > BROADCAST_BYTES:
+            return keys
+    return F.broadcast(keys)
