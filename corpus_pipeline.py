@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from opinio.llm import decontaminate, dedup, packing, pii, quality
-from opinio.llm.common import fold, stored, table
+from opinio.llm.common import fold, table
 from opinio.llm.queries import VOCABULARY
+from opinio.session import new_path, remove, scope
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,8 +50,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to ``documents``; each is written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """Applies the stages to ``documents``; each is written to the shared folder and read again.
+
+    What a stage has written for itself goes once its result is written, and a result once the
+    next stage's is.
+    """
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        path = new_path(spark, name)
+        with scope(spark, f"{name}-work"):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.option("compression", "zstd").parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        if last:
+            remove(spark, last)
+        last = path
     return STAGES[-1][1](spark, docs, sf_dir)
