@@ -43,9 +43,9 @@ def with_counts(
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in _slices(whole):
-                counted = _counted(batch.column(_LOWER), vector, dimensions)
+                made = counted(batch.column(_LOWER), vector, dimensions)
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:-1], *counted], names=schema.names
+                    [*batch.columns[:-1], *made], names=schema.names
                 )
 
     # lower case is the engine's own, so that questions and corpus agree
@@ -67,7 +67,8 @@ def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         start = stop
 
 
-def _counted(texts: pa.StringArray, vector: str | None, dimensions: int) -> list[pa.Array]:
+def counted(texts: pa.StringArray, vector: str | None, dimensions: int = DIMENSIONS) -> list[pa.Array]:
+    """Terms, their number and the vector (as in ``with_counts``) of lower-cased texts."""
     n = len(texts)
     words = pc.split_pattern(pc.replace_substring_regex(texts, TOKEN_BREAK, " "), " ")
     offsets = words.offsets.to_numpy() - words.offsets[0].as_py()

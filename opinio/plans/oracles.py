@@ -146,11 +146,11 @@ def _with(*parts: str) -> str:
     return "WITH " + ",".join(parts) + "\n"
 
 
-def _hybrid(depth: int, k: int) -> str:
+def _hybrid(depth: int, k: int, *asked: str) -> str:
     """Both rankings ``depth`` deep, fused: the first ``k`` of each query as ``best``."""
     return _with(
         DOCUMENT_POSTINGS,
-        QUESTION_POSTINGS,
+        *(asked or [QUESTION_POSTINGS]),
         _vectors("postings", "vectors"),
         _vectors("asked", "questions"),
         _cosine("vectors", "questions", "near", depth),
@@ -298,6 +298,11 @@ SELECT query_id, rank - 1 AS position, id, text, score FROM best JOIN documents
         _bm25("asked", "hits", 3),
     )
     + "SELECT query_id, id, score, rank FROM hits",
+    "conversation_context_default": _hybrid(
+        50, 3, LAST_TEXT, _postings("last_text", "conv_id", "last_text", "asked")
+    )
+    + """
+SELECT query_id, rank - 1 AS position, id, text, score FROM best JOIN documents ON doc_id = id""",
     "extreme_reviews": _with(IDENTIFIED)
     + """,
 sided AS (

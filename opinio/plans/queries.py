@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from opinio.functions.rows import fingerprint
 from opinio.functions.counting import with_counts
 from opinio.functions.text import term_counts
-from opinio.operators import ratings, reviews, search, silver
+from opinio.operators import meaning, ratings, reviews, search, silver
 from opinio.operators.cells import VectorCells, scored_share
 from opinio.operators.changes import apply_changes, change_set, with_row_hash
 from opinio.operators.index import Snapshot, TextIndex, with_vector
@@ -406,6 +406,17 @@ def question_context(spark: SparkSession, folder: str) -> DataFrame:
     ).select("query_id", "position", "_hit.id", "_hit.text", "_hit.score")
 
 
+def meaning_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """Questions against all documents, both in the corpus' strongest directions."""
+    corpus = standins.corpus(spark, folder)
+    embed = meaning.fit(corpus, "review_text").embed()
+    path = new_path(spark, "vectors")
+    corpus.select("id", embed(F.col("review_text")).alias("embedding")).write.parquet(path)
+    asked = standins.questions(spark, folder)
+    queries = asked.select("query_id", embed(F.col("query_text")).alias("embedding"))
+    return search.semantic_topk(spark.read.parquet(path), queries, 3)
+
+
 def last_user_text(spark: SparkSession, folder: str) -> DataFrame:
     return reviews.last_user_text(standins.table(spark, folder, "conversations"))
 
@@ -418,6 +429,17 @@ def conversation_context(spark: SparkSession, folder: str) -> DataFrame:
     return search.search(corpus_index(spark, folder), asked, 3, "fulltext")
 
 
+def conversation_context_default(spark: SparkSession, folder: str) -> DataFrame:
+    """The same questions as a caller asks them who names no mode."""
+    asked = last_user_text(spark, folder).select(
+        F.col("conv_id").alias("query_id"), F.col("last_text").alias("query_text")
+    )
+    contexts = search.question_context(corpus_index(spark, folder), asked, 3)
+    return contexts.select(
+        "query_id", F.posexplode("context").alias("position", "_hit")
+    ).select("query_id", "position", "_hit.id", "_hit.text", "_hit.score")
+
+
 def extreme_reviews(spark: SparkSession, folder: str) -> DataFrame:
     return reviews.extreme_reviews(silver.with_stable_id(silver_rows(spark, folder)))
 
@@ -477,8 +499,10 @@ QUERIES: dict[str, Query] = {
         hybrid_topk,
         hybrid_topk_deep,
         question_context,
+        meaning_topk,
         last_user_text,
         conversation_context,
+        conversation_context_default,
         extreme_reviews,
         text_judged_reviews,
     )

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,9 +49,28 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+_SCOPES: list[str] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder, or in the scope that is open."""
+    return f"{_SCOPES[-1] if _SCOPES else shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scope(spark: SparkSession, name: str) -> Iterator[None]:
+    """What ``new_path`` names inside is deleted at the end; results have to lie elsewhere.
+
+    For one thread of the driver.
+    """
+    path = new_path(spark, name)
+    _SCOPES.append(path)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(path)
+        if path_exists(spark, path):
+            remove(spark, path)
 
 
 def remove(spark: SparkSession, path: str, within: str | None = None) -> None:

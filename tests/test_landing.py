@@ -117,3 +117,23 @@ def test_headers_in_any_order_and_bad_records(spark, tmp_path):
     assert sorted(r.bad_record for r in rows if r.bad_record) == ["2,P4,too many", "P2,bad,y"]
     none = scan_csv_by_header(spark, f"{tmp_path}/empty.csv", schema)
     assert none.columns == ["product_id", "rating", "bad_record"] and none.count() == 0
+
+
+def test_a_scope_is_emptied_and_the_rest_stays(spark):
+    from opinio.session import path_exists, remove, scope
+
+    kept = new_path(spark, "kept")
+    spark.range(2).write.parquet(kept)
+    with pytest.raises(RuntimeError):
+        with scope(spark, "work"):
+            inner = new_path(spark, "inner")
+            spark.range(3).write.parquet(inner)
+            with scope(spark, "deeper"):
+                assert new_path(spark, "x").startswith(inner.rsplit("/", 1)[0])
+            raise RuntimeError
+    assert not path_exists(spark, inner) and spark.read.parquet(kept).count() == 2
+    for path in ("/etc/passwd", spark.conf.get("spark.checkpoint.dir") + "/"):
+        with pytest.raises(ValueError):
+            remove(spark, path)
+    remove(spark, kept)
+    assert not path_exists(spark, kept)
