@@ -1,202 +1,41 @@
-"""Near-duplicate documents by SimHash: one document of each group stays.
-
-Two documents are linked if the sets of their 5-word shingles have a Jaccard similarity of
-0.8 or more. Fingerprints of 128 bits find the candidates: documents that share one of
-eight smallest shingle hashes are compared in tiles (see ``simhash``); what is close there
-is verified on the shingle sets themselves, again in tiles. What can be lost, exactly computed
-for a linked pair: none of eight smallest hashes is shared with probability 0.2 ** 8, below 3 in a
-million; more than RADIUS bits differ in at most 1.3 in ten million (the worst size of a set beyond
-FEW shingles), more than FEW_RADIUS bits in 3 in 10**11. No false link remains.
-"""
+"""One document of each group of near duplicates, by the SimHash operator."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinio.llm.common import stored
-from opinio.llm.simhash import components, majority, near_links, shingle_hashes
+from opinio.llm.simhash import near_duplicates
 from opinio.llm.urls import blocks_for, bloom_filter, maybe_listed
 
-WORDS, SIMILARITY = 5, 0.8
-LANES, RADIUS = 2, 44
-# Majorities of few shingles are coarse: sets of at most FEW are compared more widely.
-FEW, FEW_RADIUS = 8, 56
-KEYS = 8
-# Shingle sets compared in one tile, and shingles counted at once there.
-TILE, SLAB = 256, 8192
-
-
-def mixed(hashes: np.ndarray, number: int) -> np.ndarray:
-    """Another 64-bit hash of each hash (the splitmix64 finalizer of a shifted value)."""
-    with np.errstate(over="ignore"):
-        x = hashes + np.uint64((0x9E3779B97F4A7C15 * (number + 1)) & (2**64 - 1))
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def sketch(text: bytes, words: int) -> list[int]:
-    """Digest of the shingle set (2 numbers), its size, fingerprint lanes and smallest hashes."""
-    shingles = np.unique(shingle_hashes(text, words))
-    if not len(shingles):
-        return [0] * (3 + LANES + KEYS)
-    second = mixed(shingles, 0)
-    with np.errstate(over="ignore"):
-        digest = [int(shingles.sum(dtype=np.uint64)), int(np.bitwise_xor.reduce(second))]
-    prints = [majority(shingles), majority(second)]
-    lowest = [int(mixed(shingles, 1 + i).min()) for i in range(KEYS)]
-    return [*digest, len(shingles), *prints, *lowest]
-
-
-SKETCH = ["d0", "d1", "n", *(f"f{i}" for i in range(LANES)), *(f"k{i}" for i in range(KEYS))]
-
-
-def sketched(docs: DataFrame, text: str, words: int) -> DataFrame:
-    """The rows of ``docs`` as columns ``c0``..., with their sketch and a row number ``uid``."""
-    place = docs.columns.index(text)
-    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
-    names = [*plain.columns, *SKETCH]
-    schema = plain.select("*", *(F.lit(0).cast("bigint").alias(name) for name in SKETCH)).schema
-
-    def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [
-                sketch(value.as_buffer().to_pybytes() if value.is_valid else b"", words)
-                for value in batch.column(place)
-            ]
-            table = np.array(found, np.uint64).reshape(-1, len(SKETCH)).view(np.int64)
-            made = [pa.array(np.ascontiguousarray(table[:, i])) for i in range(len(SKETCH))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=names)
-
-    return plain.mapInArrow(per_batch, schema).withColumn(
-        "uid", F.monotonically_increasing_id()
-    )
-
-
-def shingle_sets(rows: DataFrame, words: int) -> DataFrame:
-    """``(uid, set)``: the sorted distinct shingle hashes of ``(uid, text)``."""
-
-    def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [
-                np.unique(shingle_hashes(value.as_buffer().to_pybytes(), words)).tobytes()
-                for value in batch.column(1)
-            ]
-            yield pa.record_batch([batch.column(0), pa.array(sets, pa.binary())], names=["uid", "set"])
-
-    return rows.mapInArrow(per_batch, "uid bigint, set binary")
-
-
-def jaccard_test(similarity: float) -> Callable[[pa.Table], Callable[[int, int], bool]]:
-    """Prepares a tile pair: intersections of all its sets as products of 0/1 matrices."""
-
-    def prepare(group: pa.Table) -> Callable[[int, int], bool]:
-        sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in group["set"]]
-        sizes = np.array([len(s) for s in sets])
-        shared: list[np.ndarray] = []
-
-        def intersections() -> np.ndarray:
-            numbers, which = np.unique(np.concatenate(sets), return_inverse=True)
-            of = np.repeat(np.arange(len(sets)), sizes)
-            order = np.argsort(which, kind="stable")
-            which, of = which[order], of[order]
-            total = np.zeros((len(sets), len(sets)), np.float32)
-            for first in range(0, len(numbers), SLAB):
-                a, b = np.searchsorted(which, [first, first + SLAB])
-                part = np.zeros((len(sets), SLAB), np.float32)
-                part[of[a:b], which[a:b] - first] = 1
-                total += part @ part.T
-            return total
-
-        def linked(i: int, j: int) -> bool:
-            if len(sets) > 8:
-                if not shared:
-                    shared.append(intersections())
-                common = int(shared[0][i, j])
-            else:
-                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            return common >= similarity * int(sizes[i] + sizes[j] - common) - 1e-9
-
-        return linked
-
-    return prepare
+# Words of a shingle, and bits in which linked fingerprints differ at most.
+WORDS, RADIUS = 3, 2
 
 
 def one_of_each(
-    docs: DataFrame,
-    doc: str = "doc_id",
-    text: str = "text",
-    words: int = WORDS,
-    similarity: float = SIMILARITY,
+    docs: DataFrame, doc: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = RADIUS
 ) -> DataFrame:
-    """The rows of ``docs`` with one row of each group of near duplicates.
+    """The rows of ``docs`` with one row of each component of linked fingerprints.
 
-    A group is connected by links; its row with the smallest id stays, of equal ids one of
-    them, NULL ids only where there is no other. Texts of equal shingle sets are one class
-    and compared once, however many rows they have. Texts without a word (NULL, empty, white
-    space) are one group. Columns pass through as they are.
+    The row with the smallest id stays, of equal ids one of them, NULL ids only where there is
+    no other. Texts without a word (NULL, empty, white space) have one fingerprint and so are one
+    group. Columns pass through as they are, whatever their names.
     """
-    rows = stored(sketched(docs, text, words), "sketches")
-    number = docs.columns.index(doc)
-    order = F.struct(F.col(f"c{number}").isNull(), F.col(f"c{number}").alias("doc"), "uid")
-    classes = stored(
-        rows.groupBy("d0", "d1").agg(
-            F.min(order).alias("first"), *(F.min(c).alias(c) for c in SKETCH[2:])
-        ),
-        "classes",
-    ).withColumn("uid", F.col("first.uid"))
-    # sizes of linked sets differ by a factor of 1 / similarity at most: one step of rank
-    step = np.log(1.01 / similarity)
-    rank = F.floor(F.log(F.col("n")) / F.lit(step))
-    wide = (int(np.log(FEW) / step), FEW_RADIUS)
-    keyed = classes.where(F.col("n") > 0).withColumn("rank", rank)
-    words_of = [f"f{i}" for i in range(LANES)]
-    items = keyed.select(
-        F.explode(F.array(*(F.xxhash64(F.lit(i), F.col(f"k{i}")) for i in range(KEYS)))).alias("key"),
-        F.col("uid").alias("id"),
-        "rank",
-        *words_of,
-    )
-    close = components(near_links(items, RADIUS, gap=1, lanes=LANES, wide=wide))
-    members = stored(
-        keyed.join(close.withColumnRenamed("id", "uid"), "uid").select("uid", "root", "rank", *words_of),
-        "members",
-    )
-    texts = rows.select("uid", F.col(f"c{docs.columns.index(text)}").alias("text"))
-    asked, _ = split_by_list(texts, members.select("uid"))
-    sets = shingle_sets(asked.join(members.select("uid"), "uid", "left_semi"), words)
-    to_verify = members.select(
-        F.col("root").alias("key"), F.col("uid").alias("id"), "rank", *words_of
-    )
-    links = near_links(
-        to_verify,
-        RADIUS,
-        gap=1,
-        lanes=LANES,
-        tile=TILE,
-        verify=jaccard_test(similarity),
-        payload=sets.withColumnRenamed("uid", "id"),
-        wide=wide,
-    )
-    groups = components(links).withColumnRenamed("id", "uid")
-    kept = (
-        classes.select("uid", "first")
-        .join(groups, "uid", "left")
-        .groupBy(F.coalesce("root", "uid").alias("root"))
-        .agg(F.min("first").alias("first"))
-        .select(F.col("first.uid").alias("uid"))
-    )
-    dropped = stored(rows.select("uid").join(kept, "uid", "left_anti"), "dropped")
-    whole = rows.select("uid", *(f"c{i}" for i in range(len(docs.columns))))
-    maybe, staying = split_by_list(whole, dropped)
-    return staying.unionByName(maybe.join(dropped, "uid", "left_anti")).select(
-        *(F.col(f"c{i}").alias(name) for i, name in enumerate(docs.columns))
-    )
+    columns = docs.columns
+    plain = docs.toDF(*(f"c{i}" for i in range(len(columns))))
+    # written once, so that a row keeps its number
+    rows = stored(plain.withColumn("uid", F.monotonically_increasing_id()), "numbered")
+    number = F.col(f"c{columns.index(doc)}")
+    order = F.struct(number.isNull().alias("none"), number.alias("doc"), "uid")
+    asked = rows.select(order.alias("key"), F.col(f"c{columns.index(text)}").alias("text"))
+    # the smallest key of a component is the row that stays
+    groups = near_duplicates(asked, words, radius, "key", "text")
+    others = groups.where(F.col("key") != F.col("component_id")).select("key.uid")
+    dropped = stored(others, "dropped")
+    maybe, staying = split_by_list(rows, dropped)
+    kept = staying.unionByName(maybe.join(dropped, "uid", "left_anti"))
+    return kept.select(*(F.col(f"c{i}").alias(name) for i, name in enumerate(columns)))
 
 
 def split_by_list(rows: DataFrame, listed: DataFrame) -> tuple[DataFrame, DataFrame]:
