@@ -24,7 +24,7 @@ UNIT, UNITS = 32, 4
 # Bytes whose windows are held at once: a whole number of units.
 AT_ONCE = 256 * UNIT * STEP
 # Bounded training sample: labelled rows of each label. Their texts are used whole.
-SAMPLE_ROWS = 800
+SAMPLE_ROWS = 1600
 # Chunks whose windows are held at once in training.
 CHUNKS_AT_ONCE = 1024
 EPOCHS, BATCH, RATE = 18, 32, 0.004
