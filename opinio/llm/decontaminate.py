@@ -359,7 +359,8 @@ def candidates(windows: Windows, text: bytes) -> list[tuple[int, int, int]]:
     if not len(posting):
         return []
     holding, edges = windows.holders
-    first, counts = edges[numbers[posting]], np.diff(edges)[numbers[posting]]
+    number = numbers[posting]
+    first, counts = edges[number], edges[number + 1] - edges[number]
     entry = np.repeat(first - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
     window = holding[entry].astype(np.int64)
     place = np.repeat(at[posting], counts) - windows.spans[window, 1]
