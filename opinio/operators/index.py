@@ -34,7 +34,7 @@ from opinio.functions.counting import with_counts
 from opinio.functions.text import hashed_vector
 from opinio.operators.cells import VectorCells
 from opinio.operators.changes import HASH, change_set, check_key, with_row_hash
-from opinio.session import checked_broadcast, new_path, remove
+from opinio.session import checked_broadcast, new_path, path_exists, remove
 
 # The number of a change, kept with rows and deletions that came with one.
 SEQUENCE = "change_seq"
@@ -229,6 +229,10 @@ class TextIndex:
             fresh = fresh.unionByName(gone, allowMissingColumns=True)
         if SEQUENCE not in fresh.columns:
             fresh = fresh.withColumn(SEQUENCE, F.lit(None).cast("bigint"))
+        if before is None:  # what a build that failed has left is no index
+            for table in ("rows", "postings", "columns", "cells"):
+                if path_exists(self.spark, f"{self.path}/{table}"):
+                    remove(self.spark, f"{self.path}/{table}", self.path)
         columns = self.stored("columns")
         self._refuse_new_types(columns, fresh)
 
@@ -253,9 +257,11 @@ class TextIndex:
         # a bucket's changes are analysed by the task that writes them
         spread = changes.repartitionById(n, F.col(BUCKET))
         present = analysed(spread.where(~F.col("deleted")), self.text, self.embed)
-        present.unionByName(spread.where("deleted"), allowMissingColumns=True).write.parquet(scratch[1])
-        added = self.spark.read.parquet(scratch[1])
+        added = present.unionByName(spread.where("deleted"), allowMissingColumns=True)
         if old is not None:
+            # needed more than once; a build writes it where it belongs
+            added.write.parquet(scratch[1])
+            added = self.spark.read.parquet(scratch[1])
             if not added.limit(1).count():  # all of it late: seen before
                 self._derive(before, n, before.totals.version, self._stale(touched))
                 return before.totals.version

@@ -132,6 +132,20 @@ def test_a_sync_that_failed_half_way_is_mended_by_the_next(spark, monkeypatch):
     assert state(index) == state(fresh(spark).build(frame(spark, DAY1)))
 
 
+def test_a_build_that_failed_leaves_nothing_to_the_next(spark, monkeypatch):
+    index = fresh(spark)
+
+    def dead(*_):
+        raise RuntimeError("lost driver")
+
+    monkeypatch.setattr(TextIndex, "_derive", dead)
+    with pytest.raises(RuntimeError):
+        index.build(frame(spark, [(i, f"old {i}", "A") for i in range(40)]))
+    monkeypatch.undo()
+    index.build(frame(spark, DAY1))
+    assert state(index) == state(fresh(spark).build(frame(spark, DAY1)))
+
+
 def test_a_numbered_change_is_applied_once(spark):
     index = fresh(spark).build(frame(spark, DAY1))
     more = spark.createDataFrame([(9, "more", "Z", 4), (1, "first", "A", 5)], ROW + ", change_seq long")
