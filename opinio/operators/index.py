@@ -40,8 +40,9 @@ from opinio.session import checked_broadcast, new_path, path_exists, remove
 SEQUENCE = "change_seq"
 BUCKET = "bucket"
 
-# Rows a bucket is aimed at, and bounds of the number of buckets.
-ROWS_PER_BUCKET = 100_000
+# Rows and bytes of text a bucket is aimed at, and bounds of the number of buckets. A bucket is
+# sorted and scored by one task.
+ROWS_PER_BUCKET, BYTES_PER_BUCKET = 8_192, 16 << 20
 FEWEST_BUCKETS, MOST_BUCKETS = 8, 4096
 # Postings in a block.
 BLOCK = 128
@@ -240,8 +241,9 @@ class TextIndex:
         fresh.write.parquet(scratch[0])
         changes = self.spark.read.schema(fresh.schema).parquet(scratch[0])
         check_key(changes, self.key)
-        n_changes = changes.count()
-        n = before.totals.n_buckets if before else self._buckets_for(n_changes)
+        size = F.octet_length(F.col(self.text).cast("string")).cast("bigint")
+        n_changes, n_bytes = changes.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+        n = before.totals.n_buckets if before else self._buckets_for(n_changes, n_bytes)
         changes = changes.withColumn(BUCKET, bucket_of(F.col(self.key), n))
         touched = [r[0] for r in changes.select(BUCKET).distinct().collect()] if before else list(range(n))
         old = None
@@ -314,7 +316,8 @@ class TextIndex:
                 }
             )
         )
-        self._replace(stats.coalesce(1), "stats")
+        # merged by many tasks, written by one
+        self._replace(stats.repartition(1), "stats")
 
     def _blocked_postings(self, rows: DataFrame, n: int, mean: float) -> DataFrame:
         """Blocks of each bucket's terms, the postings of greatest weight first.
@@ -369,8 +372,9 @@ class TextIndex:
 
     # -- storage ---------------------------------------------------------------
 
-    def _buckets_for(self, n_rows: int) -> int:
-        return self.n_buckets or min(MOST_BUCKETS, max(FEWEST_BUCKETS, -(-n_rows // ROWS_PER_BUCKET)))
+    def _buckets_for(self, n_rows: int, n_bytes: int) -> int:
+        wanted = max(FEWEST_BUCKETS, -(-n_rows // ROWS_PER_BUCKET), -(-n_bytes // BYTES_PER_BUCKET))
+        return self.n_buckets or min(MOST_BUCKETS, wanted)
 
     def _replace(self, rows: DataFrame, table: str) -> None:
         """Overwrites the buckets that ``rows`` fall into."""
