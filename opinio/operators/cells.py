@@ -9,7 +9,7 @@ the vectors alone, not on how the table is split.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -17,13 +17,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from opinio.operators.topk import (
     Hits,
     MakeScorer,
     Prepare,
     Score,
+    by_query_blocks,
     exact_topk,
+    highest,
+    pair_scores,
+    round_half_up,
     unit_rows,
 )
 from opinio.session import new_path, path_exists, shuffle_partitions
@@ -39,6 +44,8 @@ CODE_BITS, SEED = 256, 7
 # is among the closest share of all.
 REACH, SCORED = 0.65, 0.2
 DIGITS = 6
+# Queries whose cells are chosen at once, and vectors compared with all centres at once.
+PLANNED_AT_ONCE, PLACED_AT_ONCE = 64, 512
 
 
 @dataclass(frozen=True)
@@ -57,24 +64,33 @@ class Fit:
         return np.packbits(unit @ self.directions > 0, axis=1)
 
     def cell(self, unit: np.ndarray) -> np.ndarray:
-        return (unit @ self.centres.T).argmax(axis=1)
-
-    def plan(self, unit: np.ndarray, reach: float, scored: float) -> tuple[np.ndarray, np.ndarray]:
-        """By query: which cells it reads, and how many bits of a scored code may differ."""
-        order = np.argsort(-(unit @ self.centres.T), axis=1, kind="stable")
-        before = np.cumsum(self.sizes[order], axis=1) - self.sizes[order]
-        # the nearest cells until they hold the share, the one that reaches it included
-        wanted = np.zeros(order.shape, bool)
-        np.put_along_axis(wanted, order, before < reach * self.sizes.sum(), axis=1)
-        far = distances(self.code(unit), self.codes)
-        most = np.quantile(far, scored, axis=1, method="higher") if far.shape[1] else np.zeros(len(unit))
-        return wanted, most.astype(np.int64)
+        parts = [
+            (unit[start : start + PLACED_AT_ONCE] @ self.centres.T).argmax(axis=1)
+            for start in range(0, len(unit), PLACED_AT_ONCE)
+        ]
+        return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+
+    def plan(self, unit: np.ndarray, reach: float, scored: float | None) -> tuple[np.ndarray, np.ndarray]:
+        """By query: which cells it reads, and how many bits of a scored code may differ (None: not asked for)."""
+        wanted = np.zeros((len(unit), len(self.sizes)), bool)
+        most = np.zeros(len(unit), np.int64)
+        # some queries at a time: each is compared with every centre and the whole sample
+        for start in range(0, len(unit), PLANNED_AT_ONCE):
+            some = slice(start, start + PLANNED_AT_ONCE)
+            order = np.argsort(-(unit[some] @ self.centres.T), axis=1, kind="stable")
+            before = np.cumsum(self.sizes[order], axis=1) - self.sizes[order]
+            # the nearest cells until they hold the share, the one that reaches it included
+            np.put_along_axis(wanted[some], order, before < reach * self.sizes.sum(), axis=1)
+            if scored is not None and len(self.codes):
+                far = distances(self.code(unit[some]), self.codes)
+                most[some] = np.quantile(far, scored, axis=1, method="higher")
+        return wanted, most
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Bits in which each code of ``a`` differs from each of ``b``."""
     x, y = (np.ascontiguousarray(c).view(np.uint64) for c in (a, b))
-    total = np.zeros((len(x), len(y)), np.int64)
+    total = np.zeros((len(x), len(y)), np.uint16)
     for word in range(x.shape[1]):
         total += np.bitwise_count(x[:, word, None] ^ y[None, :, word])
     return total
@@ -166,21 +182,19 @@ class VectorCells:
         Only folders of cells that some query reads are listed and scanned.
         """
         fit = self.fit
+        rows, asked = self._read(queries, fit, reach)
+        scorer = cell_scorer(fit, reach, scored)
+        return exact_topk(rows, asked, scorer, k, DIGITS, query_bytes=F.size("embedding") * 8, **bounds)
+
+    def _read(self, queries: DataFrame, fit: Fit, reach: float) -> tuple[DataFrame, DataFrame]:
+        """The vectors of all cells that some query reads, and the queries."""
         asked = queries.where(F.col("embedding").isNotNull()).select("query_id", "embedding")
         rows = self.rows().where(F.col("embedding").isNotNull())
         if not fit.centres.shape[1]:
             asked = asked.limit(0)
         cells = _cells_of(asked, fit, reach).distinct()
         few = [r[0] for r in cells.collect()]  # at most one a cell
-        return exact_topk(
-            rows.where(F.col("cell").isin(few)) if len(few) < len(fit.sizes) else rows,
-            asked,
-            cell_scorer(fit, reach, scored),
-            k,
-            DIGITS,
-            query_bytes=F.size("embedding") * 8,
-            **bounds,
-        )
+        return rows.where(F.col("cell").isin(few)) if len(few) < len(fit.sizes) else rows, asked
 
     def _empty(self, like: DataFrame, cells: list[int]) -> DataFrame:
         """A row without a vector for each of some cells."""
@@ -225,7 +239,7 @@ def _cells_of(queries: DataFrame, fit: Fit, reach: float) -> DataFrame:
         for batch in batches:
             unit, usable = unit_rows(pa.Table.from_batches([batch]))
             if usable.any():
-                wanted |= fit.plan(unit[usable], reach, 0.0)[0].any(axis=0)
+                wanted |= fit.plan(unit[usable], reach, None)[0].any(axis=0)
         yield pa.record_batch([pa.array(np.flatnonzero(wanted), pa.int32())], names=["cell"])
 
     return queries.select("embedding").mapInArrow(cells, "cell int")
@@ -236,28 +250,18 @@ def cell_scorer(fit: Fit, reach: float, scored: float) -> MakeScorer:
 
     def make(queries: pa.Table) -> Prepare:
         wanted, wanted_ok = unit_rows(queries)
-        reads, most = fit.plan(wanted, reach, scored) if wanted.shape[1] else (None, None)  # no query
-        codes = fit.code(wanted) if wanted.shape[1] else None
+        near = _near(fit, wanted, wanted_ok, reach, scored)
 
         def prepare(items: pa.Table) -> Score:
             rows, _ = unit_rows(items)
 
-            def score() -> Hits:
-                if reads is None or not rows.shape[1]:
-                    return
-                cell = items["cell"].to_numpy()
-                stored = np.frombuffer(b"".join(items["code"].to_pylist()), np.uint8).reshape(len(cell), -1)
-                order = np.argsort(cell, kind="stable")
-                held, first = np.unique(cell[order], return_index=True)
-                members = np.split(order, first[1:])
-                for query in np.flatnonzero(wanted_ok).tolist():
-                    near = [m for c, m in zip(held.tolist(), members) if reads[query, c]]
-                    if not near:
-                        continue
-                    near = np.sort(np.concatenate(near))
-                    near = near[distances(codes[query : query + 1], stored[near])[0] <= most[query]]
-                    if len(near):
-                        yield query, near, rows[near] @ wanted[query]
+            def score(k: int | None = None, digits: int = 0, reached: np.ndarray | None = None) -> Hits:
+                for query, row in near(items):
+                    scores = pair_scores(rows, wanted, row, np.full(len(row), query))
+                    if k is not None:
+                        best = highest(round_half_up(scores, digits), k)
+                        row, scores = row[best], scores[best]
+                    yield query, row, scores
 
             return score
 
@@ -266,7 +270,55 @@ def cell_scorer(fit: Fit, reach: float, scored: float) -> MakeScorer:
     return make
 
 
+def _near(
+    fit: Fit, wanted: np.ndarray, usable: np.ndarray, reach: float, scored: float
+) -> Callable[[pa.Table], Iterator[tuple[int, np.ndarray]]]:
+    """Of a block of stored vectors, by query those that it scores."""
+    reads, most = fit.plan(wanted, reach, scored) if wanted.shape[1] else (None, None)  # no query
+    codes = fit.code(wanted) if wanted.shape[1] else None
+
+    def near(items: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+        if reads is None or not items.num_rows:
+            return
+        cell = items["cell"].to_numpy()
+        stored = np.frombuffer(b"".join(items["code"].to_pylist()), np.uint8).reshape(len(cell), -1)
+        order = np.argsort(cell, kind="stable")
+        held, first = np.unique(cell[order], return_index=True)
+        size = np.diff(np.append(first, len(cell)))
+        place = np.empty(len(cell), np.int64)  # of each row's cell among those held
+        place[order] = np.repeat(np.arange(len(held)), size)
+        for start in range(0, len(reads), PLANNED_AT_ONCE):
+            some = np.arange(start, min(start + PLANNED_AT_ONCE, len(reads)))
+            some = some[usable[some]]
+            able = distances(codes[some], stored) <= most[some, None]
+            able &= reads[some][:, held][:, place]
+            query, row = np.nonzero(able)
+            edges = np.searchsorted(query, np.arange(len(some) + 1))
+            for number, at in enumerate(some.tolist()):
+                if edges[number] < edges[number + 1]:
+                    yield at, row[edges[number] : edges[number + 1]]
+
+    return near
+
+
 def scored_share(cells: VectorCells, queries: DataFrame, reach: float = REACH, scored: float = SCORED) -> DataFrame:
-    """``(query_id, n)``: how many vectors each query scores."""
-    hits = cells.search(queries, 1 << 30, reach, scored)
-    return hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
+    """``(query_id, n)``: how many vectors each query scores. They are counted where they are found."""
+    fit = cells.fit
+    rows, asked = cells._read(queries, fit, reach)
+    schema = StructType([asked.schema["query_id"], StructField("n", LongType())])
+
+    def counts(items: DataFrame, resident: pa.Table) -> DataFrame:
+        def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            wanted, usable = unit_rows(resident)
+            near = _near(fit, wanted, usable, reach, scored)
+            n = np.zeros(len(wanted), np.int64)
+            for batch in batches:
+                for query, row in near(pa.Table.from_batches([batch])):
+                    n[query] += len(row)
+            some = np.flatnonzero(n)
+            names = resident["query_id"].combine_chunks().take(pa.array(some))
+            yield pa.RecordBatch.from_arrays([names, pa.array(n[some])], names=schema.names)
+
+        return items.mapInArrow(per_task, schema).groupBy("query_id").agg(F.sum("n").alias("n"))
+
+    return by_query_blocks(rows.select("cell", "code"), asked, F.size("embedding") * 8, counts)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinio.functions.text import distinct_terms, term_counts
-from opinio.operators.index import Snapshot, TextIndex, with_vector
-from opinio.operators.topk import cosine_scorer, exact_topk, weighted_terms_scorer
+from opinio.operators.index import ROWS_PER_BUCKET, Snapshot, TextIndex, with_vector
+from opinio.operators.topk import RESIDENT_QUERIES, cosine_scorer, exact_topk, weighted_terms_scorer
 from opinio.session import checked_broadcast, new_path
 
 # BM25 and reciprocal rank fusion constants, digits ranked on.
@@ -24,6 +26,8 @@ DEFAULT_RESULTS = 5
 # Asked terms that are pushed to the scan, and terms up to which their blocks are as well.
 PUSHED_TERMS = 1000
 TERMS_WITH_BLOCKS = 50
+# Texts given out at once, and hits of all queries that a task may hold in one pass over the texts.
+TEXTS_AT_ONCE, HITS_AT_ONCE, MOST_QUERIES = 2_000, 1_000_000, 50_000
 
 
 def semantic_topk(
@@ -90,11 +94,16 @@ def search_fulltext(
     Postings are sorted by term, so a short list of terms is pushed to the scan
     and skips the other row groups. Blocks of a term's postings that cannot lift a text to
     the k-th score of any question are left out (see ``needed_blocks``). The matches of one text
-    are gathered once and scored for all queries together, instead of once per query.
+    are gathered once, by the task of its bucket, and scored for all queries together. A query
+    reads the postings of its heaviest terms and looks the others up (see ``topk.Postings``).
     """
     asked = queries.select("query_id", distinct_terms(F.col("query_text")).alias("terms"))
     size = F.octet_length(F.concat_ws("", "terms")) + 8 * F.size("terms")
 
+    # a pass over the texts costs more than the few terms of a query
+    most = max(RESIDENT_QUERIES, min(MOST_QUERIES, HITS_AT_ONCE // max(1, k)))
+    bounds = {"resident_queries": most, **bounds}
+
     def ranked(blocks: DataFrame) -> DataFrame:
         return exact_topk(
             _matches(found, blocks), asked, weighted_terms_scorer, k, BM25_DIGITS,
@@ -109,18 +118,73 @@ def _norm(found: Snapshot, n_terms: Column) -> Column:
 
 
 def _matches(found: Snapshot, blocks: DataFrame) -> DataFrame:
-    """``(id, matches)``: the weighted terms of each text in some blocks with their ``idf``."""
-    entry = F.explode("entries").alias("_e")
-    tf = F.col("_e.tf")
-    weight = F.col("idf") * tf * (K1 + 1) / (tf + _norm(found, F.col("_e.n_terms")))
+    """``(id, matches)``: the weighted terms of each text in some blocks with their ``idf``.
+
+    A text's postings lie in one bucket, so the blocks travel as they are, to a task for each
+    bucket. Buckets that have grown far beyond their size are cut by the hash of the key.
+    """
+    totals = found.totals
+    own = blocks.select("bucket", "term", "idf", "entries")
+    slices = max(1, -(-totals.n_docs // (2 * ROWS_PER_BUCKET * totals.n_buckets)))
+    unit = F.col("bucket")
+    if slices > 1:
+        own = own.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))).withColumn(
+            "entries",
+            F.filter(
+                "entries",
+                lambda e: F.pmod(F.xxhash64(e["id"], F.lit("slice")), F.lit(slices)) == F.col("slice"),
+            ),
+        )
+        unit = (unit * slices + F.col("slice")).cast("int")
+    kind = found.index.rows().schema[found.index.key].dataType.simpleString()
     return (
-        blocks.select("term", "idf", entry)
-        .select(F.col("_e.id").alias("id"), F.struct("term", weight.alias("weight")).alias("m"))
-        .groupBy("id")
-        .agg(F.collect_list("m").alias("matches"))
+        own.select(unit.alias("unit"), "term", "idf", "entries")
+        .repartitionById(totals.n_buckets * slices, F.col("unit"))
+        .mapInArrow(
+            _texts(totals.mean_terms or 1.0), f"id {kind}, matches array<struct<term:string,weight:double>>"
+        )
     )
 
 
+def _texts(mean: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The blocks of a bucket turned to its texts."""
+
+    def per_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, idfs, ids, tfs, lengths = ([] for _ in range(5))
+        for batch in batches:
+            entries = batch.column("entries")
+            block = np.repeat(np.arange(batch.num_rows), entries.value_lengths().to_numpy(zero_copy_only=False))
+            flat = entries.flatten()
+            terms.append(batch.column("term").take(pa.array(block)).dictionary_encode())
+            idfs.append(batch.column("idf").to_numpy(zero_copy_only=False)[block])
+            ids.append(flat.field("id"))
+            tfs.append(flat.field("tf").to_numpy(zero_copy_only=False))
+            lengths.append(flat.field("n_terms").to_numpy(zero_copy_only=False))
+        if not ids:
+            return
+        tf, length = np.concatenate(tfs), np.concatenate(lengths)
+        norm = K1 * (1 - B + B * length / mean)
+        weight = np.concatenate(idfs) * tf * (K1 + 1) / (tf + norm)
+        coded = pa.chunked_array(ids).combine_chunks().dictionary_encode()
+        of = coded.indices.to_numpy()
+        order = np.argsort(of, kind="stable")
+        edges = np.searchsorted(of[order], np.arange(len(coded.dictionary) + 1))
+        term = pa.chunked_array(terms).unify_dictionaries().combine_chunks()
+        for start in range(0, len(coded.dictionary), TEXTS_AT_ONCE):
+            stop = min(start + TEXTS_AT_ONCE, len(coded.dictionary))
+            some = order[edges[start] : edges[stop]]
+            matches = pa.StructArray.from_arrays(
+                [term.take(pa.array(some)).cast(pa.string()), pa.array(weight[some])], names=["term", "weight"]
+            )
+            offsets = pa.array(edges[start : stop + 1] - edges[start], pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [coded.dictionary.slice(start, stop - start), pa.ListArray.from_arrays(offsets, matches)],
+                names=["id", "matches"],
+            )
+
+    return per_bucket
+
+
 def needed_blocks(
     found: Snapshot, asked: DataFrame, k: int, ranked: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
@@ -130,7 +194,8 @@ def needed_blocks(
     heaviest blocks alone, ranked, give each question a k-th score that its hits must reach.
     A text of a block can reach it only if the block's greatest weight and the greatest
     weights of the question's other terms together do: blocks for which that holds in no
-    question are left out. A hit is in none of them, so hits keep their whole score.
+    question are left out. A hit is in none of them, so hits keep their whole score. Of more terms
+    than can be pushed to the scan every block is taken.
     """
     vocabulary = asked.select(F.explode_outer("terms").alias("term")).distinct()
     vocabulary = vocabulary.where(F.col("term").isNotNull())
@@ -154,9 +219,11 @@ def needed_blocks(
     ).write.parquet(path)
     terms = found.index.spark.read.parquet(path)
     known = checked_broadcast(terms.select("term", "idf"), n_asked)
-    blocks = matching(found.blocks()).join(known, "term")
-    if (terms.agg(F.max("last")).first()[0] or 0) == 0:
-        return blocks  # one block for each term and bucket: nothing to leave out
+    blocks = (matching(found.blocks()) if pushed else found.blocks()).join(known, "term")
+    if not pushed or (terms.agg(F.max("last")).first()[0] or 0) == 0:
+        # very many terms: hardly a block that no question needs, so all are read, once;
+        # or one block for each term and bucket: nothing to leave out
+        return blocks
 
     first = ranked(blocks.where(F.col("block") == 0))
     reached = first.where(F.col("rank") == k).select("query_id", F.col("score").alias("reached"))

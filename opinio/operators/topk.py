@@ -25,14 +25,22 @@ from opinio.session import new_path
 RESIDENT_QUERIES = 10_000
 RESIDENT_BYTES = 32 << 20
 ITEMS_PER_BLOCK = 20_000
-QUERIES_AT_ONCE = 64
+# Items and queries that are multiplied at once, and pairs scored at once.
+ITEMS_AT_ONCE, QUERIES_AT_ONCE, PAIRS_AT_ONCE = 4096, 256, 1 << 16
+# Terms of queries, and postings, that are looked up at once.
+LOOKUPS_AT_ONCE, POSTINGS_AT_ONCE = 1 << 20, 1 << 21
+# Terms by which the bound of an item's score is drawn closer at once.
+TERMS_AT_ONCE = 6
+# A term in this share of a block's items is kept as a column of all of them.
+DENSE = 1 / 8
 
 # Parts of the tasks that are ranked apart before the last ranking.
 RANKING_PARTS = 64
 
-# queries -> items -> one (query, items or None for all, scores) after the other
-Hits = Iterator[tuple[int, np.ndarray | None, np.ndarray]]
-Score = Callable[[], Hits]
+# queries -> items -> k, digits ranked on and the k-th scores reached so far, or nothing ->
+# (query or the query of each, items, scores) one after the other: what can be among the best k
+Hits = Iterator[tuple[int | np.ndarray, np.ndarray, np.ndarray]]
+Score = Callable[..., Hits]
 Prepare = Callable[[pa.Table], Score]
 MakeScorer = Callable[[pa.Table], Prepare]
 
@@ -50,21 +58,33 @@ def keep_best(hits: pa.Table, k: int) -> pa.Table:
     return hits.filter(pa.array(place < k))
 
 
-def block_hits(items: pa.Table, score: Score, k: int, digits: int) -> pa.Table:
-    """The best k of a block of items per query, chosen among the items a query touches."""
+def highest(scores: np.ndarray, k: int) -> np.ndarray:
+    """Places of the scores at or above the k-th: keeps all ties for the id order."""
+    wanted = scores > -np.inf
+    if len(scores) > k:
+        wanted &= scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+    return np.flatnonzero(wanted)
+
+
+def block_hits(
+    items: pa.Table, score: Score, k: int, digits: int, reached: np.ndarray | None = None
+) -> pa.Table:
+    """The best k of a block of items per query, chosen among the items a query touches.
+
+    ``reached`` has the k-th score that each query has so far: lower ones are left out.
+    """
     ids = items["id"].combine_chunks()
     found = []
-    for query, rows, scores in score():
+    for query, rows, scores in score(k, digits, reached):
         scores = round_half_up(scores, digits)
         wanted = scores > -np.inf
-        if len(scores) > k:
-            # everything at or above the k-th score: keeps all ties for the id order
-            wanted &= scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+        if reached is not None:
+            wanted &= scores >= reached[query]
         at = np.flatnonzero(wanted)
         hits = pa.table(
             {
-                "query": pa.array(np.full(len(at), query, np.int32)),
-                "id": ids.take(pa.array(at if rows is None else rows[at])),
+                "query": pa.array(np.broadcast_to(query, scores.shape)[at].astype(np.int32)),
+                "id": ids.take(pa.array(rows[at])),
                 "score": pa.array(scores[at], pa.float64()),
             }
         )
@@ -75,6 +95,15 @@ def block_hits(items: pa.Table, score: Score, k: int, digits: int) -> pa.Table:
     return pa.concat_tables(found) if found else empty
 
 
+def kth_scores(best: pa.Table, n_queries: int, k: int) -> np.ndarray:
+    """The k-th score of each query among sorted hits; -inf for a query with fewer."""
+    query = best["query"].to_numpy()
+    last = np.flatnonzero(np.arange(len(query)) - np.searchsorted(query, query, side="left") == k - 1)
+    reached = np.full(n_queries, -np.inf)
+    reached[query[last]] = best["score"].to_numpy()[last]
+    return reached
+
+
 def _named(hits: pa.Table, queries: pa.Table) -> pa.Table:
     names = queries["query_id"].combine_chunks().take(hits["query"].combine_chunks())
     return pa.table({"query_id": names, "id": hits["id"], "score": hits["score"]})
@@ -102,26 +131,43 @@ def exact_topk(
     schema = StructType(
         [queries.schema["query_id"], items.schema["id"], StructField("score", DoubleType())]
     )
-    n_queries, n_bytes = queries.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(query_bytes), F.lit(0))
-    ).first()
-
-    def candidates(resident: pa.Table) -> DataFrame:
+    def candidates(items: DataFrame, resident: pa.Table) -> DataFrame:
         def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             prepare = make_scorer(resident)
-            best = None
+            best = reached = None
             for batch in batches:
                 for start in range(0, batch.num_rows if resident.num_rows else 0, items_per_block):
                     block = pa.Table.from_batches([batch.slice(start, items_per_block)])
-                    hits = block_hits(block, prepare(block), k, digits)
-                    best = hits if best is None else keep_best(pa.concat_tables([best, hits]), k)
+                    hits = block_hits(block, prepare(block), k, digits, reached)
+                    if best is None or hits.num_rows:
+                        best = keep_best(hits if best is None else pa.concat_tables([best, hits]), k)
+                        reached = kth_scores(best, resident.num_rows, k)
             if best is not None:
-                yield from _named(keep_best(best, k), resident).to_batches()
+                yield from _named(best, resident).to_batches()
 
         return items.mapInArrow(per_task, schema)
 
+    return by_query_blocks(
+        items, queries, query_bytes, lambda some, resident: best_of_each(candidates(some, resident), k),
+        resident_queries, resident_bytes, recomputed,
+    )
+
+
+def by_query_blocks(
+    items: DataFrame,
+    queries: DataFrame,
+    query_bytes: Column,
+    answers: Callable[[DataFrame, pa.Table], DataFrame],
+    resident_queries: int = RESIDENT_QUERIES,
+    resident_bytes: int = RESIDENT_BYTES,
+    recomputed: bool = False,
+) -> DataFrame:
+    """``answers(items, some queries)`` of all queries: one pass, or one for each block of them."""
+    n_queries, n_bytes = queries.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(query_bytes), F.lit(0))
+    ).first()
     if n_queries <= resident_queries and n_bytes <= resident_bytes:
-        return best_of_each(candidates(queries.toArrow()), k)
+        return answers(items, queries.toArrow())
 
     n_blocks = max(-(-n_queries // resident_queries), -(-n_bytes // resident_bytes))
     spark = queries.sparkSession
@@ -134,8 +180,7 @@ def exact_topk(
         items = spark.read.schema(items.schema).parquet(kept)
     for number in range(n_blocks):
         some = spark.read.parquet(asked).where(F.col("_block") == number)
-        resident = some.select(*queries.columns).toArrow()
-        best_of_each(candidates(resident), k).write.mode("append").parquet(found)
+        answers(items, some.select(*queries.columns).toArrow()).write.mode("append").parquet(found)
     return spark.read.parquet(found)
 
 
@@ -161,27 +206,56 @@ def _flat(column: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
     return lists.flatten(), lengths
 
 
+def pair_scores(rows: np.ndarray, wanted: np.ndarray, row: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Products of some pairs of a row and a query; the same for a pair in any company."""
+    found = np.empty(len(row))
+    for start in range(0, len(row), PAIRS_AT_ONCE):
+        some = slice(start, start + PAIRS_AT_ONCE)
+        found[some] = np.einsum("ij,ij->i", rows[row[some]], wanted[query[some]])
+    return found
+
+
 def cosine_scorer(positive_only: bool) -> MakeScorer:
-    """Cosine of ``embedding`` columns; a zero vector hits nothing."""
+    """Cosine of ``embedding`` columns; a zero vector hits nothing.
+
+    Products in single precision and their error tell which pairs can be among the best; only
+    these are scored in double precision.
+    """
 
     def make(queries: pa.Table) -> Prepare:
         wanted, wanted_ok = unit_rows(queries)
+        asked = np.flatnonzero(wanted_ok)
 
         def prepare(items: pa.Table) -> Score:
             rows, rows_ok = unit_rows(items)
+            usable = np.flatnonzero(rows_ok)
 
-            def score() -> Hits:
-                if not rows.shape[1] or not wanted.shape[1]:
+            def score(k: int | None = None, digits: int = 0, reached: np.ndarray | None = None) -> Hits:
+                if not rows.shape[1] or not wanted.shape[1] or not len(usable):
                     return
-                usable = np.flatnonzero(rows_ok)
-                for start in range(0, len(wanted), QUERIES_AT_ONCE):
-                    scores = rows @ wanted[start : start + QUERIES_AT_ONCE].T
-                    for number in range(scores.shape[1]):
-                        if wanted_ok[start + number]:
-                            one = scores[usable, number]
-                            if positive_only:
-                                one = np.where(one > 0, one, -np.inf)
-                            yield start + number, usable, one
+                about = rows[usable].astype(np.float32)
+                error = (rows.shape[1] + 8) * 2.0**-23
+                for start in range(0, len(asked), QUERIES_AT_ONCE):
+                    some = asked[start : start + QUERIES_AT_ONCE]
+                    query = wanted[some].T.astype(np.float32)
+                    floor = np.full(len(some), -np.inf)
+                    if reached is not None:
+                        floor = reached[some] - 10.0**-digits - error
+                    elif k is not None and len(about) > k:
+                        head = about[: max(ITEMS_AT_ONCE, 2 * k)] @ query
+                        if len(head) > k:
+                            kth = np.partition(head, len(head) - k, axis=0)[len(head) - k]
+                            floor = kth - 10.0**-digits - 2 * error
+                    if positive_only:
+                        floor = np.maximum(floor, -error)
+                    for first in range(0, len(about), ITEMS_AT_ONCE):
+                        near = about[first : first + ITEMS_AT_ONCE] @ query
+                        row, column = np.nonzero(near >= floor.astype(np.float32))
+                        if not len(row):
+                            continue
+                        row, number = usable[row + first], some[column]
+                        scores = pair_scores(rows, wanted, row, number)
+                        yield number, row, np.where(scores > 0, scores, -np.inf) if positive_only else scores
 
             return score
 
@@ -208,28 +282,167 @@ def weighted_terms_scorer(queries: pa.Table) -> Prepare:
     """Sum of ``matches.weight`` over the terms an item shares with the query."""
     asked, asked_n = _flat(queries["terms"])
     vocabulary = pc.unique(asked)
-    wanted = pc.index_in(asked, vocabulary).to_numpy(zero_copy_only=False)
-    terms_of = np.split(wanted, np.cumsum(asked_n)[:-1])
+    terms = pc.index_in(asked, vocabulary).to_numpy(zero_copy_only=False).astype(np.int64)
+    edges = np.concatenate([[0], np.cumsum(asked_n)])
 
     def prepare(items: pa.Table) -> Score:
-        matches, counts = _flat(items["matches"])
-        item = np.repeat(np.arange(len(counts)), counts)
-        term = pc.index_in(matches.field("term"), vocabulary).fill_null(-1)
-        term = term.to_numpy(zero_copy_only=False)
-        weight = matches.field("weight").to_numpy(zero_copy_only=False)
-        by_term = np.argsort(term, kind="stable")
-        item, weight = item[by_term], weight[by_term]
-        edges = np.searchsorted(term[by_term], np.arange(len(vocabulary) + 1))
-
-        def score() -> Hits:
-            for number, terms in enumerate(terms_of):
-                spans = [np.arange(edges[t], edges[t + 1]) for t in terms]
-                span = np.concatenate(spans) if spans else np.empty(0, int)
-                if len(span):
-                    touched, place = np.unique(item[span], return_inverse=True)
-                    total = np.bincount(place, weight[span])
-                    yield number, touched, np.where(total > 0, total, -np.inf)
+        postings = Postings(items["matches"], vocabulary)
+
+        def score(k: int | None = None, digits: int = 0, reached: np.ndarray | None = None) -> Hits:
+            if k is None:  # every item that a query touches
+                for number in range(len(asked_n)):
+                    yield from postings.touched(number, terms[edges[number] : edges[number + 1]])
+                return
+            for start in range(0, len(asked_n), QUERIES_AT_ONCE):
+                stop = min(start + QUERIES_AT_ONCE, len(asked_n))
+                number = np.repeat(np.arange(start, stop), asked_n[start:stop])
+                floor = None if reached is None else reached[start:stop]
+                some = terms[edges[start] : edges[stop]]
+                yield from postings.best(start, number - start, some, stop - start, k, digits, floor)
 
         return score
 
     return prepare
+
+
+def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """All of first[i], first[i] + 1, ... (count[i] of them), one after the other."""
+    before = np.cumsum(count) - count
+    return np.repeat(first - before, count) + np.arange(int(count.sum()))
+
+
+class Postings:
+    """A block's matches by term, and what bounds a query's scores by them.
+
+    An item that has none of a query's heaviest terms scores at most the greatest weights of the
+    others together. Where the k-th score is above that, only the postings of the heaviest are read,
+    and whatever of their items can still reach it is scored. Nothing else can be a hit.
+    """
+
+    def __init__(self, column: pa.ChunkedArray, vocabulary: pa.Array):
+        matches, counts = _flat(column)
+        self.n, n_terms = len(counts), len(vocabulary)
+        term = pc.index_in(matches.field("term"), vocabulary)
+        known = term.is_valid().to_numpy(zero_copy_only=False)
+        term = term.fill_null(0).to_numpy(zero_copy_only=False)[known].astype(np.int64)
+        item = np.repeat(np.arange(self.n), counts)[known]
+        weight = matches.field("weight").to_numpy(zero_copy_only=False)[known]
+        by_term = np.argsort(term, kind="stable")
+        term, self.item, self.weight = term[by_term], item[by_term], weight[by_term]
+        self.first = np.searchsorted(term, np.arange(n_terms + 1))
+        self.df = np.diff(self.first)
+        self.keys = term * self.n + self.item
+        self.most = np.zeros(n_terms)
+        np.maximum.at(self.most, term, self.weight)
+        often = np.flatnonzero(self.df > self.n * DENSE)
+        self.column = np.full(n_terms, -1)
+        self.column[often] = np.arange(len(often))
+        self.dense = np.zeros((len(often), self.n))
+        at = _ranges(self.first[often], self.df[often])
+        self.dense[np.repeat(np.arange(len(often)), self.df[often]), self.item[at]] = self.weight[at]
+
+    def touched(self, number: int, terms: np.ndarray) -> Hits:
+        at = _ranges(self.first[terms], self.df[terms])
+        if len(at):
+            item, place = np.unique(self.item[at], return_inverse=True)
+            total = np.bincount(place, self.weight[at])
+            yield number, item, np.where(total > 0, total, -np.inf)
+
+    def weights(self, term: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """The weight of each term in each item, 0 where it is not."""
+        found = np.zeros(len(term))
+        column = self.column[term]
+        often = column >= 0
+        found[often] = self.dense[column[often], item[often]]
+        seldom = np.flatnonzero(~often)
+        key = term[seldom] * self.n + item[seldom]
+        at = np.minimum(np.searchsorted(self.keys, key), max(0, len(self.keys) - 1))
+        held = self.keys[at] == key
+        found[seldom[held]] = self.weight[at[held]]
+        return found
+
+    def scores(self, query: np.ndarray, item: np.ndarray, terms: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Whole scores of pairs; the terms of query q are terms[first[q]:][:count[q]], summed in this order."""
+        total = np.zeros(len(query))
+        ends = np.cumsum(count[query])
+        start = 0
+        while start < len(query):
+            base = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, base + LOOKUPS_AT_ONCE, side="right")))
+            some, n = query[start:stop], count[query[start:stop]]
+            pair = np.repeat(np.arange(len(some)), n)
+            found = self.weights(terms[_ranges(first[some], n)], item[start:stop][pair])
+            total[start:stop] = np.bincount(pair, found, minlength=len(some))
+            start = stop
+        return total
+
+    def pairs(self, query: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The items that have some of the given terms of each query, and the sum of these terms' weights."""
+        n = self.df[terms]
+        at = _ranges(self.first[terms], n)
+        key, place = np.unique(np.repeat(query, n) * self.n + self.item[at], return_inverse=True)
+        found, item = np.divmod(key, self.n)
+        return found, item, np.bincount(place, self.weight[at], minlength=len(key))
+
+    @staticmethod
+    def _raise(floor: np.ndarray, slack: np.ndarray, query: np.ndarray, scores: np.ndarray, k: int) -> None:
+        """Lifts each query's floor to the k-th of some scores of its items; ``query`` ascends."""
+        falling = np.lexsort((-scores, query))
+        kth = np.flatnonzero(np.arange(len(query)) - np.searchsorted(query, query) == k - 1)
+        number = query[kth]
+        floor[number] = np.maximum(floor[number], scores[falling][kth] - slack[number])
+
+    def best(
+        self, start: int, query: np.ndarray, terms: np.ndarray, n_queries: int, k: int, digits: int,
+        reached: np.ndarray | None,
+    ) -> Hits:
+        """What can be among the best k of the queries numbered from ``start``."""
+        present = self.df[terms] > 0
+        query, terms = query[present], terms[present]
+        if not len(terms):
+            return
+        count = np.bincount(query, minlength=n_queries)
+        first = np.cumsum(count) - count
+        # heaviest first; what the terms from each on give at most together
+        order = np.lexsort((-self.most[terms], query))
+        heavy, most = terms[order], self.most[terms][order]
+        upto = np.cumsum(most)
+        whole = np.append(upto, 0.0)[first + count - 1]
+        rest = whole[query] - upto + most
+        slack = 10.0**-digits + 1e-9 * (1 + np.abs(whole))
+        floor = np.full(n_queries, -np.inf)
+        if reached is not None:
+            floor = reached - slack
+        # a first k-th score from the items of the heaviest terms
+        postings = np.cumsum(self.df[heavy])
+        before = postings - self.df[heavy] - np.append(0, postings)[first][query]
+        seen, item, _ = self.pairs(*(x[(before < 2 * k + 8) & (floor[query] == -np.inf)] for x in (query, heavy)))
+        if len(seen):
+            self._raise(floor, slack, seen, self.scores(seen, item, terms, first, count), k)
+        read = rest >= floor[query]
+        n_read = np.bincount(query, read, minlength=n_queries).astype(np.int64)
+        work = np.cumsum(np.bincount(query, self.df[heavy] * read, minlength=n_queries))
+        begin = 0
+        while begin < n_queries:
+            base = work[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(work, base + POSTINGS_AT_ONCE, side="right")))
+            some = read & (query >= begin) & (query < end)
+            seen, item, part = self.pairs(query[some], heavy[some])
+            if len(seen) > k:  # whole scores of the leading items raise the k-th
+                lead = np.lexsort((-part, seen))
+                lead = lead[np.arange(len(lead)) - np.searchsorted(seen, seen) < 2 * k + 8]
+                self._raise(floor, slack, seen[lead], self.scores(seen[lead], item[lead], terms, first, count), k)
+            depth = n_read.copy()
+            while True:
+                left = np.append(rest, 0.0)[np.minimum(first + depth, len(rest))]
+                able = part + np.where(depth < count, left, 0.0)[seen] >= floor[seen]
+                seen, item, part = seen[able], item[able], part[able]
+                more = np.minimum(TERMS_AT_ONCE, count - depth)
+                if len(seen) <= 4 * k * (end - begin) or not more[seen].any():
+                    break
+                part = part + self.scores(seen, item, heavy, first + depth, more)
+                depth += more
+            if len(seen):
+                total = self.scores(seen, item, terms, first, count)
+                yield start + seen, item, np.where(total > 0, total, -np.inf)
+            begin = end

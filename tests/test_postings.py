@@ -1,0 +1,68 @@
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from opinio.operators import search
+from opinio.operators.index import TextIndex
+from opinio.operators.topk import block_hits, weighted_terms_scorer
+from opinio.session import new_path
+
+MATCH = pa.struct([("term", pa.string()), ("weight", pa.float64())])
+
+
+@pytest.fixture(scope="module")
+def crowd():
+    """Terms of very different rarity; a third of the items are copies."""
+    rng = np.random.default_rng(4)
+    odds = 1 / (1 + np.arange(400))
+    idf = -np.log(odds) + 0.1
+    texts = [np.flatnonzero(rng.random(400) < odds) for _ in range(3000)]
+    texts[::3] = [texts[0]] * 1000
+    rows = [[(f"t{t}", float(idf[t] * rng.choice([1.0, 1.5]))) for t in text] for text in texts]
+    rows[::3] = [rows[0]] * 1000
+    items = pa.table({"id": pa.array(range(3000)), "matches": pa.array(rows, pa.list_(MATCH))})
+    asked = [[f"t{t}" for t in rng.choice(500, 12, replace=False)] + ["t0", "t1"] for _ in range(300)]
+    asked += [[], ["unknown"], ["t0"], [t for t, _ in rows[0]]]
+    return items, pa.table({"query_id": pa.array(range(len(asked))), "terms": pa.array(asked, pa.list_(pa.string()))})
+
+
+@pytest.mark.parametrize("k", [1, 3, 60])
+def test_unread_postings_hold_no_hit(crowd, k):
+    items, queries = crowd
+    score = weighted_terms_scorer(queries)(items)
+    whole = {q: (rows, scores) for q, rows, scores in score()}
+    found = block_hits(items, score, k, 4)
+    reached = np.full(queries.num_rows, -np.inf)
+    for q in range(queries.num_rows):
+        rows, scores = whole.get(q, (np.empty(0, int), np.empty(0)))
+        best = sorted(zip((-np.floor(scores * 1e4 + 0.5) / 1e4).tolist(), rows.tolist()))[:k]
+        got = found.filter(pa.array(found["query"].to_numpy() == q))
+        assert got["id"].to_pylist() == [row for _, row in best]
+        assert got["score"].to_pylist() == pytest.approx([-s for s, _ in best])
+        if len(best) == k:
+            reached[q] = -best[-1][0]
+    # with the k-th scores known, the same rows are found again
+    assert block_hits(items, score, k, 4, reached).num_rows == found.num_rows
+    touched = sum(len(rows) for rows, _ in whole.values())
+    assert k > 3 or sum(len(rows) for _, rows, _ in score(k, 4, None)) < touched / 3
+
+
+def test_matches_are_made_where_the_bucket_is(spark, monkeypatch):
+    rng = random.Random(3)
+    texts = [(i, " ".join(f"w{int(rng.paretovariate(0.6)) % 300}" for _ in range(12))) for i in range(600)]
+    rows = spark.createDataFrame(texts, "id long, review_text string")
+    found = TextIndex(spark, new_path(spark, "index"), n_buckets=2).build(rows).current()
+    blocks = found.blocks().withColumn("idf", F.lit(1.0))
+    plan = search._matches(found, blocks)._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan  # no postings are gathered one by one
+
+    def matches():
+        return {r.id: sorted(map(tuple, r.matches)) for r in search._matches(found, blocks).collect()}
+
+    once = matches()
+    assert {i: [t for t, _ in m] for i, m in once.items()} == {i: sorted(set(t.split())) for i, t in texts}
+    monkeypatch.setattr(search, "ROWS_PER_BUCKET", 40)  # buckets beyond their size are cut
+    assert matches() == once
