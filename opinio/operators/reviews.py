@@ -33,9 +33,10 @@ def last_user_text(messages: DataFrame) -> DataFrame:
 def extreme_reviews(reviews: DataFrame, per_side: int = 3, key: str = "id") -> DataFrame:
     """The ``per_side`` best and worst rated reviews of every product.
 
-    Each review enters both rankings in one pass. ``row_number() <= n`` is limited
-    inside every task before the shuffle, so a product with very many reviews
-    sends at most ``per_side`` rows per task and side.
+    Each review enters both rankings in one pass. Reviews are first dealt by product to tasks of
+    even size, whose sorts do not grow with the table. ``row_number() <= n`` is limited
+    inside every task before the next shuffle, so a product with very many reviews, which many
+    tasks share, sends at most ``per_side`` rows per task and side.
     """
     score = as_score(F.col("rating"))
     sides = F.array(
@@ -45,6 +46,7 @@ def extreme_reviews(reviews: DataFrame, per_side: int = 3, key: str = "id") -> D
     entries = (
         reviews.select("product_id", key, "review_text", score.alias("score"))
         .where(F.col("score").isNotNull())
+        .hint("rebalance", "product_id")
         .withColumn("_entry", F.explode(sides))
     )
     place = Window.partitionBy("product_id", "_entry.side").orderBy("_entry.order", key)
