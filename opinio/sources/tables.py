@@ -22,11 +22,12 @@ def overwrite_table(
     With a ``path`` the rows go to a fresh folder below it first, and the table is then pointed
     there: a write that fails leaves the table as it was, and readers of the old folder finish;
     the folder before that one is removed. Without a path the table is the catalog's own and is
-    overwritten in place. ``cluster_by`` sorts inside each task's output. It adds no shuffle,
-    and lets a later point lookup on those columns skip parquet row groups.
+    overwritten in place. ``cluster_by`` deals the rows by those columns to tasks of even size,
+    which bounds a task's sort, and sorts each task's output; a later point lookup on them
+    skips files and parquet row groups.
     """
     if cluster_by:
-        rows = rows.sortWithinPartitions(*cluster_by)
+        rows = rows.hint("rebalance", *cluster_by).sortWithinPartitions(*cluster_by)
     spark = rows.sparkSession
     fmt = fmt or spark.conf.get("spark.sql.sources.default")
     if path is None:
