@@ -19,7 +19,7 @@ from pyspark.sql.types import StructField, StructType
 from opinio.functions.text import DIMENSIONS, TOKEN_BREAK
 
 # Bytes of text whose tokens are counted at once; a longer text is counted by itself.
-BYTES_AT_ONCE = 4 << 20
+BYTES_AT_ONCE = 1 << 20
 
 TERMS = "array<struct<term:string,tf:int>>"
 SPARSE = "array<struct<bucket:bigint,n:int,weight:double>>"
@@ -42,7 +42,8 @@ def with_counts(
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in _slices(whole):
+            for start, n in text_slices(whole.column(_LOWER)):
+                batch = whole.slice(start, n)
                 made = counted(batch.column(_LOWER), vector, dimensions)
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns[:-1], *made], names=schema.names
@@ -57,13 +58,15 @@ def _type(rows: DataFrame, kind: str):
     return rows.sparkSession.createDataFrame([], f"x {kind}").schema["x"].dataType
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    ends = np.cumsum(pc.binary_length(batch.column(_LOWER)).to_numpy(zero_copy_only=False), dtype=np.int64)
+def text_slices(texts: pa.StringArray, most: int | None = None) -> Iterator[tuple[int, int]]:
+    """Begin and number of texts that are counted at once, by their bytes (and ``most`` texts)."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
     start = 0
-    while start < batch.num_rows:
+    while start < len(texts):
         base = ends[start - 1] if start else 0
         stop = max(start + 1, int(np.searchsorted(ends, base + BYTES_AT_ONCE, side="right")))
-        yield batch.slice(start, stop - start)
+        stop = min(stop, start + most) if most else stop
+        yield start, stop - start
         start = stop
 
 

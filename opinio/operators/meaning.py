@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinio.functions.counting import counted, with_counts
+from opinio.functions.counting import counted, text_slices, with_counts
 from opinio.session import new_path
 
 BUCKETS, RANK = 2048, 64
@@ -27,6 +27,8 @@ EXTRA, PASSES = 16, 3
 SEED = 5
 # Rows of counts that are a dense matrix at a time.
 ROWS_AT_ONCE = 2048
+# Texts whose vectors are made at once.
+EMBEDDED_AT_ONCE = 512
 
 
 @dataclass(frozen=True)
@@ -50,12 +52,11 @@ class Basis:
         @F.pandas_udf("array<float>")
         def vectors(texts: pd.Series) -> pd.Series:
             column = pa.array(texts.fillna(""), pa.string())
-            counts = counted(column, "sparse", len(basis.idf))[2]
-            made = [
-                basis.vectors(_rows_of(counts.slice(start, ROWS_AT_ONCE), len(basis.idf)))
-                for start in range(0, len(counts), ROWS_AT_ONCE)
-            ]
-            return pd.Series(list(np.concatenate(made).astype(np.float32)) if made else [])
+            made = []
+            for start, n in text_slices(column, EMBEDDED_AT_ONCE):
+                counts = counted(column.slice(start, n), "sparse", len(basis.idf))[2]
+                made.append(basis.vectors(_rows_of(counts, len(basis.idf))).astype(np.float32))
+            return pd.Series(list(np.concatenate(made)) if made else [])
 
         return lambda text: vectors(F.lower(F.coalesce(text, F.lit(""))))
 
