@@ -78,11 +78,12 @@ class Shard:
             return
         rising = np.argsort(matrix, axis=0, kind="stable").T.astype(np.int32)
         # every list twice: from its low end, then from its high end
-        self.order = np.concatenate([rising, rising[:, ::-1]])
+        self.order = np.concatenate([rising, rising[:, ::-1]]).astype(np.intp)
         self.values = np.take_along_axis(np.tile(matrix.T, (2, 1)), self.order, 1)
+        self.floats = self.values.astype(np.float64)
         # where in a list a vector stands: tells whether it has been read by a given depth
-        places = np.empty_like(rising)
-        np.put_along_axis(places, rising, np.arange(len(matrix), dtype=np.int32)[None], 1)
+        places = np.empty(rising.shape, np.int16 if len(matrix) < 1 << 15 else np.int32)
+        np.put_along_axis(places, rising, np.arange(len(matrix), dtype=places.dtype)[None], 1)
         self.places = np.concatenate([places, len(matrix) - 1 - places])
 
     def candidates(self, query: np.ndarray, k: int, skip: int | None) -> np.ndarray:
@@ -105,29 +106,33 @@ class Shard:
         weight = query[used].astype(number)
         # every list from its best end: the high one for a positive weight
         lists = np.where(weight > 0, used + dimensions, used)
-        order = self.order[lists]
-        gains = weight[:, None] * self.values[lists]
-        worst = gains[:, -1].copy()
+        values = self.floats if number is np.float64 else self.values
+        worst = weight * values[lists, -1]
         lower = np.full(n, worst.sum(), number)
         able = everyone
         for start in range(0, n, READ):
             stop = min(start + READ, n)
-            more = gains[:, start:stop] - worst[:, None]
+            order = self.order[lists, start:stop]
+            more = weight[:, None] * values[lists, start:stop]
+            more -= worst[:, None]
             if number is np.float64:
-                lower += np.bincount(order[:, start:stop].ravel(), more.ravel(), minlength=n)
+                lower += np.bincount(order.ravel(), more.ravel(), minlength=n)
             else:
-                np.add.at(lower, order[:, start:stop].ravel(), more.ravel())
+                np.add.at(lower, order.ravel(), more.ravel())
             bounds = lower
             if skip is not None:
                 bounds = lower.copy()
                 bounds[skip] = none
             kth = np.partition(bounds, n - k)[n - k] if n > k else none
-            last = gains[:, stop - 1]
+            last = weight * values[lists, stop - 1]
             # while a vector that no list has shown could still qualify, no test can end this
             if last.sum() < kth or stop == n:
-                unread = self.places[lists] >= stop
-                upper = lower + (last - worst) @ unread
-                able = np.flatnonzero(upper >= kth)
+                # what has been ruled out stays out: bounds only draw closer
+                places = self.places[lists] if len(able) > n // 2 else self.places[lists[:, None], able]
+                some = able if places.shape[1] < n else np.arange(n)
+                unread = (places >= stop).astype(number)
+                upper = lower[some] + (last - worst) @ unread
+                able = some[upper >= kth] if some is able else able[upper[able] >= kth]
                 if len(able) <= max(FEW, k):
                     break
         return able if skip is None else able[able != skip]
