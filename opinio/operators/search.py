@@ -9,8 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opinio.functions.text import distinct_terms, term_counts
-from opinio.operators.index import ROWS_PER_BUCKET, Snapshot, TextIndex, with_vector
+from opinio.functions.counting import with_counts
+from opinio.functions.text import term_counts
+from opinio.operators.index import ROWS_PER_BUCKET, Snapshot, TextIndex, analysed, with_vector
 from opinio.operators.topk import RESIDENT_QUERIES, cosine_scorer, exact_topk, weighted_terms_scorer
 from opinio.session import checked_broadcast, new_path
 
@@ -27,7 +28,7 @@ DEFAULT_RESULTS = 5
 PUSHED_TERMS = 1000
 TERMS_WITH_BLOCKS = 50
 # Texts given out at once, and hits of all queries that a task may hold in one pass over the texts.
-TEXTS_AT_ONCE, HITS_AT_ONCE, MOST_QUERIES = 2_000, 1_000_000, 50_000
+TEXTS_AT_ONCE, HITS_AT_ONCE, MOST_QUERIES = 8_192, 1_000_000, 50_000
 
 
 def semantic_topk(
@@ -59,11 +60,8 @@ def search_semantic(
     With the hashed vectors a text without a common bucket is no hit; a caller's model
     ranks every text, also at negative cosines.
     """
-    asked = with_vector(
-        queries.select("query_id", "query_text", term_counts(F.col("query_text")).alias("terms")),
-        "query_text",
-        found.index.embed,
-    ).select("query_id", "embedding")
+    counted = analysed(queries.select("query_id", "query_text"), "query_text", found.index.embed)
+    asked = _stored(found, counted.select("query_id", "embedding"))
     items = found.rows().select(F.col(found.index.key).alias("id"), "embedding")
     return semantic_topk(
         items, asked, k, found.index.embed is None, found.totals.dimension or None, **bounds
@@ -94,10 +92,11 @@ def search_fulltext(
     Postings are sorted by term, so a short list of terms is pushed to the scan
     and skips the other row groups. Blocks of a term's postings that cannot lift a text to
     the k-th score of any question are left out (see ``needed_blocks``). The matches of one text
-    are gathered once, by the task of its bucket, and scored for all queries together. A query
-    reads the postings of its heaviest terms and looks the others up (see ``topk.Postings``).
+    are gathered once, by the task of its bucket, and scored for all queries together (see
+    ``topk.Postings``).
     """
-    asked = queries.select("query_id", distinct_terms(F.col("query_text")).alias("terms"))
+    counted = with_counts(queries.select("query_id", "query_text"), "query_text", None)
+    asked = _stored(found, counted.select("query_id", F.col("terms.term").alias("terms")))
     size = F.octet_length(F.concat_ws("", "terms")) + 8 * F.size("terms")
 
     # a pass over the texts costs more than the few terms of a query
@@ -113,6 +112,13 @@ def search_fulltext(
     return ranked(needed_blocks(found, asked, k, ranked))
 
 
+def _stored(found: Snapshot, asked: DataFrame) -> DataFrame:
+    """What is asked, written: it is read several times, and its texts are analysed once."""
+    path = new_path(found.index.spark, "asked")
+    asked.write.parquet(path)
+    return found.index.spark.read.schema(asked.schema).parquet(path)
+
+
 def _norm(found: Snapshot, n_terms: Column) -> Column:
     return K1 * (1 - B + B * n_terms / F.lit(found.totals.mean_terms or 1.0))
 

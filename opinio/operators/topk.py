@@ -29,11 +29,16 @@ ITEMS_PER_BLOCK = 20_000
 ITEMS_AT_ONCE, QUERIES_AT_ONCE, PAIRS_AT_ONCE = 4096, 256, 1 << 16
 # Terms of queries, and postings, that are looked up at once.
 LOOKUPS_AT_ONCE, POSTINGS_AT_ONCE = 1 << 20, 1 << 21
-# Terms by which the bound of an item's score is drawn closer at once.
-TERMS_AT_ONCE = 6
+# Products that take the time of adding one posting, queries whose products take the time of filling
+# in a row of a matrix, and its numbers.
+PRODUCTS_A_POSTING, FILLING, MULTIPLIED_AT_ONCE = 200, 20, 1 << 22
+# Terms by which queries are put beside their like, and the least weight in single precision.
+LEADING_TERMS, LEAST = 4, 1e-30
 # A term in this share of a block's items is kept as a column of all of them.
 DENSE = 1 / 8
 
+# Tasks for each core that items are scored by, at most.
+TASKS_A_CORE = 3
 # Parts of the tasks that are ranked apart before the last ranking.
 RANKING_PARTS = 64
 
@@ -145,7 +150,9 @@ def exact_topk(
             if best is not None:
                 yield from _named(best, resident).to_batches()
 
-        return items.mapInArrow(per_task, schema)
+        # a task's later items have to reach what its earlier ones have: few tasks, few candidates
+        tasks = max(1, int(TASKS_A_CORE * items.sparkSession.sparkContext.defaultParallelism))
+        return items.coalesce(tasks).mapInArrow(per_task, schema)
 
     return by_query_blocks(
         items, queries, query_bytes, lambda some, resident: best_of_each(candidates(some, resident), k),
@@ -284,6 +291,7 @@ def weighted_terms_scorer(queries: pa.Table) -> Prepare:
     vocabulary = pc.unique(asked)
     terms = pc.index_in(asked, vocabulary).to_numpy(zero_copy_only=False).astype(np.int64)
     edges = np.concatenate([[0], np.cumsum(asked_n)])
+    groups = list(_alike(terms, edges, len(vocabulary)))
 
     def prepare(items: pa.Table) -> Score:
         postings = Postings(items["matches"], vocabulary)
@@ -293,18 +301,34 @@ def weighted_terms_scorer(queries: pa.Table) -> Prepare:
                 for number in range(len(asked_n)):
                     yield from postings.touched(number, terms[edges[number] : edges[number + 1]])
                 return
-            for start in range(0, len(asked_n), QUERIES_AT_ONCE):
-                stop = min(start + QUERIES_AT_ONCE, len(asked_n))
-                number = np.repeat(np.arange(start, stop), asked_n[start:stop])
-                floor = None if reached is None else reached[start:stop]
-                some = terms[edges[start] : edges[stop]]
-                yield from postings.best(start, number - start, some, stop - start, k, digits, floor)
+            for numbers in groups:
+                n = asked_n[numbers]
+                query = np.repeat(np.arange(len(numbers)), n)
+                floor = None if reached is None else reached[numbers]
+                some = terms[_ranges(edges[numbers], n)]
+                for found, item, scores in postings.best(query, some, len(numbers), k, digits, floor):
+                    yield numbers[found], item, scores
 
         return score
 
     return prepare
 
 
+def _alike(terms: np.ndarray, edges: np.ndarray, n_terms: int) -> Iterator[np.ndarray]:
+    """Numbers of the queries, those together that share terms which many queries have."""
+    n = np.diff(edges)
+    query = np.repeat(np.arange(len(n)), n)
+    place = np.empty(n_terms, np.int64)
+    place[np.argsort(-np.bincount(terms, minlength=n_terms), kind="stable")] = np.arange(n_terms)
+    common = place[terms][np.lexsort((place[terms], query))]
+    leading = np.full((LEADING_TERMS, len(n)), n_terms)
+    for at in range(LEADING_TERMS):
+        leading[at, n > at] = common[edges[:-1][n > at] + at]
+    order = np.lexsort(leading[::-1])
+    for start in range(0, len(order), QUERIES_AT_ONCE):
+        yield order[start : start + QUERIES_AT_ONCE]
+
+
 def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     """All of first[i], first[i] + 1, ... (count[i] of them), one after the other."""
     before = np.cumsum(count) - count
@@ -312,11 +336,11 @@ def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
 
 
 class Postings:
-    """A block's matches by term, and what bounds a query's scores by them.
+    """A block's matches by term.
 
-    An item that has none of a query's heaviest terms scores at most the greatest weights of the
-    others together. Where the k-th score is above that, only the postings of the heaviest are read,
-    and whatever of their items can still reach it is scored. Nothing else can be a hit.
+    Scores of many queries are first added up in single precision: terms that many of the queries
+    and many of the items have by a matrix product, the others posting by posting. These sums
+    and their error tell what can be among the best k; only that is scored in double precision.
     """
 
     def __init__(self, column: pa.ChunkedArray, vocabulary: pa.Array):
@@ -333,7 +357,10 @@ class Postings:
         self.df = np.diff(self.first)
         self.keys = term * self.n + self.item
         self.most = np.zeros(n_terms)
-        np.maximum.at(self.most, term, self.weight)
+        np.maximum.at(self.most, term, np.abs(self.weight))
+        self.negative = bool(len(self.weight)) and self.weight.min() < 0
+        self.single = self.weight.astype(np.float32)
+        self.single[self.weight > 0] = np.maximum(self.single[self.weight > 0], np.float32(LEAST))
         often = np.flatnonzero(self.df > self.n * DENSE)
         self.column = np.full(n_terms, -1)
         self.column[often] = np.arange(len(often))
@@ -376,73 +403,62 @@ class Postings:
             start = stop
         return total
 
-    def pairs(self, query: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The items that have some of the given terms of each query, and the sum of these terms' weights."""
-        n = self.df[terms]
-        at = _ranges(self.first[terms], n)
-        key, place = np.unique(np.repeat(query, n) * self.n + self.item[at], return_inverse=True)
-        found, item = np.divmod(key, self.n)
-        return found, item, np.bincount(place, self.weight[at], minlength=len(key))
-
-    @staticmethod
-    def _raise(floor: np.ndarray, slack: np.ndarray, query: np.ndarray, scores: np.ndarray, k: int) -> None:
-        """Lifts each query's floor to the k-th of some scores of its items; ``query`` ascends."""
-        falling = np.lexsort((-scores, query))
-        kth = np.flatnonzero(np.arange(len(query)) - np.searchsorted(query, query) == k - 1)
-        number = query[kth]
-        floor[number] = np.maximum(floor[number], scores[falling][kth] - slack[number])
+    def near(self, query: np.ndarray, terms: np.ndarray, n_queries: int) -> np.ndarray:
+        """Scores of all items for some queries, in single precision; above 0 where an item has a term."""
+        used, column = np.unique(terms, return_inverse=True)
+        # what is multiplied instead of being added one by one
+        postings = np.bincount(column) * self.df[used]
+        often = np.flatnonzero(postings * PRODUCTS_A_POSTING >= self.n * (n_queries + FILLING))
+        often = often[np.argsort(-postings[often], kind="stable")[: max(1, MULTIPLIED_AT_ONCE // self.n)]]
+        place = np.full(len(used), -1)
+        place[often] = np.arange(len(often))
+        column = place[column]
+        rows = np.zeros((len(often), self.n), np.float32)
+        n = self.df[used[often]]
+        at = _ranges(self.first[used[often]], n)
+        rows[np.repeat(np.arange(len(often)), n), self.item[at]] = self.single[at]
+        has = np.zeros((n_queries, len(often)), np.float32)
+        np.add.at(has, (query[column >= 0], column[column >= 0]), 1)  # a query may name a term twice
+        found = has @ rows
+        cells = found.reshape(-1)
+        query, terms = query[column < 0], terms[column < 0]
+        ends = np.cumsum(self.df[terms])
+        start = 0
+        while start < len(terms):
+            base = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, base + POSTINGS_AT_ONCE, side="right")))
+            n = self.df[terms[start:stop]]
+            at = _ranges(self.first[terms[start:stop]], n)
+            np.add.at(cells, np.repeat(query[start:stop] * self.n, n) + self.item[at], self.single[at])
+            start = stop
+        return found
 
     def best(
-        self, start: int, query: np.ndarray, terms: np.ndarray, n_queries: int, k: int, digits: int,
+        self, query: np.ndarray, terms: np.ndarray, n_queries: int, k: int, digits: int,
         reached: np.ndarray | None,
     ) -> Hits:
-        """What can be among the best k of the queries numbered from ``start``."""
+        """What can be among the best k of some queries; ``query`` ascends."""
         present = self.df[terms] > 0
         query, terms = query[present], terms[present]
         if not len(terms):
             return
         count = np.bincount(query, minlength=n_queries)
         first = np.cumsum(count) - count
-        # heaviest first; what the terms from each on give at most together
-        order = np.lexsort((-self.most[terms], query))
-        heavy, most = terms[order], self.most[terms][order]
-        upto = np.cumsum(most)
-        whole = np.append(upto, 0.0)[first + count - 1]
-        rest = whole[query] - upto + most
-        slack = 10.0**-digits + 1e-9 * (1 + np.abs(whole))
-        floor = np.full(n_queries, -np.inf)
-        if reached is not None:
-            floor = reached - slack
-        # a first k-th score from the items of the heaviest terms
-        postings = np.cumsum(self.df[heavy])
-        before = postings - self.df[heavy] - np.append(0, postings)[first][query]
-        seen, item, _ = self.pairs(*(x[(before < 2 * k + 8) & (floor[query] == -np.inf)] for x in (query, heavy)))
+        near = self.near(query, terms, n_queries)
+        # rounded scores are ranked; weights and each sum of them are rounded to 24 bits
+        error = (count + 8) * 2.0**-23 * np.bincount(query, self.most[terms], minlength=n_queries)
+        slack = 10.0**-digits + error + 1e-9 * (1 + error)
+        floor = np.full(n_queries, -np.inf) if reached is None else reached - slack
+        floor = np.maximum(floor, -error if self.negative else LEAST / 2)
+        lower = np.nextafter(floor.astype(np.float32), np.float32(-np.inf))
+        able = near >= lower[:, None]
+        # the k-th of the items that are left lifts the floor of a query that has many
+        many = np.flatnonzero(np.count_nonzero(able, axis=1) > k)
+        if len(many):
+            kth = np.partition(near[many], self.n - k, axis=1)[:, self.n - k]
+            lifted = (kth - slack[many] - error[many]).astype(np.float32)
+            able[many] &= near[many] >= np.nextafter(lifted, np.float32(-np.inf))[:, None]
+        seen, item = np.nonzero(able)
         if len(seen):
-            self._raise(floor, slack, seen, self.scores(seen, item, terms, first, count), k)
-        read = rest >= floor[query]
-        n_read = np.bincount(query, read, minlength=n_queries).astype(np.int64)
-        work = np.cumsum(np.bincount(query, self.df[heavy] * read, minlength=n_queries))
-        begin = 0
-        while begin < n_queries:
-            base = work[begin - 1] if begin else 0
-            end = max(begin + 1, int(np.searchsorted(work, base + POSTINGS_AT_ONCE, side="right")))
-            some = read & (query >= begin) & (query < end)
-            seen, item, part = self.pairs(query[some], heavy[some])
-            if len(seen) > k:  # whole scores of the leading items raise the k-th
-                lead = np.lexsort((-part, seen))
-                lead = lead[np.arange(len(lead)) - np.searchsorted(seen, seen) < 2 * k + 8]
-                self._raise(floor, slack, seen[lead], self.scores(seen[lead], item[lead], terms, first, count), k)
-            depth = n_read.copy()
-            while True:
-                left = np.append(rest, 0.0)[np.minimum(first + depth, len(rest))]
-                able = part + np.where(depth < count, left, 0.0)[seen] >= floor[seen]
-                seen, item, part = seen[able], item[able], part[able]
-                more = np.minimum(TERMS_AT_ONCE, count - depth)
-                if len(seen) <= 4 * k * (end - begin) or not more[seen].any():
-                    break
-                part = part + self.scores(seen, item, heavy, first + depth, more)
-                depth += more
-            if len(seen):
-                total = self.scores(seen, item, terms, first, count)
-                yield start + seen, item, np.where(total > 0, total, -np.inf)
-            begin = end
+            total = self.scores(seen, item, terms, first, count)
+            yield seen, item, np.where(total > 0, total, -np.inf)
