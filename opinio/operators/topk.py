@@ -38,7 +38,7 @@ LEADING_TERMS, LEAST = 4, 1e-30
 DENSE = 1 / 8
 
 # Tasks for each core that items are scored by, at most.
-TASKS_A_CORE = 3
+TASKS_A_CORE = 2
 # Parts of the tasks that are ranked apart before the last ranking.
 RANKING_PARTS = 64
 
@@ -136,6 +136,9 @@ def exact_topk(
     schema = StructType(
         [queries.schema["query_id"], items.schema["id"], StructField("score", DoubleType())]
     )
+    # a task's later items have to reach what its earlier ones have: few tasks, few candidates
+    tasks = max(1, int(TASKS_A_CORE * items.sparkSession.sparkContext.defaultParallelism))
+
     def candidates(items: DataFrame, resident: pa.Table) -> DataFrame:
         def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             prepare = make_scorer(resident)
@@ -150,12 +153,10 @@ def exact_topk(
             if best is not None:
                 yield from _named(best, resident).to_batches()
 
-        # a task's later items have to reach what its earlier ones have: few tasks, few candidates
-        tasks = max(1, int(TASKS_A_CORE * items.sparkSession.sparkContext.defaultParallelism))
         return items.coalesce(tasks).mapInArrow(per_task, schema)
 
     return by_query_blocks(
-        items, queries, query_bytes, lambda some, resident: best_of_each(candidates(some, resident), k),
+        items, queries, query_bytes, lambda some, resident: best_of_each(candidates(some, resident), k, tasks),
         resident_queries, resident_bytes, recomputed,
     )
 
@@ -191,19 +192,22 @@ def by_query_blocks(
     return spark.read.parquet(found)
 
 
-def best_of_each(candidates: DataFrame, k: int) -> DataFrame:
-    """The best k of each query; k rows from each of very many tasks do not meet in one."""
+def best_of_each(candidates: DataFrame, k: int, tasks: int | None = None) -> DataFrame:
+    """The best k of each query; k rows from each of very many tasks do not meet in one.
+
+    Those of few ``tasks`` do, in one step.
+    """
     order = [F.desc("score"), F.asc("id")]
     part = Window.partitionBy("query_id", "_part").orderBy(*order)
     whole = Window.partitionBy("query_id").orderBy(*order)
-    return (
-        candidates.withColumn("_part", F.spark_partition_id() % RANKING_PARTS)
-        .withColumn("rank", F.row_number().over(part))
-        .where(F.col("rank") <= k)
-        .drop("_part")
-        .withColumn("rank", F.row_number().over(whole))
-        .where(F.col("rank") <= k)
-    )
+    if tasks is None or tasks > RANKING_PARTS:
+        candidates = (
+            candidates.withColumn("_part", F.spark_partition_id() % RANKING_PARTS)
+            .withColumn("rank", F.row_number().over(part))
+            .where(F.col("rank") <= k)
+            .drop("_part")
+        )
+    return candidates.withColumn("rank", F.row_number().over(whole)).where(F.col("rank") <= k)
 
 
 def _flat(column: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:

@@ -49,7 +49,7 @@ def test_few_tasks_score_all_buckets_and_a_question_is_analysed_once(spark, monk
     rng = random.Random(5)
     texts = [(i, " ".join(f"w{int(rng.paretovariate(0.6)) % 300}" for _ in range(12))) for i in range(400)]
     rows = spark.createDataFrame(texts, "id long, review_text string")
-    found = TextIndex(spark, new_path(spark, "index"), n_buckets=16).build(rows).current()
+    found = TextIndex(spark, new_path(spark, "index"), n_buckets=4).build(rows).current()
     seen = spark.sparkContext.accumulator(0)
 
     def noted(text):
@@ -66,3 +66,19 @@ def test_few_tasks_score_all_buckets_and_a_question_is_analysed_once(spark, monk
         few = find(found, noted_asked, 4)
         assert sorted(map(tuple, few.collect())) == many
         assert seen.value == 50
+
+
+def test_hits_of_few_tasks_are_ranked_in_one_step(spark, monkeypatch):
+    vectors = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(40)], "id long, embedding array<float>")
+    asked = vectors.withColumnRenamed("id", "query_id")
+
+    def ranked():
+        found = search.semantic_topk(vectors.repartition(9), asked, 2)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        return plan.count("Window ["), sorted(map(tuple, found.collect()))
+
+    once, hits = ranked()
+    monkeypatch.setattr(topk, "RANKING_PARTS", 2)
+    twice, same = ranked()
+    assert (once, twice) == (1, 2)
+    assert hits == same and len(hits) == 80
